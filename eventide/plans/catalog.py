@@ -14,14 +14,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.constants import ARTICLES
+from eventide.constants import ARTICLES, STORE_EVENT_TYPES, T0_MS
 from eventide.functions.predicates import null_safe_not
 from eventide.functions.text import explode_tokens
-from eventide.functions.timefn import epoch_ms
-from eventide.operators import rolling, sessions, windows
+from eventide.functions.timefn import epoch_ms, rebase_ms
+from eventide.operators import (joins, periods, quality, rolling, segments, sessions,
+                                weights, windows)
+from eventide.sources import files
 from eventide.operators.scan import time_chunk, value_chunk
 from eventide.sources.tables import events, table
-from eventide.session import use_utc
+from eventide.session import scratch_path, use_utc
 
 HOUR_MS = 3_600_000
 DAY_S = 86_400
@@ -214,6 +216,243 @@ def busiest_window(spark, sf_dir):
     return sessions.busiest_window(ev, "ts", 2 * HOUR_MS, HOUR_MS, 3 * HOUR_MS)
 
 
+# --------------------------------------------------- store-event binding
+# events as the store stream: store = user_id % 4, app = props.k,
+# signup -> install, purchase -> uninstall, view -> page_view.
+_STORE_KIND_SQL = ("CASE event_type WHEN 'signup' THEN 'install' WHEN 'purchase' THEN 'uninstall' "
+                   "WHEN 'view' THEN 'page_view' ELSE event_type END")
+
+
+def _store_events(spark, sf_dir):
+    ev = events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "props")
+    kind = (F.when(F.col("event_type") == "signup", "install")
+            .when(F.col("event_type") == "purchase", "uninstall")
+            .when(F.col("event_type") == "view", "page_view")
+            .otherwise(F.col("event_type")))
+    return ev.select("event_id", "ts", (F.col("user_id") % 4).alias("store"),
+                     F.get_json_object("props", "$.k").alias("app"), kind.alias("kind"))
+
+
+def _batches(spark, sf_dir):
+    main, _side = quality.split(_store_events(spark, sf_dir), F.col("kind") == "error")
+    return segments.assign_batches(main, "store", ["ts", "event_id"], "kind",
+                                   chunk=time_chunk("ts", DAY_S))
+
+
+_THRESH_CTE = """
+WITH RECURSIVE
+ev AS (SELECT user_id % 4 AS store, event_id, ts, event_type,
+              json_extract_string(props, '$.k') AS app,
+              CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS is_i,
+              CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS is_u
+       FROM events WHERE coalesce(event_type = 'error', false) = false),
+sc AS (SELECT *, row_number() OVER (PARTITION BY store ORDER BY ts, event_id) AS rn,
+              sum(is_i) OVER w AS ci, sum(is_u) OVER w AS cu
+       FROM ev WINDOW w AS (PARTITION BY store ORDER BY ts, event_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+inst AS (SELECT store, ci AS c, rn FROM sc WHERE is_i = 1),
+unin AS (SELECT store, cu AS c, rn FROM sc WHERE is_u = 1),
+cand AS (SELECT store, rn, ci, cu FROM sc WHERE is_i = 1 OR is_u = 1
+         UNION ALL SELECT DISTINCT store, 0, 0, 0 FROM sc),
+nxt AS (SELECT a.store, a.rn, least(i.rn, u.rn) AS to_rn FROM cand a
+        LEFT JOIN inst i ON i.store = a.store AND i.c = a.ci + 100
+        LEFT JOIN unin u ON u.store = a.store AND u.c = a.cu + 50),
+walk(store, rn, batch_no) AS (
+  SELECT DISTINCT store, CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM sc
+  UNION ALL
+  SELECT n.store, n.to_rn, w.batch_no + 1 FROM walk w
+  JOIN nxt n ON n.store = w.store AND n.rn = w.rn WHERE n.to_rn IS NOT NULL),
+b AS (SELECT store, batch_no, rn AS close_rn,
+             lag(rn) OVER (PARTITION BY store ORDER BY rn) AS open_rn FROM walk),
+tagged AS (SELECT s.*, b.batch_no, b.close_rn FROM sc s JOIN b
+           ON s.store = b.store AND b.batch_no > 0 AND s.rn > b.open_rn AND s.rn <= b.close_rn),
+apps AS (SELECT store, batch_no, app, CAST(sum(is_i) AS BIGINT) AS installs,
+                CAST(sum(is_u) AS BIGINT) AS uninstalls FROM tagged GROUP BY store, batch_no, app),
+kinds AS (SELECT store, batch_no, app, 'install' AS kind, installs AS n FROM apps WHERE installs > 0
+          UNION ALL
+          SELECT store, batch_no, app, 'uninstall' AS kind, uninstalls AS n FROM apps WHERE uninstalls > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY store, batch_no, kind ORDER BY n DESC, app) AS rank
+           FROM kinds),
+top AS (SELECT * FROM ranked WHERE rank <= 3)
+"""
+
+
+@register("threshold_batches", "W-2 S-9 S-11 S-12 P-6 P-9 U-6", _THRESH_CTE + """
+SELECT store, batch_no, count(*) AS n_rows, CAST(sum(is_i) AS BIGINT) AS installs,
+       CAST(sum(is_u) AS BIGINT) AS uninstalls, max(close_rn) AS close_rn,
+       max(CASE WHEN rn = close_rn THEN epoch_us(ts) // 1000 END) AS close_ts_ms,
+       max(CASE WHEN rn = close_rn THEN event_id END) AS close_id
+FROM tagged GROUP BY store, batch_no
+""")
+def threshold_batches(spark, sf_dir):
+    summary = segments.batch_summary(_batches(spark, sf_dir), "store", "ts", "event_id")
+    return summary.drop("closed")
+
+
+@register("threshold_top_apps", "W-2 AGG-13 K-1", _THRESH_CTE + """
+SELECT store, batch_no, kind, rank, app, n FROM top
+""")
+def threshold_top_apps(spark, sf_dir):
+    counts = segments.app_counts(_batches(spark, sf_dir), "store", "app")
+    return segments.top_apps(counts, "store", "app").select(
+        "store", "batch_no", "kind", F.col("rank").cast("long").alias("rank"), "app", "n")
+
+
+@register("threshold_report", "W-2 AGG-13 K-1 F-10", _THRESH_CTE + """
+SELECT store, batch_no,
+  'INSTALL/UNINSTALL Store: ' || store
+  || ' Top ' || count(*) FILTER (WHERE kind = 'install') || ' installed: '
+  || coalesce(string_agg(app || ' (' || n || ')', ', ' ORDER BY rank) FILTER (WHERE kind = 'install'), '')
+  || ' Top ' || count(*) FILTER (WHERE kind = 'uninstall') || ' uninstalled: '
+  || coalesce(string_agg(app || ' (' || n || ')', ', ' ORDER BY rank) FILTER (WHERE kind = 'uninstall'), '')
+  || ' ' AS report
+FROM top GROUP BY store, batch_no
+""")
+def threshold_report(spark, sf_dir):
+    counts = segments.app_counts(_batches(spark, sf_dir), "store", "app")
+    return segments.top_apps_report(segments.top_apps(counts, "store", "app"), "store", "app")
+
+
+@register("type_quarantine", "P-8 VAL-3", f"""
+SELECT event_id, {_STORE_KIND_SQL} AS kind FROM events
+WHERE coalesce(({_STORE_KIND_SQL}) IN ('install', 'uninstall', 'page_view', 'error'), false) = false
+""")
+def type_quarantine(spark, sf_dir):
+    _good, bad = quality.quarantine_domain(_store_events(spark, sf_dir), "kind", STORE_EVENT_TYPES)
+    return bad.select("event_id", "kind")
+
+
+# ------------------------------------------------------ Q8 periods
+@register("period_top_tokens", "S-4 F-9 W-3 W-4 W-5 AGG-11 AGG-12 K-2", """
+WITH c AS (SELECT event_type AS topic, json_extract_string(props, '$.k') AS acronym,
+                  epoch_us(ts) // 10000000 AS w, epoch_us(ts) AS us FROM events),
+win AS (SELECT topic, w, min(us) AS min_us, count(*) AS total FROM c GROUP BY topic, w),
+lab AS (SELECT *, CASE WHEN (min_us // 3600000000) % 24 >= 4 AND (min_us // 3600000000) % 24 < 12 THEN 'Mourning'
+                       WHEN (min_us // 3600000000) % 24 >= 12 AND (min_us // 3600000000) % 24 < 17 THEN 'Day'
+                       WHEN (min_us // 3600000000) % 24 >= 17 THEN 'Evening'
+                       ELSE 'Midnight' END AS label FROM win),
+fl AS (SELECT *, CASE WHEN lag(label) OVER (PARTITION BY topic ORDER BY w) = label THEN 0 ELSE 1 END AS f
+       FROM lab),
+isl AS (SELECT *, sum(f) OVER (PARTITION BY topic ORDER BY w
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS period FROM fl),
+per AS (SELECT topic, period, any_value(label) AS label, min(min_us) AS first_us, sum(total) AS total
+        FROM isl GROUP BY topic, period),
+fin AS (SELECT p.topic, p.period, p.label, p.total, n.label AS next_label, n.first_us AS next_us
+        FROM per p JOIN per n ON n.topic = p.topic AND n.period = p.period + 1),
+acr AS (SELECT i.topic, i.period, c.acronym, count(*) AS cnt FROM c
+        JOIN isl i ON i.topic = c.topic AND i.w = c.w GROUP BY i.topic, i.period, c.acronym),
+top AS (SELECT *, row_number() OVER (PARTITION BY topic, period ORDER BY cnt DESC, acronym) AS rk FROM acr)
+SELECT t.topic, t.acronym, t.cnt AS acronyms_counter, CAST(f.total AS BIGINT) AS total_comments_counter,
+       f.next_label AS label_time_of_day, f.next_us // 1000 AS closed_at_ms,
+       f.label AS period_time_of_day
+FROM top t JOIN fin f ON f.topic = t.topic AND f.period = t.period WHERE t.rk <= 20
+""")
+def period_top_tokens(spark, sf_dir):
+    ev = events(spark, sf_dir, "ts", "event_type", "props")
+    ev = ev.select(F.col("event_type").alias("topic"), "ts",
+                   F.get_json_object("props", "$.k").alias("acronym"))
+    return periods.period_top_acronyms(ev, "topic", "ts", "acronym", window_ms=10_000)
+
+
+# ----------------------------------------------------- Q10 deliveries
+_DELIVERY_CTE = """
+WITH o AS (SELECT o_orderkey, min(o_orderdate) AS o_orderdate FROM orders GROUP BY o_orderkey),
+c AS (SELECT l.l_orderkey, l.l_linenumber, o.o_orderkey,
+             epoch_us(l.l_shipdate) - epoch_us(o.o_orderdate) AS lateness_us
+      FROM lineitem l LEFT JOIN o ON o.o_orderkey = l.l_orderkey),
+s AS (SELECT *, CASE WHEN o_orderkey IS NULL THEN 'orphan' WHEN lateness_us < 0 THEN 'before_order'
+                     WHEN lateness_us > 259200000000 THEN 'late' ELSE 'in_time' END AS status FROM c)
+"""
+
+
+def _classified(spark, sf_dir):
+    use_utc(spark)
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate")
+    li = li.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    o = o.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    return joins.classify_deliveries(li, o, "l_orderkey", "o_orderkey", "o_orderdate", "l_shipdate")
+
+
+@register("delivery_lateness", "J-1 AGG-8 AGG-10 F-4 F-6 F-7 P-11", _DELIVERY_CTE + """
+SELECT l_orderkey, l_linenumber, lateness_us, CAST(259200 AS BIGINT) AS deadline_s, status
+FROM s WHERE status IN ('in_time', 'late')
+""")
+def delivery_lateness(spark, sf_dir):
+    c = _classified(spark, sf_dir)
+    return c.filter(F.col("status").isin(joins.IN_TIME, joins.LATE)).select(
+        "l_orderkey", "l_linenumber", "lateness_us", "deadline_s", "status")
+
+
+@register("delivery_summary", "AGG-9 VAL-1 VAL-2", _DELIVERY_CTE + """
+SELECT count(*) FILTER (WHERE status = 'in_time') AS in_time,
+       count(*) FILTER (WHERE status = 'late') AS late,
+       count(*) FILTER (WHERE status = 'before_order') AS before_order,
+       count(*) FILTER (WHERE status = 'orphan') AS orphan
+FROM s
+""")
+def delivery_summary(spark, sf_dir):
+    return joins.lateness_summary(_classified(spark, sf_dir))
+
+
+@register("invalid_deliveries", "VAL-2", _DELIVERY_CTE + """
+SELECT l_orderkey, l_linenumber, lateness_us FROM s WHERE status = 'before_order'
+""")
+def invalid_deliveries(spark, sf_dir):
+    c = _classified(spark, sf_dir)
+    return c.filter(F.col("status") == joins.BEFORE_ORDER).select(
+        "l_orderkey", "l_linenumber", "lateness_us")
+
+
+@register("orphans", "J-3 VAL-1", """
+SELECT l_orderkey, l_linenumber FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
+""")
+def orphans(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+    o = table(spark, sf_dir, "orders", "o_orderkey")
+    return joins.orphans(li, o, "l_orderkey", "o_orderkey")
+
+
+# -------------------------------------------------- R-1 weighted split
+@register("weighted_split", "R-1 VAL-4", """
+WITH e AS (SELECT event_id, ((event_id * 7919) % 10000) / CAST(10000.0 AS DOUBLE) AS p FROM events)
+SELECT event_id, p, CASE WHEN p <= 0.25 THEN 'HuaweiAppStore' WHEN p <= 0.5 THEN 'AppleAppStore'
+                         WHEN p <= 0.75 THEN 'GooglePlay' WHEN p <= 1.0 THEN 'RuStore' END AS store
+FROM e
+""")
+def weighted_split(spark, sf_dir):
+    ev = events(spark, sf_dir, "event_id")
+    ev = ev.withColumn("p", ((F.col("event_id") * 7919) % 10000) / F.lit(10000.0))
+    return weights.assign(ev, "p", weights.weights_frame(spark), "stores", "store")
+
+
+# ------------------------------------------------ R-2 sorted comments
+@register("comments_sorted", "R-2 SRC-4 SRC-5 SNK-2 K-3 P-5 F-5", """
+SELECT CAST(event_id AS VARCHAR) AS comment_id, CAST(user_id AS VARCHAR) AS user,
+       event_type AS topic, json_extract_string(props, '$.k') AS acronym,
+       epoch_us(ts) // 1000 AS time_ms
+FROM events
+""")
+def comments_sorted(spark, sf_dir):
+    # Stand-in input: events written as the headered comment file
+    # (commentId, time offset from t0 in ms, user, topic, acronym).
+    ev = events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "props")
+    raw_path = scratch_path(spark, "comments-raw")
+    ev.select(F.col("event_id").cast("string").alias("commentId"),
+              (epoch_ms("ts") - F.lit(T0_MS)).alias("time"),
+              F.col("user_id").cast("string").alias("user"),
+              F.col("event_type").alias("topic"),
+              F.get_json_object("props", "$.k").alias("acronym")
+              ).write.option("header", True).csv(raw_path)
+    sorted_path = scratch_path(spark, "comments-sorted")
+    files.sort_comments_file(spark, raw_path, sorted_path)
+    comments = files.read_comments(spark, sorted_path)
+    return comments.select(F.col("commentId").alias("comment_id"), "user", "topic",
+                           F.col("acronim").alias("acronym"),
+                           epoch_ms(rebase_ms("time")).alias("time_ms"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.run for name, q in REGISTRY.items()}
 
