@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from eventide.constants import COMMENT_WINDOW_MS, TOP_ACRONYMS
 from eventide.functions.timefn import epoch_us, time_of_day
-from eventide.operators.scan import prefix_sums, previous_values
+from eventide.operators.scan import join_on, prefix_sums, previous_values
 
 WINDOWS_PER_CHUNK = 8640
 
@@ -62,20 +62,18 @@ def period_top_acronyms(df: DataFrame, topic: str, time_col: str, acronym: str,
     periods = wins.groupBy(topic, "_period").agg(
         F.min("_min_us").alias("_first_us"), F.sum("_total").alias("_total"),
         F.first("_label").alias("_label"))
-    p, n = periods.alias("p"), periods.alias("n")
-    finished = p.join(n, (F.col(f"p.{topic}") == F.col(f"n.{topic}"))
-                      & (F.col("n._period") == F.col("p._period") + 1)).select(
-        F.col(f"p.{topic}").alias(topic), F.col("p._period").alias("_period"),
-        F.col("p._total").cast("long").alias("total_comments_counter"),
-        F.col("p._label").alias("period_time_of_day"),
-        F.col("n._label").alias("label_time_of_day"),
-        F.unix_millis(F.timestamp_micros(F.col("n._first_us"))).alias("closed_at_ms"))
+    successor = periods.select(topic, (F.col("_period") - 1).alias("_period"),
+                               F.col("_label").alias("label_time_of_day"),
+                               F.unix_millis(F.timestamp_micros(F.col("_first_us"))).alias("closed_at_ms"))
+    finished = join_on(periods, successor, [topic, "_period"]).select(
+        topic, "_period", F.col("_total").cast("long").alias("total_comments_counter"),
+        F.col("_label").alias("period_time_of_day"), "label_time_of_day", "closed_at_ms")
 
-    counts = (per_acr.join(wins.select(topic, "_w", "_period"), [topic, "_w"])
+    counts = (join_on(per_acr, wins.select(topic, "_w", "_period"), [topic, "_w"])
               .groupBy(topic, "_period", acronym).agg(F.sum("_n").cast("long").alias("acronyms_counter")))
     rank = Window.partitionBy(topic, "_period").orderBy(F.desc("acronyms_counter"), F.asc(acronym))
     top = counts.withColumn("_rank", F.row_number().over(rank)).filter(F.col("_rank") <= top_n)
-    out = top.join(finished, [topic, "_period"]).select(
+    out = join_on(top, finished, [topic, "_period"]).select(
         topic, acronym, "acronyms_counter", "total_comments_counter",
         "label_time_of_day", "closed_at_ms", "period_time_of_day")
     return out if with_label else out.drop("label_time_of_day")

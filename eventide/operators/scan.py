@@ -116,3 +116,17 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 name: str = "rn", chunk: Column | None = None) -> DataFrame:
     """1-based row number per key along ``order`` (a running count)."""
     return prefix_sums(df, keys, order, {name: F.lit(1).cast("long")}, chunk=chunk)
+
+
+def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on same-named columns where NULL keys match each other
+    (``<=>``), like the grouping in the scans; ``right``'s key columns are
+    dropped. Still a hash / sort-merge equi-join."""
+    on = list(on)
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on],
+                     *[c for c in right.columns if c not in on])
+    cond = None
+    for c in on:
+        eq = left[c].eqNullSafe(r[f"_r_{c}"])
+        cond = eq if cond is None else cond & eq
+    return left.join(r, cond, how).drop(*[f"_r_{c}" for c in on])

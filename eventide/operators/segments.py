@@ -38,7 +38,7 @@ from eventide.constants import (
     EVENT_INSTALL, EVENT_UNINSTALL, INSTALL_THRESHOLD, TOP_APPS, UNINSTALL_THRESHOLD)
 from eventide.functions.predicates import indicator
 from eventide.functions.render import top_apps_line
-from eventide.operators.scan import prefix_sums
+from eventide.operators.scan import join_on, prefix_sums
 from eventide.session import scratch_path
 
 
@@ -77,14 +77,11 @@ def assign_batches(df: DataFrame, key: str, order: Sequence[str], kind: str,
         key, *[F.lit(0).cast("long").alias(c) for c in ("rn", "_ci", "_cu")])
     cand = (scanned.filter((F.col("is_install") == 1) | (F.col("is_uninstall") == 1))
             .select(key, "rn", "_ci", "_cu").unionByName(starts))
-    a, i, u = cand.alias("a"), inst.alias("i"), unin.alias("u")
-    jump = (a.join(i, (F.col(f"a.{key}") == F.col(f"i.{key}"))
-                   & (F.col("i._c") == F.col("a._ci") + F.lit(install_threshold)), "left")
-             .join(u, (F.col(f"a.{key}") == F.col(f"u.{key}"))
-                   & (F.col("u._c") == F.col("a._cu") + F.lit(uninstall_threshold)), "left")
-             .select(F.col(f"a.{key}").alias(key), F.col("a.rn").alias("rn"),
-                     F.least("i._rn_i", "u._rn_u").alias("to"))
-             .filter(F.col("to").isNotNull()))
+    inst = inst.withColumn("_ci", F.col("_c") - F.lit(install_threshold)).drop("_c")
+    unin = unin.withColumn("_cu", F.col("_c") - F.lit(uninstall_threshold)).drop("_c")
+    jump = (join_on(join_on(cand, inst, [key, "_ci"], "left"), unin, [key, "_cu"], "left")
+            .select(key, "rn", F.least("_rn_i", "_rn_u").alias("to"))
+            .filter(F.col("to").isNotNull()))
     jump = _cut(jump)
 
     # Upper bound on batches per key -> number of doubling rounds.
@@ -97,18 +94,14 @@ def assign_batches(df: DataFrame, key: str, order: Sequence[str], kind: str,
     # depend only on round k-1, so one written table per round suffices.
     reached = starts.select(key, "rn")
     for k in range(rounds):
-        step = (reached.alias("r").join(jump.alias("j"),
-                                        (F.col(f"r.{key}") == F.col(f"j.{key}"))
-                                        & (F.col("r.rn") == F.col("j.rn")))
-                .select(F.col(f"r.{key}").alias(key), F.col("j.to").alias("rn")))
+        step = (join_on(reached, jump, [key, "rn"])
+                .select(key, F.col("to").alias("rn")))
         parts = (reached.unionByName(step)
                  .select(key, "rn", F.lit(None).cast("long").alias("to"), F.lit(0).alias("_t")))
         if k + 1 < rounds:
-            j1, j2 = jump.alias("j1"), jump.alias("j2")
-            doubled = (j1.join(j2, (F.col(f"j1.{key}") == F.col(f"j2.{key}"))
-                               & (F.col("j1.to") == F.col("j2.rn")))
-                       .select(F.col(f"j1.{key}").alias(key), F.col("j1.rn").alias("rn"),
-                               F.col("j2.to").alias("to"), F.lit(1).alias("_t")))
+            hop = jump.select(key, F.col("rn").alias("_via"), F.col("to").alias("_to2"))
+            doubled = (join_on(jump.withColumnRenamed("to", "_via"), hop, [key, "_via"])
+                       .select(key, "rn", F.col("_to2").alias("to"), F.lit(1).alias("_t")))
             parts = parts.unionByName(doubled)
         both = _cut(parts)
         reached = both.filter(F.col("_t") == 0).select(key, "rn")
@@ -116,11 +109,11 @@ def assign_batches(df: DataFrame, key: str, order: Sequence[str], kind: str,
 
     bounds = reached.filter(F.col("rn") > 0).withColumn("is_boundary", F.lit(1))
     n_bounds = bounds.groupBy(key).agg(F.count(F.lit(1)).alias("_n_bounds"))
-    tagged = (scanned.join(bounds, [key, "rn"], "left")
+    tagged = (join_on(scanned, bounds, [key, "rn"], "left")
               .withColumn("is_boundary", F.coalesce("is_boundary", F.lit(0))))
     tagged = prefix_sums(tagged, [key], order, {"_before": F.col("is_boundary").cast("long")},
                          chunk=chunk, inclusive=False)
-    tagged = (tagged.join(n_bounds, [key], "left")
+    tagged = (join_on(tagged, n_bounds, [key], "left")
               .withColumn("batch_no", F.col("_before") + F.lit(1))
               .withColumn("closed", F.col("batch_no") <= F.coalesce("_n_bounds", F.lit(0))))
     return tagged.drop("_ci", "_cu", "_before", "_n_bounds")

@@ -15,11 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.timefn import epoch_us
-from eventide.operators.scan import prefix_sums, previous_values
+from eventide.operators.scan import join_on, prefix_sums, previous_values
 from eventide.operators.windows import duration
 
 BUCKETS_PER_CHUNK = 4096
@@ -72,13 +72,12 @@ def assign_global_sessions(df: DataFrame, time_col: str, gap_ms: int,
     tagged = df.withColumn("_us", epoch_us(time_col)).withColumn("_b", _bucket(F.col("_us"), gap_us))
     buckets = tagged.groupBy(*keys, "_b").agg(F.min("_us").alias("lo"), F.max("_us").alias("hi"))
     sids = _session_ids(buckets, gap_us, keys)
-    from pyspark.sql import Window
     span = Window.partitionBy(*keys, "_sid")
     sids = sids.select(
         *keys, "_b", F.col("_sid").alias("session_id"),
         F.unix_millis(F.timestamp_micros(F.min("lo").over(span))).alias("session_start_ms"),
         F.unix_millis(F.timestamp_micros(F.max("hi").over(span) + F.lit(gap_us))).alias("session_end_ms"))
-    return tagged.join(sids, [*keys, "_b"]).drop("_us", "_b")
+    return join_on(tagged, sids, [*keys, "_b"]).drop("_us", "_b")
 
 
 def keyed_sessions(df: DataFrame, time_col: str, gap_ms: int, keys: Sequence[str],
