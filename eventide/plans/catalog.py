@@ -453,6 +453,50 @@ def comments_sorted(spark, sf_dir):
                            epoch_ms(rebase_ms("time")).alias("time_ms"))
 
 
+# ----------------------------------------------------- streaming forms
+@register("stream_errors_per_window", "S-1 S-3 S-4 S-10 AGG-5 P-6 SRC-3", """
+WITH e AS (SELECT user_id % 4 AS store, epoch_us(ts) // 86400000000 * 86400000 AS ws
+           FROM events WHERE event_type = 'error'),
+wm AS (SELECT max(epoch_us(ts)) // 1000 - 1000 AS watermark_ms FROM events)
+SELECT ws AS window_start_ms, ws + 86400000 AS window_end_ms, store, count(*) AS n_errors
+FROM e, wm WHERE ws + 86400000 <= watermark_ms GROUP BY ws, store
+""")
+def stream_errors_per_window(spark, sf_dir):
+    """Errors per store and day from the events file read as a stream, 1 s
+    watermark, append mode, drained with ``availableNow``: only windows
+    closed by the watermark (end <= max event time - 1 s) are emitted, as in
+    any unbounded run; the last open day is not."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    st = sio.event_time(sio.read_parquet_stream(spark, path, schema), "ts", 1000)
+    err = st.filter(F.col("event_type") == "error").withColumn("store", F.col("user_id") % 4)
+    out = sjobs.error_windows(err, "ts", "store", size_ms=24 * HOUR_MS).withColumnRenamed("n", "n_errors")
+    return sio.run_to_table(out.select("window_start_ms", "window_end_ms", "store", "n_errors"),
+                            "errors_per_window")
+
+
+@register("stream_previous_jump", "W-1 P-10 S-11 SRC-3", REGISTRY["previous_jump"].sql)
+def stream_previous_jump(spark, sf_dir):
+    """Previous-value jumps from the events file read as a stream through
+    the keyed value-state processor (transformWithState). Within a
+    micro-batch a key's rows are sorted by (ts, event_id); across
+    micro-batches the order is arrival order (here: one file)."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    st = sio.event_time(sio.read_parquet_stream(spark, path, schema, max_files_per_trigger=1),
+                        "ts", 1000)
+    st = st.withColumn("click_count", F.floor("value").cast("long") % 10)
+    out = sjobs.click_jumps(st, "user_id", ["ts", "event_id"], "click_count", ["event_id", "ts"],
+                            last_name="last_click_count")
+    table_ = sio.run_to_table(out, "previous_jump")
+    return table_.select("user_id", "event_id", epoch_ms("ts").alias("ts_ms"), "click_count",
+                         "last_click_count")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.run for name, q in REGISTRY.items()}
 

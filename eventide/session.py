@@ -68,3 +68,33 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/eventide/{name}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``eventide`` importable on executors (needed by the Python state
+    processors): zip the package into the shared checkpoint folder and add
+    it with ``addPyFile``, once per SparkContext."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_eventide_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_path(spark, "pkg") + ".zip"
+    if target.startswith("file:") or "://" not in target:
+        local = target.removeprefix("file:")
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+    else:
+        # remote checkpoint folder: the zip is a driver-side artifact that
+        # Spark's file server hands to the executors
+        local = tempfile.mkstemp(prefix="eventide-", suffix=".zip")[1]
+        target = local
+    with zipfile.ZipFile(local, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._eventide_shipped = True
