@@ -25,8 +25,12 @@ IN_TIME, LATE, BEFORE_ORDER, ORPHAN = "in_time", "late", "before_order", "orphan
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """AGG-8: the earliest row per key along ``order`` (add a tie-breaker).
-    ``min_by`` is a partial aggregate: duplicates collapse before the shuffle."""
+    A partial aggregate: duplicates collapse before the shuffle. When the
+    row is just its order column, plain ``min`` keeps it a hash aggregate
+    (struct buffers force a sort-based aggregate)."""
     others = [c for c in df.columns if c != key]
+    if len(order) == 1 and others == list(order):
+        return df.groupBy(key).agg(F.min(order[0]).alias(order[0]))
     first = df.groupBy(key).agg(
         F.min_by(F.struct(*others), F.struct(*order)).alias("_first"))
     return first.select(key, *[F.col(f"_first.{c}").alias(c) for c in others])

@@ -25,21 +25,26 @@ from pyspark.sql import functions as F
 from eventide.constants import COMMENT_WINDOW_MS, TOP_ACRONYMS
 from eventide.functions.timefn import epoch_us, time_of_day
 from eventide.operators.scan import join_on, prefix_sums, previous_values
+from eventide.session import materialize
 
 WINDOWS_PER_CHUNK = 8640
 
 
-def window_labels(df: DataFrame, topic: str, time_col: str, acronym: str,
-                  window_ms: int = COMMENT_WINDOW_MS) -> tuple[DataFrame, DataFrame]:
-    """``(per_acronym, per_window)`` partial aggregates with labels."""
+def window_acronym_counts(df: DataFrame, topic: str, time_col: str, acronym: str,
+                          window_ms: int = COMMENT_WINDOW_MS) -> DataFrame:
+    """Pre-batching (AGG-5, AGG-11): per (topic, tumbling window, acronym)
+    the count and earliest time; partial aggregation before the shuffle."""
     width = window_ms * 1000
     rows = df.select(topic, acronym, epoch_us(time_col).alias("_us"))
-    per_acr = (rows.groupBy(topic, F.floor(F.col("_us") / F.lit(width)).alias("_w"), acronym)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_min_us")))
-    per_win = (per_acr.groupBy(topic, "_w")
-               .agg(F.min("_min_us").alias("_min_us"), F.sum("_n").alias("_total"))
-               .withColumn("_label", time_of_day(F.timestamp_micros(F.col("_min_us")))))
-    return per_acr.drop("_min_us"), per_win
+    return (rows.groupBy(topic, F.floor(F.col("_us") / F.lit(width)).alias("_w"), acronym)
+            .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_min_us")))
+
+
+def window_labels(per_acr: DataFrame, topic: str) -> DataFrame:
+    """Per (topic, window): earliest time, row total and its time-of-day label."""
+    return (per_acr.groupBy(topic, "_w")
+            .agg(F.min("_min_us").alias("_min_us"), F.sum("_n").alias("_total"))
+            .withColumn("_label", time_of_day(F.timestamp_micros(F.col("_min_us")))))
 
 
 def number_periods(per_win: DataFrame, topic: str) -> DataFrame:
@@ -57,8 +62,12 @@ def period_top_acronyms(df: DataFrame, topic: str, time_col: str, acronym: str,
     acronym, ``acronyms_counter``, ``total_comments_counter``,
     ``label_time_of_day`` (next period's label; omitted when
     ``with_label`` is False), ``closed_at_ms`` and ``period_time_of_day``."""
-    per_acr, per_win = window_labels(df, topic, time_col, acronym, window_ms)
-    wins = number_periods(per_win, topic)
+    # The rows are read once: the per-(topic, window, acronym) aggregate and
+    # the numbered window table are written to the shared checkpoint folder
+    # and every later step reads those (each has at most one row per input row).
+    per_acr = materialize(window_acronym_counts(df, topic, time_col, acronym, window_ms),
+                          "periods-acronyms")
+    wins = materialize(number_periods(window_labels(per_acr, topic), topic), "periods-windows")
     periods = wins.groupBy(topic, "_period").agg(
         F.min("_min_us").alias("_first_us"), F.sum("_total").alias("_total"),
         F.first("_label").alias("_label"))

@@ -39,17 +39,13 @@ from eventide.constants import (
 from eventide.functions.predicates import indicator
 from eventide.functions.render import top_apps_line
 from eventide.operators.scan import join_on, prefix_sums
-from eventide.session import scratch_path
+from eventide.session import materialize
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write the table once into the shared checkpoint
-    folder and read it back (survives executor loss; one pass, unlike an
-    eager RDD checkpoint that computes the plan twice)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "batches")
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    """Cut the lineage with a table written to the shared checkpoint folder
+    (one pass, unlike an eager RDD checkpoint that computes the plan twice)."""
+    return materialize(df, "batches")
 
 
 def assign_batches(df: DataFrame, key: str, order: Sequence[str], kind: str,

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.timefn import epoch_us
 from eventide.operators.scan import join_on, prefix_sums, previous_values
+from eventide.session import materialize
 from eventide.operators.windows import duration
 
 BUCKETS_PER_CHUNK = 4096
@@ -51,6 +52,9 @@ def global_sessions(df: DataFrame, time_col: str, gap_ms: int,
                .groupBy(*keys, _bucket(F.col("_us"), gap_us).alias("_b"))
                .agg(F.min("_us").alias("lo"), F.max("_us").alias("hi"),
                     F.count(F.lit(1)).alias("_n")))
+    # the rows are read once; the bucket table (<= span / gap rows per key)
+    # is written to the shared checkpoint folder for the scans over it
+    buckets = materialize(buckets, "session-buckets")
     sessions = (_session_ids(buckets, gap_us, keys)
                 .groupBy(*keys, "_sid")
                 .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
@@ -70,7 +74,9 @@ def assign_global_sessions(df: DataFrame, time_col: str, gap_ms: int,
     (keys, bucket)."""
     gap_us = gap_ms * 1000
     tagged = df.withColumn("_us", epoch_us(time_col)).withColumn("_b", _bucket(F.col("_us"), gap_us))
-    buckets = tagged.groupBy(*keys, "_b").agg(F.min("_us").alias("lo"), F.max("_us").alias("hi"))
+    buckets = materialize(
+        tagged.groupBy(*keys, "_b").agg(F.min("_us").alias("lo"), F.max("_us").alias("hi")),
+        "session-buckets")
     sids = _session_ids(buckets, gap_us, keys)
     span = Window.partitionBy(*keys, "_sid")
     sids = sids.select(

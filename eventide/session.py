@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -98,3 +98,16 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, os.path.dirname(root)))
     sc.addPyFile(target)
     sc._eventide_shipped = True
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once into the shared checkpoint folder and read it back.
+
+    Used where a derived table is read several times (so the base data is
+    scanned once) or where the lineage must be cut; the written table
+    survives executor loss, unlike a cached or locally checkpointed one.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
