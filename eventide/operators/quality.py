@@ -34,3 +34,9 @@ def check_weights(weights: DataFrame, tolerance: float = 1e-9) -> DataFrame:
     return weights.groupBy("dimension").agg(
         F.sum("probability").alias("total"),
         (F.abs(F.sum("probability") - F.lit(1.0)) <= F.lit(tolerance)).alias("valid"))
+
+
+def tee(df: DataFrame, pred: Column) -> tuple[DataFrame, DataFrame]:
+    """P-7: ``(all rows, copy of the rows where pred holds)``; unlike
+    ``split`` the matching rows also stay on the main output."""
+    return df, df.filter(F.coalesce(pred, F.lit(False)))

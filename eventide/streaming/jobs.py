@@ -73,6 +73,22 @@ def acronym_periods(stream: DataFrame, topic: str, time_col: str, acronym: str,
                                                   "Append", "None")
 
 
+def click_sessions(stream: DataFrame, time_col: str, gap_ms: int = K.SESSION_GAP_MS,
+                   keys: Sequence[str] = ()) -> DataFrame:
+    """Q3 streaming (S-6): event-time sessions with ``session_window``.
+    Streaming needs a grouping key; without ``keys`` a constant one is
+    added, which puts all rows of a micro-batch into one task. Give keys
+    (e.g. user) to spread the work; the batch form (``global_sessions``)
+    has no such limit."""
+    by = list(keys)
+    if not by:
+        stream, by = stream.withColumn("_all", F.lit(0)), ["_all"]
+    grouped = stream.groupBy(*by, F.session_window(time_col, windows.duration(gap_ms)).alias("s")).agg(
+        F.count(F.lit(1)).alias("clicks"))
+    return grouped.select(*keys, F.unix_millis("s.start").alias("session_start_ms"),
+                          F.unix_millis("s.end").alias("session_end_ms"), "clicks")
+
+
 def busiest_window(stream: DataFrame, time_col: str, size_ms: int = K.SLIDING_SIZE_MS,
                    slide_ms: int = K.SLIDING_SLIDE_MS,
                    gap_ms: int = K.BUSIEST_SESSION_GAP_MS) -> DataFrame:

@@ -191,3 +191,13 @@ def test_sorted_csv_round_trip(spark, tmp_path):
     back = files.read_comments(spark, dst)
     assert [r.commentId for r in back.collect()] == ["c1", "c2", "c3"]
     assert back.columns == ["commentId", "time", "user", "topic", "acronim"]
+
+
+def test_batch_fan_out_and_tee(spark):
+    from eventide.sources.sinks import fan_out
+    df = spark.createDataFrame([(1, "Hardware"), (2, "Software")], "id INT, topic STRING")
+    full, copy = quality.tee(df, F.col("topic") == "Hardware")
+    assert full.count() == 2 and rows(copy, "id") == [(1,)]
+    seen = []
+    fan_out(df, lambda d: seen.append(d.count()), lambda d: seen.append(d.filter("id = 1").count()))
+    assert seen == [2, 1]

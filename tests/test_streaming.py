@@ -119,3 +119,31 @@ def test_quiet_report_after_gap(spark, tmp_path):
         assert rows(spark.table("quiet_test"), "status", "n") == [("in_time", 1), ("late", 2)]
     finally:
         q.stop()
+
+
+def test_stream_click_sessions_match_batch(spark, tmp_path):
+    from test_fixtures import CLICKS_F3
+    data = [(u, at(ms)) for ms, u in CLICKS_F3] + [("later", at(3_600_000))]
+    path, schema = _write(spark, tmp_path, "clicks3", data, "user_id STRING, click_time TIMESTAMP", 2)
+    st = sio.event_time(sio.read_parquet_stream(spark, path, schema, 1), "click_time", 1000)
+    out = sio.run_to_table(sjobs.click_sessions(st, "click_time"), "sessions_test")
+    batch = jobs.click_sessions(spark.createDataFrame(data, schema))
+    cols = ("session_start_ms", "session_end_ms", "clicks")
+    assert rows(out, *cols) == [r for r in rows(batch, *cols) if r[0] < T0_MS + 3_600_000]
+
+
+def test_stream_fan_out_two_outputs(spark, tmp_path):
+    data = [("a", "error"), ("b", "install"), ("c", "error")]
+    path, schema = _write(spark, tmp_path, "fan", data, "id STRING, kind STRING")
+    seen = {"errors": [], "rest": []}
+
+    def errors(batch, _epoch):
+        seen["errors"] += [r.id for r in batch.filter("kind = 'error'").collect()]
+
+    def rest(batch, _epoch):
+        seen["rest"] += [r.id for r in batch.filter("kind != 'error'").collect()]
+
+    q = sio.fan_out_batches(sio.read_parquet_stream(spark, path, schema), "fan_test", errors, rest,
+                            available_now=True)
+    q.awaitTermination()
+    assert sorted(seen["errors"]) == ["a", "c"] and seen["rest"] == ["b"]
