@@ -26,6 +26,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .getOrCreate()
@@ -101,13 +102,14 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once into the shared checkpoint folder and read it back.
+    """Compute ``df`` once, store it in the shared checkpoint folder and
+    continue from the stored copy (a reliable, eager ``checkpoint``).
 
     Used where a derived table is read several times (so the base data is
-    scanned once) or where the lineage must be cut; the written table
-    survives executor loss, unlike a cached or locally checkpointed one.
+    scanned once) or where the lineage must be cut. The stored copy
+    survives executor loss, unlike a cached or locally checkpointed one;
+    Spark 4 computes and writes it in a single job. ``name`` labels the
+    step for readers of the code.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
