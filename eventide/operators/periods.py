@@ -50,7 +50,10 @@ def window_labels(per_acr: DataFrame, topic: str) -> DataFrame:
 def number_periods(per_win: DataFrame, topic: str) -> DataFrame:
     """W-3: ``_period`` (1-based per topic) for every non-empty window."""
     chunk = F.floor(F.col("_w") / F.lit(WINDOWS_PER_CHUNK))
-    prev = previous_values(per_win, [topic], ["_w"], {"_prev_label": F.col("_label")}, chunk=chunk)
+    # each scan reads its input twice (chunk summary + rows): store the
+    # lagged table once so the running sum does not recompute it
+    prev = materialize(previous_values(per_win, [topic], ["_w"], {"_prev_label": F.col("_label")},
+                                       chunk=chunk), "periods-lag")
     flag = F.when(F.col("_prev_label").eqNullSafe(F.col("_label")), F.lit(0)).otherwise(F.lit(1))
     return prefix_sums(prev, [topic], ["_w"], {"_period": flag}, chunk=chunk).drop("_prev_label")
 

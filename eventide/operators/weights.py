@@ -1,10 +1,10 @@
 """Weighted category assignment (R-1): the first item whose cumulative
 weight reaches ``p`` (inverse CDF); ``p`` is a column in [0, 1].
 
-The weight table is small by nature (a configuration). Its size is checked
-before it is broadcast into a range join; beyond the limit, the
-intervals are bucketed on ``p`` and joined on the bucket (an equi-join that
-scales with both sides), then filtered to the exact interval.
+The weight table is small by nature (a configuration). Its intervals are
+bucketed on ``p`` and joined on the bucket (an equi-join), then filtered
+to the exact interval; the bucketed table is broadcast only when its
+checked row count is small.
 """
 
 from __future__ import annotations
@@ -39,18 +39,21 @@ def intervals(weights: DataFrame, dimension: str) -> DataFrame:
 
 def assign(df: DataFrame, p: str, weights: DataFrame, dimension: str, out: str) -> DataFrame:
     """Add column ``out`` = item of ``dimension`` drawn by column ``p``.
-    Rows whose p is above the total weight get NULL (see VAL-4)."""
+    Rows whose p is above the total weight get NULL (see VAL-4).
+
+    An equi-join on a p-bucket, then the exact interval test: each item is
+    listed once per bucket its interval overlaps (at most items + buckets
+    rows), so no row is compared with every item. That table is broadcast
+    when its row count is within ``MAX_BROADCAST_ITEMS`` (checked), else
+    both sides are shuffled on the bucket.
+    """
     iv = intervals(weights, dimension)
-    n_items = iv.count()
-    if n_items <= MAX_BROADCAST_ITEMS:
-        cond = (df[p] > iv["_lo"]) & (df[p] <= iv["_hi"])
-        joined = df.join(F.broadcast(iv), cond, "left")
-        return joined.drop("pos", "_lo", "_hi").withColumnRenamed("name", out)
-    # large tables: explode each interval over the p-buckets it overlaps
     lo_b = F.floor(F.greatest(F.col("_lo"), F.lit(0.0)) * P_BUCKETS).cast("long")
     hi_b = F.floor(F.least(F.col("_hi"), F.lit(1.0)) * P_BUCKETS).cast("long")
-    iv_b = iv.withColumn("_bk", F.explode(F.sequence(lo_b, hi_b)))
+    iv_b = iv.withColumn("_bk", F.explode(F.sequence(lo_b, hi_b))).withColumnRenamed("_bk", "_ibk")
+    if iv_b.count() <= MAX_BROADCAST_ITEMS:
+        iv_b = F.broadcast(iv_b)
     left = df.withColumn("_bk", F.floor(F.col(p) * P_BUCKETS).cast("long"))
-    cond = ((left["_bk"] == iv_b["_bk"]) & (left[p] > iv_b["_lo"]) & (left[p] <= iv_b["_hi"]))
+    cond = ((left["_bk"] == iv_b["_ibk"]) & (left[p] > iv_b["_lo"]) & (left[p] <= iv_b["_hi"]))
     joined = left.join(iv_b, cond, "left")
-    return joined.drop("_bk", "pos", "_lo", "_hi").withColumnRenamed("name", out)
+    return joined.drop("_bk", "_ibk", "pos", "_lo", "_hi").withColumnRenamed("name", out)

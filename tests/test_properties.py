@@ -174,7 +174,7 @@ def test_weights_json_and_assignment(spark, tmp_path):
         files.read_weights(spark, str(bad)).collect()
 
 
-def test_weights_bucketed_path(spark, monkeypatch):
+def test_weights_shuffled_path(spark, monkeypatch):
     monkeypatch.setattr(weights, "MAX_BROADCAST_ITEMS", 0)
     ps = spark.createDataFrame([(0.0,), (0.25,), (0.2501,), (0.75,), (0.76,)], "p DOUBLE")
     got = rows(weights.assign(ps, "p", weights.weights_frame(spark), "stores", "store"), "p", "store")
