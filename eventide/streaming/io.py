@@ -45,8 +45,14 @@ def event_time(df: DataFrame, col: str, delay_ms: int | None) -> DataFrame:
 
 def start(df: DataFrame, name: str, sink: str = "parquet", path: str | None = None,
           output_mode: str = "append", checkpoint: str | None = None,
-          available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
-    """Start a streaming query with a mandatory checkpoint location."""
+          available_now: bool = False, processing_time: str | None = None,
+          state_partitions: int | None = None) -> StreamingQuery:
+    """Start a streaming query with a mandatory checkpoint location.
+
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    query (Spark records it in the checkpoint at the first start); the
+    session setting is restored right after the start. Default: the
+    cluster's default parallelism."""
     spark = df.sparkSession
     checkpoint = checkpoint or scratch_path(spark, f"stream-ckpt-{name}")
     writer = (df.writeStream.format(sink).outputMode(output_mode)
@@ -59,7 +65,14 @@ def start(df: DataFrame, name: str, sink: str = "parquet", path: str | None = No
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(parts))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
 
 
 def run_to_table(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:

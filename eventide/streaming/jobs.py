@@ -21,6 +21,24 @@ from eventide.streaming.processors import (
     PeriodChangeProcessor, PreviousValueProcessor, QuietReportProcessor, ThresholdBatchProcessor)
 
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _prepare(stream: DataFrame) -> None:
+    """Processors run in Python workers and keep state in RocksDB (the
+    only state store ``transformWithState`` supports): ship the package and
+    select the provider for queries started from this session."""
+    spark = stream.sparkSession
+    ship_package(spark)
+    # Python runners that do not see addPyFile (the driver-side runner of
+    # transformWithState) get the processor classes pickled by value.
+    import eventide
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(eventide)
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != _ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+
+
 def _type_of(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
 
@@ -31,7 +49,7 @@ def click_jumps(stream: DataFrame, key: str, order: Sequence[str], value: str,
     """Q5 streaming: keyed value state (S-11)."""
     fields = [key, *keep, value]
     schema = ", ".join(f"{c} {_type_of(stream, c)}" for c in fields) + f", {last_name} bigint"
-    ship_package(stream.sparkSession)
+    _prepare(stream)
     proc = PreviousValueProcessor(key, order, value, keep, min_diff, last_name)
     return stream.groupBy(key).transformWithState(proc, schema, "Append", "None")
 
@@ -44,7 +62,7 @@ def store_batches(stream: DataFrame, key: str, order: Sequence[str], kind: str,
     (S-11, S-12); the side output of errors is a filter before it."""
     schema = (f"{key} {_type_of(stream, key)}, batch_no bigint, kind string, rank int, "
               f"app string, n bigint")
-    ship_package(stream.sparkSession)
+    _prepare(stream)
     proc = ThresholdBatchProcessor(key, order, kind, app, install_threshold, uninstall_threshold,
                                    top_n)
     return stream.groupBy(key).transformWithState(proc, schema, "Append", "None")
@@ -61,7 +79,7 @@ def acronym_periods(stream: DataFrame, topic: str, time_col: str, acronym: str,
                     window_ms: int = K.COMMENT_WINDOW_MS, top_n: int = K.TOP_ACRONYMS) -> DataFrame:
     """Q8 streaming: a windowed partial aggregate per (topic, window,
     acronym) feeds the period state machine (S-15: window -> state)."""
-    ship_package(stream.sparkSession)
+    _prepare(stream)
     agg = stream.groupBy(topic, windows.window_column(time_col, window_ms).alias("w"), acronym).agg(
         F.count(F.lit(1)).alias("n"), F.min(time_col).alias("_min_t"))
     rows = agg.select(topic, F.unix_millis("w.start").alias("window_start_ms"), acronym, "n",
@@ -133,7 +151,7 @@ def quiet_report(stream: DataFrame, key: str, status: str,
     """S-8: per ``key``, status counts emitted after ``gap_ms`` of
     processing time without input. Use a salted key for volume and sum the
     partial reports downstream."""
-    ship_package(stream.sparkSession)
+    _prepare(stream)
     schema = f"{key} {_type_of(stream, key)}, status string, n bigint"
     return stream.groupBy(key).transformWithState(QuietReportProcessor(key, status, gap_ms), schema,
                                                   "Append", "ProcessingTime")
