@@ -38,6 +38,34 @@ def value_chunk(value: Column | str, width: int) -> Column:
     return F.floor(col / F.lit(width))
 
 
+ADAPTIVE_CHUNK = "_scan_adaptive_chunk"
+TARGET_ROWS_PER_CHUNK = 2_000_000
+
+
+def with_adaptive_chunks(df: DataFrame, keys: Sequence[str], value: Column,
+                         target_rows: int = TARGET_ROWS_PER_CHUNK) -> DataFrame:
+    """Add ``_scan_adaptive_chunk``: a chunk id per row that grows with the
+    numeric ``value`` (the first order column, e.g. ``unix_micros(ts)``).
+
+    One partial aggregate finds the *hot* keys, those with more than
+    ``target_rows`` rows; each gets a width that cuts its value range into
+    chunks of about ``target_rows`` rows (``floor(value / width)``). All
+    other keys are one chunk. At most ``rows / target_rows`` keys can be hot,
+    a proven bound, so the hot-key table is broadcast (no shuffle of the
+    data for the lookup). Pass ``F.col(ADAPTIVE_CHUNK)`` as ``chunk``.
+    """
+    keys = list(keys)
+    stats = (df.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+             .filter(F.col("_n") > F.lit(target_rows)))
+    widths = stats.select(*keys, F.greatest(F.lit(1), F.ceil(
+        (F.col("_hi") - F.col("_lo") + F.lit(1)) * F.lit(target_rows) / F.col("_n"))).alias("_scan_width"))
+    tagged = join_on(df, F.broadcast(widths), keys, "left")
+    chunk = F.when(F.col("_scan_width").isNull(), F.lit(0).cast("long")).otherwise(
+        F.floor(value / F.col("_scan_width")))
+    return tagged.withColumn(ADAPTIVE_CHUNK, chunk).drop("_scan_width")
+
+
 def _vname(name: str) -> str:
     return f"_scan_v_{name}"
 

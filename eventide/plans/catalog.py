@@ -21,12 +21,11 @@ from eventide.functions.timefn import epoch_ms, rebase_ms
 from eventide.operators import (joins, periods, quality, rolling, segments, sessions,
                                 weights, windows)
 from eventide.sources import files
-from eventide.operators.scan import time_chunk, value_chunk
+from eventide.operators.scan import ADAPTIVE_CHUNK, with_adaptive_chunks
 from eventide.sources.tables import events, table
-from eventide.session import scratch_path, use_utc
+from eventide.session import materialize, scratch_path, use_utc
 
 HOUR_MS = 3_600_000
-DAY_S = 86_400
 
 
 @dataclass(frozen=True)
@@ -71,9 +70,11 @@ FROM t WHERE token IN ('the', 'a')
 """)
 def article_running(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    toks = explode_tokens(docs, "text", keep=ARTICLES, pos_col="pos")
+    # split the whole texts once; the kept tokens are read three times below
+    toks = materialize(explode_tokens(docs, "text", keep=ARTICLES, pos_col="pos"), "article-tokens")
+    toks = with_adaptive_chunks(toks, ["token"], F.col("doc_id"))
     return rolling.running_counts(toks, ["token"], ["doc_id", "pos"],
-                                  chunk=value_chunk("doc_id", 1000))
+                                  chunk=F.col(ADAPTIVE_CHUNK)).drop(ADAPTIVE_CHUNK)
 
 
 # -------------------------------------------------------------- Q2 concat
@@ -84,8 +85,9 @@ FROM orders GROUP BY o_custkey
 def concat_per_key(spark, sf_dir):
     o = table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderpriority")
     o = o.withColumn("token", F.concat("o_orderpriority", F.lit(", ")))
+    o = with_adaptive_chunks(o, ["o_custkey"], F.col("o_orderkey"))
     return rolling.ordered_concat(o, ["o_custkey"], ["o_orderkey"], "token",
-                                  chunk=value_chunk("o_orderkey", 1 << 14))
+                                  chunk=F.col(ADAPTIVE_CHUNK))
 
 
 @register("concat_running", "AGG-2 W-6 F-3", """
@@ -98,8 +100,9 @@ FROM orders
 def concat_running(spark, sf_dir):
     o = table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderpriority")
     o = o.withColumn("token", F.concat("o_orderpriority", F.lit(", ")))
+    o = with_adaptive_chunks(o, ["o_custkey"], F.col("o_orderkey"))
     out = rolling.running_concat(o, ["o_custkey"], ["o_orderkey"], "token",
-                                 chunk=value_chunk("o_orderkey", 1 << 14))
+                                 chunk=F.col(ADAPTIVE_CHUNK))
     return out.select("o_custkey", "o_orderkey", "text")
 
 
@@ -142,8 +145,9 @@ FROM l WHERE click_count = 0 OR click_count - last_click_count > 5
 def previous_jump(spark, sf_dir):
     ev = events(spark, sf_dir, "user_id", "event_id", "ts", "value")
     ev = ev.withColumn("click_count", F.floor("value").cast("long") % 10)
+    ev = with_adaptive_chunks(ev, ["user_id"], F.unix_micros("ts"))
     out = rolling.previous_jump(ev, ["user_id"], ["ts", "event_id"], "click_count",
-                                chunk=time_chunk("ts", DAY_S), last_name="last_click_count")
+                                chunk=F.col(ADAPTIVE_CHUNK), last_name="last_click_count")
     return out.select("user_id", "event_id", epoch_ms("ts").alias("ts_ms"),
                       "click_count", "last_click_count")
 
@@ -235,8 +239,9 @@ def _store_events(spark, sf_dir):
 
 def _batches(spark, sf_dir):
     main, _side = quality.split(_store_events(spark, sf_dir), F.col("kind") == "error")
+    main = with_adaptive_chunks(main, ["store"], F.unix_micros("ts"))
     return segments.assign_batches(main, "store", ["ts", "event_id"], "kind",
-                                   chunk=time_chunk("ts", DAY_S))
+                                   chunk=F.col(ADAPTIVE_CHUNK)).drop(ADAPTIVE_CHUNK)
 
 
 _THRESH_CTE = """

@@ -201,3 +201,14 @@ def test_batch_fan_out_and_tee(spark):
     seen = []
     fan_out(df, lambda d: seen.append(d.count()), lambda d: seen.append(d.filter("id = 1").count()))
     assert seen == [2, 1]
+
+
+def test_adaptive_chunks_split_only_hot_keys(spark):
+    from eventide.operators.scan import ADAPTIVE_CHUNK, with_adaptive_chunks
+    data = [("hot", i) for i in range(1000)] + [("cold", i) for i in range(50)] + [(None, 7)]
+    df = spark.createDataFrame(data, "k STRING, v BIGINT")
+    tagged = with_adaptive_chunks(df, ["k"], F.col("v"), target_rows=100)
+    chunks = {k: n for k, n in tagged.groupBy("k").agg(F.countDistinct(ADAPTIVE_CHUNK)).collect()}
+    assert chunks["cold"] == 1 and chunks[None] == 1 and 8 <= chunks["hot"] <= 12
+    sums = prefix_sums(tagged, ["k"], ["v"], {"n": F.lit(1)}, chunk=F.col(ADAPTIVE_CHUNK))
+    assert rows(sums.filter("k = 'hot'"), "v", "n")[-1] == (999, 1000)
