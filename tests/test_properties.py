@@ -212,3 +212,31 @@ def test_adaptive_chunks_split_only_hot_keys(spark):
     assert chunks["cold"] == 1 and chunks[None] == 1 and 8 <= chunks["hot"] <= 12
     sums = prefix_sums(tagged, ["k"], ["v"], {"n": F.lit(1)}, chunk=F.col(ADAPTIVE_CHUNK))
     assert rows(sums.filter("k = 'hot'"), "v", "n")[-1] == (999, 1000)
+
+
+def test_strict_modes_raise(spark):
+    from eventide.functions.timefn import parse_instant
+    from eventide.operators import joins
+    bad = spark.createDataFrame([("2023-06-15T12:07:13.000Z",), ("not a time",)], "t STRING")
+    with pytest.raises(Exception):
+        bad.select(parse_instant("t")).collect()
+    assert bad.select(parse_instant("t", strict=False).alias("x")).filter("x IS NULL").count() == 1
+    orders = spark.createDataFrame([("o1", at(0))], "oid STRING, ot TIMESTAMP")
+    dels = spark.createDataFrame([("d1", "o1", at(1000)), ("d2", "o9", at(1000))],
+                                 "did STRING, oref STRING, dt TIMESTAMP")
+    c = joins.classify_deliveries(dels, orders, "oref", "oid", "ot", "dt")
+    assert rows(c, "did", "status") == [("d1", "in_time"), ("d2", "orphan")]
+    assert rows(joins.orphans(dels, orders, "oref", "oid"), "did") == [("d2",)]
+    with pytest.raises(Exception):
+        joins.require_orders(c).collect()
+
+
+def test_lateness_exactly_deadline_is_in_time(spark):
+    from eventide.operators import joins
+    orders = spark.createDataFrame([("o1", at(0)), ("o1", at(5000))], "oid STRING, ot TIMESTAMP")
+    dels = spark.createDataFrame([("d1", "o1", at(K.LATE_AFTER_SECONDS * 1000)),
+                                  ("d2", "o1", at(K.LATE_AFTER_SECONDS * 1000 + 1))],
+                                 "did STRING, oref STRING, dt TIMESTAMP")
+    c = joins.classify_deliveries(dels, orders, "oref", "oid", "ot", "dt")
+    # duplicate order id: the earliest order wins
+    assert rows(c, "did", "status") == [("d1", "in_time"), ("d2", "late")]
