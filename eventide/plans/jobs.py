@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide import constants as K
-from eventide.functions.render import min_max_line
+from eventide.functions.render import min_max_line, window_count_line
 from eventide.functions.text import article_flag, explode_tokens
 from eventide.functions.timefn import parse_instant, rebase_ms
 from eventide.operators import joins, periods, quality, rolling, segments, sessions, windows
@@ -32,9 +32,13 @@ def language_concat(tokens: DataFrame, running: bool = False) -> DataFrame:
     return rolling.ordered_concat(tokens, ["language"], ["ord"], "token", name="text")
 
 
-def click_sessions(clicks: DataFrame, gap_ms: int = K.SESSION_GAP_MS) -> DataFrame:
-    """Q3: clicks per session, all users together."""
-    return sessions.global_sessions(clicks, "click_time", gap_ms, count_name="clicks")
+def click_sessions(clicks: DataFrame, gap_ms: int = K.SESSION_GAP_MS,
+                   with_line: bool = False) -> DataFrame:
+    """Q3: clicks per session, all users together (``line``: the report text)."""
+    out = sessions.global_sessions(clicks, "click_time", gap_ms, count_name="clicks")
+    if with_line:
+        out = out.withColumn("line", window_count_line("session_start_ms", "session_end_ms", "clicks"))
+    return out
 
 
 def booking_min_max(bookings: DataFrame, size_ms: int = K.SLIDING_SIZE_MS,

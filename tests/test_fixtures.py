@@ -48,6 +48,9 @@ def test_f3_click_sessions(spark):
                "session_start_ms", "session_end_ms", "clicks")
     assert [(s - T0_MS, e - T0_MS, n) for s, e, n in out] == [
         (1000, 7000, 9), (8000, 15000, 8), (18000, 21000, 1)]
+    lines = [r.line for r in jobs.click_sessions(_clicks(spark, CLICKS_F3), with_line=True)
+             .orderBy("session_start_ms").collect()]
+    assert lines[0] == f"Window [{T0_MS + 1000} - {T0_MS + 7000}] click count: 9"
 
 
 def test_f3_session_gap_boundary(spark):

@@ -240,3 +240,22 @@ def test_lateness_exactly_deadline_is_in_time(spark):
     c = joins.classify_deliveries(dels, orders, "oref", "oid", "ot", "dt")
     # duplicate order id: the earliest order wins
     assert rows(c, "did", "status") == [("d1", "in_time"), ("d2", "late")]
+
+
+def test_hot_key_path_on_table_data(spark):
+    """Every user of the sf0.001 events made 'hot' (target 5 rows per chunk):
+    the chunked previous-value and running-count results equal the plain
+    window's."""
+    from eventide.operators import rolling
+    from eventide.operators.scan import ADAPTIVE_CHUNK, with_adaptive_chunks
+    from eventide.sources.tables import events
+    ev = events(spark, "/root/testdata/sf0.001", "user_id", "event_id", "ts", "value")
+    ev = ev.withColumn("c", F.floor("value").cast("long") % 10)
+    hot = with_adaptive_chunks(ev, ["user_id"], F.unix_micros("ts"), target_rows=5)
+    assert hot.select("user_id", ADAPTIVE_CHUNK).distinct().count() > 2 * hot.select("user_id").distinct().count()
+    a = rolling.previous_jump(hot, ["user_id"], ["ts", "event_id"], "c", chunk=F.col(ADAPTIVE_CHUNK))
+    b = rolling.previous_jump(ev, ["user_id"], ["ts", "event_id"], "c")
+    assert rows(a, "event_id", "last_value") == rows(b, "event_id", "last_value")
+    ra = rolling.running_counts(hot, ["user_id"], ["ts", "event_id"], chunk=F.col(ADAPTIVE_CHUNK))
+    rb = rolling.running_counts(ev, ["user_id"], ["ts", "event_id"])
+    assert rows(ra, "event_id", "running_count") == rows(rb, "event_id", "running_count")

@@ -147,3 +147,20 @@ def test_stream_fan_out_two_outputs(spark, tmp_path):
                             available_now=True)
     q.awaitTermination()
     assert sorted(seen["errors"]) == ["a", "c"] and seen["rest"] == ["b"]
+
+
+def test_stream_delivery_orphan_after_watermark(spark, tmp_path):
+    import datetime as dt
+    t = lambda d: dt.datetime(2023, 6, d, tzinfo=dt.timezone.utc)
+    orders = [("o1", t(1)), ("o9", t(28))]
+    deliveries = [("d1", "o1", t(2)), ("d2", "missing", t(3)), ("d3", "o9", t(29))]
+    later = [("d4", "o9", t(30))]  # later files only move the watermark on
+    opath, osch = _write(spark, tmp_path, "o2", orders, "order_key STRING, order_ts TIMESTAMP", 2)
+    dpath, dsch = _write(spark, tmp_path, "d2", deliveries + later,
+                         "delivery_id STRING, order_id STRING, delivery_ts TIMESTAMP", 4)
+    os_ = sio.event_time(sio.read_parquet_stream(spark, opath, osch, 1), "order_ts", 1000)
+    ds_ = sio.event_time(sio.read_parquet_stream(spark, dpath, dsch, 1), "delivery_ts", 1000)
+    out = sio.run_to_table(sjobs.delivery_matches(os_, ds_, "order_key", "order_ts", "order_id",
+                                                  "delivery_ts", bound_days=5), "orphans_test")
+    got = dict(rows(out, "delivery_id", "status"))
+    assert got["d1"] == "in_time" and got["d2"] == "orphan" and got["d3"] == "in_time"
