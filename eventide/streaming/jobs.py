@@ -51,7 +51,7 @@ def click_jumps(stream: DataFrame, key: str, order: Sequence[str], value: str,
     schema = ", ".join(f"{c} {_type_of(stream, c)}" for c in fields) + f", {last_name} bigint"
     _prepare(stream)
     proc = PreviousValueProcessor(key, order, value, keep, min_diff, last_name)
-    return stream.groupBy(key).transformWithState(proc, schema, "Append", "None")
+    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "None")
 
 
 def store_batches(stream: DataFrame, key: str, order: Sequence[str], kind: str, app: str,
@@ -60,12 +60,12 @@ def store_batches(stream: DataFrame, key: str, order: Sequence[str], kind: str,
                   top_n: int = K.TOP_APPS) -> DataFrame:
     """Q6 streaming: counters in value state, per-app counts in map state
     (S-11, S-12); the side output of errors is a filter before it."""
-    schema = (f"{key} {_type_of(stream, key)}, batch_no bigint, kind string, rank int, "
+    schema = (f"{key} {_type_of(stream, key)}, batch_no bigint, kind string, rank bigint, "
               f"app string, n bigint")
     _prepare(stream)
     proc = ThresholdBatchProcessor(key, order, kind, app, install_threshold, uninstall_threshold,
                                    top_n)
-    return stream.groupBy(key).transformWithState(proc, schema, "Append", "None")
+    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "None")
 
 
 def error_windows(stream: DataFrame, time_col: str, key: str,

@@ -4,8 +4,12 @@ used only where no built-in stateful operator fits (S-8, S-11, S-12, S-13).
 Rows of one key inside one micro-batch arrive in no guaranteed order, so
 each handler sorts them by the event order first; across micro-batches the
 order is arrival order (the reference's semantics). State lives in the
-state store (RocksDB); each handler reads it once, folds the micro-batch in
-plain Python and writes it back once, instead of one state call per row.
+state store (RocksDB); each handler reads it once, folds the micro-batch and
+writes it back once, instead of one state call per row. The previous-value
+and threshold processors take the micro-batch as pandas frames (Arrow
+batches) and work vectorized; the period and quiet-report processors take
+rows, because their input is already aggregated (one row per window and
+acronym) or only counted.
 """
 
 from __future__ import annotations
@@ -40,10 +44,21 @@ def _top(counts: dict, n: int) -> list[tuple[str, int]]:
     return sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:n]
 
 
+def _frame(rows, order: Sequence[str]):
+    """All pandas batches of one key in one micro-batch, sorted by order."""
+    import pandas as pd
+    frames = [f for f in rows if len(f)]
+    if not frames:
+        return None
+    pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    return pdf.sort_values(list(order), kind="stable").reset_index(drop=True)
+
+
 class PreviousValueProcessor(StatefulProcessor):
-    """W-1 + P-10: emit rows whose value is 0 or rose by more than
-    ``min_diff`` since the key's previous row; the previous value moves on
-    every row. Output: key column, the ``keep`` columns, value, last."""
+    """W-1 + P-10 (``transformWithStateInPandas``): emit rows whose value is
+    0 or rose by more than ``min_diff`` since the key's previous row; the
+    previous value moves on every row. Vectorized per micro-batch: one sort,
+    one shift, one mask. Output: key column, ``keep`` columns, value, last."""
 
     def __init__(self, key: str, order: Sequence[str], value: str, keep: Sequence[str],
                  min_diff: int = K.MIN_CLICK_JUMP, last_name: str = "last_value"):
@@ -53,27 +68,33 @@ class PreviousValueProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "last LONG")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        ordered = sorted(rows, key=lambda r: tuple(r[c] for c in self.order))
-        last = self.last.get()[0] if self.last.exists() else 0
-        out = []
-        for r in ordered:
-            cur = r[self.value]
-            if cur == 0 or cur - last > self.min_diff:
-                out.append(Row(**{self.key: key[0]}, **{c: r[c] for c in self.keep},
-                               **{self.value: cur, self.last_name: last}))
-            last = cur
-        self.last.update((last,))
-        return iter(out)
+    def handleInputRows(self, key, rows, timerValues):
+        import numpy as np
+        pdf = _frame(rows, self.order)
+        if pdf is None:
+            return
+        vals = pdf[self.value].to_numpy(dtype="int64")
+        first = int(self.last.get()[0]) if self.last.exists() else 0
+        lasts = np.concatenate([[first], vals[:-1]]).astype("int64")
+        mask = (vals == 0) | (vals - lasts > self.min_diff)
+        out = pdf.loc[mask, [c for c in self.keep]].copy()
+        out.insert(0, self.key, key[0])
+        out[self.value] = vals[mask]
+        out[self.last_name] = lasts[mask]
+        self.last.update((int(vals[-1]),))
+        yield out.reset_index(drop=True)
 
     def close(self) -> None:
         pass
 
 
 class ThresholdBatchProcessor(StatefulProcessor):
-    """W-2 + AGG-13 + K-1: per key, close a batch on the row that brings its
-    installs to ``install_threshold`` or uninstalls to
-    ``uninstall_threshold``; emit the top apps of each side, then reset.
+    """W-2 + AGG-13 + K-1 (``transformWithStateInPandas``): per key, close a
+    batch on the row that brings its installs to ``install_threshold`` or
+    uninstalls to ``uninstall_threshold``; emit the top apps of each side,
+    then reset. Per micro-batch the counts are cumulative sums and each
+    closing row is found by ``searchsorted`` (work per *batch*, not per
+    row); per-app counts of a batch are one ``value_counts`` of its slice.
     Output: key, batch_no, kind, rank, app, n."""
 
     def __init__(self, key: str, order: Sequence[str], kind: str, app: str,
@@ -89,29 +110,45 @@ class ThresholdBatchProcessor(StatefulProcessor):
         self.installs = handle.getMapState("installs", "app STRING", "n LONG")
         self.uninstalls = handle.getMapState("uninstalls", "app STRING", "n LONG")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        ordered = sorted(rows, key=lambda r: tuple(r[c] for c in self.order))
-        ci, cu, batch = self.counters.get() if self.counters.exists() else (0, 0, 1)
+    @staticmethod
+    def _add(counts: dict, apps) -> dict:
+        for a, n in apps.value_counts().items():
+            counts[a] = counts.get(a, 0) + int(n)
+        return counts
+
+    def handleInputRows(self, key, rows, timerValues):
+        import numpy as np
+        import pandas as pd
+        pdf = _frame(rows, self.order)
+        if pdf is None:
+            return
+        ci0, cu0, batch = self.counters.get() if self.counters.exists() else (0, 0, 1)
         inst, unin = _read_map(self.installs), _read_map(self.uninstalls)
+        is_i = (pdf[self.kind] == self.iv).to_numpy()
+        is_u = (pdf[self.kind] == self.uv).to_numpy()
+        ci, cu = np.cumsum(is_i), np.cumsum(is_u)
+        apps = pdf[self.app]
+        base_i, base_u, start, n = -int(ci0), -int(cu0), 0, len(pdf)
         out = []
-        for r in ordered:
-            k, app = r[self.kind], r[self.app]
-            if k == self.iv:
-                ci += 1
-                inst[app] = inst.get(app, 0) + 1
-            elif k == self.uv:
-                cu += 1
-                unin[app] = unin.get(app, 0) + 1
-            if ci >= self.ti or cu >= self.tu:
-                for kind, counts in (("install", inst), ("uninstall", unin)):
-                    for rank, (a, n) in enumerate(_top(counts, self.top_n), start=1):
-                        out.append(Row(**{self.key: key[0]}, batch_no=batch, kind=kind,
-                                       rank=rank, app=a, n=n))
-                ci, cu, batch, inst, unin = 0, 0, batch + 1, {}, {}
-        self.counters.update((ci, cu, batch))
+        while True:
+            end = min(int(np.searchsorted(ci, base_i + self.ti, "left")),
+                      int(np.searchsorted(cu, base_u + self.tu, "left")))
+            if end >= n:
+                break
+            sl = slice(start, end + 1)
+            inst = self._add(inst, apps[sl][is_i[sl]])
+            unin = self._add(unin, apps[sl][is_u[sl]])
+            for kind, counts in (("install", inst), ("uninstall", unin)):
+                for rank, (a, c) in enumerate(_top(counts, self.top_n), start=1):
+                    out.append((key[0], batch, kind, rank, a, c))
+            base_i, base_u, start, batch, inst, unin = int(ci[end]), int(cu[end]), end + 1, batch + 1, {}, {}
+        sl = slice(start, n)
+        inst = self._add(inst, apps[sl][is_i[sl]])
+        unin = self._add(unin, apps[sl][is_u[sl]])
+        self.counters.update((int(ci[-1]) - base_i, int(cu[-1]) - base_u, batch))
         _write_map(self.installs, inst)
         _write_map(self.uninstalls, unin)
-        return iter(out)
+        yield pd.DataFrame(out, columns=[self.key, "batch_no", "kind", "rank", "app", "n"])
 
     def close(self) -> None:
         pass

@@ -164,3 +164,18 @@ def test_stream_delivery_orphan_after_watermark(spark, tmp_path):
                                                   "delivery_ts", bound_days=5), "orphans_test")
     got = dict(rows(out, "delivery_id", "status"))
     assert got["d1"] == "in_time" and got["d2"] == "orphan" and got["d3"] == "in_time"
+
+
+def test_stream_store_batches_random_match_batch(spark, tmp_path):
+    import random
+    rnd = random.Random(5)
+    data = [(s, rnd.choice("ABCD"), rnd.choice(["install", "uninstall", "page_view", "install"]),
+             at(i * 1000), i) for i in range(300) for s in [rnd.choice(["S1", "S2"])]]
+    schema = "store STRING, app_id STRING, event_type STRING, event_time TIMESTAMP, ord INT"
+    path, sch = _write(spark, tmp_path, "store_rand", data, schema, files=5)
+    st = sio.event_time(sio.read_parquet_stream(spark, path, sch, 1), "event_time", 1000)
+    out = sio.run_to_table(sjobs.store_batches(st, "store", ["event_time", "ord"], "event_type",
+                                               "app_id", 7, 4), "store_rand_test")
+    top, _errors = jobs.store_reports(spark.createDataFrame(data, schema), 7, 4)
+    cols = ("store", "batch_no", "kind", "rank", "n", "app")
+    assert rows(out, *cols) == rows(top.withColumnRenamed("app_id", "app"), *cols)
