@@ -39,7 +39,7 @@ from eventide.constants import (
 from eventide.functions.predicates import indicator
 from eventide.functions.render import top_apps_line
 from eventide.operators.scan import join_on, prefix_sums
-from eventide.session import materialize
+from eventide.session import materialize, python_workers_can_import
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -48,16 +48,79 @@ def _cut(df: DataFrame) -> DataFrame:
     return materialize(df, "batches")
 
 
+LOCAL_FOLD_MAX_ROWS = 2_000_000
+
+
+def _fold_frame(pdf, order, kind, iv, uv, ti, tu):
+    """One key's rows (pandas): rn, indicators, batch_no, is_boundary,
+    closed. Cumulative counts and one ``searchsorted`` per batch."""
+    import numpy as np
+    pdf = pdf.sort_values(list(order), kind="stable").reset_index(drop=True)
+    n = len(pdf)
+    is_i = (pdf[kind] == iv).to_numpy()
+    is_u = (pdf[kind] == uv).to_numpy()
+    ci, cu = np.cumsum(is_i), np.cumsum(is_u)
+    bounds, base_i, base_u = [], 0, 0
+    while True:
+        end = min(int(np.searchsorted(ci, base_i + ti, "left")),
+                  int(np.searchsorted(cu, base_u + tu, "left")))
+        if end >= n:
+            break
+        bounds.append(end)
+        base_i, base_u = int(ci[end]), int(cu[end])
+    pos = np.arange(n)
+    b = np.asarray(bounds, dtype="int64")
+    batch = np.searchsorted(b, pos, "left") + 1
+    is_b = np.zeros(n, dtype="int32")
+    is_b[b] = 1
+    return pdf.assign(is_install=is_i.astype("int32"), is_uninstall=is_u.astype("int32"),
+                      rn=pos + 1, batch_no=batch.astype("int64"), is_boundary=is_b,
+                      closed=batch <= len(bounds))
+
+
 def assign_batches(df: DataFrame, key: str, order: Sequence[str], kind: str,
                    install_value: str = EVENT_INSTALL, uninstall_value: str = EVENT_UNINSTALL,
                    install_threshold: int = INSTALL_THRESHOLD,
                    uninstall_threshold: int = UNINSTALL_THRESHOLD,
-                   chunk: Column | None = None) -> DataFrame:
+                   chunk: Column | None = None,
+                   local_rows: int = LOCAL_FOLD_MAX_ROWS) -> DataFrame:
     """Every row with ``rn``, ``is_install``, ``is_uninstall``, ``batch_no``
     (1-based), ``is_boundary`` (the row closes its batch) and ``closed``
-    (its batch has closed)."""
+    (its batch has closed).
+
+    Keys with at most ``local_rows`` rows are folded in one pass, one
+    bounded group per key (``applyInPandas``, vectorized). Hot keys (at most
+    rows / ``local_rows`` of them, so their table is broadcast) take the
+    distributed pointer-doubling path, which never holds a key in one task.
+    """
     if install_threshold < 1 or uninstall_threshold < 1:
         raise ValueError("thresholds must be at least 1")
+    spark = df.sparkSession
+    hot = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+                      .filter(F.col("_rows") > F.lit(local_rows)).select(key), "hot-keys")
+    flagged = join_on(df, F.broadcast(hot.withColumn("_hot", F.lit(True))), [key], "left")
+    cold = flagged.filter(F.col("_hot").isNull()).drop("_hot")
+    python_workers_can_import(spark)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cold.schema)
+    schema += (", is_install int, is_uninstall int, rn bigint, batch_no bigint, "
+               "is_boundary int, closed boolean")
+    fold_args = (list(order), kind, install_value, uninstall_value, install_threshold,
+                 uninstall_threshold)
+    folded = cold.groupBy(key).applyInPandas(
+        lambda pdf: _fold_frame(pdf, *fold_args), schema)
+    if hot.count() == 0:
+        return folded
+    hot_rows = flagged.filter(F.col("_hot")).drop("_hot")
+    doubled = _assign_batches_doubling(hot_rows, key, order, kind, install_value, uninstall_value,
+                                       install_threshold, uninstall_threshold, chunk)
+    return folded.unionByName(doubled.select(*folded.columns))
+
+
+def _assign_batches_doubling(df: DataFrame, key: str, order: Sequence[str], kind: str,
+                             install_value: str, uninstall_value: str,
+                             install_threshold: int, uninstall_threshold: int,
+                             chunk: Column | None) -> DataFrame:
+    """Pointer doubling (steps 1-4 of the module docstring)."""
     base = df.withColumns({"is_install": indicator(kind, install_value),
                            "is_uninstall": indicator(kind, uninstall_value)})
     scanned = _cut(prefix_sums(base, [key], order, {

@@ -113,3 +113,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def python_workers_can_import(spark: SparkSession) -> None:
+    """Python code of this package run inside tasks (pandas folds, state
+    processors): ship the package and pickle its functions by value, so
+    workers and driver-side Python runners need no install of their own."""
+    import eventide
+    from pyspark import cloudpickle
+
+    ship_package(spark)
+    cloudpickle.register_pickle_by_value(eventide)

@@ -16,7 +16,7 @@ from eventide.functions.predicates import is_late
 from eventide.functions.timefn import micros_between
 from eventide.operators import windows
 from eventide.operators.joins import IN_TIME, LATE, ORPHAN
-from eventide.session import ship_package
+from eventide.session import python_workers_can_import
 from eventide.streaming.processors import (
     PeriodChangeProcessor, PreviousValueProcessor, QuietReportProcessor, ThresholdBatchProcessor)
 
@@ -29,12 +29,9 @@ def _prepare(stream: DataFrame) -> None:
     only state store ``transformWithState`` supports): ship the package and
     select the provider for queries started from this session."""
     spark = stream.sparkSession
-    ship_package(spark)
-    # Python runners that do not see addPyFile (the driver-side runner of
-    # transformWithState) get the processor classes pickled by value.
-    import eventide
-    from pyspark import cloudpickle
-    cloudpickle.register_pickle_by_value(eventide)
+    # the driver-side runner of transformWithState does not see addPyFile:
+    # processor classes are pickled by value
+    python_workers_can_import(spark)
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != _ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
 

@@ -28,8 +28,12 @@ def _fold_batches(kinds, ti, tu):
     return out + [(b, False) for b in pending]
 
 
-@pytest.mark.parametrize("seed,ti,tu", [(1, 3, 2), (2, 5, 3), (3, 1, 1), (4, 7, 4)])
-def test_threshold_batches_match_fold(spark, seed, ti, tu):
+@pytest.mark.parametrize("seed,ti,tu,local_rows", [(1, 3, 2, 0), (2, 5, 3, 0), (3, 1, 1, 0),
+                                                    (4, 7, 4, 0), (1, 3, 2, 10**9),
+                                                    (4, 7, 4, 60)])
+def test_threshold_batches_match_fold(spark, seed, ti, tu, local_rows):
+    """local_rows=0: every key takes the distributed doubling path; 10**9:
+    every key is folded locally; 60: a mix."""
     rnd = random.Random(seed)
     data = []
     for key in ("k0", "k1", None):
@@ -37,7 +41,8 @@ def test_threshold_batches_match_fold(spark, seed, ti, tu):
             data.append((key, i, rnd.choice(["install", "uninstall", "page_view", "install"])))
     df = spark.createDataFrame(data, "store STRING, ord INT, event_type STRING")
     tagged = segments.assign_batches(df, "store", ["ord"], "event_type", install_threshold=ti,
-                                     uninstall_threshold=tu, chunk=value_chunk("ord", 16))
+                                     uninstall_threshold=tu, chunk=value_chunk("ord", 16),
+                                     local_rows=local_rows)
     got = {(r.store, r.ord): (r.batch_no, r.closed) for r in tagged.collect()}
     for key in ("k0", "k1", None):
         kinds = [t for k, _o, t in data if k == key]
@@ -54,7 +59,7 @@ def test_thresholds_on_neighbouring_rows(spark):
     df = spark.createDataFrame([("s", i, k) for i, k in enumerate(kinds)],
                                "store STRING, ord INT, event_type STRING")
     t = segments.assign_batches(df, "store", ["ord"], "event_type", install_threshold=2,
-                                uninstall_threshold=2)
+                                uninstall_threshold=2, local_rows=0)
     assert rows(t, "ord", "batch_no", "closed") == [(0, 1, True), (1, 1, True), (2, 1, True),
                                                     (3, 2, False)]
 
