@@ -207,10 +207,12 @@ def top_apps(counts: DataFrame, key: str, app: str, top_n: int = TOP_APPS) -> Da
     """K-1: top ``top_n`` apps by installs and by uninstalls per (key, batch);
     count desc, then app asc. Apps with no such event are not ranked.
     Output: key, batch_no, kind, rank, app, n."""
-    per_kind = (counts.select(key, "batch_no", app, F.lit("install").alias("kind"),
-                              F.col("installs").alias("n"))
-                .unionByName(counts.select(key, "batch_no", app, F.lit("uninstall").alias("kind"),
-                                           F.col("uninstalls").alias("n")))
+    # one read of the counts: each row becomes its install and uninstall entry
+    sides = F.explode(F.array(
+        F.struct(F.lit("install").alias("kind"), F.col("installs").alias("n")),
+        F.struct(F.lit("uninstall").alias("kind"), F.col("uninstalls").alias("n"))))
+    per_kind = (counts.select(key, "batch_no", app, sides.alias("_s"))
+                .select(key, "batch_no", app, "_s.kind", "_s.n")
                 .filter(F.col("n") > 0))
     w = Window.partitionBy(key, "batch_no", "kind").orderBy(F.desc("n"), F.asc(app))
     return (per_kind.withColumn("rank", F.row_number().over(w))
