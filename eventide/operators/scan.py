@@ -60,6 +60,10 @@ def with_adaptive_chunks(df: DataFrame, keys: Sequence[str], value: Column,
              .filter(F.col("_n") > F.lit(target_rows)))
     widths = stats.select(*keys, F.greatest(F.lit(1), F.ceil(
         (F.col("_hi") - F.col("_lo") + F.lit(1)) * F.lit(target_rows) / F.col("_n"))).alias("_scan_width"))
+    # stored once: every later branch of the scan reads the stored table
+    # instead of aggregating the data again
+    from eventide.session import materialize
+    widths = materialize(widths, "hot-key-widths")
     tagged = join_on(df, F.broadcast(widths), keys, "left")
     chunk = F.when(F.col("_scan_width").isNull(), F.lit(0).cast("long")).otherwise(
         F.floor(value / F.col("_scan_width")))

@@ -38,7 +38,7 @@ from eventide.constants import (
     EVENT_INSTALL, EVENT_UNINSTALL, INSTALL_THRESHOLD, TOP_APPS, UNINSTALL_THRESHOLD)
 from eventide.functions.predicates import indicator
 from eventide.functions.render import top_apps_line
-from eventide.operators.scan import join_on, prefix_sums
+from eventide.operators.scan import ADAPTIVE_CHUNK, join_on, prefix_sums, with_adaptive_chunks
 from eventide.session import materialize, python_workers_can_import
 
 
@@ -111,6 +111,12 @@ def assign_batches(df: DataFrame, key: str, order: Sequence[str], kind: str,
     if hot.count() == 0:
         return folded
     hot_rows = flagged.filter(F.col("_hot")).drop("_hot")
+    if chunk is None:
+        # hot keys are cut by the range of the first order column
+        first = hot_rows.schema[order[0]].dataType.simpleString()
+        value = F.unix_micros(order[0]) if first.startswith("timestamp") else F.col(order[0])
+        hot_rows = with_adaptive_chunks(hot_rows, [key], value)
+        chunk = F.col(ADAPTIVE_CHUNK)
     doubled = _assign_batches_doubling(hot_rows, key, order, kind, install_value, uninstall_value,
                                        install_threshold, uninstall_threshold, chunk)
     return folded.unionByName(doubled.select(*folded.columns))

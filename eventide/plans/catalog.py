@@ -239,9 +239,7 @@ def _store_events(spark, sf_dir):
 
 def _batches(spark, sf_dir):
     main, _side = quality.split(_store_events(spark, sf_dir), F.col("kind") == "error")
-    main = with_adaptive_chunks(main, ["store"], F.unix_micros("ts"))
-    return segments.assign_batches(main, "store", ["ts", "event_id"], "kind",
-                                   chunk=F.col(ADAPTIVE_CHUNK)).drop(ADAPTIVE_CHUNK)
+    return segments.assign_batches(main, "store", ["ts", "event_id"], "kind")
 
 
 _THRESH_CTE = """

@@ -28,12 +28,13 @@ def _fold_batches(kinds, ti, tu):
     return out + [(b, False) for b in pending]
 
 
-@pytest.mark.parametrize("seed,ti,tu,local_rows", [(1, 3, 2, 0), (2, 5, 3, 0), (3, 1, 1, 0),
-                                                    (4, 7, 4, 0), (1, 3, 2, 10**9),
-                                                    (4, 7, 4, 60)])
-def test_threshold_batches_match_fold(spark, seed, ti, tu, local_rows):
+@pytest.mark.parametrize("seed,ti,tu,local_rows,chunked", [
+    (1, 3, 2, 0, True), (2, 5, 3, 0, True), (3, 1, 1, 0, True), (4, 7, 4, 0, True),
+    (1, 3, 2, 10**9, True), (4, 7, 4, 60, True), (2, 5, 3, 0, False)])
+def test_threshold_batches_match_fold(spark, seed, ti, tu, local_rows, chunked):
     """local_rows=0: every key takes the distributed doubling path; 10**9:
-    every key is folded locally; 60: a mix."""
+    every key is folded locally; 60: a mix. Unchunked: the doubling path
+    chunks hot keys itself."""
     rnd = random.Random(seed)
     data = []
     for key in ("k0", "k1", None):
@@ -41,7 +42,8 @@ def test_threshold_batches_match_fold(spark, seed, ti, tu, local_rows):
             data.append((key, i, rnd.choice(["install", "uninstall", "page_view", "install"])))
     df = spark.createDataFrame(data, "store STRING, ord INT, event_type STRING")
     tagged = segments.assign_batches(df, "store", ["ord"], "event_type", install_threshold=ti,
-                                     uninstall_threshold=tu, chunk=value_chunk("ord", 16),
+                                     uninstall_threshold=tu,
+                                     chunk=value_chunk("ord", 16) if chunked else None,
                                      local_rows=local_rows)
     got = {(r.store, r.ord): (r.batch_no, r.closed) for r in tagged.collect()}
     for key in ("k0", "k1", None):
