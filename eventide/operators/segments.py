@@ -6,7 +6,11 @@ brings its installs to ``install_threshold`` or its uninstalls to
 belong to the batch but count for neither side. Rows after the last closing
 row form the open batch, which is not reported (``keep_open`` keeps it).
 
-Plan (no per-key collection, nothing through the driver):
+A key with at most ``local_rows`` rows (2M by default) is one bounded
+pandas group, folded vectorized: cumulative counts and one ``searchsorted``
+per closed batch. Hot keys (at most rows / ``local_rows`` of them) take
+the distributed plan below, which holds no key in one task and passes
+nothing through the driver:
 
 1. One chunked scan numbers the rows per key (``rn``) and counts installs
    (``ci``) and uninstalls (``cu``) so far.
@@ -43,8 +47,8 @@ from eventide.session import materialize, python_workers_can_import
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a table written to the shared checkpoint folder
-    (one pass, unlike an eager RDD checkpoint that computes the plan twice)."""
+    """Cut the lineage: an eager reliable checkpoint into the shared
+    checkpoint folder (survives executor loss)."""
     return materialize(df, "batches")
 
 

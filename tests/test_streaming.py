@@ -3,7 +3,6 @@ later row, processing-time report)."""
 
 import time
 
-from pyspark.sql import functions as F
 
 from conftest import T0_MS, at, rows
 from eventide.plans import jobs
