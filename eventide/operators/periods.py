@@ -12,8 +12,8 @@ of a topic is not reported. Only the top ``top_n`` acronyms (count desc,
 acronym asc) of a period are kept.
 
 Plan: two partial aggregates (per topic/window/acronym and per
-topic/window), chunked scans over the window table (one row per non-empty
-window, never per row) to number periods, an equi-join of period ``p`` to
+topic/window), a gaps-and-islands pass over the window table (one row per
+non-empty window, never per row) to number periods, an equi-join of period ``p`` to
 ``p + 1`` for the successor, and a top-n window over (topic, period).
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from eventide.constants import COMMENT_WINDOW_MS, TOP_ACRONYMS
 from eventide.functions.timefn import epoch_us, time_of_day
-from eventide.operators.scan import join_on, prefix_sums, previous_values
+from eventide.operators.scan import join_on, run_ids
 from eventide.session import materialize
 
 WINDOWS_PER_CHUNK = 8640
@@ -48,14 +48,10 @@ def window_labels(per_acr: DataFrame, topic: str) -> DataFrame:
 
 
 def number_periods(per_win: DataFrame, topic: str) -> DataFrame:
-    """W-3: ``_period`` (1-based per topic) for every non-empty window."""
+    """W-3: ``_period`` (1-based per topic) for every non-empty window: the
+    run id of equal consecutive labels (gaps and islands, ``run_ids``)."""
     chunk = F.floor(F.col("_w") / F.lit(WINDOWS_PER_CHUNK))
-    # each scan reads its input twice (chunk summary + rows): store the
-    # lagged table once so the running sum does not recompute it
-    prev = materialize(previous_values(per_win, [topic], ["_w"], {"_prev_label": F.col("_label")},
-                                       chunk=chunk), "periods-lag")
-    flag = F.when(F.col("_prev_label").eqNullSafe(F.col("_label")), F.lit(0)).otherwise(F.lit(1))
-    return prefix_sums(prev, [topic], ["_w"], {"_period": flag}, chunk=chunk).drop("_prev_label")
+    return run_ids(per_win, [topic], ["_w"], F.col("_label"), chunk, "_period")
 
 
 def period_top_acronyms(df: DataFrame, topic: str, time_col: str, acronym: str,
@@ -65,12 +61,12 @@ def period_top_acronyms(df: DataFrame, topic: str, time_col: str, acronym: str,
     acronym, ``acronyms_counter``, ``total_comments_counter``,
     ``label_time_of_day`` (next period's label; omitted when
     ``with_label`` is False), ``closed_at_ms`` and ``period_time_of_day``."""
-    # The rows are read once: the per-(topic, window, acronym) aggregate and
-    # the numbered window table are written to the shared checkpoint folder
-    # and every later step reads those (each has at most one row per input row).
+    # The rows are read once: the per-(topic, window, acronym) aggregate is
+    # stored in the shared checkpoint folder (at most one row per input row)
+    # and every later step reads it; run_ids stores its window pass itself.
     per_acr = materialize(window_acronym_counts(df, topic, time_col, acronym, window_ms),
                           "periods-acronyms")
-    wins = materialize(number_periods(window_labels(per_acr, topic), topic), "periods-windows")
+    wins = number_periods(window_labels(per_acr, topic), topic)
     periods = wins.groupBy(topic, "_period").agg(
         F.min("_min_us").alias("_first_us"), F.sum("_total").alias("_total"),
         F.first("_label").alias("_label"))

@@ -22,6 +22,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventide.session import materialize
+
 _CHUNK = "_scan_chunk"
 _IS_ROW = "_scan_is_row"
 
@@ -62,7 +64,6 @@ def with_adaptive_chunks(df: DataFrame, keys: Sequence[str], value: Column,
         (F.col("_hi") - F.col("_lo") + F.lit(1)) * F.lit(target_rows) / F.col("_n"))).alias("_scan_width"))
     # stored once: every later branch of the scan reads the stored table
     # instead of aggregating the data again
-    from eventide.session import materialize
     widths = materialize(widths, "hot-key-widths")
     tagged = join_on(df, F.broadcast(widths), keys, "left")
     chunk = F.when(F.col("_scan_width").isNull(), F.lit(0).cast("long")).otherwise(
@@ -144,6 +145,41 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             .drop(_CHUNK, _IS_ROW, *[_vname(n) for n in names]))
 
 
+def run_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
+            chunk: Column, name: str = "run_id") -> DataFrame:
+    """Gaps and islands: the 1-based id of the run of equal consecutive
+    ``value``s per key along ``order`` (ascending, total); a run starts
+    where the value differs, NULL-safe, from the previous row's.
+
+    One window pass over ``(keys, chunk)`` gives each row its in-chunk run
+    starts so far; that table is stored once. A per-chunk summary (first
+    value, last value, inner run starts: one row per chunk) gives each chunk
+    its carry (run starts of all earlier chunks, and whether its first row
+    starts a run), which a join adds to the rows.
+    """
+    keys, order = list(keys), list(order)
+    base = df.withColumns({"_rv": value, _CHUNK: chunk})
+    w = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+    same = F.lag("_rv").over(w).eqNullSafe(F.col("_rv"))
+    first = F.row_number().over(w) == 1
+    flagged = base.withColumn("_rf", F.when(first | same, F.lit(0)).otherwise(F.lit(1)))
+    local = materialize(flagged.withColumn(
+        "_rl", F.sum("_rf").over(w.rowsBetween(Window.unboundedPreceding, 0))), "runs")
+    summary = local.groupBy(*keys, _CHUNK).agg(
+        F.min_by("_rv", F.struct(*order)).alias("_first"),
+        F.max_by("_rv", F.struct(*order)).alias("_last"),
+        F.sum("_rf").alias("_inner"))
+    wc = Window.partitionBy(*keys).orderBy(_CHUNK)
+    continues = F.lag(F.lit(1)).over(wc).isNotNull() & F.lag("_last").over(wc).eqNullSafe(F.col("_first"))
+    summary = summary.withColumn("_b", F.when(continues, F.lit(0)).otherwise(F.lit(1)))
+    summary = summary.withColumn("_carry", F.coalesce(
+        F.sum(F.col("_inner") + F.col("_b")).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)))
+    out = join_on(local, summary.select(*keys, _CHUNK, "_carry", "_b"), [*keys, _CHUNK])
+    return (out.withColumn(name, (F.col("_carry") + F.col("_b") + F.col("_rl")).cast("long"))
+            .drop("_rv", _CHUNK, "_rf", "_rl", "_carry", "_b"))
+
+
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 name: str = "rn", chunk: Column | None = None) -> DataFrame:
     """1-based row number per key along ``order`` (a running count)."""

@@ -266,3 +266,22 @@ def test_hot_key_path_on_table_data(spark):
     ra = rolling.running_counts(hot, ["user_id"], ["ts", "event_id"], chunk=F.col(ADAPTIVE_CHUNK))
     rb = rolling.running_counts(ev, ["user_id"], ["ts", "event_id"])
     assert rows(ra, "event_id", "running_count") == rows(rb, "event_id", "running_count")
+
+
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_run_ids_match_python(spark, width):
+    from eventide.operators.scan import run_ids
+    rnd = random.Random(width)
+    data = [(k, i, rnd.choice(["x", "y", None]) if rnd.random() < 0.3 else "x")
+            for k in ("a", "b") for i in range(0, 200, rnd.choice([1, 2, 3]))]
+    df = spark.createDataFrame(data, "k STRING, o INT, v STRING")
+    got = {(r.k, r.o): r.run_id for r in
+           run_ids(df, ["k"], ["o"], F.col("v"), value_chunk("o", width)).collect()}
+    for key in ("a", "b"):
+        run, prev = 0, object()
+        for k, o, v in data:
+            if k != key:
+                continue
+            run += v != prev
+            prev = v
+            assert got[(k, o)] == run, (k, o)
