@@ -145,39 +145,56 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             .drop(_CHUNK, _IS_ROW, *[_vname(n) for n in names]))
 
 
-def run_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-            chunk: Column, name: str = "run_id") -> DataFrame:
-    """Gaps and islands: the 1-based id of the run of equal consecutive
-    ``value``s per key along ``order`` (ascending, total); a run starts
-    where the value differs, NULL-safe, from the previous row's.
-
-    One window pass over ``(keys, chunk)`` gives each row its in-chunk run
-    starts so far; that table is stored once. A per-chunk summary (first
-    value, last value, inner run starts: one row per chunk) gives each chunk
-    its carry (run starts of all earlier chunks, and whether its first row
-    starts a run), which a join adds to the rows.
+def segment_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                values: Sequence[str], starts, chunk: Column, name: str = "segment_id") -> DataFrame:
+    """Gaps and islands: the 1-based id of each row's segment per key along
+    ``order`` (ascending, total). ``starts(prev, cur)`` says whether a row
+    opens a new segment, given ``{column: Column}`` of the previous row and
+    of the row itself for the columns in ``values``; the first row of a key
+    always opens one.
+
+    One window pass over ``(keys, chunk)`` gives each row its in-chunk
+    segment starts so far; that table is stored once. A per-chunk summary
+    (first and last row's values, inner starts: one row per chunk) gives
+    each chunk its carry (starts of all earlier chunks, and whether its
+    first row opens a segment), which a join adds to the rows.
     """
-    keys, order = list(keys), list(order)
-    base = df.withColumns({"_rv": value, _CHUNK: chunk})
+    keys, order, values = list(keys), list(order), list(values)
+    base = df.withColumn(_CHUNK, chunk)
     w = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-    same = F.lag("_rv").over(w).eqNullSafe(F.col("_rv"))
+    prev = {c: F.lag(c).over(w) for c in values}
+    cur = {c: F.col(c) for c in values}
     first = F.row_number().over(w) == 1
-    flagged = base.withColumn("_rf", F.when(first | same, F.lit(0)).otherwise(F.lit(1)))
+    flagged = base.withColumn("_seg_f", F.when(first, F.lit(0))
+                              .when(F.coalesce(starts(prev, cur), F.lit(False)), F.lit(1))
+                              .otherwise(F.lit(0)))
     local = materialize(flagged.withColumn(
-        "_rl", F.sum("_rf").over(w.rowsBetween(Window.unboundedPreceding, 0))), "runs")
+        "_seg_l", F.sum("_seg_f").over(w.rowsBetween(Window.unboundedPreceding, 0))), "segments")
+    ordering = F.struct(*order)
     summary = local.groupBy(*keys, _CHUNK).agg(
-        F.min_by("_rv", F.struct(*order)).alias("_first"),
-        F.max_by("_rv", F.struct(*order)).alias("_last"),
-        F.sum("_rf").alias("_inner"))
+        F.min_by(F.struct(*values), ordering).alias("_seg_first"),
+        F.max_by(F.struct(*values), ordering).alias("_seg_last"),
+        F.sum("_seg_f").alias("_seg_inner"))
     wc = Window.partitionBy(*keys).orderBy(_CHUNK)
-    continues = F.lag(F.lit(1)).over(wc).isNotNull() & F.lag("_last").over(wc).eqNullSafe(F.col("_first"))
-    summary = summary.withColumn("_b", F.when(continues, F.lit(0)).otherwise(F.lit(1)))
-    summary = summary.withColumn("_carry", F.coalesce(
-        F.sum(F.col("_inner") + F.col("_b")).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
+    prev_last = F.lag("_seg_last").over(wc)
+    opens = F.coalesce(starts({c: prev_last[c] for c in values},
+                              {c: F.col("_seg_first")[c] for c in values}), F.lit(False))
+    summary = summary.withColumn(
+        "_seg_b", F.when(prev_last.isNull() | opens, F.lit(1)).otherwise(F.lit(0)))
+    summary = summary.withColumn("_seg_carry", F.coalesce(
+        F.sum(F.col("_seg_inner") + F.col("_seg_b")).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)))
-    out = join_on(local, summary.select(*keys, _CHUNK, "_carry", "_b"), [*keys, _CHUNK])
-    return (out.withColumn(name, (F.col("_carry") + F.col("_b") + F.col("_rl")).cast("long"))
-            .drop("_rv", _CHUNK, "_rf", "_rl", "_carry", "_b"))
+    out = join_on(local, summary.select(*keys, _CHUNK, "_seg_carry", "_seg_b"), [*keys, _CHUNK])
+    return (out.withColumn(name, (F.col("_seg_carry") + F.col("_seg_b") + F.col("_seg_l")).cast("long"))
+            .drop(_CHUNK, "_seg_f", "_seg_l", "_seg_carry", "_seg_b"))
+
+
+def run_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
+            chunk: Column, name: str = "run_id") -> DataFrame:
+    """Runs of equal consecutive ``value``s (NULL equals NULL) per key."""
+    out = segment_ids(df.withColumn("_rv", value), keys, order, ["_rv"],
+                      lambda p, c: ~p["_rv"].eqNullSafe(c["_rv"]), chunk, name)
+    return out.drop("_rv")
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str],

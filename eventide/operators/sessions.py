@@ -5,9 +5,9 @@
 to buckets of width ``gap``: two rows in one bucket are less than ``gap``
 apart, so a bucket never splits between sessions. The bucket table (at most
 time span / gap rows, partial-aggregated, so a hot instant costs nothing)
-is then cut into sessions with the chunked scan: a bucket starts a session
-when its first row is more than ``gap`` after the last row of the previous
-non-empty bucket. Rows exactly ``gap`` apart belong to one session, like
+is then cut into sessions by ``segment_ids`` (gaps and islands): a bucket
+starts a session when its first row is more than ``gap`` after the last row
+of the previous non-empty bucket. Rows exactly ``gap`` apart belong to one session, like
 Spark's ``session_window`` (session end = last row + gap).
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.timefn import epoch_us
-from eventide.operators.scan import join_on, prefix_sums, previous_values
+from eventide.operators.scan import join_on, segment_ids
 from eventide.session import materialize
 from eventide.operators.windows import duration
 
@@ -32,12 +32,12 @@ def _bucket(us: Column, gap_us: int) -> Column:
 
 
 def _session_ids(buckets: DataFrame, gap_us: int, keys: Sequence[str]) -> DataFrame:
-    """buckets(keys, _b, lo, hi, ...) -> adds ``_sid`` (1-based per key)."""
+    """buckets(keys, _b, lo, hi, ...) -> adds ``_sid`` (1-based per key): a
+    bucket opens a session when its first row is more than ``gap`` after
+    the previous bucket's last row."""
     chunk = F.floor(F.col("_b") / F.lit(BUCKETS_PER_CHUNK))
-    prev = previous_values(buckets, keys, ["_b"], {"_prev_hi": F.col("hi")}, chunk=chunk)
-    flag = F.when(F.col("_prev_hi").isNull() | ((F.col("lo") - F.col("_prev_hi")) > F.lit(gap_us)),
-                  F.lit(1)).otherwise(F.lit(0))
-    return prefix_sums(prev, keys, ["_b"], {"_sid": flag}, chunk=chunk).drop("_prev_hi")
+    return segment_ids(buckets, keys, ["_b"], ["lo", "hi"],
+                       lambda p, c: (c["lo"] - p["hi"]) > F.lit(gap_us), chunk, "_sid")
 
 
 def global_sessions(df: DataFrame, time_col: str, gap_ms: int,
@@ -52,8 +52,8 @@ def global_sessions(df: DataFrame, time_col: str, gap_ms: int,
                .groupBy(*keys, _bucket(F.col("_us"), gap_us).alias("_b"))
                .agg(F.min("_us").alias("lo"), F.max("_us").alias("hi"),
                     F.count(F.lit(1)).alias("_n")))
-    # the rows are read once; the bucket table (<= span / gap rows per key)
-    # is written to the shared checkpoint folder for the scans over it
+    # the rows are read once: the bucket table (<= span / gap rows per key)
+    # is stored in the shared checkpoint folder for the passes over it
     buckets = materialize(buckets, "session-buckets")
     sessions = (_session_ids(buckets, gap_us, keys)
                 .groupBy(*keys, "_sid")
