@@ -285,3 +285,37 @@ def test_run_ids_match_python(spark, width):
             run += v != prev
             prev = v
             assert got[(k, o)] == run, (k, o)
+
+
+def test_results_independent_of_row_order_and_partitions(spark):
+    """SURVEY §5.5: same result for shuffled input and any partition count."""
+    from eventide.plans import jobs
+    rnd = random.Random(9)
+    data = [(rnd.choice(["S1", "S2"]), rnd.choice("ABC"),
+             rnd.choice(["install", "uninstall", "page_view", "error"]), at(i * 700), i)
+            for i in range(400)]
+    schema = "store STRING, app_id STRING, event_type STRING, event_time TIMESTAMP, ord INT"
+    results = []
+    for parts, seed in ((1, 0), (7, 1), (3, 2)):
+        shuffled = data[:]
+        random.Random(seed).shuffle(shuffled)
+        df = spark.createDataFrame(shuffled, schema).repartition(parts)
+        top, errors = jobs.store_reports(df, 9, 5)
+        clicks = df.select(F.col("store").alias("user_id"), F.col("event_time").alias("click_time"))
+        results.append((rows(top, "store", "batch_no", "kind", "rank", "app_id", "n"),
+                        rows(errors, "window_start_ms", "report"),
+                        rows(jobs.click_sessions(clicks, gap_ms=600), "session_start_ms", "clicks"),
+                        rows(jobs.busiest_window(clicks), "w_start_ms", "click_count")))
+    assert results[0] == results[1] == results[2]
+
+
+def test_open_batch_reported_on_request(spark):
+    kinds = ["install", "install", "install", "uninstall", "install"]
+    df = spark.createDataFrame([("s", i, k) for i, k in enumerate(kinds)],
+                               "store STRING, ord INT, event_type STRING")
+    tagged = segments.assign_batches(df, "store", ["ord"], "event_type", install_threshold=3,
+                                     uninstall_threshold=5)
+    assert segments.app_counts(tagged, "store", "event_type").select("batch_no").distinct().count() == 1
+    open_too = segments.app_counts(tagged, "store", "event_type", keep_open=True)
+    assert rows(open_too.groupBy("batch_no").agg(F.sum("installs").alias("i")), "batch_no", "i") == [
+        (1, 3), (2, 1)]
