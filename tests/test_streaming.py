@@ -178,3 +178,15 @@ def test_stream_store_batches_random_match_batch(spark, tmp_path):
     top, _errors = jobs.store_reports(spark.createDataFrame(data, schema), 7, 4)
     cols = ("store", "batch_no", "kind", "rank", "n", "app")
     assert rows(out, *cols) == rows(top.withColumnRenamed("app_id", "app"), *cols)
+
+
+def test_stream_booking_min_max_matches_batch(spark, tmp_path):
+    from test_fixtures import BOOKINGS
+    data = [(g, at(ms), n) for g, ms, n in BOOKINGS] + [("Later", at(3_600_000), 0)]
+    schema = "geo_region STRING, event_time TIMESTAMP, booking_count BIGINT"
+    path, sch = _write(spark, tmp_path, "bookings", data, schema, files=3)
+    st = sio.event_time(sio.read_parquet_stream(spark, path, sch, 1), "event_time", 1000)
+    out = sio.run_to_table(jobs.booking_min_max(st), "bookings_test")
+    batch = jobs.booking_min_max(spark.createDataFrame(data, schema))
+    cols = ("geo_region", "window_start_ms", "window_end_ms", "min_value", "max_value")
+    assert rows(out, *cols) == [r for r in rows(batch, *cols) if r[0] != "Later"]
