@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from eventide import constants as K
 from eventide.functions.predicates import is_late
 from eventide.functions.timefn import micros_between
+from eventide.functions.text import explode_tokens
 from eventide.operators import windows
 from eventide.operators.joins import IN_TIME, LATE, ORPHAN
 from eventide.session import python_workers_can_import
@@ -40,6 +41,24 @@ def _type_of(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
 
 
+def article_counts(stream: DataFrame, text: str = "text") -> DataFrame:
+    """Q1 streaming (AGG-1): running counts of "the" and "a". Run in
+    ``update`` mode: one updated count per token and micro-batch (not per
+    row, as the reference's rolling reduce would); partial aggregation runs
+    before the state store."""
+    toks = explode_tokens(stream, text, keep=K.ARTICLES)
+    return toks.groupBy("token").agg(F.count(F.lit(1)).alias("count"))
+
+
+def language_concat(stream: DataFrame, key: str = "language", order: str = "ord",
+                    token: str = "token") -> DataFrame:
+    """Q2 streaming (AGG-2): per key, the tokens so far concatenated in
+    ``order``; ``update`` or ``complete`` mode. The state holds the key's
+    tokens (the result is as long as the input by definition)."""
+    items = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(token).alias("_t"))))
+    return stream.groupBy(key).agg(F.array_join(F.transform(items, lambda x: x["_t"]), "").alias("text"))
+
+
 def click_jumps(stream: DataFrame, key: str, order: Sequence[str], value: str,
                 keep: Sequence[str], min_diff: int = K.MIN_CLICK_JUMP,
                 last_name: str = "last_value") -> DataFrame:

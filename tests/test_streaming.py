@@ -190,3 +190,20 @@ def test_stream_booking_min_max_matches_batch(spark, tmp_path):
     batch = jobs.booking_min_max(spark.createDataFrame(data, schema))
     cols = ("geo_region", "window_start_ms", "window_end_ms", "min_value", "max_value")
     assert rows(out, *cols) == [r for r in rows(batch, *cols) if r[0] != "Later"]
+
+
+def test_stream_running_counts_and_concat(spark, tmp_path):
+    from test_fixtures import TEXTS
+    tpath, tsch = _write(spark, tmp_path, "texts", [(i, t) for i, (t,) in enumerate(TEXTS)],
+                         "ord INT, text STRING", files=2)
+    q1 = sio.start(sjobs.article_counts(sio.read_parquet_stream(spark, tpath, tsch, 1)),
+                   "articles_test", sink="memory", output_mode="complete", available_now=True)
+    q1.awaitTermination()
+    assert rows(spark.table("articles_test"), "token", "count") == [("a", 1), ("the", 3)]
+    data = [(0, "en", "car, bus, "), (1, "ru", "машина, "), (2, "en", "course, "), (3, "en", "house, ")]
+    lpath, lsch = _write(spark, tmp_path, "langs", data, "ord INT, language STRING, token STRING", 2)
+    q2 = sio.start(sjobs.language_concat(sio.read_parquet_stream(spark, lpath, lsch, 1)),
+                   "concat_test", sink="memory", output_mode="complete", available_now=True)
+    q2.awaitTermination()
+    assert rows(spark.table("concat_test"), "language", "text") == [
+        ("en", "car, bus, course, house, "), ("ru", "машина, ")]
