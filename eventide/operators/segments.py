@@ -6,7 +6,7 @@ brings its installs to ``install_threshold`` or its uninstalls to
 belong to the batch but count for neither side. Rows after the last closing
 row form the open batch, which is not reported (``keep_open`` keeps it).
 
-A key with at most ``local_rows`` rows (2M by default) is one bounded
+A key with at most ``local_rows`` rows (1M by default) is one bounded
 pandas group, folded vectorized: cumulative counts and one ``searchsorted``
 per closed batch. Hot keys (at most rows / ``local_rows`` of them) take
 the distributed plan below, which holds no key in one task and passes
@@ -52,7 +52,7 @@ def _cut(df: DataFrame) -> DataFrame:
     return materialize(df, "batches")
 
 
-LOCAL_FOLD_MAX_ROWS = 2_000_000
+LOCAL_FOLD_MAX_ROWS = 1_000_000  # rows a Python worker holds for one key
 
 
 def _fold_frame(pdf, order, kind, iv, uv, ti, tu):
