@@ -34,14 +34,15 @@ class Query:
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None
     ops: str
+    bench: bool = True   # False: a correctness check of an alternative path
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, ops: str, sql: str | None):
+def register(name: str, ops: str, sql: str | None, bench: bool = True):
     def wrap(fn):
-        REGISTRY[name] = Query(name, fn, sql, ops)
+        REGISTRY[name] = Query(name, fn, sql, ops, bench)
         return fn
     return wrap
 
@@ -152,6 +153,21 @@ def previous_jump(spark, sf_dir):
                       "click_count", "last_click_count")
 
 
+@register("previous_jump_chunked", "W-1 P-10 hot-key path", REGISTRY["previous_jump"].sql,
+          bench=False)
+def previous_jump_chunked(spark, sf_dir):
+    """``previous_jump`` with a chunk target of 16 rows, so every user is a
+    hot key and the chunked scan (markers across chunk borders) does the
+    work; same result and oracle as ``previous_jump``."""
+    ev = events(spark, sf_dir, "user_id", "event_id", "ts", "value")
+    ev = ev.withColumn("click_count", F.floor("value").cast("long") % 10)
+    ev = with_adaptive_chunks(ev, ["user_id"], F.unix_micros("ts"), target_rows=16)
+    out = rolling.previous_jump(ev, ["user_id"], ["ts", "event_id"], "click_count",
+                                chunk=F.col(ADAPTIVE_CHUNK), last_name="last_click_count")
+    return out.select("user_id", "event_id", epoch_ms("ts").alias("ts_ms"),
+                      "click_count", "last_click_count")
+
+
 # ------------------------------------------------------------- side output
 _SPLIT_COLS = "event_id, epoch_us(ts) // 1000 AS ts_ms, user_id, event_type, value"
 
@@ -292,6 +308,17 @@ def threshold_batches(spark, sf_dir):
     return summary.drop("closed")
 
 
+@register("threshold_batches_doubling", "W-2 hot-key path", REGISTRY["threshold_batches"].sql,
+          bench=False)
+def threshold_batches_doubling(spark, sf_dir):
+    """``threshold_batches`` with every store treated as a hot key
+    (``local_rows=0``): the boundaries come from distributed pointer
+    doubling instead of the local fold; same result and oracle."""
+    main, _side = quality.split(_store_events(spark, sf_dir), F.col("kind") == "error")
+    tagged = segments.assign_batches(main, "store", ["ts", "event_id"], "kind", local_rows=0)
+    return segments.batch_summary(tagged, "store", "ts", "event_id").drop("closed")
+
+
 @register("threshold_top_apps", "W-2 AGG-13 K-1", _THRESH_CTE + """
 SELECT store, batch_no, kind, rank, app, n FROM top
 """)
@@ -506,3 +533,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {name: q.sql.strip() for name, q in REGISTRY.items() if q.sql}
+
+
+def bench_queries() -> list[str]:
+    """Headline queries for the benchmark (alternative-path checks excluded)."""
+    return [name for name, q in REGISTRY.items() if q.bench]

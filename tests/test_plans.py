@@ -34,7 +34,7 @@ def test_order_dedup_is_hash_aggregate(spark):
 
 # The threshold fold of keys with at most LOCAL_FOLD_MAX_ROWS rows is one
 # bounded pandas group per key (hot keys take the JVM pointer-doubling path).
-PANDAS_FOLD = {"threshold_batches", "threshold_top_apps", "threshold_report"}
+PANDAS_FOLD = {"threshold_batches", "threshold_top_apps", "threshold_report", "threshold_batches_doubling"}
 
 
 @pytest.mark.parametrize("name", [n for n in catalog.REGISTRY if not n.startswith("stream_")])
