@@ -319,3 +319,18 @@ def test_open_batch_reported_on_request(spark):
     open_too = segments.app_counts(tagged, "store", "event_type", keep_open=True)
     assert rows(open_too.groupBy("batch_no").agg(F.sum("installs").alias("i")), "batch_no", "i") == [
         (1, 3), (2, 1)]
+
+
+def test_missing_value_text_and_map_report(spark):
+    from eventide.functions.render import min_max_line, or_missing
+    from eventide.operators.windows import counts_per_window_report
+    df = spark.createDataFrame([(None,), (5,)], "v BIGINT")
+    assert sorted(r[0] for r in df.select(or_missing("v")).collect()) == ["5", "No bookings"]
+    line = spark.range(1).select(min_max_line(F.lit("X"), F.lit(0), F.lit(2000),
+                                              F.lit(None).cast("long"), F.lit(3))).first()[0]
+    assert line == "Window [0 - 2000] Type X bookings count: Min=No bookings Max=3."
+    counts = spark.createDataFrame([(0, 10, "S2", 4), (0, 10, "S1", 2), (10, 20, "S1", 1)],
+                                   "window_start_ms BIGINT, window_end_ms BIGINT, store STRING, n BIGINT")
+    rep = {r.window_start_ms: r for r in counts_per_window_report(counts, "store", as_map=True).collect()}
+    assert rep[0].report == "ERROR RATE Store: S1 Error count: 2 Store: S2 Error count: 4"
+    assert rep[0].counts == {"S1": 2, "S2": 4} and rep[0].n_total == 6 and rep[10].n_keys == 1
