@@ -334,3 +334,13 @@ def test_missing_value_text_and_map_report(spark):
     rep = {r.window_start_ms: r for r in counts_per_window_report(counts, "store", as_map=True).collect()}
     assert rep[0].report == "ERROR RATE Store: S1 Error count: 2 Store: S2 Error count: 4"
     assert rep[0].counts == {"S1": 2, "S2": 4} and rep[0].n_total == 6 and rep[10].n_keys == 1
+
+
+def test_top_k_ties_break_by_name(spark):
+    counts = spark.createDataFrame(
+        [("s", 1, "C", 2, 0), ("s", 1, "A", 2, 0), ("s", 1, "B", 2, 1), ("s", 1, "D", 1, 1)],
+        "store STRING, batch_no BIGINT, app STRING, installs BIGINT, uninstalls BIGINT")
+    top = segments.top_apps(counts, "store", "app", top_n=2)
+    assert rows(top, "kind", "rank", "app", "n") == [
+        ("install", 1, "A", 2), ("install", 2, "B", 2),
+        ("uninstall", 1, "B", 1), ("uninstall", 2, "D", 1)]
