@@ -207,3 +207,11 @@ def test_stream_running_counts_and_concat(spark, tmp_path):
     q2.awaitTermination()
     assert rows(spark.table("concat_test"), "language", "text") == [
         ("en", "car, bus, course, house, "), ("ru", "машина, ")]
+
+
+def test_console_sink_prints(spark, tmp_path, capfd):
+    path, schema = _write(spark, tmp_path, "console", [("x", 1)], "k STRING, n INT")
+    q = sio.start(sio.read_parquet_stream(spark, path, schema), "console_test", sink="console",
+                  available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
