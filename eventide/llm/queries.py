@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from eventide.llm import mixing, packing, url_rules
+from eventide.llm import (attention_lm, grid_join, mixing, packing, rotated_codes, style_tree, toxic_spans, url_rules,
+                          weighted_minhash)
 
 QUERIES = {
+    "op2_rotated_codes": rotated_codes.op2_rotated_codes,
+    "op3_toxic_spans": toxic_spans.op3_toxic_spans,
+    "op4_attention_lm": attention_lm.op4_attention_lm,
+    "op5_style_tree": style_tree.op5_style_tree,
     "op6_mix": mixing.op6_mix,
+    "op7_grid_join": grid_join.op7_grid_join,
+    "op8_weighted_minhash": weighted_minhash.op8_weighted_minhash,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_pack": packing.op10_pack,
 }
-SQL = {"op9_url_rules": url_rules.OP9_SQL}
+SQL = {"op7_grid_join": grid_join.OP7_SQL, "op9_url_rules": url_rules.OP9_SQL}
