@@ -39,7 +39,11 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def grouped_arrow(df: DataFrame, keys: Sequence[str], fn, schema: str) -> DataFrame:
     """``applyInArrow`` on groups whose size the caller bounds."""
     _by_value()
-    return df.groupBy(*keys).applyInArrow(fn, schema)
+
+    def by_key(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        return fn(key, group)
+
+    return df.groupBy(*keys).applyInArrow(by_key, schema)
 
 
 def _by_value() -> None:

@@ -7,7 +7,8 @@ documents. A two-state chain is trained on these tags in numpy. Every text
 is then tagged whole: forward-backward marginals give the probability of each
 word, runs of likely words are the offending spans, and the strongest and the
 expected number of toxic words give the document's score by a logistic
-curve fitted on the same sample.
+curve fitted on the same sample, without the toxic documents that hold no
+tagged word.
 """
 
 from __future__ import annotations
@@ -132,14 +133,15 @@ def marginals(emit: np.ndarray, before: np.ndarray, trans: np.ndarray) -> np.nda
 
 def tag_words(index: np.ndarray, before: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Tags of the sample's words: in a toxic text, a word with a feature that is
-    found in at least 3 toxic texts and 20 times more often among toxic texts."""
+    found in at least 3 of the toxic texts and 1 in 250 of them, and 20 times
+    more often among toxic than among other texts."""
     doc = np.repeat(np.arange(len(toxic)), np.diff(before))
     pairs = np.unique(doc[None, :] * np.int64(1 << FEATURE_BITS) + index)
     feature, of = pairs & ((1 << FEATURE_BITS) - 1), toxic[pairs >> FEATURE_BITS]
     bad = np.bincount(feature[of], minlength=1 << FEATURE_BITS)
     good = np.bincount(feature[~of], minlength=1 << FEATURE_BITS)
     odds = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 0.5) / ((~toxic).sum() + 1))
-    sure = (bad >= 3) & (odds >= np.log(20))
+    sure = (bad >= max(3, toxic.sum() / 250)) & (odds >= np.log(20))
     return sure[index].any(axis=0) & toxic[doc]
 
 
@@ -202,7 +204,9 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 8, seed: int = 3) -
             bias = adam("b", bias, gap.mean(), rate)
     p = np.concatenate([marginals(weights[index[:, before[a]:before[b]]].sum(axis=0) + bias, before[a:b + 1] - before[a], trans)
                         for a, b in batches]) if batches else np.empty(0)
-    x, curve, y = document_view(p, before), np.zeros(3), label.astype(float)
+    # a toxic label without any tagged word teaches the curve nothing about words
+    told = ~label | (np.add.reduceat(np.append(tags, 0), before[:-1]) * (np.diff(before) > 0) > 0)
+    x, curve, y = document_view(p, before)[told], np.zeros(3), label[told].astype(float)
     for _ in range(25):
         q = 1 / (1 + np.exp(-np.clip(x @ curve, -30, 30)))
         h = (x * (q * (1 - q))[:, None]).T @ x + 1e-2 * np.eye(3)
