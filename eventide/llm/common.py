@@ -46,6 +46,16 @@ def grouped_arrow(df: DataFrame, keys: Sequence[str], fn, schema: str) -> DataFr
     return df.groupBy(*keys).applyInArrow(by_key, schema)
 
 
+def cogrouped_arrow(left: DataFrame, right: DataFrame, key: str, fn, schema: str) -> DataFrame:
+    """``applyInArrow`` on pairs of groups whose size the caller bounds."""
+    _by_value()
+
+    def by_key(key: tuple[pa.Scalar, ...], one: pa.Table, two: pa.Table) -> pa.Table:
+        return fn(key, one, two)
+
+    return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(by_key, schema)
+
+
 def _by_value() -> None:
     import eventide
     cloudpickle.register_pickle_by_value(eventide)

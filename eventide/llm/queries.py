@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from eventide.llm import (attention_lm, grid_join, mixing, packing, rotated_codes, style_tree, toxic_spans, url_rules,
-                          weighted_minhash)
+from eventide.llm import (attention_lm, grid_join, mixing, packing, rotated_codes, style_tree, suffix_dedup, toxic_spans,
+                          url_rules, weighted_minhash)
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_rotated_codes": rotated_codes.op2_rotated_codes,
     "op3_toxic_spans": toxic_spans.op3_toxic_spans,
     "op4_attention_lm": attention_lm.op4_attention_lm,
