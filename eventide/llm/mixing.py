@@ -92,20 +92,19 @@ def _extra(x: Column, block: int) -> Column:
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST_REPEATS, seed: int = 7,
-         block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, carry: Sequence[str] = ()) -> DataFrame:
+         block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, row: Column | None = None) -> DataFrame:
     """What the mix takes of every document: ``(id, source, size,
     source_size, target, taken)`` and, for :func:`cut`, the place of the
-    document on its shard's line and the shard's choice.
+    document on its shard's line, the shard's choice and the value of ``row``.
 
     Null texts have size 0 and are taken 0 times; a null source is a source of
-    its own, the last. Equal rows are documents of their own. ``carry`` names
-    columns to keep; no other column is read. Shards hold about
+    its own, the last. Equal rows are documents of their own. No other column is read. Shards hold about
     ``shard_words`` words, so a hot source is spread over many; the choice
     depends on ids, texts' sizes and ``seed`` only, so reruns agree.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     sized = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), size.alias("size"),
-                        *[F.col(c).alias(f"_carry_{c}") for c in carry])
+                        (F.lit(0) if row is None else row).alias("_row"))
     sized = stored(sized)
     src = targets(sized.select("source", "size"), weights, share, most)
     src = src.withColumn("_shards", F.ceil((F.col("source_size") + F.col("n_docs")) / F.lit(shard_words)).cast("long"))
@@ -132,17 +131,20 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     placed = placed.withColumn("_from", F.col("_to") - F.col("size"))
     out = join_on(placed, quota, ["source", "shard"])
     taken = (F.col("_times") * F.col("size") + _extra(F.col("_to"), block_words) - _extra(F.col("_from"), block_words))
-    return out.select(F.col("_id").alias(id_col), *[F.col(f"_carry_{c}").alias(c) for c in carry], "source", "size",
-                      "source_size", "target", taken.cast("long").alias("taken"), "_from", "_times", "_r", "_p", "_n")
+    return out.select(F.col("_id").alias(id_col), "source", "size",
+                      "source_size", "target", taken.cast("long").alias("taken"), "_row", "_from", "_times", "_r", "_p", "_n")
 
 
-def cut(docs: DataFrame, planned: DataFrame, id_col: str, text_col: str, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The mix itself: ``planned`` rows (which carry the text) become the rows
-    of the mix: one whole copy per full round, and one row with the words of
-    the chosen blocks, runs of blocks joined by a line break."""
-    others = [c for c in docs.columns if c != text_col]
-    docs_columns = list(docs.columns)
-    need = planned.filter("taken > 0").select(*docs.columns, "size", "_from", "_times", "_r", "_p", "_n")
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          block_words: int = BLOCK_WORDS, **how) -> DataFrame:
+    """The mix itself, in the columns of ``docs``: of every document one whole copy per
+    full round, and one row with the words of its chosen blocks, runs of
+    blocks joined by a line break. Documents of which nothing is taken go."""
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    planned = plan(docs, id_col, text_col, source_col, block_words=block_words, row=F.monotonically_increasing_id(), **how)
+    planned = planned.filter("taken > 0").select("_row", F.col("size").alias("_size"), "_from", "_times", "_r", "_p", "_n")
+    need = rows.join(planned, "_row").drop("_row")
+    others, columns = [c for c in docs.columns if c != text_col], docs.columns
 
     def emit(batches):
         import re
@@ -151,7 +153,7 @@ def cut(docs: DataFrame, planned: DataFrame, id_col: str, text_col: str, block_w
             cols = {c: batch.column(c) for c in others}
             rows, texts = [], []
             for i, (text, size, start, times, r, p, n) in enumerate(zip(
-                    *[batch.column(c).to_pylist() for c in (text_col, "size", "_from", "_times", "_r", "_p", "_n")])):
+                    *[batch.column(c).to_pylist() for c in (text_col, "_size", "_from", "_times", "_r", "_p", "_n")])):
                 rows += [i] * times
                 texts += [text] * times
                 runs, j = [], start // block_words
@@ -169,7 +171,7 @@ def cut(docs: DataFrame, planned: DataFrame, id_col: str, text_col: str, block_w
                     texts.append("\n".join(text[spans[a][0]:spans[b - 1][1]] for a, b in runs))
             at = pa.array(rows, pa.int64())
             data = {c: cols[c].take(at) for c in others} | {text_col: pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_arrays([data[f] for f in docs_columns], names=docs_columns)
+            yield pa.RecordBatch.from_arrays([data[f] for f in columns], names=columns)
 
     return map_arrow(need, emit, docs.schema)
 

@@ -23,6 +23,7 @@ suffix of the corpus at once:
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -432,9 +433,10 @@ def _suffix_spans(fetched: DataFrame, slabs: int, length: int) -> DataFrame:
     return grouped_arrow(fetched, ["bucket"], run, SPANS)
 
 
-def _cut(docs: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
+def _cut(docs: DataFrame, spans: DataFrame, with_text: bool, carry: Sequence[str]) -> DataFrame:
     """Step 4: per document the removed bytes and runs, and the hash or text of
     what is left. A character that a cut tears apart goes from the text."""
+    extra = [f"_c{i}" for i in range(len(carry))]
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.combine_chunks()
         data, off = utf8(left.column("text").combine_chunks())
@@ -454,24 +456,29 @@ def _cut(docs: DataFrame, spans: DataFrame, with_text: bool) -> DataFrame:
                      else data[off[i]:off[i + 1]].tobytes() for i in range(len(off) - 1)]
         kept = (pa.array([x.decode("utf-8", "ignore") for x in left_over], pa.string()) if with_text
                 else pa.array([hashlib.sha256(x).hexdigest() for x in left_over], pa.string()))
-        return pa.Table.from_arrays([left.column("r"), left.column("id"), pa.array(np.diff(off)), pa.array(np.diff(removed)),
-                                     pa.array(np.diff(runs)), kept], names=["r", "id", "n_bytes", "n_removed", "n_spans", "kept"])
+        return pa.Table.from_arrays(
+            [left.column("id"), pa.array(np.diff(off)), pa.array(np.diff(removed)), pa.array(np.diff(runs)), kept,
+             *[left.column(c) for c in extra]], names=["id", "n_bytes", "n_removed", "n_spans", "kept", *extra])
 
-    return cogrouped_arrow(docs, spans, "slab", run, "r long, id long, n_bytes long, n_removed long, n_spans long, kept string")
+    schema = "id long, n_bytes long, n_removed long, n_spans long, kept string" + "".join(
+        f", {c} {docs.schema[c].dataType.simpleString()}" for c in extra)
+    return cogrouped_arrow(docs, spans, "slab", run, schema).withColumnsRenamed(dict(zip(extra, carry)))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-                    bucket_bytes: int = BUCKET_BYTES, crowd: int = CROWD, with_text: bool = False) -> DataFrame:
-    """``(row, id, n_bytes, n_removed, n_spans, kept)`` per document; ``kept`` is the
-    SHA-256 of the remaining bytes, or with ``with_text`` the remaining text.
+                    bucket_bytes: int = BUCKET_BYTES, crowd: int = CROWD, with_text: bool = False,
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """``(id, n_bytes, n_removed, n_spans, kept)`` per document, and the columns
+    ``carry``; ``kept`` is the SHA-256 of the remaining bytes, or with ``with_text``
+    the remaining text.
 
     Null and empty texts have no bytes. Of equal ids the row read first comes first, null
-    ids come last. Texts are used whole; other columns are not read. ``row``
-    numbers the rows of ``docs`` as Spark reads them. A bucket or slab holds about
+    ids come last. Texts are used whole; no other columns are read. A bucket or slab holds about
     ``bucket_bytes`` of text, so their number grows with the corpus.
     """
     base = docs.select(F.monotonically_increasing_id().alias("r"), F.col(id_col).cast("long").alias("id"),
-                       text_column(docs, text_col).alias("text"))
+                       text_column(docs, text_col).alias("text"),
+                       *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
     total = docs.agg(F.sum(F.octet_length(text_column(docs, text_col)))).first()[0] or 0
     slabs = max(4, -(-total // (bucket_bytes // 2)))
     buckets = max(4, -(-total // bucket_bytes))
@@ -483,7 +490,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fetched = _fetch(dealt, matched.filter("fetch is not null").select("slab", "fetch"), rounds, length)
     more = _suffix_spans(fetched, slabs, length)
     spans = matched.filter("spans is not null").select("slab", "spans").unionByName(more.select("slab", "spans"))
-    return _cut(dealt, spans, with_text)
+    return _cut(dealt, spans, with_text, carry)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from eventide.llm.common import map_arrow, table, text_column, utf8, word_bounds
 from eventide.llm.weighted_minhash import slices
 
 #: Bound of the labelled sample: documents of either label, and bytes of text.
-SAMPLE_DOCS, SAMPLE_BYTES = 4000, 32 << 20
+SAMPLE_DOCS, SAMPLE_BYTES = 3000, 12 << 20
 FEATURE_BITS = 18
 BLOCK = 64
 FOLDS, HELD_FOLD = 5, 0
@@ -163,9 +163,13 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 8, seed: int = 3) -
     length, then the document curve by Newton steps."""
     order = np.argsort([len(t) for t in texts], kind="stable")
     column = pa.array([texts[i] for i in order], pa.large_string())
-    data, off = utf8(column)
-    index, _, _, before = word_features(data, off)
-    label = toxic[order]
+    parts, before = [], [0]
+    for a, b in slices(column, 1 << 20):
+        part, _, _, cut = word_features(*utf8(column.slice(a, b - a)))
+        parts.append(part)
+        before += (cut[1:] + before[-1]).tolist()
+    index, before, label = np.concatenate(parts, axis=1), np.array(before), toxic[order]
+    del parts, column
     tags = tag_words(index, before, label)
     weights, trans, bias = np.zeros(1 << FEATURE_BITS), np.zeros((2, 2)), -2.0
     state = {k: [0.0, 0.0] for k in ("w", "t", "b")}
@@ -244,6 +248,29 @@ def _hash_order():
     return Window.orderBy(F.xxhash64(F.lit(4), "_id"), "_id").rowsBetween(Window.unboundedPreceding, 0)
 
 
+def judged(m: Model, data: np.ndarray, off: np.ndarray):
+    """Scores of texts, with the probability and bounds of every word."""
+    index, starts, ends, before = word_features(data, off)
+    p = marginals(m.weights[index].sum(axis=0, dtype=np.float64) + m.bias, before, m.trans)
+    return 1 / (1 + np.exp(-np.clip(document_view(p, before) @ m.curve, -30, 30))), p, starts, ends, before
+
+
+def clean(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose text scores below ``least``."""
+    share = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+
+    def run(batches):
+        for batch in batches:
+            col = batch.column(len(names))
+            for a, b in slices(col):
+                value = judged(share.value, *utf8(col.slice(a, b - a)))[0]
+                part = batch.slice(a, b - a).filter(pa.array(value < least))
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(names))], names=names)
+
+    return map_arrow(docs.select(*docs.columns, text_column(docs, text_col).alias("_text_or_empty")), run, docs.schema)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", likely: float = 0.5) -> DataFrame:
     """``(id, score, predicted, n_spans, spans)`` of every document, scored by its
     whole text alone. ``spans`` are runs of words with a probability of at
@@ -257,10 +284,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             col = batch.column(1)
             for a, b in slices(col):
                 data, off = utf8(col.slice(a, b - a))
-                index, starts, ends, before = word_features(data, off)
-                emit = m.weights[index].sum(axis=0, dtype=np.float64) + m.bias
-                p = marginals(emit, before, m.trans)
-                value = 1 / (1 + np.exp(-np.clip(document_view(p, before) @ m.curve, -30, 30)))
+                value, p, starts, ends, before = judged(m, data, off)
                 hot = np.flatnonzero(p >= likely)
                 doc = np.searchsorted(before, hot, "right") - 1
                 new = np.concatenate([[True], (hot[1:] != hot[:-1] + 1) | (doc[1:] != doc[:-1])]) if len(hot) else np.empty(0, bool)
