@@ -23,16 +23,19 @@ def explode_tokens(df: DataFrame, text: str, keep: Sequence[str] | None = None,
                    pattern: str = TOKEN_SPLIT_REGEX, token_col: str = "token",
                    pos_col: str | None = None) -> DataFrame:
     """One row per token of the whole text (P-1), optionally only tokens in
-    ``keep`` (P-2). ``pos_col`` adds the 0-based token position."""
+    ``keep`` (P-2), which are picked before the rows are made. ``pos_col``
+    adds the 0-based token position."""
     arr = split_tokens(text, pattern)
     others = [c for c in df.columns if c != text]
     if pos_col is None:
-        out = df.select(*others, F.explode(arr).alias(token_col))
-    else:
-        out = df.select(*others, F.posexplode(arr).alias(pos_col, token_col))
+        if keep is not None:
+            arr = F.filter(arr, lambda t: t.isin(*keep))
+        return df.select(*others, F.explode(arr).alias(token_col))
+    items = F.transform(arr, lambda t, i: F.struct(i.alias("pos"), t.alias("tok")))
     if keep is not None:
-        out = out.filter(F.col(token_col).isin(*keep))
-    return out
+        items = F.filter(items, lambda x: x["tok"].isin(*keep))
+    return (df.select(*others, F.explode(items).alias("_tok"))
+            .select(*others, F.col("_tok.pos").alias(pos_col), F.col("_tok.tok").alias(token_col)))
 
 
 def article_flag(token: Column | str) -> Column:

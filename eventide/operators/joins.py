@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from eventide.constants import LATE_AFTER_SECONDS
 from eventide.functions.predicates import is_late
 from eventide.functions.timefn import micros_between
+from eventide.operators.quality import require
 
 IN_TIME, LATE, BEFORE_ORDER, ORPHAN = "in_time", "late", "before_order", "orphan"
 
@@ -70,7 +71,5 @@ def orphans(deliveries: DataFrame, orders: DataFrame, order_ref: str, order_id:
 def require_orders(classified: DataFrame) -> DataFrame:
     """Strict form of J-3 / VAL-2: fail the job on an orphan or a delivery
     before its order (the reference throws)."""
-    bad = F.col("status").isin(ORPHAN, BEFORE_ORDER)
-    return classified.withColumn(
-        "status", F.when(bad, F.raise_error(F.concat(F.lit("invalid delivery: "), F.col("status"))))
-        .otherwise(F.col("status")))
+    return require(classified, ~F.col("status").isin(ORPHAN, BEFORE_ORDER),
+                   F.concat(F.lit("invalid delivery: "), F.coalesce("status", F.lit("NULL"))))

@@ -16,11 +16,16 @@ def split(df: DataFrame, pred: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(null_safe_not(pred)), df.filter(pred)
 
 
+def require(df: DataFrame, ok: Column, message: Column) -> DataFrame:
+    """``df``, failing the job on a row where ``ok`` is not true. The check is a
+    row filter, so no column pruning and no ``count()`` skips it."""
+    return df.filter(F.assert_true(F.coalesce(ok, F.lit(False)), message).isNull())
+
+
 def check_domain(df: DataFrame, col: str, domain: Sequence[str]) -> DataFrame:
     """P-8 / VAL-3 strict: fail the job on a value outside ``domain``."""
-    ok = F.col(col).isin(*domain)
-    return df.withColumn(col, F.when(ok, F.col(col)).otherwise(
-        F.raise_error(F.concat(F.lit(f"invalid {col}: "), F.coalesce(F.col(col), F.lit("NULL"))))))
+    return require(df, F.col(col).isin(*domain),
+                   F.concat(F.lit(f"invalid {col}: "), F.coalesce(F.col(col).cast("string"), F.lit("NULL"))))
 
 
 def quarantine_domain(df: DataFrame, col: str, domain: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -2,17 +2,16 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` hashes every row of a key to
 one task; if one key holds a third of the data, that task sorts a third of
-the data. Here the caller also gives a *chunk* column that never decreases
-along the order within a key (for example the day of the timestamp). Rows are
-shuffled by ``(key, chunk)``, so a hot key spreads over as many tasks as it
-has chunks. What crosses a chunk border is carried by one extra *marker* row
-per ``(key, chunk)``: it holds the sum of all earlier chunks (for running
-sums) or the last row of the previous non-empty chunk (for previous values).
-The marker is built from a small partial aggregate (one row per chunk), is
-unioned into the data and sorts first in its chunk, so the ordinary window
-function picks it up. One shuffle of the data, no join back.
-
-Without a chunk the functions fall back to the plain window.
+the data. ``deal`` range-partitions the rows by (keys, order) instead, and the
+number of its range becomes a row's *chunk*. Ranges hold about equally many rows
+whatever the distribution of times is, equal times are split by the later
+order columns, and a key that fits into a range is one chunk. The window
+functions then run per (chunk, key).
+
+What crosses a chunk border is carried: ranges are contiguous, so at most one
+key of a chunk can go on from an earlier one. Only these keys are summed per
+chunk, and the table of carries has at most one row per range, a proven bound
+under which it is broadcast.
 """
 
 from __future__ import annotations
@@ -24,14 +23,7 @@ from pyspark.sql import functions as F
 
 from eventide.session import materialize
 
-_CHUNK = "_scan_chunk"
-_IS_ROW = "_scan_is_row"
-
-
-def time_chunk(ts: Column | str, width_seconds: int) -> Column:
-    """Chunk id that grows with time: ``floor(epoch_us / width)``."""
-    col = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(col) / F.lit(width_seconds * 1_000_000))
+CHUNK = "_scan_chunk"
 
 
 def value_chunk(value: Column | str, width: int) -> Column:
@@ -40,35 +32,30 @@ def value_chunk(value: Column | str, width: int) -> Column:
     return F.floor(col / F.lit(width))
 
 
-ADAPTIVE_CHUNK = "_scan_adaptive_chunk"
-TARGET_ROWS_PER_CHUNK = 2_000_000
+def deal(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """``df`` range-partitioned by (keys, order), NULLs first as in a window, with
+    the range number as column ``_scan_chunk``. ``ranges`` defaults to the
+    session's shuffle partitions; choose it so that a range fits a task. The
+    dealt rows are stored, so every later step sees the same ranges and the
+    input is read twice (once to sample the range bounds)."""
+    by = [F.col(c).asc_nulls_first() for c in (*keys, *order)]
+    dealt = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    return materialize(dealt.withColumn(CHUNK, F.spark_partition_id()), "dealt")
 
 
-def with_adaptive_chunks(df: DataFrame, keys: Sequence[str], value: Column,
-                         target_rows: int = TARGET_ROWS_PER_CHUNK) -> DataFrame:
-    """Add ``_scan_adaptive_chunk``: a chunk id per row that grows with the
-    numeric ``value`` (the first order column, e.g. ``unix_micros(ts)``).
+def _dealt(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    return df if CHUNK in df.columns else deal(df, keys, order)
 
-    One partial aggregate finds the *hot* keys, those with more than
-    ``target_rows`` rows; each gets a width that cuts its value range into
-    chunks of about ``target_rows`` rows (``floor(value / width)``). All
-    other keys are one chunk. At most ``rows / target_rows`` keys can be hot,
-    a proven bound, so the hot-key table is broadcast (no shuffle of the
-    data for the lookup). Pass ``F.col(ADAPTIVE_CHUNK)`` as ``chunk``.
-    """
-    keys = list(keys)
-    stats = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-             .filter(F.col("_n") > F.lit(target_rows)))
-    widths = stats.select(*keys, F.greatest(F.lit(1), F.ceil(
-        (F.col("_hi") - F.col("_lo") + F.lit(1)) * F.lit(target_rows) / F.col("_n"))).alias("_scan_width"))
-    # stored once: every later branch of the scan reads the stored table
-    # instead of aggregating the data again
-    widths = materialize(widths, "hot-key-widths")
-    tagged = join_on(df, F.broadcast(widths), keys, "left")
-    chunk = F.when(F.col("_scan_width").isNull(), F.lit(0).cast("long")).otherwise(
-        F.floor(value / F.col("_scan_width")))
-    return tagged.withColumn(ADAPTIVE_CHUNK, chunk).drop("_scan_width")
+
+def _spanning(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is the first or last of its chunk: only such
+    keys can lie in several chunks. The list of them has two rows per range."""
+    if not keys:
+        return df
+    edge = df.groupBy(CHUNK).agg(F.min(F.struct(*keys)).alias("_lo"), F.max(F.struct(*keys)).alias("_hi"))
+    edge = (edge.select(CHUNK, F.explode(F.array("_lo", "_hi")).alias("_k")).distinct()
+            .select(CHUNK, *[F.col(f"_k.{k}").alias(k) for k in keys]))
+    return join_on(df, F.broadcast(edge), [CHUNK, *keys], "left_semi")
 
 
 def _vname(name: str) -> str:
@@ -76,73 +63,48 @@ def _vname(name: str) -> str:
 
 
 def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                values: Mapping[str, Column], chunk: Column | None = None,
-                inclusive: bool = True) -> DataFrame:
+                values: Mapping[str, Column], inclusive: bool = True) -> DataFrame:
     """Add running sums of ``values`` per key along ``order``.
 
     ``order`` must be a total order within a key (add a tie-breaker).
     ``inclusive`` counts the current row; otherwise only earlier rows.
-    Results are never null (0 before the first row).
+    Results are never null (0 before the first row). ``df`` may have been
+    dealt already; the chunk column then stays on the result.
     """
-    keys, order = list(keys), list(order)
-    names = list(values)
-    base = df.withColumns({_vname(n): values[n] for n in names})
-    upper = Window.currentRow if inclusive else -1
-    if chunk is None:
-        w = (Window.partitionBy(*keys).orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, upper))
-        out = base.withColumns(
-            {n: F.coalesce(F.sum(_vname(n)).over(w), F.lit(0)) for n in names})
-        return out.drop(*[_vname(n) for n in names])
-
-    base = base.withColumn(_CHUNK, chunk)
-    totals = base.groupBy(*keys, _CHUNK).agg(
-        *[F.sum(_vname(n)).alias(_vname(n)) for n in names])
-    before = (Window.partitionBy(*keys).orderBy(_CHUNK)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    markers = totals.select(
-        *keys, _CHUNK,
-        *[F.sum(_vname(n)).over(before).alias(_vname(n)) for n in names],
-        F.lit(0).alias(_IS_ROW))
-    rows = base.withColumn(_IS_ROW, F.lit(1))
-    merged = rows.unionByName(markers, allowMissingColumns=True)
-    w = (Window.partitionBy(*keys, _CHUNK).orderBy(_IS_ROW, *order)
-         .rowsBetween(Window.unboundedPreceding, upper))
-    out = merged.withColumns(
-        {n: F.coalesce(F.sum(_vname(n)).over(w), F.lit(0)) for n in names})
-    return (out.filter(F.col(_IS_ROW) == 1)
-            .drop(_CHUNK, _IS_ROW, *[_vname(n) for n in names]))
+    keys, order, names = list(keys), list(order), list(values)
+    had = CHUNK in df.columns
+    base = _dealt(df, keys, order).withColumns({_vname(n): values[n] for n in names})
+    totals = _spanning(base, keys).groupBy(CHUNK, *keys).agg(*[F.sum(_vname(n)).alias(_vname(n)) for n in names])
+    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(CHUNK, *keys, *[F.sum(_vname(n)).over(before).alias(f"_scan_c_{n}") for n in names])
+    carry = carry.dropna(how="all", subset=[f"_scan_c_{n}" for n in names])
+    w = (Window.partitionBy(CHUNK, *keys).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow if inclusive else -1))
+    local = base.withColumns({n: F.sum(_vname(n)).over(w) for n in names})
+    out = join_on(local, F.broadcast(carry), [CHUNK, *keys], "left")
+    out = out.withColumns({n: F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_scan_c_{n}"), F.lit(0)) for n in names})
+    return out.drop(*[_vname(n) for n in names], *[f"_scan_c_{n}" for n in names], *([] if had else [CHUNK]))
 
 
 def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    values: Mapping[str, Column], chunk: Column | None = None,
-                    ) -> DataFrame:
+                    values: Mapping[str, Column], exists: str | None = None) -> DataFrame:
     """Add, per key, the values of the previous row along ``order`` (NULL
-    for the first row of a key). ``order`` columns are ascending and must be
-    a total order within a key."""
-    keys, order = list(keys), list(order)
-    names = list(values)
-    base = df.withColumns({_vname(n): values[n] for n in names})
-    if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = base.withColumns({n: F.lag(_vname(n), 1).over(w) for n in names})
-        return out.drop(*[_vname(n) for n in names])
-
-    base = base.withColumn(_CHUNK, chunk)
-    last = base.groupBy(*keys, _CHUNK).agg(
-        F.max_by(F.struct(*[F.col(_vname(n)).alias(n) for n in names]),
-                 F.struct(*order)).alias("_scan_last"))
-    prev_chunk = Window.partitionBy(*keys).orderBy(_CHUNK)
-    markers = (last.withColumn("_scan_carry", F.lag("_scan_last", 1).over(prev_chunk))
-               .select(*keys, _CHUNK,
-                       *[F.col(f"_scan_carry.{n}").alias(_vname(n)) for n in names],
-                       F.lit(0).alias(_IS_ROW)))
-    rows = base.withColumn(_IS_ROW, F.lit(1))
-    merged = rows.unionByName(markers, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, _CHUNK).orderBy(_IS_ROW, *order)
-    out = merged.withColumns({n: F.lag(_vname(n), 1).over(w) for n in names})
-    return (out.filter(F.col(_IS_ROW) == 1)
-            .drop(_CHUNK, _IS_ROW, *[_vname(n) for n in names]))
+    for the first row of a key), and with ``exists`` whether there is one.
+    ``order`` columns are ascending and must be a total order within a key."""
+    keys, order, names = list(keys), list(order), list(values)
+    had = CHUNK in df.columns
+    base = _dealt(df, keys, order).withColumns({_vname(n): values[n] for n in names})
+    row = F.struct(*[F.col(_vname(n)).alias(n) for n in names], F.lit(True).alias("_is"))
+    last = _spanning(base, keys).groupBy(CHUNK, *keys).agg(F.max_by(row, F.struct(*order)).alias("_scan_last"))
+    carry = last.select(CHUNK, *keys, F.lag("_scan_last").over(
+        Window.partitionBy(*keys).orderBy(CHUNK)).alias("_scan_carry")).filter("_scan_carry is not null")
+    local = base.withColumn("_scan_prev", F.lag(row).over(Window.partitionBy(CHUNK, *keys).orderBy(*order)))
+    out = join_on(local, F.broadcast(carry), [CHUNK, *keys], "left")
+    prev = F.coalesce(F.col("_scan_prev"), F.col("_scan_carry"))
+    out = out.withColumns({n: prev[n] for n in names})
+    if exists:
+        out = out.withColumn(exists, prev.isNotNull())
+    return out.drop("_scan_prev", "_scan_carry", *[_vname(n) for n in names], *([] if had else [CHUNK]))
 
 
 def segment_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -160,8 +122,8 @@ def segment_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     first row opens a segment), which a join adds to the rows.
     """
     keys, order, values = list(keys), list(order), list(values)
-    base = df.withColumn(_CHUNK, chunk)
-    w = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+    base = df.withColumn(CHUNK, chunk)
+    w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     prev = {c: F.lag(c).over(w) for c in values}
     cur = {c: F.col(c) for c in values}
     first = F.row_number().over(w) == 1
@@ -171,11 +133,11 @@ def segment_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     local = materialize(flagged.withColumn(
         "_seg_l", F.sum("_seg_f").over(w.rowsBetween(Window.unboundedPreceding, 0))), "segments")
     ordering = F.struct(*order)
-    summary = local.groupBy(*keys, _CHUNK).agg(
+    summary = local.groupBy(*keys, CHUNK).agg(
         F.min_by(F.struct(*values), ordering).alias("_seg_first"),
         F.max_by(F.struct(*values), ordering).alias("_seg_last"),
         F.sum("_seg_f").alias("_seg_inner"))
-    wc = Window.partitionBy(*keys).orderBy(_CHUNK)
+    wc = Window.partitionBy(*keys).orderBy(CHUNK)
     prev_last = F.lag("_seg_last").over(wc)
     opens = F.coalesce(starts({c: prev_last[c] for c in values},
                               {c: F.col("_seg_first")[c] for c in values}), F.lit(False))
@@ -184,9 +146,9 @@ def segment_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     summary = summary.withColumn("_seg_carry", F.coalesce(
         F.sum(F.col("_seg_inner") + F.col("_seg_b")).over(wc.rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)))
-    out = join_on(local, summary.select(*keys, _CHUNK, "_seg_carry", "_seg_b"), [*keys, _CHUNK])
+    out = join_on(local, summary.select(*keys, CHUNK, "_seg_carry", "_seg_b"), [*keys, CHUNK])
     return (out.withColumn(name, (F.col("_seg_carry") + F.col("_seg_b") + F.col("_seg_l")).cast("long"))
-            .drop(_CHUNK, "_seg_f", "_seg_l", "_seg_carry", "_seg_b"))
+            .drop(CHUNK, "_seg_f", "_seg_l", "_seg_carry", "_seg_b"))
 
 
 def run_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
@@ -198,9 +160,9 @@ def run_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Col
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                name: str = "rn", chunk: Column | None = None) -> DataFrame:
+                name: str = "rn") -> DataFrame:
     """1-based row number per key along ``order`` (a running count)."""
-    return prefix_sums(df, keys, order, {name: F.lit(1).cast("long")}, chunk=chunk)
+    return prefix_sums(df, keys, order, {name: F.lit(1).cast("long")})
 
 
 def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:

@@ -6,33 +6,28 @@ brings its installs to ``install_threshold`` or its uninstalls to
 belong to the batch but count for neither side. Rows after the last closing
 row form the open batch, which is not reported (``keep_open`` keeps it).
 
-A key with at most ``local_rows`` rows (1M by default) is one bounded
-pandas group, folded vectorized: cumulative counts and one ``searchsorted``
-per closed batch. Hot keys (at most rows / ``local_rows`` of them) take
-the distributed plan below, which holds no key in one task and passes
-nothing through the driver:
-
-1. One chunked scan numbers the rows per key (``rn``) and counts installs
-   (``ci``) and uninstalls (``cu``) so far.
-2. From a boundary with counts ``(ci, cu)`` the next boundary is
-   ``least(rn of the install with ci + T_i, rn of the uninstall with
-   cu + T_u)``: a pure function of the row, found for every candidate row
-   by two equi-joins on ``(key, count)``.
-3. The boundaries are the orbit of the start row under that function,
-   found by pointer doubling: round k doubles the jump table
-   (``J_{k+1} = J_k o J_k``, a self-join on ``(key, rn)``) and extends the
-   reached set with ``J_k(reached)``. After k rounds the first 2^k
-   boundaries of every key are known, so the number of rounds is
-   ``ceil(log2(batches + 1))``. Each round's tables are written to the
-   shared checkpoint folder and read back, which cuts the lineage. The orbit
-   is strictly increasing in ``rn``, so the reached set needs no dedup.
-4. A second chunked scan counts, per row, the boundaries before it: that
-   is the batch number.
+One plan for keys of any size; the data is shuffled a fixed number of
+times, whatever the number of batches:
+
+1. The chunked scan numbers the rows per key (``rn``) and counts installs
+   (``ci``) and uninstalls (``cu``) so far. From then on only integers that are
+   never NULL are looked at. A row that closes a batch at counts ``(ci, cu)`` is
+   followed by the earlier of the install number ``ci + T_i`` and the
+   uninstall number ``cu + T_u``.
+2. Up: whatever came before, the first batch to close in a chunk closes on
+   one of its first ``T_i`` installs or first ``T_u`` uninstalls. For each of
+   these *entries* a chunk gives the counts at the last batch it closes
+   (its exit). 64 chunks are one chunk of the next level, whose rows are
+   the entries below, until one chunk per key is left.
+3. Down: the top level is followed from the start of the key. It says
+   by which entry each chunk below is entered, and so on down to the rows that close
+   batches.
+4. A second scan counts, per row, the closing rows before it: that is the batch
+   number.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,150 +37,129 @@ from eventide.constants import (
     EVENT_INSTALL, EVENT_UNINSTALL, INSTALL_THRESHOLD, TOP_APPS, UNINSTALL_THRESHOLD)
 from eventide.functions.predicates import indicator
 from eventide.functions.render import top_apps_line
-from eventide.operators.scan import ADAPTIVE_CHUNK, join_on, prefix_sums, with_adaptive_chunks
+from eventide.operators.scan import CHUNK, deal, join_on, prefix_sums
 from eventide.session import materialize, python_workers_can_import
 
+FANOUT = 64
+_NODE = "_at long, rn long, ci long, cu long, inst boolean, xi long, xu long"
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: an eager reliable checkpoint into the shared
-    checkpoint folder (survives executor loss)."""
-    return materialize(df, "batches")
 
+def _successors(pdf, ti: int, tu: int):
+    """Index of the row that closes the batch after each row's exit, the
+    number of rows where there is none. Rows are sorted by ``rn``."""
+    import numpy as np
+    inst, n = pdf["inst"].to_numpy(bool), len(pdf)
+
+    def find(side, counts, wanted):
+        rows = np.flatnonzero(side)
+        have = counts[rows]
+        at = np.minimum(np.searchsorted(have, wanted), max(len(rows) - 1, 0))
+        return np.where(have[at] == wanted, rows[at], n) if len(rows) else np.full(n, n)
 
-LOCAL_FOLD_MAX_ROWS = 1_000_000  # rows a Python worker holds for one key
+    return np.minimum(find(inst, pdf["ci"].to_numpy(), pdf["xi"].to_numpy() + ti),
+                      find(~inst, pdf["cu"].to_numpy(), pdf["xu"].to_numpy() + tu))
 
 
-def _fold_frame(pdf, order, kind, iv, uv, ti, tu):
-    """One key's rows (pandas): rn, indicators, batch_no, is_boundary,
-    closed. Cumulative counts and one ``searchsorted`` per batch."""
+def _exits(pdf, ti: int, tu: int):
+    """The entries of one chunk, with the counts at their exits."""
     import numpy as np
-    pdf = pdf.sort_values(list(order), kind="stable").reset_index(drop=True)
-    n = len(pdf)
-    is_i = (pdf[kind] == iv).to_numpy()
-    is_u = (pdf[kind] == uv).to_numpy()
-    ci, cu = np.cumsum(is_i), np.cumsum(is_u)
-    bounds, base_i, base_u = [], 0, 0
-    while True:
-        end = min(int(np.searchsorted(ci, base_i + ti, "left")),
-                  int(np.searchsorted(cu, base_u + tu, "left")))
-        if end >= n:
+    pdf = pdf.sort_values("rn", kind="stable").reset_index(drop=True)
+    nxt = _successors(pdf, ti, tu)
+    last = np.where(nxt < len(pdf), nxt, np.arange(len(pdf)))
+    while True:                      # pointer doubling within the chunk
+        further = last[last]
+        if (further == last).all():
             break
-        bounds.append(end)
-        base_i, base_u = int(ci[end]), int(cu[end])
-    pos = np.arange(n)
-    b = np.asarray(bounds, dtype="int64")
-    batch = np.searchsorted(b, pos, "left") + 1
-    is_b = np.zeros(n, dtype="int32")
-    is_b[b] = 1
-    return pdf.assign(is_install=is_i.astype("int32"), is_uninstall=is_u.astype("int32"),
-                      rn=pos + 1, batch_no=batch.astype("int64"), is_boundary=is_b,
-                      closed=batch <= len(bounds))
+        last = further
+    inst = pdf["inst"].to_numpy(bool)
+    ci, cu = pdf["ci"].to_numpy(), pdf["cu"].to_numpy()
+    first_i = ci[inst].min() if inst.any() else 0
+    first_u = cu[~inst].min() if (~inst).any() else 0
+    entry = np.where(inst, ci < first_i + ti, cu < first_u + tu)
+    out = pdf[entry].copy()
+    out["xi"], out["xu"] = pdf["xi"].to_numpy()[last][entry], pdf["xu"].to_numpy()[last][entry]
+    return out
+
+
+def _closing(pdf, ti: int, tu: int):
+    """Rows of one chunk that close a batch, from its entry (NULL: from the
+    start of the key) on."""
+    import numpy as np
+    pdf = pdf.sort_values("rn", kind="stable").reset_index(drop=True)
+    nxt, n = _successors(pdf, ti, tu), len(pdf)
+    entry = pdf["_entry"].iloc[0]
+    if entry < 0:
+        inst = pdf["inst"].to_numpy(bool)
+        starts = np.flatnonzero(np.where(inst, pdf["ci"].to_numpy() == ti, pdf["cu"].to_numpy() == tu))
+        at = int(starts[0]) if len(starts) else n
+    else:
+        at = int(np.searchsorted(pdf["rn"].to_numpy(), entry))
+    rows = []
+    while at < n:
+        rows.append(at)
+        at = int(nxt[at])
+    return pdf.iloc[rows].drop(columns="_entry")
+
+
+def _closing_rows(nodes: DataFrame, key: str, ranges: int, ti: int, tu: int) -> DataFrame:
+    """Steps 2 and 3: ``(key, rn)`` of every row that closes a batch."""
+    kind = nodes.schema[key].dataType.simpleString()
+    schema = f"`{key}` {kind}, {_NODE}"
+    python_workers_can_import(nodes.sparkSession)
+
+    def group(level: int) -> Column:
+        return F.floor(F.col("_at") / F.lit(FANOUT ** level)).cast("long")
+
+    levels = [nodes]
+    while FANOUT ** (len(levels) - 1) < ranges:
+        here = levels[-1].withColumn("_g", group(len(levels) - 1))
+        up = here.groupBy(key, "_g").applyInPandas(
+            lambda pdf: _exits(pdf.drop(columns="_g"), ti, tu), schema)
+        levels.append(materialize(up, "entries"))
+    closing = None
+    for level in range(len(levels) - 1, -1, -1):
+        here = levels[level]
+        if closing is None:
+            here = here.withColumn("_g", F.lit(0).cast("long")).withColumn("_entry", F.lit(-1).cast("long"))
+        else:
+            entry = closing.select(key, group(level).alias("_g"), F.col("rn").alias("_entry"))
+            here = join_on(here.withColumn("_g", group(level)), entry, [key, "_g"])
+        closing = here.groupBy(key, "_g").applyInPandas(
+            lambda pdf: _closing(pdf.drop(columns="_g"), ti, tu), schema)
+    return closing.select(key, "rn")
 
 
 def assign_batches(df: DataFrame, key: str, order: Sequence[str], kind: str,
                    install_value: str = EVENT_INSTALL, uninstall_value: str = EVENT_UNINSTALL,
                    install_threshold: int = INSTALL_THRESHOLD,
                    uninstall_threshold: int = UNINSTALL_THRESHOLD,
-                   chunk: Column | None = None,
-                   local_rows: int = LOCAL_FOLD_MAX_ROWS) -> DataFrame:
+                   ranges: int | None = None) -> DataFrame:
     """Every row with ``rn``, ``is_install``, ``is_uninstall``, ``batch_no``
     (1-based), ``is_boundary`` (the row closes its batch) and ``closed``
-    (its batch has closed).
-
-    Keys with at most ``local_rows`` rows are folded in one pass, one
-    bounded group per key (``applyInPandas``, vectorized). Hot keys (at most
-    rows / ``local_rows`` of them, so their table is broadcast) take the
-    distributed pointer-doubling path, which never holds a key in one task.
-    """
+    (its batch has closed). ``ranges`` is the number of chunks the rows are
+    dealt into (see ``scan.deal``). NULL order values come first, as in a window."""
     if install_threshold < 1 or uninstall_threshold < 1:
         raise ValueError("thresholds must be at least 1")
-    spark = df.sparkSession
-    hot = materialize(df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-                      .filter(F.col("_rows") > F.lit(local_rows)).select(key), "hot-keys")
-    flagged = join_on(df, F.broadcast(hot.withColumn("_hot", F.lit(True))), [key], "left")
-    cold = flagged.filter(F.col("_hot").isNull()).drop("_hot")
-    python_workers_can_import(spark)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cold.schema)
-    schema += (", is_install int, is_uninstall int, rn bigint, batch_no bigint, "
-               "is_boundary int, closed boolean")
-    fold_args = (list(order), kind, install_value, uninstall_value, install_threshold,
-                 uninstall_threshold)
-    folded = cold.groupBy(key).applyInPandas(
-        lambda pdf: _fold_frame(pdf, *fold_args), schema)
-    if hot.count() == 0:
-        return folded
-    hot_rows = flagged.filter(F.col("_hot")).drop("_hot")
-    if chunk is None:
-        # hot keys are cut by the range of the first order column
-        first = hot_rows.schema[order[0]].dataType.simpleString()
-        value = F.unix_micros(order[0]) if first.startswith("timestamp") else F.col(order[0])
-        hot_rows = with_adaptive_chunks(hot_rows, [key], value)
-        chunk = F.col(ADAPTIVE_CHUNK)
-    doubled = _assign_batches_doubling(hot_rows, key, order, kind, install_value, uninstall_value,
-                                       install_threshold, uninstall_threshold, chunk)
-    return folded.unionByName(doubled.select(*folded.columns))
-
-
-def _assign_batches_doubling(df: DataFrame, key: str, order: Sequence[str], kind: str,
-                             install_value: str, uninstall_value: str,
-                             install_threshold: int, uninstall_threshold: int,
-                             chunk: Column | None) -> DataFrame:
-    """Pointer doubling (steps 1-4 of the module docstring)."""
     base = df.withColumns({"is_install": indicator(kind, install_value),
                            "is_uninstall": indicator(kind, uninstall_value)})
-    scanned = _cut(prefix_sums(base, [key], order, {
+    dealt = deal(base, [key], list(order), ranges)
+    scanned = materialize(prefix_sums(dealt, [key], order, {
         "rn": F.lit(1).cast("long"),
         "_ci": F.col("is_install").cast("long"),
-        "_cu": F.col("is_uninstall").cast("long")}, chunk=chunk))
-
-    inst = scanned.filter(F.col("is_install") == 1).select(
-        key, F.col("_ci").alias("_c"), F.col("rn").alias("_rn_i"))
-    unin = scanned.filter(F.col("is_uninstall") == 1).select(
-        key, F.col("_cu").alias("_c"), F.col("rn").alias("_rn_u"))
-    starts = scanned.select(key).distinct().select(
-        key, *[F.lit(0).cast("long").alias(c) for c in ("rn", "_ci", "_cu")])
-    cand = (scanned.filter((F.col("is_install") == 1) | (F.col("is_uninstall") == 1))
-            .select(key, "rn", "_ci", "_cu").unionByName(starts))
-    inst = inst.withColumn("_ci", F.col("_c") - F.lit(install_threshold)).drop("_c")
-    unin = unin.withColumn("_cu", F.col("_c") - F.lit(uninstall_threshold)).drop("_c")
-    jump = (join_on(join_on(cand, inst, [key, "_ci"], "left"), unin, [key, "_cu"], "left")
-            .select(key, "rn", F.least("_rn_i", "_rn_u").alias("to"))
-            .filter(F.col("to").isNotNull()))
-    jump = _cut(jump)
-
-    # Upper bound on batches per key -> number of doubling rounds.
-    bound = scanned.groupBy(key).agg(
-        (F.max("_ci") / install_threshold + F.max("_cu") / uninstall_threshold).alias("b")
-    ).agg(F.max("b")).first()[0] or 0
-    rounds = max(1, math.ceil(math.log2(math.floor(bound) + 2)))
-
-    # Round k writes J_k(reached) and J_{k+1} = J_k o J_k together: both
-    # depend only on round k-1, so one written table per round suffices.
-    reached = starts.select(key, "rn")
-    for k in range(rounds):
-        step = (join_on(reached, jump, [key, "rn"])
-                .select(key, F.col("to").alias("rn")))
-        parts = (reached.unionByName(step)
-                 .select(key, "rn", F.lit(None).cast("long").alias("to"), F.lit(0).alias("_t")))
-        if k + 1 < rounds:
-            hop = jump.select(key, F.col("rn").alias("_via"), F.col("to").alias("_to2"))
-            doubled = (join_on(jump.withColumnRenamed("to", "_via"), hop, [key, "_via"])
-                       .select(key, "rn", F.col("_to2").alias("to"), F.lit(1).alias("_t")))
-            parts = parts.unionByName(doubled)
-        both = _cut(parts)
-        reached = both.filter(F.col("_t") == 0).select(key, "rn")
-        jump = both.filter(F.col("_t") == 1).select(key, "rn", "to")
-
-    bounds = reached.filter(F.col("rn") > 0).withColumn("is_boundary", F.lit(1))
+        "_cu": F.col("is_uninstall").cast("long")}), "batches")
+    nodes = scanned.filter((F.col("is_install") == 1) | (F.col("is_uninstall") == 1)).select(
+        key, F.col(CHUNK).cast("long").alias("_at"), "rn", F.col("_ci").alias("ci"), F.col("_cu").alias("cu"),
+        (F.col("is_install") == 1).alias("inst"), F.col("_ci").alias("xi"), F.col("_cu").alias("xu"))
+    bounds = materialize(_closing_rows(nodes, key, dealt.rdd.getNumPartitions(),
+                                       install_threshold, uninstall_threshold), "closing rows")
     n_bounds = bounds.groupBy(key).agg(F.count(F.lit(1)).alias("_n_bounds"))
-    tagged = (join_on(scanned, bounds, [key, "rn"], "left")
+    tagged = (join_on(scanned, bounds.withColumn("is_boundary", F.lit(1)), [key, "rn"], "left")
               .withColumn("is_boundary", F.coalesce("is_boundary", F.lit(0))))
-    tagged = prefix_sums(tagged, [key], order, {"_before": F.col("is_boundary").cast("long")},
-                         chunk=chunk, inclusive=False)
+    tagged = prefix_sums(tagged, [key], order, {"_before": F.col("is_boundary").cast("long")}, inclusive=False)
     tagged = (join_on(tagged, n_bounds, [key], "left")
               .withColumn("batch_no", F.col("_before") + F.lit(1))
               .withColumn("closed", F.col("batch_no") <= F.coalesce("_n_bounds", F.lit(0))))
-    return tagged.drop("_ci", "_cu", "_before", "_n_bounds")
+    return tagged.drop("_ci", "_cu", "_before", "_n_bounds", CHUNK)
 
 
 def batch_summary(tagged: DataFrame, key: str, time_col: str, id_col: str,

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.timefn import epoch_us
@@ -78,11 +78,11 @@ def assign_global_sessions(df: DataFrame, time_col: str, gap_ms: int,
         tagged.groupBy(*keys, "_b").agg(F.min("_us").alias("lo"), F.max("_us").alias("hi")),
         "session-buckets")
     sids = _session_ids(buckets, gap_us, keys)
-    span = Window.partitionBy(*keys, "_sid")
-    sids = sids.select(
+    span = sids.groupBy(*keys, "_sid").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"))
+    sids = join_on(sids.select(*keys, "_sid", "_b"), span, [*keys, "_sid"]).select(
         *keys, "_b", F.col("_sid").alias("session_id"),
-        F.unix_millis(F.timestamp_micros(F.min("lo").over(span))).alias("session_start_ms"),
-        F.unix_millis(F.timestamp_micros(F.max("hi").over(span) + F.lit(gap_us))).alias("session_end_ms"))
+        F.unix_millis(F.timestamp_micros(F.col("_lo"))).alias("session_start_ms"),
+        F.unix_millis(F.timestamp_micros(F.col("_hi") + F.lit(gap_us))).alias("session_end_ms"))
     return join_on(tagged, sids, [*keys, "_b"]).drop("_us", "_b")
 
 
@@ -107,6 +107,8 @@ def busiest_window(df: DataFrame, time_col: str, size_ms: int, slide_ms: int,
     counts = (window_counts(df, time_col, size_ms, slide_ms=slide_ms, name=count_name,
                             keep_window=True)
               .withColumn("_wt", F.window_time("window")).drop("window"))
+    # one row per window; read twice below (bucket table and rows)
+    counts = materialize(counts, "window-counts")
     tagged = assign_global_sessions(counts, "_wt", session_gap_ms)
     best = tagged.groupBy("session_id").agg(
         F.max_by(F.struct("window_start_ms", "window_end_ms", count_name),

@@ -21,7 +21,7 @@ from eventide.functions.timefn import epoch_ms, rebase_ms
 from eventide.operators import (joins, periods, quality, rolling, segments, sessions,
                                 weights, windows)
 from eventide.sources import files
-from eventide.operators.scan import ADAPTIVE_CHUNK, with_adaptive_chunks
+from eventide.operators.scan import CHUNK, deal
 from eventide.sources.tables import events, table
 from eventide.session import materialize, scratch_path, use_utc
 
@@ -34,15 +34,14 @@ class Query:
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None
     ops: str
-    bench: bool = True   # False: a correctness check of an alternative path
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, ops: str, sql: str | None, bench: bool = True):
+def register(name: str, ops: str, sql: str | None):
     def wrap(fn):
-        REGISTRY[name] = Query(name, fn, sql, ops, bench)
+        REGISTRY[name] = Query(name, fn, sql, ops)
         return fn
     return wrap
 
@@ -71,11 +70,9 @@ FROM t WHERE token IN ('the', 'a')
 """)
 def article_running(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    # split the whole texts once; the kept tokens are read three times below
+    # split the whole texts once; the kept tokens are read twice below
     toks = materialize(explode_tokens(docs, "text", keep=ARTICLES, pos_col="pos"), "article-tokens")
-    toks = with_adaptive_chunks(toks, ["token"], F.col("doc_id"))
-    return rolling.running_counts(toks, ["token"], ["doc_id", "pos"],
-                                  chunk=F.col(ADAPTIVE_CHUNK)).drop(ADAPTIVE_CHUNK)
+    return rolling.running_counts(toks, ["token"], ["doc_id", "pos"])
 
 
 # -------------------------------------------------------------- Q2 concat
@@ -86,9 +83,7 @@ FROM orders GROUP BY o_custkey
 def concat_per_key(spark, sf_dir):
     o = table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderpriority")
     o = o.withColumn("token", F.concat("o_orderpriority", F.lit(", ")))
-    o = with_adaptive_chunks(o, ["o_custkey"], F.col("o_orderkey"))
-    return rolling.ordered_concat(o, ["o_custkey"], ["o_orderkey"], "token",
-                                  chunk=F.col(ADAPTIVE_CHUNK))
+    return rolling.ordered_concat(o, ["o_custkey"], ["o_orderkey"], "token")
 
 
 @register("concat_running", "AGG-2 W-6 F-3", """
@@ -101,9 +96,7 @@ FROM orders
 def concat_running(spark, sf_dir):
     o = table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderpriority")
     o = o.withColumn("token", F.concat("o_orderpriority", F.lit(", ")))
-    o = with_adaptive_chunks(o, ["o_custkey"], F.col("o_orderkey"))
-    out = rolling.running_concat(o, ["o_custkey"], ["o_orderkey"], "token",
-                                 chunk=F.col(ADAPTIVE_CHUNK))
+    out = rolling.running_concat(o, ["o_custkey"], ["o_orderkey"], "token")
     return out.select("o_custkey", "o_orderkey", "text")
 
 
@@ -146,24 +139,22 @@ FROM l WHERE click_count = 0 OR click_count - last_click_count > 5
 def previous_jump(spark, sf_dir):
     ev = events(spark, sf_dir, "user_id", "event_id", "ts", "value")
     ev = ev.withColumn("click_count", F.floor("value").cast("long") % 10)
-    ev = with_adaptive_chunks(ev, ["user_id"], F.unix_micros("ts"))
     out = rolling.previous_jump(ev, ["user_id"], ["ts", "event_id"], "click_count",
-                                chunk=F.col(ADAPTIVE_CHUNK), last_name="last_click_count")
+                                last_name="last_click_count")
     return out.select("user_id", "event_id", epoch_ms("ts").alias("ts_ms"),
                       "click_count", "last_click_count")
 
 
-@register("previous_jump_chunked", "W-1 P-10 hot-key path", REGISTRY["previous_jump"].sql,
-          bench=False)
+@register("previous_jump_chunked", "W-1 P-10 over many ranges", REGISTRY["previous_jump"].sql)
 def previous_jump_chunked(spark, sf_dir):
-    """``previous_jump`` with a chunk target of 16 rows, so every user is a
-    hot key and the chunked scan (markers across chunk borders) does the
-    work; same result and oracle as ``previous_jump``."""
+    """``previous_jump`` over 512 small ranges, so that many users span
+    ranges and the previous value is carried across their borders; same result and oracle as
+    ``previous_jump``."""
     ev = events(spark, sf_dir, "user_id", "event_id", "ts", "value")
     ev = ev.withColumn("click_count", F.floor("value").cast("long") % 10)
-    ev = with_adaptive_chunks(ev, ["user_id"], F.unix_micros("ts"), target_rows=16)
+    ev = deal(ev, ["user_id"], ["ts", "event_id"], ranges=512)
     out = rolling.previous_jump(ev, ["user_id"], ["ts", "event_id"], "click_count",
-                                chunk=F.col(ADAPTIVE_CHUNK), last_name="last_click_count")
+                                last_name="last_click_count").drop(CHUNK)
     return out.select("user_id", "event_id", epoch_ms("ts").alias("ts_ms"),
                       "click_count", "last_click_count")
 
@@ -308,14 +299,12 @@ def threshold_batches(spark, sf_dir):
     return summary.drop("closed")
 
 
-@register("threshold_batches_doubling", "W-2 hot-key path", REGISTRY["threshold_batches"].sql,
-          bench=False)
+@register("threshold_batches_doubling", "W-2 over many ranges", REGISTRY["threshold_batches"].sql)
 def threshold_batches_doubling(spark, sf_dir):
-    """``threshold_batches`` with every store treated as a hot key
-    (``local_rows=0``): the boundaries come from distributed pointer
-    doubling instead of the local fold; same result and oracle."""
+    """``threshold_batches`` over 96 small ranges: every store lies in many chunks
+    and their exits are chained over two levels; same result and oracle."""
     main, _side = quality.split(_store_events(spark, sf_dir), F.col("kind") == "error")
-    tagged = segments.assign_batches(main, "store", ["ts", "event_id"], "kind", local_rows=0)
+    tagged = segments.assign_batches(main, "store", ["ts", "event_id"], "kind", ranges=96)
     return segments.batch_summary(tagged, "store", "ts", "event_id").drop("closed")
 
 
@@ -536,5 +525,5 @@ def oracle_sql() -> dict[str, str]:
 
 
 def bench_queries() -> list[str]:
-    """Headline queries for the benchmark (alternative-path checks excluded)."""
-    return [name for name, q in REGISTRY.items() if q.bench]
+    """All queries of this catalog."""
+    return list(REGISTRY)

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.operators.quality import require
+
 # --- fixed values: comment CSV layout (column order of the input file) ------
 COMMENT_SCHEMA = "commentId STRING, time BIGINT, user STRING, topic STRING, acronim STRING"
 COMMENT_COLUMNS = ("commentId", "time", "user", "topic", "acronym")
@@ -59,17 +61,17 @@ def sort_comments_file(spark: SparkSession, src: str, dst: str) -> None:
 
 def read_weights(spark: SparkSession, path: str) -> DataFrame:
     """SRC-6: the weight document flattened to (dimension, pos, name,
-    probability). A malformed document or a missing name/probability fails
-    the load."""
+    probability). A malformed document, a missing section or a missing
+    name or probability fails the load."""
     doc = (spark.read.schema(WEIGHTS_SCHEMA).option("multiLine", True)
            .option("mode", "FAILFAST").json(path))
-    parts = [doc.select(F.lit(dim).alias("dimension"), F.posexplode(dim).alias("pos", "item"))
-             for dim in WEIGHT_DIMENSIONS]
-    flat = parts[0]
-    for p in parts[1:]:
-        flat = flat.unionByName(p)
+    for dim in WEIGHT_DIMENSIONS:
+        doc = require(doc, F.col(dim).isNotNull(), F.lit(f"the weight document has no section {dim}"))
+    sections = F.array(*[F.struct(F.lit(dim).alias("dimension"), F.col(dim).alias("items"))
+                         for dim in WEIGHT_DIMENSIONS])
+    flat = (doc.select(F.explode(sections).alias("s"))
+            .select("s.dimension", F.posexplode("s.items").alias("pos", "item")))
     flat = flat.select("dimension", "pos", F.col("item.name").alias("name"),
                        F.col("item.probability").alias("probability"))
-    bad = F.col("name").isNull() | F.col("probability").isNull()
-    return flat.withColumn("name", F.when(bad, F.raise_error(
-        F.concat(F.lit("invalid weight entry in "), F.col("dimension")))).otherwise(F.col("name")))
+    return require(flat, F.col("name").isNotNull() & F.col("probability").isNotNull(),
+                   F.concat(F.lit("invalid weight entry in "), F.col("dimension")))

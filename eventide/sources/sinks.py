@@ -10,9 +10,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
-def print_rows(df: DataFrame, n: int = 20) -> None:
-    """SNK-1: print a result (bounded; the full result stays distributed)."""
-    df.show(n, truncate=False)
+def print_rows(df: DataFrame) -> None:
+    """SNK-1: print each row, untruncated. Rows come to the driver one
+    partition at a time, so the driver holds one partition, not the result."""
+    names = df.columns
+    for row in df.toLocalIterator():
+        print(" ".join(f"{n}={v}" for n, v in zip(names, row)), flush=True)
 
 
 def fan_out(source: DataFrame, *reports: Callable[[DataFrame], None]) -> None:

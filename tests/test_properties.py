@@ -11,7 +11,7 @@ from conftest import T0_MS, at, rows
 from eventide import constants as K
 from eventide.functions.timefn import time_of_day
 from eventide.operators import periods, quality, segments, sessions, weights
-from eventide.operators.scan import prefix_sums, previous_values, value_chunk
+from eventide.operators.scan import CHUNK, deal, prefix_sums, previous_values, value_chunk
 from eventide.sources import files
 
 
@@ -28,13 +28,11 @@ def _fold_batches(kinds, ti, tu):
     return out + [(b, False) for b in pending]
 
 
-@pytest.mark.parametrize("seed,ti,tu,local_rows,chunked", [
-    (1, 3, 2, 0, True), (2, 5, 3, 0, True), (3, 1, 1, 0, True), (4, 7, 4, 0, True),
-    (1, 3, 2, 10**9, True), (4, 7, 4, 60, True), (2, 5, 3, 0, False)])
-def test_threshold_batches_match_fold(spark, seed, ti, tu, local_rows, chunked):
-    """local_rows=0: every key takes the distributed doubling path; 10**9:
-    every key is folded locally; 60: a mix. Unchunked: the doubling path
-    chunks hot keys itself."""
+@pytest.mark.parametrize("seed,ti,tu,ranges", [
+    (1, 3, 2, 1), (2, 5, 3, 4), (3, 1, 1, 9), (4, 7, 4, 70), (5, 40, 30, 150)])
+def test_threshold_batches_match_fold(spark, seed, ti, tu, ranges):
+    """One range per table up to ranges of one or two rows, whose exits are
+    chained over two levels."""
     rnd = random.Random(seed)
     data = []
     for key in ("k0", "k1", None):
@@ -42,9 +40,7 @@ def test_threshold_batches_match_fold(spark, seed, ti, tu, local_rows, chunked):
             data.append((key, i, rnd.choice(["install", "uninstall", "page_view", "install"])))
     df = spark.createDataFrame(data, "store STRING, ord INT, event_type STRING")
     tagged = segments.assign_batches(df, "store", ["ord"], "event_type", install_threshold=ti,
-                                     uninstall_threshold=tu,
-                                     chunk=value_chunk("ord", 16) if chunked else None,
-                                     local_rows=local_rows)
+                                     uninstall_threshold=tu, ranges=ranges)
     got = {(r.store, r.ord): (r.batch_no, r.closed) for r in tagged.collect()}
     for key in ("k0", "k1", None):
         kinds = [t for k, _o, t in data if k == key]
@@ -61,24 +57,73 @@ def test_thresholds_on_neighbouring_rows(spark):
     df = spark.createDataFrame([("s", i, k) for i, k in enumerate(kinds)],
                                "store STRING, ord INT, event_type STRING")
     t = segments.assign_batches(df, "store", ["ord"], "event_type", install_threshold=2,
-                                uninstall_threshold=2, local_rows=0)
+                                uninstall_threshold=2)
     assert rows(t, "ord", "batch_no", "closed") == [(0, 1, True), (1, 1, True), (2, 1, True),
                                                     (3, 2, False)]
 
 
-def test_scan_chunked_equals_plain(spark):
+@pytest.mark.parametrize("kind", ["TIMESTAMP", "DATE", "STRING", "BIGINT"])
+def test_threshold_order_types_nulls_and_big_numbers(spark, kind):
+    """NULL order values come first; a nullable BIGINT payload beyond 2^53
+    comes back exactly."""
+    rnd = random.Random(11)
+    data = [(None if i % 7 == 0 else i, i, rnd.choice(["install", "uninstall", "page_view"]),
+             None if i % 5 == 0 else 9007199254740993 + i) for i in range(90)]
+    df = spark.createDataFrame(data, "n INT, id INT, event_type STRING, big BIGINT").withColumn("store", F.lit("s"))
+    col = {"TIMESTAMP": F.timestamp_seconds("n"), "DATE": F.date_add(F.lit("2024-01-01"), F.col("n")),
+           "STRING": F.lpad(F.col("n").cast("string"), 4, "0"), "BIGINT": F.col("n").cast("long")}[kind]
+    df = df.withColumn("t", col)
+    want_rows = sorted(data, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = dict(zip([r[1] for r in want_rows], _fold_batches([r[2] for r in want_rows], 4, 3)))
+    for ranges in (1, 13):
+        got = segments.assign_batches(df, "store", ["t", "id"], "event_type", install_threshold=4,
+                                      uninstall_threshold=3, ranges=ranges).collect()
+        assert {r.id: (r.batch_no, r.closed) for r in got} == want
+        assert {r.id: r.big for r in got} == {r[1]: r[3] for r in data}
+
+
+def test_scan_over_many_ranges_equals_one(spark):
     rnd = random.Random(7)
-    data = [(rnd.choice(["a", "b", None]), i, rnd.randint(0, 9)) for i in range(500)]
+    data = [(rnd.choice(["a", "b", None]), i, rnd.choice([None, 0, 3, 9])) for i in range(500)]
     df = spark.createDataFrame(data, "k STRING, o INT, v INT").repartition(7)
-    plain = previous_values(prefix_sums(df, ["k"], ["o"], {"s": F.col("v")}), ["k"], ["o"],
-                            {"p": F.col("v")})
-    chunked = previous_values(
-        prefix_sums(df, ["k"], ["o"], {"s": F.col("v")}, chunk=value_chunk("o", 37)),
-        ["k"], ["o"], {"p": F.col("v")}, chunk=value_chunk("o", 37))
-    assert rows(plain, "o", "s", "p") == rows(chunked, "o", "s", "p")
-    excl = prefix_sums(df, ["k"], ["o"], {"s": F.col("v")}, chunk=value_chunk("o", 50),
-                       inclusive=False)
-    assert rows(excl.withColumn("s", F.col("s") + F.col("v")), "o", "s") == rows(plain, "o", "s")
+    results = []
+    for ranges in (1, 3, 40):
+        d = deal(df, ["k"], ["o"], ranges)
+        out = previous_values(prefix_sums(d, ["k"], ["o"], {"s": F.col("v")}), ["k"], ["o"],
+                              {"p": F.col("v")}, exists="e")
+        excl = prefix_sums(d, ["k"], ["o"], {"x": F.col("v")}, inclusive=False)
+        results.append((rows(out, "o", "s", "e"), sorted((r.o, str(r.p)) for r in out.collect()), rows(excl, "o", "x")))
+    assert results[0] == results[1] == results[2]
+    running, prev = {}, {}
+    for k, o, v in data:
+        x = running.get(k, 0)
+        assert (o, x) in results[0][2] and (o, x + (v or 0), k in prev) in results[0][0]
+        assert (o, str(prev.get(k))) in results[0][1]
+        running[k], prev[k] = x + (v or 0), v
+
+
+def test_scan_without_keys_and_on_an_empty_table(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(50)], "o INT, v INT")
+    out = prefix_sums(deal(df, [], ["o"], 6), [], ["o"], {"s": F.col("v")})
+    assert rows(out, "o", "s")[-1] == (49, sum(i % 3 for i in range(50)))
+    assert prefix_sums(df.limit(0), [], ["o"], {"s": F.col("v")}).count() == 0
+
+
+def test_ranges_are_even_for_a_hot_key_skewed_in_time(spark):
+    """One key of 2.2M rows over a year, all but one of them within a day and
+    with many equal times: no range holds more than twice its share."""
+    n, ranges = 2_200_000, 20
+    day = 86_400_000_000
+    df = spark.range(n).select(
+        F.lit("hot").alias("k"), F.col("id"),
+        F.timestamp_micros(F.when(F.col("id") == 0, F.lit(0)).otherwise(
+            F.lit(364 * day) + (F.col("id") % 1000) * 80_000_000)).alias("t"))
+    d = deal(df, ["k"], ["t", "id"], ranges)
+    sizes = [r["count"] for r in d.groupBy(CHUNK).count().collect()]
+    assert max(sizes) <= 2 * n / ranges and len(sizes) == ranges
+    last = prefix_sums(d, ["k"], ["t", "id"], {"rn": F.lit(1).cast("long")}).agg(
+        F.max("rn"), F.countDistinct("rn"), F.min("rn")).first()
+    assert tuple(last) == (n, n, 1)
 
 
 def test_global_sessions_match_gap_rule(spark):
@@ -181,12 +226,13 @@ def test_weights_json_and_assignment(spark, tmp_path):
         files.read_weights(spark, str(bad)).collect()
 
 
-def test_weights_shuffled_path(spark, monkeypatch):
-    monkeypatch.setattr(weights, "MAX_BROADCAST_ITEMS", 0)
-    ps = spark.createDataFrame([(0.0,), (0.25,), (0.2501,), (0.75,), (0.76,)], "p DOUBLE")
-    got = rows(weights.assign(ps, "p", weights.weights_frame(spark), "stores", "store"), "p", "store")
-    assert [s for _p, s in got] == ["HuaweiAppStore", "HuaweiAppStore", "AppleAppStore",
-                                    "GooglePlay", "RuStore"]
+def test_oversized_or_missing_weight_table_is_refused(spark, monkeypatch):
+    ps = spark.createDataFrame([(0.5,)], "p DOUBLE")
+    with pytest.raises(ValueError):
+        weights.assign(ps, "p", weights.weights_frame(spark), "no such dimension", "store")
+    monkeypatch.setattr(weights, "MAX_ITEMS", 3)
+    with pytest.raises(ValueError):
+        weights.assign(ps, "p", weights.weights_frame(spark), "stores", "store")
 
 
 def test_sorted_csv_round_trip(spark, tmp_path):
@@ -210,17 +256,6 @@ def test_batch_fan_out_and_tee(spark):
     assert seen == [2, 1]
 
 
-def test_adaptive_chunks_split_only_hot_keys(spark):
-    from eventide.operators.scan import ADAPTIVE_CHUNK, with_adaptive_chunks
-    data = [("hot", i) for i in range(1000)] + [("cold", i) for i in range(50)] + [(None, 7)]
-    df = spark.createDataFrame(data, "k STRING, v BIGINT")
-    tagged = with_adaptive_chunks(df, ["k"], F.col("v"), target_rows=100)
-    chunks = {k: n for k, n in tagged.groupBy("k").agg(F.countDistinct(ADAPTIVE_CHUNK)).collect()}
-    assert chunks["cold"] == 1 and chunks[None] == 1 and 8 <= chunks["hot"] <= 12
-    sums = prefix_sums(tagged, ["k"], ["v"], {"n": F.lit(1)}, chunk=F.col(ADAPTIVE_CHUNK))
-    assert rows(sums.filter("k = 'hot'"), "v", "n")[-1] == (999, 1000)
-
-
 def test_strict_modes_raise(spark):
     from eventide.functions.timefn import parse_instant
     from eventide.operators import joins
@@ -249,25 +284,124 @@ def test_lateness_exactly_deadline_is_in_time(spark):
     assert rows(c, "did", "status") == [("d1", "in_time"), ("d2", "late")]
 
 
-def test_hot_key_path_on_table_data(spark):
-    """Every user of the sf0.001 events made 'hot' (target 5 rows per chunk):
-    the chunked previous-value and running-count results equal the plain
-    window's."""
+def test_many_ranges_on_table_data(spark):
+    """Previous-value and running-count results of the sf0.001 events do not
+    depend on the number of ranges."""
     from eventide.operators import rolling
-    from eventide.operators.scan import ADAPTIVE_CHUNK, with_adaptive_chunks
     from eventide.sources.tables import events
     ev = events(spark, "/root/testdata/sf0.001", "user_id", "event_id", "ts", "value")
     ev = ev.withColumn("c", F.floor("value").cast("long") % 10)
-    hot = with_adaptive_chunks(ev, ["user_id"], F.unix_micros("ts"), target_rows=5)
-    assert hot.select("user_id", ADAPTIVE_CHUNK).distinct().count() > 2 * hot.select("user_id").distinct().count()
-    a = rolling.previous_jump(hot, ["user_id"], ["ts", "event_id"], "c", chunk=F.col(ADAPTIVE_CHUNK))
-    b = rolling.previous_jump(ev, ["user_id"], ["ts", "event_id"], "c")
+    many = deal(ev, ["user_id"], ["ts", "event_id"], 64)
+    a = rolling.previous_jump(many, ["user_id"], ["ts", "event_id"], "c")
+    b = rolling.previous_jump(deal(ev, ["user_id"], ["ts", "event_id"], 1), ["user_id"], ["ts", "event_id"], "c")
     assert rows(a, "event_id", "last_value") == rows(b, "event_id", "last_value")
-    ra = rolling.running_counts(hot, ["user_id"], ["ts", "event_id"], chunk=F.col(ADAPTIVE_CHUNK))
+    ra = rolling.running_counts(many, ["user_id"], ["ts", "event_id"])
     rb = rolling.running_counts(ev, ["user_id"], ["ts", "event_id"])
     assert rows(ra, "event_id", "running_count") == rows(rb, "event_id", "running_count")
 
 
+def test_null_previous_value_is_not_zero(spark):
+    from eventide.operators import rolling
+    df = spark.createDataFrame([("u", 1, 9), ("u", 2, None), ("u", 3, 8), ("u", 4, 15)], "k STRING, o INT, v BIGINT")
+    out = rolling.previous_jump(df, ["k"], ["o"], "v")
+    assert rows(out, "o", "last_value") == [(1, 0), (4, 8)]
+
+
+@pytest.mark.parametrize("ranges", [1, 4])
+@pytest.mark.parametrize("sep", ["", ", "])
+def test_concats_with_null_tokens(spark, ranges, sep):
+    from eventide.operators import rolling
+    data = [("x", i, None if i % 4 == 1 else chr(97 + i) * (i % 3)) for i in range(12)] + [("y", 1, None)]
+    df = spark.createDataFrame(data, "k STRING, o INT, t STRING")
+    d = deal(df, ["k"], ["o"], ranges)
+    text = lambda items: sep.join(t for t in items if t is not None)
+    got = {(r.k, r.o): r.text for r in rolling.running_concat(d, ["k"], ["o"], "t", sep=sep).collect()}
+    for k, o, _t in data:
+        assert got[(k, o)] == text([t for kk, oo, t in data if kk == k and oo <= o]), (k, o)
+    if sep == "":
+        final = {r.k: r.text for r in rolling.ordered_concat(d, ["k"], ["o"], "t").collect()}
+        assert final == {k: text([t for kk, _o, t in data if kk == k]) for k in ("x", "y")}
+
+
+def test_strict_checks_survive_count_and_pruning(spark):
+    from eventide.operators import joins
+    df = spark.createDataFrame([(1, "a"), (2, "zzz")], "id INT, kind STRING")
+    good = quality.check_domain(df, "kind", ["a", "zzz"])
+    assert good.count() == 2 and rows(good, "id") == [(1,), (2,)]
+    for broken in (quality.check_domain(df, "kind", ["a"]),
+                   quality.check_domain(df.withColumn("kind", F.when(F.col("id") == 1, "a")), "kind", ["a"]),
+                   joins.require_orders(df.withColumn("status", F.lit("orphan")))):
+        for action in (lambda d: d.count(), lambda d: d.select("id").collect()):
+            with pytest.raises(Exception):
+                action(broken)
+
+
+def test_weights_with_missing_section_or_value_fail(spark, tmp_path):
+    from eventide.sources.files import read_weights
+    item = '[{"name": "A", "probability": 1.0}]'
+    docs = {"ok": f'{{"stores": {item}, "appIds": {item}, "eventTypes": {item}, "eventTimeFreqMillis": 5}}',
+            "section": f'{{"stores": {item}, "eventTypes": {item}}}',
+            "value": f'{{"stores": {item}, "appIds": [{{"name": "B"}}], "eventTypes": {item}}}'}
+    for name, text in docs.items():
+        (tmp_path / name).write_text(text)
+        if name == "ok":
+            assert read_weights(spark, str(tmp_path / name)).count() == 3
+        else:
+            with pytest.raises(Exception):
+                read_weights(spark, str(tmp_path / name)).count()
+
+
+def test_weighted_draw_on_interval_bounds(spark):
+    """Values of p within a few ulps of every bound: one row each, none lost."""
+    import math
+    from eventide.operators import weights
+    for parts in ([.1, .2, .3, .4], [1 / 7] * 7, [.25] * 4, [0.0, 1.0]):
+        table = spark.createDataFrame([("d", i, f"n{i}", w) for i, w in enumerate(parts)],
+                                      "dimension STRING, pos INT, name STRING, probability DOUBLE")
+        sums = [sum(parts[:i + 1]) for i in range(len(parts))]
+        ps = {0.0, 1.0}
+        for s_ in sums:
+            x = s_
+            for _ in range(3):
+                ps |= {min(x, 1.0), min(max(2 * s_ - x, 0.0), 1.0)}
+                x = math.nextafter(x, 2)
+        df = spark.createDataFrame([(p,) for p in sorted(ps)] + [(None,)], "p DOUBLE")
+        got = weights.assign(df, "p", table, "d", "item").collect()
+        assert len(got) == len(ps) + 1
+        running = []
+        for w in parts:
+            running.append((running[-1] if running else 0.0) + w)
+        running[-1] = 1.0
+        for r in got:
+            assert r["item"] == (None if r["p"] is None else f"n{next(i for i, h in enumerate(running) if r['p'] <= h)}")
+    bad = spark.createDataFrame([("d", 0, "a", .5), ("d", 1, "b", .4)],
+                                "dimension STRING, pos INT, name STRING, probability DOUBLE")
+    with pytest.raises(Exception):
+        weights.assign(df, "p", bad, "d", "item").count()
+
+
+def test_print_rows_prints_every_row(spark, capsys):
+    from eventide.sources.sinks import print_rows
+    print_rows(spark.range(57))
+    assert sorted(capsys.readouterr().out.split()) == sorted(f"id={i}" for i in range(57))
+
+
+def test_csv_parts_in_name_order_are_sorted(spark, tmp_path):
+    """K-3 / SNK-2: part files read in name order are one sorted file."""
+    from eventide.sources.files import write_sorted_csv
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(rnd.randint(0, 999), i) for i in range(400)], "t INT, id INT").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_sorted_csv(df, str(tmp_path / "out"), ["t", "id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    lines = [tuple(map(int, line.split(","))) for part in sorted((tmp_path / "out").glob("part-*"))
+             for line in part.read_text().splitlines()]
+    assert len(lines) == 400 and lines == sorted(lines)
+    assert len(list((tmp_path / "out").glob("part-*"))) > 1
+
+
 @pytest.mark.parametrize("width", [1, 7, 1000])
 def test_run_ids_match_python(spark, width):
     from eventide.operators.scan import run_ids
