@@ -24,7 +24,7 @@ from eventide.llm.common import map_arrow, table, text_column, utf8, word_bounds
 from eventide.llm.weighted_minhash import slices
 
 #: Bound of the labelled sample: documents of either label, and bytes of text.
-SAMPLE_DOCS, SAMPLE_BYTES = 3000, 12 << 20
+SAMPLE_DOCS, SAMPLE_BYTES = 3000, 10 << 20
 FEATURE_BITS = 18
 BLOCK = 64
 FOLDS, HELD_FOLD = 5, 0
@@ -136,13 +136,15 @@ def tag_words(index: np.ndarray, before: np.ndarray, toxic: np.ndarray) -> np.nd
     found in at least 3 of the toxic texts and 1 in 250 of them, and 20 times
     more often among toxic than among other texts."""
     doc = np.repeat(np.arange(len(toxic)), np.diff(before))
-    pairs = np.unique(doc[None, :] * np.int64(1 << FEATURE_BITS) + index)
-    feature, of = pairs & ((1 << FEATURE_BITS) - 1), toxic[pairs >> FEATURE_BITS]
-    bad = np.bincount(feature[of], minlength=1 << FEATURE_BITS)
-    good = np.bincount(feature[~of], minlength=1 << FEATURE_BITS)
+    bad, good = np.zeros(1 << FEATURE_BITS, np.int64), np.zeros(1 << FEATURE_BITS, np.int64)
+    for row in index:
+        pairs = np.unique(doc * np.int64(1 << FEATURE_BITS) + row)
+        feature, of = pairs & ((1 << FEATURE_BITS) - 1), toxic[pairs >> FEATURE_BITS]
+        bad += np.bincount(feature[of], minlength=1 << FEATURE_BITS)
+        good += np.bincount(feature[~of], minlength=1 << FEATURE_BITS)
     odds = np.log((bad + 0.5) / (toxic.sum() + 1)) - np.log((good + 0.5) / ((~toxic).sum() + 1))
     sure = (bad >= max(3, toxic.sum() / 250)) & (odds >= np.log(20))
-    return sure[index].any(axis=0) & toxic[doc]
+    return np.logical_or.reduce([sure[row] for row in index]) & toxic[doc]
 
 
 def document_view(p: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -158,7 +160,7 @@ def document_view(p: np.ndarray, before: np.ndarray) -> np.ndarray:
     return np.stack([np.log(top / (1 - top)), np.log(total + 1e-3), np.ones(len(n))], 1)
 
 
-def train(texts: list[str], toxic: np.ndarray, epochs: int = 8, seed: int = 3) -> Model:
+def train(texts: list[str], toxic: np.ndarray, epochs: int = 6, seed: int = 3) -> Model:
     """Adam on the chain's log-likelihood over batches of texts of like
     length, then the document curve by Newton steps."""
     order = np.argsort([len(t) for t in texts], kind="stable")
