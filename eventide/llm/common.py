@@ -162,25 +162,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = stored(pairs)
     seen = None
     while True:
-        totals = pairs.agg(F.count(F.lit(1)).alias("n"),
-                           F.bit_xor(F.xxhash64("u", "v")).alias("x"),
-                           F.sum(F.xxhash64("v", "u") % F.lit(1 << 40)).alias("s")).first()
+        totals = pairs.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("u").alias("starred"),
+                           F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if totals["n"] == 0 or tuple(totals) == seen:
             break
         seen = tuple(totals)
-        both = pairs.select("u", "v").unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # large star: the larger neighbours of a node move to its smallest one
+        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter("u <> v").distinct())
+        large = both.join(low, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # small star: a node and its smaller neighbours move to the smallest of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
-        pairs = stored(joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                       .unionByName(joined.select("u", F.col("m").alias("v")))
+        pairs = stored(joined.select(F.explode(F.array(F.col("u"), F.col("v"))).alias("u"), F.col("m").alias("v"))
                        .filter("u <> v").distinct())
     # a fixed point is a set of stars: each node but the smallest points at the smallest
-    stars = pairs.groupBy("u").agg(F.min("v").alias("component"))
-    return (stars.select(F.col("u").alias("id"), "component")
-            .unionByName(stars.select(F.col("component").alias("id"), "component")).distinct())
+    stars = pairs.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    return stored(stars.unionByName(stars.select(F.col("component").alias("id"), "component")).distinct())
 
 
 def order_rank(df: DataFrame, order: Sequence, name: str = "rank") -> DataFrame:

@@ -23,13 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.common import (components, map_arrow, mix64, per_process, stored, table, text_column, utf8,
+from eventide.llm.common import (components, grouped_arrow, map_arrow, mix64, per_process, stored, table, text_column, utf8,
                                  word_bounds, word_hashes)
 from eventide.session import scratch_path
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS, SEED = 8, 3, 5
-HASH_BITS, DF_BITS = 44, 20
+HASH_BITS, DF_BITS, DF_PARTS = 44, 20, 64
 SLICE_BYTES = 4 << 20
 
 _MASK = np.uint64((1 << HASH_BITS) - 1)
@@ -84,19 +84,22 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
                 fresh = np.concatenate([[True], doc_bucket[1:] != doc_bucket[:-1]]) if len(keys) else np.empty(0, bool)
                 seen += np.bincount((doc_bucket[fresh] & np.uint64((1 << DF_BITS) - 1)).astype(np.int64), minlength=1 << DF_BITS)
                 n += b - a
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(seen[at], n), pa.int64())],
-                                         names=["bucket", "df"])
-
-    rows = map_arrow(docs.select("text"), run, "bucket long, df long").groupBy("bucket").agg(F.sum("df").alias("df"))
-    # whole table in few compact rows: 2^20 counts are at most 8 MB
-    packed = rows.groupBy(F.floor(F.col("bucket") / 4096).alias("at")).agg(
-        F.collect_list("bucket").alias("b"), F.collect_list("df").alias("d")).toArrow()
-    df, n = np.ones(1 << DF_BITS), 0
-    for b, d in zip(packed.column("b").to_pylist(), packed.column("d").to_pylist()):
-        b, d = np.array(b), np.array(d)
-        n += int(d[b < 0].sum())
-        df[b[b >= 0]] = d[b >= 0]
+        parts = seen.reshape(DF_PARTS, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(DF_PARTS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()),
+                                          pa.array([n] * DF_PARTS, pa.int64())], names=["part", "df", "n"])
+
+    def add(key, t: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in t.column("df").to_pylist())
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "df": pa.array([total.tobytes()], pa.binary()),
+                         "n": pa.array([sum(t.column("n").to_pylist())], pa.int64())})
+
+    schema = "part int, df binary, n long"
+    # one row per part of the table from each task, added part by part; 8 MB reach the driver
+    table_ = grouped_arrow(map_arrow(docs.select("text"), run, schema), ["part"], add, schema).toArrow().sort_by("part")
+    n = max(table_.column("n").to_pylist(), default=0)
+    df = np.maximum(np.frombuffer(b"".join(table_.column("df").to_pylist()), np.int64), 1)
+    if not len(df):
+        df = np.ones(1 << DF_BITS, np.int64)
     weight = 1 + np.log(np.maximum(n, 1) / np.minimum(df, max(n, 1))) / np.log(max(n, 2))
     return weight.astype(np.float32), n
 
@@ -229,39 +232,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # one text per id is enough: equal ids are one class anyway
     base.join(involved, "id").write.parquet(place)
     texts = spark.read.schema("id long, text string").parquet(place)
-    tested = done = None
-    links = None
-    final = False
+    budget = 4 * meets.count() + 1000
+    comp, turn, exact = None, 0, False
     while True:
-        # comp: what the links so far join
-        comp = None if links is None else stored(components(links))
         tagged = meets.withColumn("c", F.col("rep")) if comp is None else (
             meets.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left")
             .select("band", "h", "rep", F.coalesce("component", "rep").alias("c")))
-        if not final:
-            turn = 0 if done is None else done
-            rank = F.struct(F.when(F.lit(turn == 0), F.lit(0)).otherwise(F.xxhash64(F.lit(turn), "rep")), "rep")
+        if turn:
+            # meetings across classes that are still apart
+            sizes = tagged.groupBy("band", "h", "c").agg(F.count(F.lit(1)).cast("double").alias("n"))
+            apart = (sizes.groupBy("band", "h").agg(((F.pow(F.sum("n"), 2) - F.sum(F.pow("n", 2))) / 2).alias("p"))
+                     .agg(F.sum("p")).first()[0] or 0)
+            if not apart:
+                break
+            exact = exact or apart <= budget
+        if exact:
+            split = tagged.groupBy("band", "h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi")
+            tagged = tagged.join(split.select("band", "h"), ["band", "h"])
+            other = tagged.select("band", "h", F.col("rep").alias("rep2"), F.col("c").alias("c2"))
+            pairs = (tagged.join(other, ["band", "h"]).filter("c < c2")
+                     .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
+        else:
+            rank = F.struct(F.lit(0) if not turn else F.xxhash64(F.lit(turn), "rep"), "rep")
             lead = tagged.groupBy("band", "h").agg(F.min_by(F.struct("rep", "c"), rank).alias("lead"))
             pairs = (tagged.join(lead, ["band", "h"]).filter("c <> lead.c")
-                     .select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).distinct())
-        else:
-            open_ = stored(tagged.join(tagged.groupBy("band", "h").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-                                       .filter("lo < hi").select("band", "h"), ["band", "h"]))
-            other = open_.select("band", "h", F.col("rep").alias("rep2"), F.col("c").alias("c2"))
-            pairs = (open_.join(other, ["band", "h"]).filter("c < c2")
-                     .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        judged = stored(verified(stored(pairs), texts, idf, similarity))
-        tested = judged if tested is None else stored(tested.unionByName(judged))
-        fresh = judged.filter("ok").select("a", "b")
-        found = not fresh.isEmpty()
-        links = fresh if links is None else links.unionByName(fresh)
-        done = 1 if done is None else done + 1
-        if final:
+                     .select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")))
+        links = stored(verified(pairs.distinct(), texts, idf, similarity).filter("ok").select("a", "b"))
+        found = not links.isEmpty()
+        if found:
+            known = links if comp is None else links.unionByName(comp.select(F.col("id").alias("a"), F.col("component").alias("b")))
+            comp = components(known)
+        turn += 1
+        if exact:
             break
-        final = not found
-    comp = stored(components(links))
+        exact = not found
+    if comp is None:
+        comp = spark.createDataFrame([], "id long, component long")
     per_class = classes.select("f1", "f2", "rep").join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left")
     per_class = per_class.select("f1", "f2", F.coalesce("component", "rep").alias("class"))
     out = live.select("id", "f1", "f2").join(per_class, ["f1", "f2"]).select("id", "class")
