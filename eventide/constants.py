@@ -7,14 +7,11 @@ from __future__ import annotations
 
 # --- fixed values: base instant and thresholds -------------------------------
 # Base instant of click, booking and comment data: 2023-07-15T00:00:00Z.
-T0_ISO = "2023-07-15T00:00:00Z"
 T0_MS = 1689379200000
 
 ARTICLES = ("the", "a")                # tokens counted by the article job
 TOKEN_SPLIT_REGEX = r"\W+"             # split pattern after lower-casing
 
-OUT_OF_ORDER_MS = 1000                 # watermark delay, most jobs
-COMMENT_OUT_OF_ORDER_MS = 10000        # watermark delay, comment job
 SESSION_GAP_MS = 3000                  # global click sessions
 SLIDING_SIZE_MS = 2000                 # booking / busiest window size
 SLIDING_SLIDE_MS = 1000                # booking / busiest window slide

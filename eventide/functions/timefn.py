@@ -12,11 +12,6 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def as_instant(col: Column | str) -> Column:
-    """``TIMESTAMP_NTZ`` (or string) to ``TIMESTAMP``; needs a UTC session."""
-    return _c(col).cast("timestamp")
-
-
 def epoch_ms(col: Column | str) -> Column:
     """Instant to epoch milliseconds (floor), BIGINT."""
     return F.unix_millis(_c(col))
@@ -31,10 +26,6 @@ def rebase_ms(offset_ms: Column | str, base_ms: int = T0_MS) -> Column:
     return F.timestamp_millis(F.lit(base_ms) + _c(offset_ms))
 
 
-def plus_ms(ts: Column | str, ms: int) -> Column:
-    return F.timestamp_micros(F.unix_micros(_c(ts)) + F.lit(ms * 1000))
-
-
 def parse_instant(col: Column | str, strict: bool = True) -> Column:
     """ISO-8601 text to instant.
 

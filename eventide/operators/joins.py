@@ -22,6 +22,7 @@ from eventide.functions.timefn import micros_between
 from eventide.operators.quality import require
 
 IN_TIME, LATE, BEFORE_ORDER, ORPHAN = "in_time", "late", "before_order", "orphan"
+UNMATCHED = "unmatched"   # streaming only: no order within the join's bounds
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -159,12 +159,6 @@ def run_ids(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Col
     return out.drop("_rv")
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                name: str = "rn") -> DataFrame:
-    """1-based row number per key along ``order`` (a running count)."""
-    return prefix_sums(df, keys, order, {name: F.lit(1).cast("long")})
-
-
 def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on same-named columns where NULL keys match each other
     (``<=>``), like the grouping in the scans; ``right``'s key columns are

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from eventide.constants import ARTICLES, STORE_EVENT_TYPES, T0_MS
 from eventide.functions.predicates import null_safe_not
 from eventide.functions.text import explode_tokens
-from eventide.functions.timefn import epoch_ms, rebase_ms
+from eventide.functions.timefn import epoch_ms, parse_instant, rebase_ms
 from eventide.operators import (joins, periods, quality, rolling, segments, sessions,
                                 weights, windows)
 from eventide.sources import files
@@ -130,7 +130,7 @@ def sliding_min_max(spark, sf_dir):
 
 
 # ------------------------------------------------------------ Q5 jumps
-@register("previous_jump", "W-1 P-10 S-11", """
+@register("previous_jump", "W-1 P-10", """
 WITH c AS (SELECT user_id, event_id, ts, CAST(floor(value) AS BIGINT) % 10 AS click_count FROM events),
 l AS (SELECT *, lag(click_count, 1, 0) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS last_click_count FROM c)
 SELECT user_id, event_id, epoch_us(ts) // 1000 AS ts_ms, click_count, last_click_count
@@ -170,12 +170,12 @@ def _split(spark, sf_dir, side: bool):
     return part.select("event_id", epoch_ms("ts").alias("ts_ms"), "user_id", "event_type", "value")
 
 
-@register("split_side", "P-6 P-9", f"SELECT {_SPLIT_COLS} FROM events WHERE event_type = 'error'")
+@register("split_side", "P-6", f"SELECT {_SPLIT_COLS} FROM events WHERE event_type = 'error'")
 def split_side(spark, sf_dir):
     return _split(spark, sf_dir, side=True)
 
 
-@register("split_main", "P-6 P-9",
+@register("split_main", "P-6",
           f"SELECT {_SPLIT_COLS} FROM events WHERE coalesce(event_type = 'error', false) = false")
 def split_main(spark, sf_dir):
     return _split(spark, sf_dir, side=False)
@@ -287,7 +287,7 @@ top AS (SELECT * FROM ranked WHERE rank <= 3)
 """
 
 
-@register("threshold_batches", "W-2 S-9 S-11 S-12 P-6 P-9 U-6", _THRESH_CTE + """
+@register("threshold_batches", "W-2 S-9 P-6 P-9 U-6", _THRESH_CTE + """
 SELECT store, batch_no, count(*) AS n_rows, CAST(sum(is_i) AS BIGINT) AS installs,
        CAST(sum(is_u) AS BIGINT) AS uninstalls, max(close_rn) AS close_rn,
        max(CASE WHEN rn = close_rn THEN epoch_us(ts) // 1000 END) AS close_ts_ms,
@@ -393,7 +393,7 @@ def _classified(spark, sf_dir):
     return joins.classify_deliveries(li, o, "l_orderkey", "o_orderkey", "o_orderdate", "l_shipdate")
 
 
-@register("delivery_lateness", "J-1 AGG-8 AGG-10 F-4 F-6 F-7 P-11", _DELIVERY_CTE + """
+@register("delivery_lateness", "J-1 AGG-10 F-6 F-7 P-11", _DELIVERY_CTE + """
 SELECT l_orderkey, l_linenumber, lateness_us, CAST(259200 AS BIGINT) AS deadline_s, status
 FROM s WHERE status IN ('in_time', 'late')
 """)
@@ -473,49 +473,177 @@ def comments_sorted(spark, sf_dir):
 
 
 # ----------------------------------------------------- streaming forms
-@register("stream_errors_per_window", "S-1 S-3 S-4 S-10 AGG-5 P-6 SRC-3", """
-WITH e AS (SELECT user_id % 4 AS store, epoch_us(ts) // 86400000000 * 86400000 AS ws
-           FROM events WHERE event_type = 'error'),
-wm AS (SELECT max(epoch_us(ts)) // 1000 - 1000 AS watermark_ms FROM events)
-SELECT ws AS window_start_ms, ws + 86400000 AS window_end_ms, store, count(*) AS n_errors
-FROM e, wm WHERE ws + 86400000 <= watermark_ms GROUP BY ws, store
-""")
+#: Watermark delay of the queries below: longer than the tables' time span, because
+#: the stand-in files are not in time order.
+_WHOLE_SPAN_MS = 4000 * 24 * HOUR_MS
+
+
+def _as_stream(df, time_col, files=4, delay_ms=_WHOLE_SPAN_MS):
+    """Stand-in input: the rows of ``df`` as several files that are not in time
+    order, read one per micro-batch, and the end of that input."""
+    from eventide.streaming import io as sio
+    spark = df.sparkSession
+    folder = scratch_path(spark, "stream-in")
+    df.repartition(files, F.xxhash64(*df.columns)).write.parquet(folder)
+    end = sio.EndOfInput(spark, df.schema, time_col)
+    return sio.event_time(sio.read_parquet_stream(spark, folder, df.schema, 1, end), time_col, delay_ms), end
+
+
+@register("stream_errors_per_window", "S-1 S-3 S-4 S-14 AGG-5 P-6 SRC-3", _ERRORS_SQL + "SELECT * FROM c")
 def stream_errors_per_window(spark, sf_dir):
-    """Errors per store and day from the events file read as a stream, 1 s
-    watermark, append mode, drained with ``availableNow``: only windows
-    closed by the watermark (end <= max event time - 1 s) are emitted, as in
-    any unbounded run; the last open day is not."""
+    """Errors per store and day from the events read as a stream of
+    files, append mode; the input is ended, so the last open day comes out."""
     from eventide.streaming import io as sio
     from eventide.streaming import jobs as sjobs
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    st = sio.event_time(sio.read_parquet_stream(spark, path, schema), "ts", 1000)
-    err = st.filter(F.col("event_type") == "error").withColumn("store", F.col("user_id") % 4)
+    st, end = _as_stream(events(spark, sf_dir, "ts", "user_id", "event_type"), "ts")
+    err = st.filter(sio.or_end(F.col("event_type") == "error", "ts")).withColumn("store", F.col("user_id") % 4)
     out = sjobs.error_windows(err, "ts", "store", size_ms=24 * HOUR_MS).withColumnRenamed("n", "n_errors")
     return sio.run_to_table(out.select("window_start_ms", "window_end_ms", "store", "n_errors"),
-                            "errors_per_window")
+                            "errors_per_window", ends=(end,))
 
 
-@register("stream_previous_jump", "W-1 P-10 S-11 SRC-3", REGISTRY["previous_jump"].sql)
+@register("stream_previous_jump", "W-1 P-10 S-11 S-13 S-14 SRC-3", REGISTRY["previous_jump"].sql)
 def stream_previous_jump(spark, sf_dir):
-    """Previous-value jumps from the events file read as a stream through
-    the keyed value-state processor (transformWithState). Within a
-    micro-batch a key's rows are sorted by (ts, event_id); across
-    micro-batches the order is arrival order (here: one file)."""
+    """Previous-value jumps from the events read as a stream of files that are not in
+    time order: rows wait in list state until the watermark has passed
+    them, the previous value is keyed value state (transformWithState)."""
     from eventide.streaming import io as sio
     from eventide.streaming import jobs as sjobs
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    st = sio.event_time(sio.read_parquet_stream(spark, path, schema, max_files_per_trigger=1),
-                        "ts", 1000)
+    st, end = _as_stream(events(spark, sf_dir, "ts", "user_id", "event_id", "value"), "ts")
     st = st.withColumn("click_count", F.floor("value").cast("long") % 10)
     out = sjobs.click_jumps(st, "user_id", ["ts", "event_id"], "click_count", ["event_id", "ts"],
-                            last_name="last_click_count")
-    table_ = sio.run_to_table(out, "previous_jump")
+                            last_name="last_click_count", event_time="ts")
+    table_ = sio.run_to_table(out, "previous_jump", ends=(end,))
     return table_.select("user_id", "event_id", epoch_ms("ts").alias("ts_ms"), "click_count",
                          "last_click_count")
 
 
+@register("stream_threshold_top_apps", "W-2 S-9 S-11 S-12 S-13 AGG-13 K-1", REGISTRY["threshold_top_apps"].sql)
+def stream_threshold_top_apps(spark, sf_dir):
+    """Q6 as a stream in event order: counters in value state, counts per app in
+    map state."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    st, end = _as_stream(_store_events(spark, sf_dir), "ts")
+    main = st.filter(sio.or_end(null_safe_not(F.col("kind") == "error"), "ts"))
+    out = sjobs.store_batches(main, "store", ["ts", "event_id"], "kind", "app", event_time="ts")
+    return sio.run_to_table(out, "top_apps", ends=(end,))
+
+
+@register("stream_min_max", "S-5 AGG-4 S-14", REGISTRY["sliding_min_max"].sql)
+def stream_min_max(spark, sf_dir):
+    """Q4 as a stream: the batch operator over a watermarked input."""
+    from eventide.streaming import io as sio
+    st, end = _as_stream(events(spark, sf_dir, "ts", "event_type", "value"), "ts")
+    out = windows.window_min_max(st, "ts", "value", 2 * HOUR_MS, keys=["event_type"], slide_ms=HOUR_MS)
+    return sio.run_to_table(out, "min_max", ends=(end,))
+
+
+@register("stream_click_sessions", "S-6 AGG-3 S-14", REGISTRY["click_sessions"].sql)
+def stream_click_sessions(spark, sf_dir):
+    """Q3 as a stream: event-time sessions over all rows."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    st, end = _as_stream(events(spark, sf_dir, "ts"), "ts")
+    return sio.run_to_table(sjobs.click_sessions(st, "ts", 10 * 60 * 1000), "sessions", ends=(end,))
+
+
+@register("stream_busiest_window", "S-5 S-7 S-14 S-15 AGG-7", REGISTRY["busiest_window"].sql)
+def stream_busiest_window(spark, sf_dir):
+    """Q9 as a stream: sliding counts chained into sessions of windows."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    st, end = _as_stream(events(spark, sf_dir, "ts"), "ts")
+    out = sjobs.busiest_window(st, "ts", 2 * HOUR_MS, HOUR_MS, 3 * HOUR_MS)
+    return sio.run_to_table(out, "busiest", ends=(end,))
+
+
+@register("stream_period_top_tokens", "S-4 S-12 S-14 S-15 W-3 W-4 W-5 AGG-11 AGG-12 K-2",
+          REGISTRY["period_top_tokens"].sql)
+def stream_period_top_tokens(spark, sf_dir):
+    """Q8 as a stream: windowed counts chained into the period state machine."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    ev = events(spark, sf_dir, "ts", "event_type", "props").select(
+        F.col("event_type").alias("topic"), "ts", F.get_json_object("props", "$.k").alias("acronym"))
+    st, end = _as_stream(ev, "ts")
+    return sio.run_to_table(sjobs.acronym_periods(st, "topic", "ts", "acronym"), "periods", ends=(end,))
+
+
+@register("stream_article_counts", "P-1 P-2 AGG-1 S-2", REGISTRY["article_counts"].sql)
+def stream_article_counts(spark, sf_dir):
+    """Q1 as a stream without a watermark: counts so far, complete mode."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    st = sio.read_parquet_stream(spark, path, spark.read.parquet(path).schema).select("text")
+    out = sio.run_to_table(sjobs.article_counts(st), "articles", output_mode="complete")
+    return out.select("token", F.col("count").alias("n"))
+
+
+@register("stream_deliveries", "J-2 AGG-8 S-14", REGISTRY["delivery_lateness"].sql)
+def stream_deliveries(spark, sf_dir):
+    """Q10 as a stream-stream join whose bounds cover the tables' time span."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    use_utc(spark)
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate")
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    ds, end_d = _as_stream(li.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")), "l_shipdate")
+    os_, end_o = _as_stream(o.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp")), "o_orderdate")
+    out = sjobs.delivery_matches(os_, ds, "o_orderkey", "o_orderdate", "l_orderkey", "l_shipdate",
+                                 after_days=4000, before_days=4000)
+    done = sio.run_to_table(out, "deliveries", ends=(end_o, end_d))
+    return done.filter(F.col("status").isin(joins.IN_TIME, joins.LATE)).select(
+        "l_orderkey", "l_linenumber", "lateness_us",
+        F.lit(joins.LATE_AFTER_SECONDS).cast("long").alias("deadline_s"), "status")
+
+
+# ------------------------------------ operators whose other data cannot fail
+@register("unlabelled_documents", "J-3 VAL-1", """
+SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+""")
+def unlabelled_documents(spark, sf_dir):
+    return joins.orphans(table(spark, sf_dir, "documents", "doc_id"),
+                         table(spark, sf_dir, "labels", "doc_id").withColumnRenamed("doc_id", "label_id"),
+                         "doc_id", "label_id")
+
+
+@register("first_event_per_user", "AGG-8", """
+SELECT user_id, event_id, epoch_us(ts) // 1000 AS ts_ms, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1
+""")
+def first_event_per_user(spark, sf_dir):
+    ev = events(spark, sf_dir, "user_id", "event_id", "ts", "event_type", "value")
+    first = joins.first_per_key(ev, "user_id", ["ts", "event_id"])
+    return first.select("user_id", "event_id", epoch_ms("ts").alias("ts_ms"), "event_type", "value")
+
+
+@register("busiest_windows_small", "S-5 S-7 S-15 AGG-3 AGG-7", """
+WITH w AS (
+  SELECT (epoch_us(ts) // 1000000 - k) * 1000000 AS ws
+  FROM events, (VALUES (0), (1)) AS s(k)),
+c AS (SELECT ws, count(*) AS click_count, ws + 2000000 - 1 AS wt FROM w GROUP BY ws),
+f AS (SELECT *, CASE WHEN wt - lag(wt) OVER (ORDER BY wt) <= 30000000 THEN 0 ELSE 1 END AS s FROM c),
+g AS (SELECT *, sum(s) OVER (ORDER BY wt ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY click_count DESC, ws) AS rk FROM g)
+SELECT ws // 1000 AS w_start_ms, (ws + 2000000) // 1000 AS w_end_ms, click_count FROM r WHERE rk = 1
+""")
+def busiest_windows_small(spark, sf_dir):
+    """Q9 with the reference's 2 s windows every 1 s and 30 s sessions: many sessions."""
+    return sessions.busiest_window(events(spark, sf_dir, "ts"), "ts", 2000, 1000, 30_000)
+
+
+@register("parsed_instants", "F-4 F-8", """
+SELECT event_id, epoch_us(ts) // 1000 AS ts_ms FROM events
+""")
+def parsed_instants(spark, sf_dir):
+    """ISO text made of the events' times, parsed by the library."""
+    ev = events(spark, sf_dir, "event_id", "ts")
+    iso = ev.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("iso"))
+    return iso.select("event_id", epoch_ms(parse_instant("iso")).alias("ts_ms"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.run for name, q in REGISTRY.items()}
 

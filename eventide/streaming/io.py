@@ -1,37 +1,91 @@
 """Structured Streaming sources, sinks and the event-time clock (SRC-3,
-SNK-1, SNK-3, S-1, S-2, S-3).
+SNK-1, SNK-3, S-1, S-2, S-3, S-14).
 
 Every started query has a checkpoint location below the shared checkpoint
 folder (``spark.checkpoint.dir``) unless one is given: a restarted or
 re-scheduled query resumes from its offsets and state instead of starting
 over. Event time must be ``TIMESTAMP`` (not ``TIMESTAMP_NTZ``) for
 ``withWatermark``; ``event_time`` casts it (UTC session).
+
+A finite input leaves windows open that no later row closes. ``EndOfInput``
+closes them (S-14): once the input is drained, a single row far in the
+future is added to a folder that the source reads too, and the query goes on
+from its checkpoint, so the watermark passes every open window and timer.
 """
 
 from __future__ import annotations
 
-import os
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import NumericType
 
 from eventide.session import scratch_path, use_utc
+from eventide.sources.sinks import print_rows
+
+#: Event time of the row that ends an input: later than any real row, and within the
+#: range of nanosecond timestamps, which pandas frames hold.
+FAR = "2200-01-01 00:00:00"
+
+
+class EndOfInput:
+    """The end of a drained input, for sources whose event time is ``time_col``.
+
+    The other columns of the row that ends it are 0, empty or false rather than
+    NULL: joins drop NULL keys in front of the watermark, where they would drop the row unseen.
+    Its windows and timers are never reached, so it shows in no result."""
+
+    def __init__(self, spark: SparkSession, schema, time_col: str):
+        self.spark, self.schema, self.time_col = spark, schema, time_col
+        self.folder = scratch_path(spark, "end-of-input")
+
+    def write(self) -> None:
+        def value(field):
+            if field.name == self.time_col:
+                return F.lit(FAR)
+            kind = field.dataType.typeName()
+            return F.lit({"string": "", "boolean": False}.get(kind, 0 if isinstance(field.dataType, NumericType) else None))
+
+        row = [value(f).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        self.spark.range(1).select(*row).coalesce(1).write.parquet(self.folder)
+
+
+def or_end(pred: Column, time_col: str) -> Column:
+    """``pred``, or the row that ends an input. Spark moves a filter that does not look
+    at the event time in front of the watermark, where it would drop that row
+    unseen; use this for filters of a stream that is ended."""
+    return pred | (F.col(time_col) >= F.lit(FAR).cast("timestamp"))
+
+
+def _location(spark: SparkSession, path: str) -> tuple[str, str]:
+    """File system and absolute path; a path without one is on the default."""
+    m = re.match(r"^([A-Za-z][\w+.-]*:(?://[^/]*)?)?(/.*)$", path)
+    if not m:
+        raise ValueError(f"an absolute path is needed: {path}")
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    return re.sub(r"/*$", "", m[1] or default), m[2].rstrip("/")
 
 
-def read_parquet_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None
-                        ) -> DataFrame:
-    """SRC-3: files arriving in a folder, read as an unbounded stream. A
-    path ending in ``.parquet`` that is a single file is read as its folder
-    filtered to that file name."""
+def read_parquet_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
+                        end: EndOfInput | None = None) -> DataFrame:
+    """SRC-3: files arriving in a folder (or one file), read as an unbounded
+    stream; with ``end`` also the row that ends it. The path is given to
+    Spark as a pattern, so it may be a file, and the driver never looks at it."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if path.endswith(".parquet") and os.path.isfile(path):
-        folder, name = os.path.split(path)
-        return reader.option("pathGlobFilter", name).parquet(folder)
-    return reader.parquet(path)
+    system, place = _location(spark, path)
+    parts = [place]
+    if end is not None:
+        other, folder = _location(spark, end.folder)
+        if other != system:
+            raise ValueError("the checkpoint folder must be in the input's file system to end the input")
+        parts.append(folder)
+    inner = ",".join(p.lstrip("/") for p in parts)
+    return reader.parquet(f"{system}/{{{inner}}}")
 
 
 def event_time(df: DataFrame, col: str, delay_ms: int | None) -> DataFrame:
@@ -75,16 +129,40 @@ def start(df: DataFrame, name: str, sink: str = "parquet", path: str | None = No
         spark.conf.set(key, previous)
 
 
-def run_to_table(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
+def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
+                 ends: tuple[EndOfInput, ...] = ()) -> DataFrame:
     """Drain all available input (``availableNow``) into a parquet folder in
-    the shared checkpoint folder and return it as a batch DataFrame."""
+    the shared checkpoint folder and return it as a batch DataFrame. With
+    ``ends`` the inputs are then ended, which brings out what is still open (S-14).
+    In ``complete`` mode the result is that of the last micro-batch."""
     spark = df.sparkSession
-    out = scratch_path(spark, f"stream-out-{name}")
-    query = start(df, name, "parquet", out, output_mode, available_now=True)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return spark.read.schema(df.schema).parquet(out)
+    out, checkpoint = scratch_path(spark, f"stream-out-{name}"), scratch_path(spark, f"stream-ckpt-{name}")
+
+    def drain() -> None:
+        if output_mode == "append":
+            query = start(df, name, "parquet", out, checkpoint=checkpoint, available_now=True)
+        else:
+            query = (df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
+                     .foreachBatch(lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}"))
+                     .trigger(availableNow=True).start())
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+
+    drain()
+    for end in ends:
+        end.write()
+    if ends:
+        drain()
+    if output_mode == "append":
+        return spark.read.schema(df.schema).parquet(out)
+    rows = spark.read.schema(df.schema.add("epoch", "long")).parquet(out)
+    return rows.filter(F.col("epoch") == rows.agg(F.max("epoch")).first()[0]).drop("epoch")
+
+
+def print_stream(df: DataFrame, name: str, available_now: bool = False) -> StreamingQuery:
+    """SNK-1 for a stream: print each row of each micro-batch, untruncated."""
+    return fan_out_batches(df, name, lambda batch, _epoch: print_rows(batch), available_now=available_now)
 
 
 def fan_out_batches(df: DataFrame, name: str, *writers: Callable[[DataFrame, int], None],

@@ -16,7 +16,7 @@ from eventide.functions.predicates import is_late
 from eventide.functions.timefn import micros_between
 from eventide.functions.text import explode_tokens
 from eventide.operators import windows
-from eventide.operators.joins import IN_TIME, LATE, ORPHAN
+from eventide.operators.joins import BEFORE_ORDER, IN_TIME, LATE, UNMATCHED
 from eventide.session import python_workers_can_import
 from eventide.streaming.processors import (
     PeriodChangeProcessor, PreviousValueProcessor, QuietReportProcessor, ThresholdBatchProcessor)
@@ -41,6 +41,10 @@ def _type_of(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
 
 
+def _columns(df: DataFrame, names: Sequence[str]) -> list[tuple[str, str]]:
+    return [(c, _type_of(df, c)) for c in dict.fromkeys(names)]
+
+
 def article_counts(stream: DataFrame, text: str = "text") -> DataFrame:
     """Q1 streaming (AGG-1): running counts of "the" and "a". Run in
     ``update`` mode: one updated count per token and micro-batch (not per
@@ -61,27 +65,30 @@ def language_concat(stream: DataFrame, key: str = "language", order: str = "ord"
 
 def click_jumps(stream: DataFrame, key: str, order: Sequence[str], value: str,
                 keep: Sequence[str], min_diff: int = K.MIN_CLICK_JUMP,
-                last_name: str = "last_value") -> DataFrame:
-    """Q5 streaming: keyed value state (S-11)."""
+                last_name: str = "last_value", event_time: str | None = None) -> DataFrame:
+    """Q5 streaming: keyed value state (S-11) in arrival order; with
+    ``event_time`` (a watermarked column) in event order (S-13)."""
     fields = [key, *keep, value]
     schema = ", ".join(f"{c} {_type_of(stream, c)}" for c in fields) + f", {last_name} bigint"
     _prepare(stream)
-    proc = PreviousValueProcessor(key, order, value, keep, min_diff, last_name)
-    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "None")
+    proc = PreviousValueProcessor(key, order, value, keep, min_diff, last_name, event_time,
+                                  _columns(stream, [*order, *keep, value]))
+    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "EventTime" if event_time else "None")
 
 
 def store_batches(stream: DataFrame, key: str, order: Sequence[str], kind: str, app: str,
                   install_threshold: int = K.INSTALL_THRESHOLD,
                   uninstall_threshold: int = K.UNINSTALL_THRESHOLD,
-                  top_n: int = K.TOP_APPS) -> DataFrame:
+                  top_n: int = K.TOP_APPS, event_time: str | None = None) -> DataFrame:
     """Q6 streaming: counters in value state, per-app counts in map state
-    (S-11, S-12); the side output of errors is a filter before it."""
+    (S-11, S-12), in arrival order or with ``event_time`` in event order; the side
+    output of errors is a filter before it."""
     schema = (f"{key} {_type_of(stream, key)}, batch_no bigint, kind string, rank bigint, "
               f"app string, n bigint")
     _prepare(stream)
     proc = ThresholdBatchProcessor(key, order, kind, app, install_threshold, uninstall_threshold,
-                                   top_n)
-    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "None")
+                                   top_n, event_time=event_time, columns=_columns(stream, [*order, kind, app]))
+    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "EventTime" if event_time else "None")
 
 
 def error_windows(stream: DataFrame, time_col: str, key: str,
@@ -142,24 +149,29 @@ def busiest_window(stream: DataFrame, time_col: str, size_ms: int = K.SLIDING_SI
 
 
 def delivery_matches(orders: DataFrame, deliveries: DataFrame, order_key: str, order_ts: str,
-                     order_ref: str, delivery_ts: str, bound_days: int = 30,
+                     order_ref: str, delivery_ts: str, after_days: int = 30, before_days: int = 1,
                      late_after_s: int = K.LATE_AFTER_SECONDS) -> DataFrame:
-    """J-2 streaming: first order per id within the watermark (AGG-8), then
-    a left outer stream-stream join bounded in time
-    (``order_ts <= delivery_ts <= order_ts + bound_days``). Unmatched
-    deliveries come out as orphans once the watermark passes the bound; a
-    delivery before its order fails the bound and is an orphan here (VAL-2
-    stays a batch check). Both inputs need ``withWatermark``."""
-    o = orders.dropDuplicatesWithinWatermark([order_key])
+    """J-2 streaming: each delivery with the earliest order of its id (AGG-8), as
+    in batch, whichever side comes first and however often an order is repeated.
+
+    A left outer stream-stream join keeps orders for ``after_days`` and waits
+    ``before_days`` for an order later than its delivery (``before_order``); of
+    several orders the earliest is kept by an aggregate per delivery, which comes out when the
+    watermark has passed the waiting time. A delivery without an order
+    within these bounds is ``unmatched``: a stream cannot tell an order that
+    never existed from one outside the bounds. Rows of ``deliveries`` must be
+    distinct. Both inputs need ``withWatermark``."""
+    span = lambda days: F.expr(f"INTERVAL {int(days)} DAYS")
     cond = ((F.col(order_ref) == F.col(order_key))
-            & (F.col(order_ts) <= F.col(delivery_ts))
-            & (F.col(delivery_ts) <= F.col(order_ts) + F.expr(f"INTERVAL {int(bound_days)} DAYS")))
-    joined = deliveries.join(o, cond, "leftOuter")
+            & (F.col(order_ts) >= F.col(delivery_ts) - span(after_days))
+            & (F.col(order_ts) <= F.col(delivery_ts) + span(before_days)))
+    joined = deliveries.join(orders.select(order_key, order_ts), cond, "leftOuter")
+    first = joined.groupBy(*deliveries.columns).agg(F.min(order_ts).alias(order_ts))
     lateness = micros_between(order_ts, delivery_ts)
-    status = (F.when(F.col(order_key).isNull(), F.lit(ORPHAN))
+    status = (F.when(F.col(order_ts).isNull(), F.lit(UNMATCHED)).when(lateness < 0, F.lit(BEFORE_ORDER))
               .when(is_late(lateness, late_after_s), F.lit(LATE)).otherwise(F.lit(IN_TIME)))
-    return joined.select(*deliveries.columns, F.col(order_ts), lateness.alias("lateness_us"),
-                         status.alias("status"))
+    return first.select(*deliveries.columns, F.col(order_ts), lateness.alias("lateness_us"),
+                        status.alias("status"))
 
 
 def quiet_report(stream: DataFrame, key: str, status: str,
@@ -169,5 +181,5 @@ def quiet_report(stream: DataFrame, key: str, status: str,
     partial reports downstream."""
     _prepare(stream)
     schema = f"{key} {_type_of(stream, key)}, status string, n bigint"
-    return stream.groupBy(key).transformWithState(QuietReportProcessor(key, status, gap_ms), schema,
-                                                  "Append", "ProcessingTime")
+    return stream.groupBy(key).transformWithStateInPandas(QuietReportProcessor(key, status, gap_ms), schema,
+                                                          "Append", "ProcessingTime")

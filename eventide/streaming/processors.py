@@ -2,14 +2,16 @@
 used only where no built-in stateful operator fits (S-8, S-11, S-12, S-13).
 
 Rows of one key inside one micro-batch arrive in no guaranteed order, so
-each handler sorts them by the event order first; across micro-batches the
-order is arrival order (the reference's semantics). State lives in the
-state store (RocksDB); each handler reads it once, folds the micro-batch and
-writes it back once, instead of one state call per row. The previous-value
-and threshold processors take the micro-batch as pandas frames (Arrow
-batches) and work vectorized; the period and quiet-report processors take
-rows, because their input is already aggregated (one row per window and
-acronym) or only counted.
+each handler sorts them by the event order first. Across micro-batches the
+previous-value and threshold processors know two orders: arrival order (the
+reference's semantics), or, given an event-time column, event order: rows
+wait in list state (S-13) until the watermark has passed them, so the result does not
+depend on how the input was cut into files. State lives in the state store
+(RocksDB); each handler reads it once, folds its rows and writes it back
+once, instead of one state call per row. These two and the quiet report take
+pandas frames (Arrow batches) and work vectorized; the period processor takes
+rows, because its input is already aggregated (one row per window and
+acronym).
 """
 
 from __future__ import annotations
@@ -54,45 +56,122 @@ def _frame(rows, order: Sequence[str]):
     return pdf.sort_values(list(order), kind="stable").reset_index(drop=True)
 
 
-class PreviousValueProcessor(StatefulProcessor):
+class OrderedProcessor(StatefulProcessor):
+    """Feeds ``fold(key, frame)`` with the rows of a key in ``order``: per
+    micro-batch, or with ``event_time`` (the first order column, a timestamp) in event
+    order. ``columns`` are the rows' columns with their types."""
+
+    order: list
+    event_time: str | None = None
+    columns: list = []
+
+    def open_buffer(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        if self.event_time:
+            self.buffer = handle.getListState("buffer", ", ".join(f"`{c}` {t}" for c, t in self.columns))
+            self.timer = handle.getValueState("timer", "ms LONG")
+
+    def fold(self, key, pdf):
+        raise NotImplementedError
+
+    def _millis(self, pdf):
+        return pdf[self.event_time].astype("datetime64[us]").astype("int64") // 1000
+
+    def _state_rows(self, pdf) -> list[tuple]:
+        """Rows as Python values of their declared types; pandas holds integers
+        beside NULLs as floats."""
+        import pandas as pd
+        whole = {"tinyint", "smallint", "int", "bigint"}
+        cols = [[None if pd.isna(v) else int(v) if kind in whole else _plain(v) for v in pdf[c]] for c, kind in self.columns]
+        return list(zip(*cols))
+
+    def _wait(self, pdf) -> None:
+        """Wake when the watermark passes the earliest waiting row."""
+        due = int(self._millis(pdf).min()) + 1
+        if self.timer.exists():
+            old = int(self.timer.get()[0])
+            if old <= due:
+                return
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(due)
+        self.timer.update((due,))
+
+    def handleInputRows(self, key, rows, timerValues):
+        pdf = _frame(rows, self.order)
+        if pdf is None:
+            return
+        if not self.event_time:
+            yield self.fold(key, pdf)
+            return
+        pdf = pdf[pdf[self.event_time].notna()]
+        pdf = pdf[self._millis(pdf) >= timerValues.getCurrentWatermarkInMs()]   # S-10: late rows are dropped
+        if len(pdf):
+            self.buffer.appendList(self._state_rows(pdf))
+            self._wait(pdf)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        import pandas as pd
+        self.timer.clear()
+        names = [c for c, _ in self.columns]
+        pdf = pd.DataFrame(list(self.buffer.get()), columns=names).sort_values(self.order, kind="stable")
+        ready = (self._millis(pdf) < timerValues.getCurrentWatermarkInMs()).to_numpy()
+        left = pdf[~ready]
+        self.buffer.clear()
+        if len(left):
+            self.buffer.put(self._state_rows(left))
+            self._wait(left)
+        if ready.any():
+            yield self.fold(key, pdf[ready].reset_index(drop=True))
+
+    def close(self) -> None:
+        pass
+
+
+def _plain(v):
+    """A state value: a Python object instead of a pandas or numpy scalar."""
+    if hasattr(v, "to_pydatetime"):
+        return v.to_pydatetime()
+    return v.item() if hasattr(v, "item") else v
+
+
+class PreviousValueProcessor(OrderedProcessor):
     """W-1 + P-10 (``transformWithStateInPandas``): emit rows whose value is
-    0 or rose by more than ``min_diff`` since the key's previous row; the
-    previous value moves on every row. Vectorized per micro-batch: one sort,
-    one shift, one mask. Output: key column, ``keep`` columns, value, last."""
+    0 or rose by more than ``min_diff`` since the key's previous row (0 before the
+    first; nothing rises from or to a NULL); the previous value moves on every
+    row. Vectorized: one sort, one shift, one mask. Output: key
+    column, ``keep`` columns, value, last."""
 
     def __init__(self, key: str, order: Sequence[str], value: str, keep: Sequence[str],
-                 min_diff: int = K.MIN_CLICK_JUMP, last_name: str = "last_value"):
+                 min_diff: int = K.MIN_CLICK_JUMP, last_name: str = "last_value",
+                 event_time: str | None = None, columns: Sequence[tuple[str, str]] = ()):
         self.key, self.order, self.value = key, list(order), value
         self.keep, self.min_diff, self.last_name = list(keep), min_diff, last_name
+        self.event_time, self.columns = event_time, list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open_buffer(handle)
         self.last = handle.getValueState("last", "last LONG")
 
-    def handleInputRows(self, key, rows, timerValues):
-        import numpy as np
-        pdf = _frame(rows, self.order)
-        if pdf is None:
-            return
-        vals = pdf[self.value].to_numpy(dtype="int64")
-        first = int(self.last.get()[0]) if self.last.exists() else 0
-        lasts = np.concatenate([[first], vals[:-1]]).astype("int64")
-        mask = (vals == 0) | (vals - lasts > self.min_diff)
+    def fold(self, key, pdf):
+        import pandas as pd
+        vals = pdf[self.value].astype("Int64")
+        first = self.last.get()[0] if self.last.exists() else 0
+        lasts = pd.concat([pd.Series([first], dtype="Int64"), vals.iloc[:-1]], ignore_index=True)
+        mask = ((vals == 0) | (vals - lasts > self.min_diff)).fillna(False).to_numpy(bool)
         out = pdf.loc[mask, [c for c in self.keep]].copy()
         out.insert(0, self.key, key[0])
-        out[self.value] = vals[mask]
-        out[self.last_name] = lasts[mask]
-        self.last.update((int(vals[-1]),))
-        yield out.reset_index(drop=True)
-
-    def close(self) -> None:
-        pass
+        out[self.value] = vals[mask].to_numpy()
+        out[self.last_name] = lasts[mask].to_numpy()
+        end = vals.iloc[-1]
+        self.last.update((None if pd.isna(end) else int(end),))
+        return out.reset_index(drop=True)
 
 
-class ThresholdBatchProcessor(StatefulProcessor):
+class ThresholdBatchProcessor(OrderedProcessor):
     """W-2 + AGG-13 + K-1 (``transformWithStateInPandas``): per key, close a
     batch on the row that brings its installs to ``install_threshold`` or
     uninstalls to ``uninstall_threshold``; emit the top apps of each side,
-    then reset. Per micro-batch the counts are cumulative sums and each
+    then reset. The counts are cumulative sums and each
     closing row is found by ``searchsorted`` (work per *batch*, not per
     row); per-app counts of a batch are one ``value_counts`` of its slice.
     Output: key, batch_no, kind, rank, app, n."""
@@ -100,12 +179,15 @@ class ThresholdBatchProcessor(StatefulProcessor):
     def __init__(self, key: str, order: Sequence[str], kind: str, app: str,
                  install_threshold: int = K.INSTALL_THRESHOLD,
                  uninstall_threshold: int = K.UNINSTALL_THRESHOLD, top_n: int = K.TOP_APPS,
-                 install_value: str = K.EVENT_INSTALL, uninstall_value: str = K.EVENT_UNINSTALL):
+                 install_value: str = K.EVENT_INSTALL, uninstall_value: str = K.EVENT_UNINSTALL,
+                 event_time: str | None = None, columns: Sequence[tuple[str, str]] = ()):
         self.key, self.order, self.kind, self.app = key, list(order), kind, app
         self.ti, self.tu, self.top_n = install_threshold, uninstall_threshold, top_n
         self.iv, self.uv = install_value, uninstall_value
+        self.event_time, self.columns = event_time, list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open_buffer(handle)
         self.counters = handle.getValueState("counters", "installs LONG, uninstalls LONG, batch_no LONG")
         self.installs = handle.getMapState("installs", "app STRING", "n LONG")
         self.uninstalls = handle.getMapState("uninstalls", "app STRING", "n LONG")
@@ -116,12 +198,9 @@ class ThresholdBatchProcessor(StatefulProcessor):
             counts[a] = counts.get(a, 0) + int(n)
         return counts
 
-    def handleInputRows(self, key, rows, timerValues):
+    def fold(self, key, pdf):
         import numpy as np
         import pandas as pd
-        pdf = _frame(rows, self.order)
-        if pdf is None:
-            return
         ci0, cu0, batch = self.counters.get() if self.counters.exists() else (0, 0, 1)
         inst, unin = _read_map(self.installs), _read_map(self.uninstalls)
         is_i = (pdf[self.kind] == self.iv).to_numpy()
@@ -148,10 +227,7 @@ class ThresholdBatchProcessor(StatefulProcessor):
         self.counters.update((int(ci[-1]) - base_i, int(cu[-1]) - base_u, batch))
         _write_map(self.installs, inst)
         _write_map(self.uninstalls, unin)
-        yield pd.DataFrame(out, columns=[self.key, "batch_no", "kind", "rank", "app", "n"])
-
-    def close(self) -> None:
-        pass
+        return pd.DataFrame(out, columns=[self.key, "batch_no", "kind", "rank", "app", "n"])
 
 
 class PeriodChangeProcessor(StatefulProcessor):
@@ -197,9 +273,9 @@ class PeriodChangeProcessor(StatefulProcessor):
 
 
 class QuietReportProcessor(StatefulProcessor):
-    """S-8: count rows per status and emit the counts once no input has
-    arrived for ``gap_ms`` of processing time (a processing-time session
-    per key). Output: key, status, n."""
+    """S-8 (``transformWithStateInPandas``): count rows per status and emit
+    the counts once no input has arrived for ``gap_ms`` of processing time (a
+    processing-time session per key). Output: key, status, n."""
 
     def __init__(self, key: str, status: str, gap_ms: int = K.QUIET_GAP_SECONDS * 1000):
         self.key, self.status, self.gap_ms = key, status, gap_ms
@@ -209,23 +285,25 @@ class QuietReportProcessor(StatefulProcessor):
         self.counts = handle.getMapState("counts", "status STRING", "n LONG")
         self.deadline = handle.getValueState("deadline", "ms LONG")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        counts = _read_map(self.counts)
-        for r in rows:
-            counts[r[self.status]] = counts.get(r[self.status], 0) + 1
-        _write_map(self.counts, counts)
+    def handleInputRows(self, key, rows, timerValues):
+        for pdf in rows:
+            for status, n in pdf[self.status].value_counts().items():
+                old = self.counts.getValue((status,))[0] if self.counts.containsKey((status,)) else 0
+                self.counts.updateValue((status,), (old + int(n),))
         if self.deadline.exists():
             self.handle.deleteTimer(self.deadline.get()[0])
         due = timerValues.getCurrentProcessingTimeInMs() + self.gap_ms
         self.handle.registerTimer(due)
         self.deadline.update((due,))
-        return iter([])
+        return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        counts = _read_map(self.counts)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        import pandas as pd
+        counts = sorted(_read_map(self.counts).items())
         self.counts.clear()
         self.deadline.clear()
-        return iter([Row(**{self.key: key[0]}, status=s, n=n) for s, n in sorted(counts.items())])
+        yield pd.DataFrame({self.key: [key[0]] * len(counts), "status": [s for s, _ in counts],
+                            "n": [n for _, n in counts]})
 
     def close(self) -> None:
         pass

@@ -7,10 +7,10 @@ from eventide.plans import jobs
 from eventide.sources.inline import from_rows
 
 TEXTS = [
-    ("The Apache Flink community is excited to announce the release of Flink ML!",),
-    ("This release focuses on enriching Flink MLs feature engineering algorithms.",),
-    ("The library now includes thirty three feature engineering algorithms,",),
-    ("making it a more comprehensive library for feature engineering tasks.",),
+    ("The harbour opens early, and boats leave for The islands before noon.",),
+    ("This ferry carries mail, bread and bicycles.",),
+    ("Lighthouse lamps now burn on electric power,",),
+    ("giving the keepers a quieter night than their fathers knew.",),
 ]
 
 
@@ -32,15 +32,16 @@ def test_f2_language_concat(spark):
         (3, "en", "car, bus, course, house, ")]
 
 
-CLICKS_F3 = [(1000, "550e8400"), (1000, "550e6200"), (1000, "550e1207"), (2000, "550e8400"),
-             (2000, "550e6200"), (3000, "550e1207"), (4000, "550e8400"), (4000, "550e1207"),
-             (4000, "550e6200"), (8000, "550e1207"), (8000, "550e6200"), (9000, "550e1207"),
-             (10000, "550e1207"), (11000, "550e1207"), (11000, "550e6200"), (12000, "550e1207"),
-             (12000, "550e8400"), (18000, "550e1207")]
+# fixed values
+CLICKS_F3 = [("550e8400", 1000), ("550e6200", 1000), ("550e1207", 1000), ("550e8400", 2000),
+             ("550e6200", 2000), ("550e1207", 3000), ("550e8400", 4000), ("550e1207", 4000),
+             ("550e6200", 4000), ("550e1207", 8000), ("550e6200", 8000), ("550e1207", 9000),
+             ("550e1207", 10000), ("550e1207", 11000), ("550e6200", 11000), ("550e1207", 12000),
+             ("550e8400", 12000), ("550e1207", 18000)]
 
 
 def _clicks(spark, data):
-    return spark.createDataFrame([(u, at(ms)) for ms, u in data], "user_id STRING, click_time TIMESTAMP")
+    return spark.createDataFrame([(u, at(ms)) for u, ms in data], "user_id STRING, click_time TIMESTAMP")
 
 
 def test_f3_click_sessions(spark):
@@ -54,11 +55,12 @@ def test_f3_click_sessions(spark):
 
 
 def test_f3_session_gap_boundary(spark):
-    data = [(1000, "u"), (4000, "u"), (7000, "u"), (10001, "u")]
+    data = [("u", 1000), ("u", 4000), ("u", 7000), ("u", 10001)]
     out = rows(jobs.click_sessions(_clicks(spark, data)), "session_start_ms", "session_end_ms", "clicks")
     assert [(s - T0_MS, e - T0_MS, n) for s, e, n in out] == [(1000, 10000, 3), (10001, 13001, 1)]
 
 
+# fixed values
 BOOKINGS = [("Domestic", 1000, 4), ("International", 1000, 6), ("Domestic", 1000, 10),
             ("International", 1200, 7), ("International", 1800, 12), ("International", 1500, 4),
             ("International", 2000, 1), ("Domestic", 2100, 0), ("Domestic", 3000, 2),
@@ -124,11 +126,12 @@ def test_f8_acronym_periods(spark):
     assert "label_time_of_day" not in old.columns and old.count() == 4
 
 
-CLICKS_F9 = [(1000, "550e8400"), (1000, "550e6200"), (1000, "550e1207"), (2000, "550e8400"),
-             (3000, "550e8400"), (3000, "550e1207"), (4000, "550e8400"), (4000, "550e1207"),
-             (5000, "550e6200"), (6000, "550e1207"), (6000, "550e6200"), (7000, "550e1207"),
-             (8000, "550e1207"), (9000, "550e1207"), (10000, "550e6200"), (11000, "550e1207"),
-             (12000, "550e8400"), (12000, "550e1207")]
+# fixed values
+CLICKS_F9 = [("550e8400", 1000), ("550e6200", 1000), ("550e1207", 1000), ("550e8400", 2000),
+             ("550e8400", 3000), ("550e1207", 3000), ("550e8400", 4000), ("550e1207", 4000),
+             ("550e6200", 5000), ("550e1207", 6000), ("550e6200", 6000), ("550e1207", 7000),
+             ("550e1207", 8000), ("550e1207", 9000), ("550e6200", 10000), ("550e1207", 11000),
+             ("550e8400", 12000), ("550e1207", 12000)]
 
 
 def test_f9_busiest_window(spark):
@@ -140,6 +143,7 @@ def test_f9_busiest_window(spark):
         (1689379201000, 1689379203000, 4)]
 
 
+# fixed values
 ORDERS = [("675e3421", "2023-06-15T12:07:13.000Z"), ("267e9361", "2023-06-19T23:15:44.000Z"),
           ("267e8761", "2023-06-03T14:35:05.000Z"), ("267e9061", "2023-07-01T00:18:34.000Z"),
           ("452e7169", "2023-06-30T13:55:21.000Z")]

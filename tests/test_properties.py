@@ -478,3 +478,10 @@ def test_top_k_ties_break_by_name(spark):
     assert rows(top, "kind", "rank", "app", "n") == [
         ("install", 1, "A", 2), ("install", 2, "B", 2),
         ("uninstall", 1, "B", 1), ("uninstall", 2, "D", 1)]
+
+
+def test_earliest_time_per_window(spark):
+    from eventide.operators.windows import window_min_time
+    df = spark.createDataFrame([("a", at(1500)), ("a", at(900)), ("b", at(2500)), ("a", at(2600))], "k STRING, t TIMESTAMP")
+    out = window_min_time(df, "t", 2000, keys=["k"]).select("k", F.unix_millis("min_time").alias("ms"), "n")
+    assert rows(out, "k", "ms", "n") == [("a", T0_MS + 900, 2), ("a", T0_MS + 2600, 1), ("b", T0_MS + 2500, 1)]

@@ -83,7 +83,7 @@ def test_stream_acronym_periods_match_batch(spark, tmp_path):
 
 
 def test_stream_busiest_window_matches_batch(spark, tmp_path):
-    data = [(u, at(ms)) for ms, u in CLICKS_F9] + [("late", at(3_600_000))]
+    data = [(u, at(ms)) for u, ms in CLICKS_F9] + [("late", at(3_600_000))]
     path, schema = _write(spark, tmp_path, "clicks9", data, "user_id STRING, click_time TIMESTAMP", 2)
     st = sio.event_time(sio.read_parquet_stream(spark, path, schema, 1), "click_time", 1000)
     out = sio.run_to_table(sjobs.busiest_window(st, "click_time"), "busiest_test")
@@ -96,11 +96,12 @@ def test_stream_delivery_join(spark, tmp_path):
     opath, osch = _write(spark, tmp_path, "orders", o, "order_key STRING, order_ts TIMESTAMP")
     dpath, dsch = _write(spark, tmp_path, "deliveries", d,
                          "delivery_id STRING, order_id STRING, delivery_ts TIMESTAMP")
-    os_ = sio.event_time(sio.read_parquet_stream(spark, opath, osch), "order_ts", 1000)
-    ds_ = sio.event_time(sio.read_parquet_stream(spark, dpath, dsch), "delivery_ts", 1000)
+    ends = sio.EndOfInput(spark, osch, "order_ts"), sio.EndOfInput(spark, dsch, "delivery_ts")
+    os_ = sio.event_time(sio.read_parquet_stream(spark, opath, osch, end=ends[0]), "order_ts", 1000)
+    ds_ = sio.event_time(sio.read_parquet_stream(spark, dpath, dsch, end=ends[1]), "delivery_ts", 1000)
     out = sio.run_to_table(sjobs.delivery_matches(os_, ds_, "order_key", "order_ts", "order_id",
-                                                  "delivery_ts"), "deliveries_test")
-    got = rows(out.filter("status != 'orphan'"), "order_id", "status")
+                                                  "delivery_ts"), "deliveries_test", ends=ends)
+    got = rows(out.filter("status in ('in_time', 'late')"), "order_id", "status")
     assert got == [("267e8761", "in_time"), ("267e9061", "late"), ("267e9361", "late"),
                    ("675e3421", "in_time")]
 
@@ -122,7 +123,7 @@ def test_quiet_report_after_gap(spark, tmp_path):
 
 def test_stream_click_sessions_match_batch(spark, tmp_path):
     from test_fixtures import CLICKS_F3
-    data = [(u, at(ms)) for ms, u in CLICKS_F3] + [("later", at(3_600_000))]
+    data = [(u, at(ms)) for u, ms in CLICKS_F3] + [("later", at(3_600_000))]
     path, schema = _write(spark, tmp_path, "clicks3", data, "user_id STRING, click_time TIMESTAMP", 2)
     st = sio.event_time(sio.read_parquet_stream(spark, path, schema, 1), "click_time", 1000)
     out = sio.run_to_table(sjobs.click_sessions(st, "click_time"), "sessions_test")
@@ -148,21 +149,49 @@ def test_stream_fan_out_two_outputs(spark, tmp_path):
     assert sorted(seen["errors"]) == ["a", "c"] and seen["rest"] == ["b"]
 
 
-def test_stream_delivery_orphan_after_watermark(spark, tmp_path):
+def test_stream_deliveries_match_batch(spark, tmp_path):
+    """A repeated order (two days apart), a delivery before its order, one
+    far beyond the deadline and one without an order: one row each, as in batch."""
     import datetime as dt
-    t = lambda d: dt.datetime(2023, 6, d, tzinfo=dt.timezone.utc)
-    orders = [("o1", t(1)), ("o9", t(28))]
-    deliveries = [("d1", "o1", t(2)), ("d2", "missing", t(3)), ("d3", "o9", t(29))]
-    later = [("d4", "o9", t(30))]  # later files only move the watermark on
+    from eventide.operators import joins
+    t = lambda d: dt.datetime(2023, 6, d, tzinfo=dt.timezone.utc)
+    orders = [("o1", t(1)), ("o9", t(20)), ("o1", t(3)), ("o5", t(12)), ("o9", t(18))]
+    deliveries = [("d1", "o1", t(2)), ("d2", "missing", t(3)), ("d3", "o9", t(29)), ("d4", "o9", t(19)), ("d5", "o1", t(6)), ("d6", "o5", t(11))]
     opath, osch = _write(spark, tmp_path, "o2", orders, "order_key STRING, order_ts TIMESTAMP", 2)
-    dpath, dsch = _write(spark, tmp_path, "d2", deliveries + later,
-                         "delivery_id STRING, order_id STRING, delivery_ts TIMESTAMP", 4)
-    os_ = sio.event_time(sio.read_parquet_stream(spark, opath, osch, 1), "order_ts", 1000)
-    ds_ = sio.event_time(sio.read_parquet_stream(spark, dpath, dsch, 1), "delivery_ts", 1000)
-    out = sio.run_to_table(sjobs.delivery_matches(os_, ds_, "order_key", "order_ts", "order_id",
-                                                  "delivery_ts", bound_days=5), "orphans_test")
-    got = dict(rows(out, "delivery_id", "status"))
-    assert got["d1"] == "in_time" and got["d2"] == "orphan" and got["d3"] == "in_time"
+    dpath, dsch = _write(spark, tmp_path, "d2", deliveries,
+                         "delivery_id STRING, order_id STRING, delivery_ts TIMESTAMP", 3)
+    ends = sio.EndOfInput(spark, osch, "order_ts"), sio.EndOfInput(spark, dsch, "delivery_ts")
+    day = 24 * 3_600_000
+    os_ = sio.event_time(sio.read_parquet_stream(spark, opath, osch, 1, ends[0]), "order_ts", 30 * day)
+    ds_ = sio.event_time(sio.read_parquet_stream(spark, dpath, dsch, 1, ends[1]), "delivery_ts", 30 * day)
+    out = sio.run_to_table(sjobs.delivery_matches(os_, ds_, "order_key", "order_ts", "order_id", "delivery_ts",
+                                                  after_days=30, before_days=5), "deliveries2", ends=ends)
+    batch = joins.classify_deliveries(spark.createDataFrame(deliveries, dsch), spark.createDataFrame(orders, osch),
+                                      "order_id", "order_key", "order_ts", "delivery_ts")
+    want = [(d, "unmatched" if s_ == "orphan" else s_) for d, s_ in rows(batch, "delivery_id", "status")]
+    assert rows(out, "delivery_id", "status") == want and {s_ for _, s_ in want} == {
+        "in_time", "late", "before_order", "unmatched"}
+
+
+def test_stream_previous_value_in_event_order(spark, tmp_path):
+    """Files in any order, NULL counts, rows held over several watermarks and
+    a row that is late: the same as batch without the late row."""
+    import random
+    rnd = random.Random(8)
+    data = [(rnd.choice(["u1", "u2", "u3"]), at(i * 1000), i, rnd.choice([None, 0, 3, 9, 20])) for i in range(120)]
+    schema = "user_id STRING, time TIMESTAMP, ord INT, click_count BIGINT"
+    # file order: blocks swapped, each row within 40 s of its place
+    blocks = [data[i:i + 20] for i in range(0, 120, 20)]
+    mixed = [r for k in (1, 0, 3, 2, 5, 4) for r in blocks[k]]
+    late = ("u1", at(500), 999, 0)
+    path, sch = _write(spark, tmp_path, "ev", mixed + [late], schema, files=6)
+    end = sio.EndOfInput(spark, sch, "time")
+    st = sio.event_time(sio.read_parquet_stream(spark, path, sch, 1, end), "time", 45_000)
+    out = sio.run_to_table(sjobs.click_jumps(st, "user_id", ["time", "ord"], "click_count", ["ord"],
+                                             last_name="last_clicks_count", event_time="time"), "ordered", ends=(end,))
+    batch = jobs.click_jumps(spark.createDataFrame(data, sch))
+    text = lambda df: sorted((r.user_id, r.ord, str(r.click_count), str(r.last_clicks_count)) for r in df.collect())
+    assert text(out) == text(batch)
 
 
 def test_stream_store_batches_random_match_batch(spark, tmp_path):
@@ -209,9 +238,17 @@ def test_stream_running_counts_and_concat(spark, tmp_path):
         ("en", "car, bus, course, house, "), ("ru", "машина, ")]
 
 
-def test_console_sink_prints(spark, tmp_path, capfd):
+def test_console_sink_runs(spark, tmp_path):
     path, schema = _write(spark, tmp_path, "console", [("x", 1)], "k STRING, n INT")
     q = sio.start(sio.read_parquet_stream(spark, path, schema), "console_test", sink="console",
                   available_now=True)
     q.awaitTermination()
     assert q.exception() is None
+
+
+def test_print_stream_prints_every_row(spark, tmp_path, capsys):
+    data = [("x" * 40, i) for i in range(45)]
+    path, schema = _write(spark, tmp_path, "printed", data, "k STRING, n INT", files=2)
+    q = sio.print_stream(sio.read_parquet_stream(spark, path, schema, 1), "print_test", available_now=True)
+    q.awaitTermination()
+    assert sorted(capsys.readouterr().out.splitlines()) == sorted(f"k={k} n={n}" for k, n in data)
