@@ -11,9 +11,11 @@ Documents that agree in all samples of a band meet; each meeting that can change
 the result is verified by the exact weighted Jaccard similarity.
 
 Documents with equal shingle counts are one class from the start. A bucket of
-many classes is not expanded into pairs: rounds of stars compare all members with
-one leader and join what links, until a round joins nothing; then
-the meetings across classes that are still apart are compared, each once.
+many classes is not expanded into pairs. First all its members are compared with
+the one that meets most others, and what links is joined. Of the members
+still apart, those are dropped that cannot link with anybody: two texts share at most the
+weight of the shingles that either has in common with any other text. The
+meetings across classes that this bound allows are compared, each once.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from eventide.session import scratch_path
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS, SEED = 8, 3, 5
 HASH_BITS, DF_BITS, DF_PARTS = 44, 20, 64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _MASK = np.uint64((1 << HASH_BITS) - 1)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -139,8 +141,9 @@ def samples(keys: np.ndarray, weight: np.ndarray, starts: np.ndarray, count: int
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, bands: int, rows: int, seed: int) -> DataFrame:
-    """``(id, f1, f2, bands)``: the class fingerprint (128 bits over shingle
-    counts) and one hash per band; null for texts without words."""
+    """``(id, f1, f2, bands, weight)``: the class fingerprint (128 bits over
+    shingle counts), null for texts without words, one hash per band and the
+    total weight."""
     share = docs.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches):
@@ -151,7 +154,7 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int, rows: int, seed: in
                 doc = (keys >> np.uint64(HASH_BITS)).astype(np.int64)
                 f1, f2 = np.zeros(b - a, np.uint64), np.zeros(b - a, np.uint64)
                 band = np.zeros((b - a, bands), np.uint64)
-                has = np.zeros(b - a, bool)
+                has, total = np.zeros(b - a, bool), np.zeros(b - a)
                 if len(keys):
                     starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
                     at = doc[starts]
@@ -159,7 +162,9 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int, rows: int, seed: in
                     one = mix64((keys & _MASK) * np.uint64(3) + counts.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
                     f1[at] = np.add.reduceat(one, starts)
                     f2[at] = np.add.reduceat(mix64(one + np.uint64(0x9E3779B97F4A7C15)), starts)
-                    drawn = samples(keys, weights_of(keys, counts, share.value), starts, bands * rows, seed)
+                    weight = weights_of(keys, counts, share.value)
+                    total[at] = np.add.reduceat(weight.astype(np.float64), starts)
+                    drawn = samples(keys, weight, starts, bands * rows, seed)
                     for j in range(bands):
                         h = np.full(len(at), j, np.uint64)
                         for i in range(rows):
@@ -168,10 +173,10 @@ def signatures(docs: DataFrame, idf: np.ndarray, bands: int, rows: int, seed: in
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a) * bands + 1, bands), pa.int32()),
                                                  pa.array(band.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(f1.view(np.int64), mask=~has), pa.array(f2.view(np.int64), mask=~has), lists],
-                    names=["id", "f1", "f2", "bands"])
+                    [batch.column(0).slice(a, b - a), pa.array(f1.view(np.int64), mask=~has), pa.array(f2.view(np.int64), mask=~has), lists,
+                     pa.array(total)], names=["id", "f1", "f2", "bands", "weight"])
 
-    return map_arrow(docs.select("id", "text"), run, "id long, f1 long, f2 long, bands array<long>")
+    return map_arrow(docs.select("id", "text"), run, "id long, f1 long, f2 long, bands array<long>, weight double")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
@@ -207,6 +212,26 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: np.ndarray, similarity: fl
     return map_arrow(joined, run, "a long, b long, ok boolean")
 
 
+def lone_weight(texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """``(rep, lone)``: the weight of each text's shingles that no other text of
+    ``texts`` has; texts without any are left out."""
+    share = texts.sparkSession.sparkContext.broadcast(idf)
+
+    def run(batches):
+        for batch in batches:
+            col, ids = batch.column(1), batch.column(0).to_numpy()
+            for a, b in slices(col):
+                keys, counts = shingle_counts(col.slice(a, b - a))
+                doc = (keys >> np.uint64(HASH_BITS)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((keys & _MASK).view(np.int64)), pa.array(ids[a + doc]),
+                     pa.array(weights_of(keys, counts, share.value).astype(np.float64))], names=["f", "rep", "w"])
+
+    rows = map_arrow(texts.select("id", "text"), run, "f long, rep long, w double")
+    once = rows.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("rep"), F.min("w").alias("w")).filter("n = 1")
+    return once.groupBy("rep").agg(F.sum("w").alias("lone"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
                     bands: int = BANDS, rows: int = ROWS, seed: int = SEED) -> DataFrame:
     """One row per input row: ``id``, ``class_id`` (the smallest id of its class) and
@@ -223,51 +248,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     idf, _ = frequencies(base)
     signed = stored(signatures(base, idf, bands, rows, seed))
     live = signed.filter("id is not null and f1 is not null")
-    classes = live.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.min("bands").alias("bands"))
-    meets = classes.select("rep", F.posexplode("bands").alias("band", "h")).distinct()
-    crowded = meets.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    meets = stored(meets.join(crowded, ["band", "h"]).select("band", "h", "rep"))
+    classes = live.groupBy("f1", "f2").agg(F.min("id").alias("rep"), F.min("bands").alias("bands"), F.min("weight").alias("weight"))
+    meets = (classes.select("rep", "weight", "bands", F.posexplode("bands").alias("band", "h"))
+             .groupBy("rep", "band", "h").agg(F.min("weight").alias("weight"), F.min("bands").alias("bands")))
+    crowded = meets.groupBy("band", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    meets = stored(meets.join(crowded, ["band", "h"]).select("band", "h", "rep", "weight", "bands", "n"))
     involved = meets.select(F.col("rep").alias("id")).distinct()
     place = scratch_path(spark, "texts")
     # one text per id is enough: equal ids are one class anyway
     base.join(involved, "id").write.parquet(place)
     texts = spark.read.schema("id long, text string").parquet(place)
-    budget = 4 * meets.count() + 1000
-    comp, turn, exact = None, 0, False
-    while True:
-        tagged = meets.withColumn("c", F.col("rep")) if comp is None else (
-            meets.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left")
-            .select("band", "h", "rep", F.coalesce("component", "rep").alias("c")))
-        if turn:
-            # meetings across classes that are still apart
-            sizes = tagged.groupBy("band", "h", "c").agg(F.count(F.lit(1)).cast("double").alias("n"))
-            apart = (sizes.groupBy("band", "h").agg(((F.pow(F.sum("n"), 2) - F.sum(F.pow("n", 2))) / 2).alias("p"))
-                     .agg(F.sum("p")).first()[0] or 0)
-            if not apart:
-                break
-            exact = exact or apart <= budget
-        if exact:
-            split = tagged.groupBy("band", "h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi")
-            tagged = tagged.join(split.select("band", "h"), ["band", "h"])
-            other = tagged.select("band", "h", F.col("rep").alias("rep2"), F.col("c").alias("c2"))
-            pairs = (tagged.join(other, ["band", "h"]).filter("c < c2")
-                     .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")))
-        else:
-            rank = F.struct(F.lit(0) if not turn else F.xxhash64(F.lit(turn), "rep"), "rep")
-            lead = tagged.groupBy("band", "h").agg(F.min_by(F.struct("rep", "c"), rank).alias("lead"))
-            pairs = (tagged.join(lead, ["band", "h"]).filter("c <> lead.c")
-                     .select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")))
-        links = stored(verified(pairs.distinct(), texts, idf, similarity).filter("ok").select("a", "b"))
-        found = not links.isEmpty()
-        if found:
-            known = links if comp is None else links.unionByName(comp.select(F.col("id").alias("a"), F.col("component").alias("b")))
-            comp = components(known)
-        turn += 1
-        if exact:
-            break
-        exact = not found
-    if comp is None:
-        comp = spark.createDataFrame([], "id long, component long")
+    # stars: every member of a bucket against the member that meets most others
+    popular = meets.groupBy("rep").agg(F.sum("n").alias("met"))
+    ranked = meets.join(popular, "rep")
+    lead = ranked.groupBy("band", "h").agg(F.min_by("rep", F.struct(-F.col("met"), F.col("rep"))).alias("lead"))
+    pairs = (meets.join(lead, ["band", "h"]).filter("rep <> lead")
+             .select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct())
+    links = stored(verified(pairs, texts, idf, similarity).filter("ok").select("a", "b"))
+    comp = components(links)
+    # buckets whose members are still apart
+    tagged = (meets.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left")
+              .select("band", "h", "rep", "weight", "bands", F.coalesce("component", "rep").alias("c")))
+    apart = tagged.groupBy("band", "h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi")
+    tagged = stored(tagged.join(apart.select("band", "h"), ["band", "h"]))
+    # two texts share at most what either shares with any other text, which rules most members out
+    asked = texts.join(tagged.select(F.col("rep").alias("id")).distinct(), "id")
+    least = tagged.groupBy("band", "h").agg(F.min("weight").alias("least"))
+    able = (tagged.join(lone_weight(asked, idf), "rep", "left").join(least, ["band", "h"])
+            .withColumn("shared", F.col("weight") - F.coalesce("lone", F.lit(0.0)) + 1e-6 * F.col("weight"))
+            .filter(F.col("shared") * (1 + similarity) >= similarity * (F.col("weight") + F.col("least"))))
+    able = stored(able.select("band", "h", "rep", "c", "weight", "shared", "bands"))
+    other = able.select("band", "h", *[F.col(c).alias(f"{c}2") for c in ("rep", "c", "weight", "shared", "bands")])
+    # a pair that meets in several bands is taken in the first of them
+    first_band = F.array_position(F.zip_with("bands", "bands2", lambda x, y: x == y), True) - 1
+    rest = (able.join(other, ["band", "h"])
+            .filter((F.col("c") < F.col("c2")) & (F.least("shared", "shared2") * (1 + similarity)
+                                                  >= similarity * (F.col("weight") + F.col("weight2")))
+                    & (first_band == F.col("band")))
+            .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct())
+    more = stored(verified(rest, texts, idf, similarity).filter("ok").select("a", "b"))
+    comp = components(more.unionByName(comp.select(F.col("id").alias("a"), F.col("component").alias("b"))))
     per_class = classes.select("f1", "f2", "rep").join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left")
     per_class = per_class.select("f1", "f2", F.coalesce("component", "rep").alias("class"))
     out = live.select("id", "f1", "f2").join(per_class, ["f1", "f2"]).select("id", "class")
