@@ -35,7 +35,7 @@ from eventide.llm.common import (cogrouped_arrow, grouped_arrow, map_arrow, mix6
 from eventide.llm.weighted_minhash import slices
 
 LENGTH, GRAM = 100, 24
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
 #: An anchor with more different stretches than this is resolved window by window.
 CROWD = 20_000
 
@@ -159,7 +159,7 @@ def _batch(rows: list[tuple], names: str) -> pa.RecordBatch:
 
 def _list_stretches(docs: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
     """Step 1 over whole documents; a task's lists are bounded by its share of the
-    input and flushed at 4 million stretches."""
+    input and flushed at 2 million stretches."""
     def run(batches):
         from pyspark import TaskContext
         home = TaskContext.get().partitionId()
@@ -170,14 +170,14 @@ def _list_stretches(docs: DataFrame, buckets: int, length: int, gram: int) -> Da
 
         for batch in batches:
             col, ids, rows = batch.column(2), _doc_ids(batch.column(1)), batch.column(0).to_numpy()
-            for x, y in slices(col):
+            for x, y in slices(col, SLICE_BYTES):
                 data, off = utf8(col.slice(x, y - x))
                 a, e, h, c = stretches(data, off, length, gram)
                 doc = np.searchsorted(off, a, "right") - 1
                 # texts of no bytes share an offset with the next: the last of them starts there
                 parts.append((h, c, ids[x + doc], rows[x + doc], a - off[doc], e - off[doc]))
                 held += len(h)
-            if held > 4_000_000:
+            if held > 2_000_000:
                 yield flush()
                 parts, held = [], 0
         if parts:
@@ -444,7 +444,7 @@ def _cut(docs: DataFrame, spans: DataFrame, with_text: bool, carry: Sequence[str
         rows = left.column("r").to_numpy()
         by = np.argsort(rows)
         doc = by[np.searchsorted(rows[by], s[:, 0])] if len(s) else np.empty(0, np.int64)
-        edge = np.zeros(len(data) + 1, np.int64)
+        edge = np.zeros(len(data) + 1, np.int32)
         np.add.at(edge, off[doc] + s[:, 1], 1)
         np.add.at(edge, off[doc] + s[:, 2], -1)
         gone = np.cumsum(edge[:len(data)]) > 0
