@@ -33,7 +33,14 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     """``mapInArrow`` whose function travels by value, so that executors need
     no copy of this package."""
     _by_value()
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def grouped_arrow(df: DataFrame, keys: Sequence[str], fn, schema: str) -> DataFrame:
@@ -41,7 +48,9 @@ def grouped_arrow(df: DataFrame, keys: Sequence[str], fn, schema: str) -> DataFr
     _by_value()
 
     def by_key(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        return fn(key, group)
+        out = fn(key, group)
+        give_back()
+        return out
 
     return df.groupBy(*keys).applyInArrow(by_key, schema)
 
@@ -51,7 +60,9 @@ def cogrouped_arrow(left: DataFrame, right: DataFrame, key: str, fn, schema: str
     _by_value()
 
     def by_key(key: tuple[pa.Scalar, ...], one: pa.Table, two: pa.Table) -> pa.Table:
-        return fn(key, one, two)
+        out = fn(key, one, two)
+        give_back()
+        return out
 
     return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(by_key, schema)
 
@@ -61,6 +72,17 @@ def _by_value() -> None:
     cloudpickle.register_pickle_by_value(eventide)
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: a Python worker
+    waits for its next task beside the other processes of its executor."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):    # not glibc
+        pass
+
+
 def per_process(key, build: Callable):
     """Build a read-only helper once per Python worker (a compiled tokenizer,
     a lookup table); a new task of the same worker finds it again."""

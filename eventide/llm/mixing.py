@@ -14,11 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import WORD, map_arrow, order_rank, stored, table
+from eventide.llm.common import WORD, order_rank, stored, table
 from eventide.operators.scan import join_on
 
 WEIGHTS = (3, 1, 2)          # fixed weights of the registered query, repeating
@@ -94,7 +93,7 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
          weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST_REPEATS, seed: int = 7,
          block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, row: Column | None = None) -> DataFrame:
     """What the mix takes of every document: ``(id, source, size,
-    source_size, target, taken)`` and, for :func:`cut`, the place of the
+    source_size, target, taken)`` and, for :func:`mixed`, the place of the
     document on its shard's line, the shard's choice and the value of ``row``.
 
     Null texts have size 0 and are taken 0 times; a null source is a source of
@@ -138,42 +137,24 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           block_words: int = BLOCK_WORDS, **how) -> DataFrame:
     """The mix itself, in the columns of ``docs``: of every document one whole copy per
-    full round, and one row with the words of its chosen blocks, runs of
-    blocks joined by a line break. Documents of which nothing is taken go."""
+    full round, and one row with the words of its chosen blocks, joined by single
+    spaces. Documents of which nothing is taken go."""
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     planned = plan(docs, id_col, text_col, source_col, block_words=block_words, row=F.monotonically_increasing_id(), **how)
     planned = planned.filter("taken > 0").select("_row", F.col("size").alias("_size"), "_from", "_times", "_r", "_p", "_n")
-    need = rows.join(planned, "_row").drop("_row")
-    others, columns = [c for c in docs.columns if c != text_col], docs.columns
-
-    def emit(batches):
-        import re
-        word = re.compile(r"[^\x20\x09-\x0D]+")
-        for batch in batches:
-            cols = {c: batch.column(c) for c in others}
-            rows, texts = [], []
-            for i, (text, size, start, times, r, p, n) in enumerate(zip(
-                    *[batch.column(c).to_pylist() for c in (text_col, "_size", "_from", "_times", "_r", "_p", "_n")])):
-                rows += [i] * times
-                texts += [text] * times
-                runs, j = [], start // block_words
-                while r and j * block_words < start + size:
-                    if ((j + 1) * r + p) // n > (j * r + p) // n:
-                        a, b = max(0, j * block_words - start), min(size, (j + 1) * block_words - start)
-                        if runs and runs[-1][1] == a:
-                            runs[-1][1] = b
-                        else:
-                            runs.append([a, b])
-                    j += 1
-                if runs:
-                    spans = [m.span() for m in word.finditer(text)]
-                    rows.append(i)
-                    texts.append("\n".join(text[spans[a][0]:spans[b - 1][1]] for a, b in runs))
-            at = pa.array(rows, pa.int64())
-            data = {c: cols[c].take(at) for c in others} | {text_col: pa.array(texts, pa.string())}
-            yield pa.RecordBatch.from_arrays([data[f] for f in columns], names=columns)
-
-    return map_arrow(need, emit, docs.schema)
+    b = F.lit(block_words).cast("long")
+    chosen = F.filter(F.sequence(F.floor(F.col("_from") / b), F.floor((F.col("_from") + F.col("_size") - 1) / b)),
+                      lambda j: F.floor(((j + 1) * F.col("_r") + F.col("_p")) / F.col("_n")) >
+                      F.floor((j * F.col("_r") + F.col("_p")) / F.col("_n")))
+    first = lambda j: F.greatest(F.lit(0), j * b - F.col("_from"))
+    upto = lambda j: F.least(F.col("_size"), (j + 1) * b - F.col("_from"))
+    text = F.col(text_col).cast("string")
+    # the words are bound to a variable, so that they are cut once per text and not per block
+    part = F.transform(F.array(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))), lambda words: F.array_join(
+        F.transform(chosen, lambda j: F.array_join(F.slice(words, (first(j) + 1).cast("int"), (upto(j) - first(j)).cast("int")), " ")), " "))
+    copies = F.concat(F.array_repeat(text, F.col("_times").cast("int")), F.filter(part, lambda t: F.length(t) > 0))
+    mixed_rows = rows.join(planned, "_row").withColumn("_copies", copies).withColumn("_copy", F.explode("_copies"))
+    return mixed_rows.select(*[F.col("_copy").alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
