@@ -35,7 +35,7 @@ from eventide.llm.common import (cogrouped_arrow, grouped_arrow, map_arrow, mix6
 from eventide.llm.weighted_minhash import slices
 
 LENGTH, GRAM = 100, 24
-BUCKET_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
+BUCKET_BYTES, SLICE_BYTES, FLUSH_STRETCHES = 8 << 20, 1 << 20, 300_000
 #: An anchor with more different stretches than this is resolved window by window.
 CROWD = 20_000
 
@@ -159,7 +159,7 @@ def _batch(rows: list[tuple], names: str) -> pa.RecordBatch:
 
 def _list_stretches(docs: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
     """Step 1 over whole documents; a task's lists are bounded by its share of the
-    input and flushed at 2 million stretches."""
+    input and flushed at FLUSH_STRETCHES."""
     def run(batches):
         from pyspark import TaskContext
         home = TaskContext.get().partitionId()
@@ -177,7 +177,7 @@ def _list_stretches(docs: DataFrame, buckets: int, length: int, gram: int) -> Da
                 # texts of no bytes share an offset with the next: the last of them starts there
                 parts.append((h, c, ids[x + doc], rows[x + doc], a - off[doc], e - off[doc]))
                 held += len(h)
-            if held > 2_000_000:
+            if held > FLUSH_STRETCHES:
                 yield flush()
                 parts, held = [], 0
         if parts:
