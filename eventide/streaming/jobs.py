@@ -159,14 +159,15 @@ def delivery_matches(orders: DataFrame, deliveries: DataFrame, order_key: str, o
     several orders the earliest is kept by an aggregate per delivery, which comes out when the
     watermark has passed the waiting time. A delivery without an order
     within these bounds is ``unmatched``: a stream cannot tell an order that
-    never existed from one outside the bounds. Rows of ``deliveries`` must be
-    distinct. Both inputs need ``withWatermark``."""
+    never existed from one outside the bounds. Equal rows are deliveries of their own.
+    Both inputs need ``withWatermark``."""
     span = lambda days: F.expr(f"INTERVAL {int(days)} DAYS")
     cond = ((F.col(order_ref) == F.col(order_key))
             & (F.col(order_ts) >= F.col(delivery_ts) - span(after_days))
             & (F.col(order_ts) <= F.col(delivery_ts) + span(before_days)))
-    joined = deliveries.join(orders.select(order_key, order_ts), cond, "leftOuter")
-    first = joined.groupBy(*deliveries.columns).agg(F.min(order_ts).alias(order_ts))
+    marked = deliveries.withColumn("_delivery", F.expr("uuid()"))
+    joined = marked.join(orders.select(order_key, order_ts), cond, "leftOuter")
+    first = joined.groupBy(*marked.columns).agg(F.min(order_ts).alias(order_ts))
     lateness = micros_between(order_ts, delivery_ts)
     status = (F.when(F.col(order_ts).isNull(), F.lit(UNMATCHED)).when(lateness < 0, F.lit(BEFORE_ORDER))
               .when(is_late(lateness, late_after_s), F.lit(LATE)).otherwise(F.lit(IN_TIME)))
