@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.llm.common import map_arrow, table, text_column, utf8, word_bounds, word_hashes
@@ -228,7 +228,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Train on a bounded, seeded sample of labelled rows: at most
     ``sample_docs`` documents of either label in hash order, of them as many as
-    ``sample_bytes`` of text hold. Rows of the held-out fold, and null
+    ``sample_bytes`` of text hold, whole (``sample_places``), and of either label at
+    least one, however long. Rows of the held-out fold, and null
     labels or ids, are never used; a document labelled twice counts as toxic if
     one label says so. Without labelled rows every score is 0."""
     known = (labels.select(F.col(id_col).alias("_id"), (F.col(label_col) > 0).alias("toxic")).dropna()
@@ -236,18 +237,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = [known.filter(F.col("toxic") == t).orderBy(F.xxhash64(F.lit(3), "_id"), "_id").limit(sample_docs) for t in (True, False)]
     picked = share[0].unionByName(share[1])    # at most 2 * sample_docs rows of id and label
     texts = docs.select(F.col(id_col).alias("_id"), text_column(docs, text_col).alias("text")).join(F.broadcast(picked), "_id")
-    size = F.sum(F.octet_length("text")).over(_hash_order())
-    rows = texts.withColumn("upto", size).filter(F.col("upto") <= sample_bytes).select("text", "toxic").toArrow()
+    # a label takes half of the bytes, and what the other one leaves
+    size, by_label = F.octet_length("text"), Window.partitionBy("toxic")
+    own, both = F.sum(size).over(by_label), F.sum(size).over(Window.partitionBy(F.lit(0)))
+    room = sample_bytes - F.least(both - own, F.lit(sample_bytes // 2))
+    filled = texts.select("_id", "text", "toxic", room.alias("room"), *sample_places(sample_bytes, ["toxic"]))
+    rows = (filled.filter((F.col("upto") <= F.col("room")) | (F.col("place") == 1))
+            .orderBy(F.xxhash64(F.lit(4), "_id"), "_id").select("text", "toxic").toArrow())
     toxic = np.array(rows.column("toxic").to_pylist(), bool)
     if not len(toxic) or toxic.all() or not toxic.any():
         return Model(np.zeros(1 << FEATURE_BITS, np.float32), np.zeros((2, 2)), -9.0, np.array([0.0, 0.0, -30.0]))
     return train(rows.column("text").to_pylist(), toxic)
 
 
-def _hash_order():
-    from pyspark.sql import Window
-    # over the bounded sample only
-    return Window.orderBy(F.xxhash64(F.lit(4), "_id"), "_id").rowsBetween(Window.unboundedPreceding, 0)
+def sample_places(sample_bytes: int, labels: list[str], seed: int = 4, id_col: str = "_id") -> list[Column]:
+    """``place`` and bytes ``upto`` a row of a bounded sample in the order in which
+    the rows of a label fill it: in hash order those of at most 1/64 of the bytes, then
+    the longer ones by length, so a text that does not fit keeps out no text that does."""
+    size = F.octet_length("text")
+    line = (Window.partitionBy(*labels, F.lit(0))
+            .orderBy(F.when(size <= sample_bytes // 64, 0).otherwise(size), F.xxhash64(F.lit(seed), id_col), id_col, F.xxhash64("text"))
+            .rowsBetween(Window.unboundedPreceding, 0))
+    return [F.count(F.lit(1)).over(line).alias("place"), F.sum(size).over(line).alias("upto")]
 
 
 def judged(m: Model, data: np.ndarray, off: np.ndarray):

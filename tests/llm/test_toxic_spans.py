@@ -97,3 +97,18 @@ def test_whole_table(spark, sf):
     docs = {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id").collect()}
     assert {r["doc_id"] for r in rows} == docs and len(rows) == len(docs)
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+
+
+def test_a_long_text_keeps_no_other_out_of_the_sample(spark):
+    """A toxic text of 12 MB comes first in hash order."""
+    docs, labels, truth = corpus(400, 5)
+    marked = {i for i, toxic, _ in labels if toxic and zlib.crc32(str(i).encode()) % 5}
+    first = next(r["id"] for r in spark.range(400).orderBy(T.F.xxhash64(T.F.lit(4), "id")).collect() if r["id"] in marked)
+    # ids before it in hash order have no label
+    order = [r["id"] for r in spark.range(400).orderBy(T.F.xxhash64(T.F.lit(4), "id")).collect()]
+    labels = [x for x in labels if x[0] not in order[:order.index(first)]]
+    docs = [(i, "calm1 " * 2_000_000 if i == first else t, *rest) for i, t, *rest in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, score double")
+    model = T.fit(df, spark.createDataFrame(labels, "doc_id long, toxic int, quality int"))
+    rows = {r["doc_id"]: r["predicted"] for r in T.score(df, model).collect()}
+    assert np.mean([rows[i] == truth[i] for i in truth if i != first]) >= 0.97
