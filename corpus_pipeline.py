@@ -43,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of balanced cost, one row per piece."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=packing.added_tokens())
 
 
 STAGES = [

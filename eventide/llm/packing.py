@@ -14,6 +14,7 @@ is placed next.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 
 import numpy as np
@@ -29,21 +30,29 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 def vocabulary(name: str = "byte_bpe_50k", path: str | None = None) -> tuple[str, bytes]:
     """Pattern and rank file of a byte-level BPE vocabulary. The file is read
-    on the driver (1 MB) and travels with the tasks. The ids are those of the
-    ``tokenizers`` file of the same name; this form encodes five times faster."""
+    on the driver (1 MB) and travels with the tasks. With ``added_tokens`` the ids are
+    those of the ``tokenizers`` file of the same name; this form encodes five times faster."""
     import public_tokenizers as P
     with open(path or P.path(f"{name}.tiktoken"), "rb") as f:
         return P.PATTERN, f.read()
 
 
-def encoder(vocab: tuple[str, bytes]):
-    """The encoder of a vocabulary, built once per Python worker."""
+def added_tokens(name: str = "byte_bpe_50k", path: str | None = None) -> dict[str, int]:
+    """The added tokens of a ``tokenizers`` file, which it finds in any text."""
+    import public_tokenizers as P
+    with open(path or P.path(f"{name}.json"), encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
+def encoder(vocab: tuple[str, bytes], added: dict[str, int] | None = None):
+    """The encoder of a vocabulary, built once per Python worker. Its ``encode_ordinary``
+    takes no notice of ``added`` tokens."""
     import tiktoken
 
     def build():
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocab[1].splitlines())}
-        return tiktoken.Encoding("ranks", pat_str=vocab[0], mergeable_ranks=ranks, special_tokens={})
-    return per_process(("encoder", zlib.crc32(vocab[1]), vocab[0]), build)
+        return tiktoken.Encoding("ranks", pat_str=vocab[0], mergeable_ranks=ranks, special_tokens=added or {})
+    return per_process(("encoder", zlib.crc32(vocab[1]), vocab[0], tuple(sorted((added or {}).items()))), build)
 
 
 def capacities(total: int, length: int) -> np.ndarray:
@@ -77,13 +86,15 @@ def place(sizes: np.ndarray, length: int, linear: float, quadratic: float) -> li
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: tuple[str, bytes] | None = None,
          length: int = LENGTH, end_id: int = END_ID, batch_tokens: int = BATCH_TOKENS,
-         linear: float = 1.0, quadratic: float = 1.0 / LENGTH) -> DataFrame:
+         linear: float = 1.0, quadratic: float = 1.0 / LENGTH,
+         added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece: ``doc_id``, its place ``start`` in the document's
     ids, ``length``, ``ids_crc32`` of its ids as little-endian unsigned 32-bit
     values, the document's ``doc_tokens``, and its ``sequence_id`` and
     ``offset`` there.
 
-    A null or empty text is its end id alone. Equal rows are documents of their
+    Where a text holds an ``added`` token, it becomes that one id; without any
+    given, such text is encoded like other text. A null or empty text is its end id alone. Equal rows are documents of their
     own; other columns are not read. Each id lies in exactly one piece. A
     sequence id names the task and the sequence in it, so a task run again
     after a lost executor gives the same rows.
@@ -92,7 +103,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
 
     def run(batches):
         from pyspark import TaskContext
-        enc = encoder(vocab)
+        enc = encoder(vocab, added)
         made = TaskContext.get().partitionId() << 33
         ids_of, names, held = [], [], 0
 
@@ -107,7 +118,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
 
         for batch in batches:
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = enc.encode_ordinary(text.as_py())
+                ids = enc.encode(text.as_py(), allowed_special="all") if added else enc.encode_ordinary(text.as_py())
                 ids.append(end_id)
                 ids_of.append(np.array(ids, "<u4"))
                 names.append(name)
@@ -123,4 +134,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
 
 
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), added=added_tokens())

@@ -92,3 +92,14 @@ def test_empty_table_and_repeated_rows(spark, tokenizer):
 def test_whole_table(spark, sf, tokenizer):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     check(P.op10_pack(spark, sf).collect(), {r["doc_id"]: r["text"] for r in docs}, tokenizer, 2048)
+
+
+def test_added_tokens_are_those_of_the_tokenizer_in_its_default_setting(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = {i: t for i, t in enumerate([f"a {end} b", end, f"{end}{end}x", f"  {end}  \n", "<|endoftext|", f"{end[:-1]} |>{end}é", None])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    check(P.op10_pack(spark, str(tmp_path)).collect(), texts, plain, 2048)
