@@ -36,6 +36,8 @@ from eventide.llm.weighted_minhash import slices
 
 LENGTH, GRAM = 100, 24
 BUCKET_BYTES, SLICE_BYTES, FLUSH_STRETCHES = 8 << 20, 1 << 20, 300_000
+#: Windows whose anchors are sought at once; with the bytes of a window less than 2^24 places.
+PIECE = 1 << 22
 #: An anchor with more different stretches than this is resolved window by window.
 CROWD = 20_000
 
@@ -64,6 +66,26 @@ def span_hash(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix64((total[end] - total[start]) * _powers(len(total))[1][start] + (end - start).astype(np.uint64))
 
 
+def _anchors(h: np.ndarray, windows: int, span: int) -> np.ndarray:
+    """The place of the leftmost of the least hashes among the ``span`` from each
+    window's start, in pieces of ``PIECE`` windows, as a place has 24 bits."""
+    at = np.empty(windows, np.int64)
+    for lo in range(0, windows, PIECE):
+        hi = min(lo + PIECE, windows)
+        # hash above, place in the piece below
+        low = h[lo:hi + span - 1] & np.uint64(0xFFFFFFFFFF000000)
+        low |= np.arange(len(low), dtype=np.uint64)
+        width = 1
+        while width * 2 <= span:
+            low = np.minimum(low[:-width], low[width:])
+            width *= 2
+        if width < span:
+            gap = span - width
+            low = np.minimum(low[:len(low) - gap], low[gap:])
+        at[lo:hi] = (low & np.uint64(0xFFFFFF)).astype(np.int64) + lo
+    return at
+
+
 def stretches(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     """``(start, end, anchor hash, stretch hash)`` of every stretch of the
     texts: bytes ``start`` to ``end`` are the windows that share an anchor."""
@@ -77,18 +99,7 @@ def stretches(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int
     h *= down[:len(h)]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    # hash above, place below: the least is the leftmost of the least hashes
-    h &= np.uint64(0xFFFFFFFFFF000000)
-    h |= np.arange(len(h), dtype=np.uint64)
-    width, span = 1, length - gram + 1
-    low = h
-    while width * 2 <= span:
-        low = np.minimum(low[:-width], low[width:])
-        width *= 2
-    if width < span:
-        gap = span - width
-        low = np.minimum(low[:len(low) - gap], low[gap:])
-    at = (low & np.uint64(0xFFFFFF)).astype(np.int64)[:n - length + 1]
+    at = _anchors(h, n - length + 1, length - gram + 1)
     # a window must end within its text
     size = np.diff(off)
     inside = np.zeros(n + 1, np.int8)

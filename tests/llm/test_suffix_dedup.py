@@ -101,3 +101,21 @@ def test_whole_table_equals_brute_force(spark, sf):
     docs = [(r["doc_id"], r["text"]) for r in df.orderBy("doc_id").collect()]
     rows = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in S.op1_suffix_dedup(spark, sf).collect())
     assert rows == brute(docs, 100)
+
+
+def test_stretches_of_a_text_over_16_mib():
+    """A passage before and behind place 2^24 gives the same stretches; pieces change nothing."""
+    data = np.random.default_rng(4).integers(0, 256, (1 << 24) + 5000, np.uint8)
+    passage, near, far = data[100:700].copy(), 100, (1 << 24) + 2000
+    data[far:far + 600] = passage
+    first, stop, anchor, content = S.stretches(data, np.array([0, len(data)]))
+    assert first[0] == 0 and stop[-1] == len(data)
+    inside = lambda lo: {(a - lo, e - lo, h, c) for a, e, h, c in zip(*(x[(first > lo) & (stop < lo + 600)].tolist() for x in (first, stop, anchor, content)))}
+    assert inside(near) == inside(far) and len(inside(near)) > 5
+
+
+def test_anchors_do_not_depend_on_pieces(monkeypatch):
+    data = np.random.default_rng(5).integers(97, 100, 20_000, np.uint8)
+    whole = S.stretches(data, np.array([0, 9000, 20_000]))
+    monkeypatch.setattr(S, "PIECE", 777, raising=False)
+    assert all(np.array_equal(x, y) for x, y in zip(whole, S.stretches(data, np.array([0, 9000, 20_000]))))
