@@ -5,8 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-T0_MS = 1689379200000
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -23,13 +21,3 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def at(ms: int):
-    """Instant t0 + ms as a Python datetime (UTC)."""
-    import datetime as dt
-    return dt.datetime.fromtimestamp((T0_MS + ms) / 1000, tz=dt.timezone.utc)
-
-
-def rows(df, *cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

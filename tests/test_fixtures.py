@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import T0_MS, at, rows
+from helpers import T0_MS, at, rows
 from eventide.plans import jobs
 from eventide.sources.inline import from_rows
 

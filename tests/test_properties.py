@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import T0_MS, at, rows
+from helpers import T0_MS, at, rows
 from eventide import constants as K
 from eventide.functions.timefn import time_of_day
 from eventide.operators import periods, quality, segments, sessions, weights

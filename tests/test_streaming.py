@@ -4,7 +4,7 @@ later row, processing-time report)."""
 import time
 
 
-from conftest import T0_MS, at, rows
+from helpers import T0_MS, at, rows
 from eventide.plans import jobs
 from eventide.streaming import io as sio
 from eventide.streaming import jobs as sjobs
