@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from eventide.llm import (attention_lm, grid_join, mixing, packing, rotated_codes, style_tree, suffix_dedup, toxic_spans,
-                          url_rules, weighted_minhash)
+from eventide.llm import (attention_lm, grid_join, mixing, packing, rotated_codes, source_audit, style_tree,
+                          suffix_dedup, toxic_spans, url_rules, weighted_minhash)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -16,5 +16,7 @@ QUERIES = {
     "op8_weighted_minhash": weighted_minhash.op8_weighted_minhash,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_pack": packing.op10_pack,
+    "op12_source_audit": source_audit.op12_source_audit,
 }
-SQL = {"op7_grid_join": grid_join.OP7_SQL, "op9_url_rules": url_rules.OP9_SQL}
+SQL = {"op7_grid_join": grid_join.OP7_SQL, "op9_url_rules": url_rules.OP9_SQL,
+       "op12_source_audit": source_audit.OP12_SQL}
