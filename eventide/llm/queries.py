@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from eventide.llm import (attention_lm, grid_join, mixing, packing, rotated_codes, source_audit, style_tree,
-                          suffix_dedup, toxic_spans, url_rules, weighted_minhash)
+                          suffix_dedup, toxic_spans, turn_repair, url_rules, weighted_minhash)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -16,7 +16,8 @@ QUERIES = {
     "op8_weighted_minhash": weighted_minhash.op8_weighted_minhash,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_pack": packing.op10_pack,
+    "op11_turn_repair": turn_repair.op11_turn_repair,
     "op12_source_audit": source_audit.op12_source_audit,
 }
 SQL = {"op7_grid_join": grid_join.OP7_SQL, "op9_url_rules": url_rules.OP9_SQL,
-       "op12_source_audit": source_audit.OP12_SQL}
+       "op11_turn_repair": turn_repair.OP11_SQL, "op12_source_audit": source_audit.OP12_SQL}
