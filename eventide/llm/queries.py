@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventide.llm import (attention_lm, grid_join, mixing, packing, rotated_codes, source_audit, style_tree,
+from eventide.llm import (attention_lm, grid_join, license_scan, mixing, packing, rotated_codes, source_audit, style_tree,
                           suffix_dedup, toxic_spans, turn_repair, url_rules, weighted_minhash)
 
 QUERIES = {
@@ -18,6 +18,8 @@ QUERIES = {
     "op10_pack": packing.op10_pack,
     "op11_turn_repair": turn_repair.op11_turn_repair,
     "op12_source_audit": source_audit.op12_source_audit,
+    "op13_license_scan": license_scan.op13_license_scan,
 }
 SQL = {"op7_grid_join": grid_join.OP7_SQL, "op9_url_rules": url_rules.OP9_SQL,
-       "op11_turn_repair": turn_repair.OP11_SQL, "op12_source_audit": source_audit.OP12_SQL}
+       "op11_turn_repair": turn_repair.OP11_SQL, "op12_source_audit": source_audit.OP12_SQL,
+       "op13_license_scan": license_scan.OP13_SQL}
