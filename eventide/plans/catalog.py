@@ -24,6 +24,7 @@ from eventide.sources import files
 from eventide.operators.scan import CHUNK, deal
 from eventide.sources.tables import events, table
 from eventide.session import materialize, scratch_path, use_utc
+from eventide.streaming.replay import late_sql
 
 HOUR_MS = 3_600_000
 
@@ -456,37 +457,22 @@ FROM events
 def comments_sorted(spark, sf_dir):
     # Stand-in input: events written as the headered comment file
     # (commentId, time offset from t0 in ms, user, topic, acronym).
-    ev = events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "props")
-    raw_path = scratch_path(spark, "comments-raw")
-    ev.select(F.col("event_id").cast("string").alias("commentId"),
-              (epoch_ms("ts") - F.lit(T0_MS)).alias("time"),
-              F.col("user_id").cast("string").alias("user"),
-              F.col("event_type").alias("topic"),
-              F.get_json_object("props", "$.k").alias("acronym")
-              ).write.option("header", True).csv(raw_path)
-    sorted_path = scratch_path(spark, "comments-sorted")
-    files.sort_comments_file(spark, raw_path, sorted_path)
-    comments = files.read_comments(spark, sorted_path)
+    comments = files.read_comments(spark, _comment_files(spark, sf_dir))
     return comments.select(F.col("commentId").alias("comment_id"), "user", "topic",
                            F.col("acronim").alias("acronym"),
                            epoch_ms(rebase_ms("time")).alias("time_ms"))
 
 
 # ----------------------------------------------------- streaming forms
-#: Watermark delay of the queries below: longer than the tables' time span, because
-#: the stand-in files are not in time order.
-_WHOLE_SPAN_MS = 4000 * 24 * HOUR_MS
+#: Rows wait this long for event order: 6 hours hold a few rows of a user, some hundred of a store.
+_BUCKET_MS = 6 * HOUR_MS
 
 
-def _as_stream(df, time_col, files=4, delay_ms=_WHOLE_SPAN_MS):
-    """Stand-in input: the rows of ``df`` as several files that are not in time
-    order, read one per micro-batch, and the end of that input."""
-    from eventide.streaming import io as sio
-    spark = df.sparkSession
-    folder = scratch_path(spark, "stream-in")
-    df.repartition(files, F.xxhash64(*df.columns)).write.parquet(folder)
-    end = sio.EndOfInput(spark, df.schema, time_col)
-    return sio.event_time(sio.read_parquet_stream(spark, folder, df.schema, 1, end), time_col, delay_ms), end
+def _as_stream(df, time_col, **how):
+    """Stand-in input: the rows of ``df`` as files in order of time, read one per micro-batch with a
+    watermark of 10 s, and the end of that input (see ``streaming.replay``)."""
+    from eventide.streaming.replay import replay
+    return replay(df, time_col, **how)
 
 
 @register("stream_errors_per_window", "S-1 S-3 S-4 S-14 AGG-5 P-6 SRC-3", _ERRORS_SQL + "SELECT * FROM c")
@@ -504,15 +490,14 @@ def stream_errors_per_window(spark, sf_dir):
 
 @register("stream_previous_jump", "W-1 P-10 S-11 S-13 S-14 SRC-3", REGISTRY["previous_jump"].sql)
 def stream_previous_jump(spark, sf_dir):
-    """Previous-value jumps from the events read as a stream of files that are not in
-    time order: rows wait in list state until the watermark has passed
-    them, the previous value is keyed value state (transformWithState)."""
+    """Previous-value jumps from the events read as a stream: rows wait in windows until the
+    watermark has passed them, the previous value is keyed value state (transformWithState)."""
     from eventide.streaming import io as sio
     from eventide.streaming import jobs as sjobs
     st, end = _as_stream(events(spark, sf_dir, "ts", "user_id", "event_id", "value"), "ts")
     st = st.withColumn("click_count", F.floor("value").cast("long") % 10)
     out = sjobs.click_jumps(st, "user_id", ["ts", "event_id"], "click_count", ["event_id", "ts"],
-                            last_name="last_click_count", event_time="ts")
+                            last_name="last_click_count", event_time="ts", bucket_ms=_BUCKET_MS)
     table_ = sio.run_to_table(out, "previous_jump", ends=(end,))
     return table_.select("user_id", "event_id", epoch_ms("ts").alias("ts_ms"), "click_count",
                          "last_click_count")
@@ -526,7 +511,7 @@ def stream_threshold_top_apps(spark, sf_dir):
     from eventide.streaming import jobs as sjobs
     st, end = _as_stream(_store_events(spark, sf_dir), "ts")
     main = st.filter(sio.or_end(null_safe_not(F.col("kind") == "error"), "ts"))
-    out = sjobs.store_batches(main, "store", ["ts", "event_id"], "kind", "app", event_time="ts")
+    out = sjobs.store_batches(main, "store", ["ts", "event_id"], "kind", "app", event_time="ts", bucket_ms=_BUCKET_MS)
     return sio.run_to_table(out, "top_apps", ends=(end,))
 
 
@@ -581,22 +566,205 @@ def stream_article_counts(spark, sf_dir):
     return out.select("token", F.col("count").alias("n"))
 
 
-@register("stream_deliveries", "J-2 AGG-8 S-14", REGISTRY["delivery_lateness"].sql)
+#: Orders come twice, the second time after 5 days; both streams wait 10 days.
+_AGAIN_MS, _ORDER_DELAY_MS = 5 * 24 * HOUR_MS, 10 * 24 * HOUR_MS
+
+
+def _orders_twice(spark, sf_dir, stretch=None):
+    """The orders as a stream in which every order comes twice (at-least-once delivery): the repeat lies in
+    the same file or in the next one."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    return _as_stream(o, "o_orderdate", delay_ms=_ORDER_DELAY_MS, stretch=stretch, copies=(F.lit(True), _AGAIN_MS))
+
+
+@register("stream_first_orders", "AGG-8 S-1 S-14", """
+SELECT o_orderkey, epoch_us(o_orderdate) // 1000 AS order_ms FROM orders
+""")
+def stream_first_orders(spark, sf_dir):
+    """The first row of each order id from a stream that repeats them."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    use_utc(spark)
+    st, end = _orders_twice(spark, sf_dir)
+    out = sio.run_to_table(sjobs.first_arrivals(st, "o_orderkey"), "first_orders", ends=(end,))
+    return out.filter(F.col("o_orderdate") < F.lit(sio.FAR).cast("timestamp")).select("o_orderkey", epoch_ms("o_orderdate").alias("order_ms"))
+
+
+@register("stream_deliveries", "J-2 AGG-8 VAL-1 VAL-2 S-1 S-14", """
+SELECT l_orderkey, l_linenumber, epoch_us(l_shipdate) // 1000 AS delivery_ms, epoch_us(l_shipdate) - epoch_us(o_orderdate) AS lateness_us,
+       CASE WHEN o_orderkey IS NULL THEN 'unmatched' WHEN l_shipdate < o_orderdate THEN 'before_order'
+            WHEN epoch_us(l_shipdate) - epoch_us(o_orderdate) > 259200000000 THEN 'late' ELSE 'in_time' END AS status
+FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey
+  AND o_orderdate BETWEEN l_shipdate - INTERVAL 60 DAY AND l_shipdate + INTERVAL 20 DAY
+""")
 def stream_deliveries(spark, sf_dir):
-    """Q10 as a stream-stream join whose bounds cover the tables' time span."""
+    """Q10 as a stream-stream join with bounds of days: orders come twice and are deduplicated before the
+    join, a delivery waits 20 days for its order and an order 60 days for its deliveries, then they leave the state."""
     from eventide.streaming import io as sio
     from eventide.streaming import jobs as sjobs
+    from eventide.streaming.replay import stretch_ms
     use_utc(spark)
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate")
-    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
-    ds, end_d = _as_stream(li.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp")), "l_shipdate")
-    os_, end_o = _as_stream(o.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp")), "o_orderdate")
+    li = li.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
+    stretch = stretch_ms(li, "l_shipdate")
+    ds, end_d = _as_stream(li, "l_shipdate", stretch=stretch)
+    os_, end_o = _orders_twice(spark, sf_dir, stretch)
     out = sjobs.delivery_matches(os_, ds, "o_orderkey", "o_orderdate", "l_orderkey", "l_shipdate",
-                                 after_days=4000, before_days=4000)
+                                 after_days=60, before_days=20, first="arrival")
     done = sio.run_to_table(out, "deliveries", ends=(end_o, end_d))
-    return done.filter(F.col("status").isin(joins.IN_TIME, joins.LATE)).select(
-        "l_orderkey", "l_linenumber", "lateness_us",
-        F.lit(joins.LATE_AFTER_SECONDS).cast("long").alias("deadline_s"), "status")
+    return done.filter(F.col("l_shipdate") < F.lit(sio.FAR).cast("timestamp")).select(
+        "l_orderkey", "l_linenumber", epoch_ms("l_shipdate").alias("delivery_ms"), "lateness_us", "status")
+
+
+# ------------------------------------------------------- late rows (S-1, S-10)
+#: Every 20th event comes two files after its time; a file holds six days.
+_HELD_UP, _HELD_UP_FILES, _STRETCH_MS = "event_id % 20 = 7", 2, 144 * HOUR_MS
+
+
+def _late_events(spark, sf_dir, *columns):
+    ev = events(spark, sf_dir, "event_id", "ts", *columns)
+    return _as_stream(ev, "ts", stretch=_STRETCH_MS, held_up=(F.expr(_HELD_UP), _HELD_UP_FILES))
+
+
+_ARRIVED_SQL = late_sql("events", "ts", _STRETCH_MS, _HELD_UP, _HELD_UP_FILES)
+
+
+@register("stream_late_errors", "S-1 S-3 S-4 S-10 S-14 AGG-5 P-6 SRC-3", _ARRIVED_SQL + """
+SELECT epoch_us(ts) // 86400000000 * 86400000 AS window_start_ms, epoch_us(ts) // 86400000000 * 86400000 + 86400000 AS window_end_ms,
+       user_id % 4 AS store, count(*) AS n_errors
+FROM arrived WHERE event_type = 'error' AND epoch_us(ts) // 86400000000 * 86400000 + 86400000 > wm GROUP BY ALL
+""")
+def stream_late_errors(spark, sf_dir):
+    """``stream_errors_per_window`` with rows that are held up: those whose day the watermark has passed are dropped."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    st, end = _late_events(spark, sf_dir, "user_id", "event_type")
+    err = st.filter(sio.or_end(F.col("event_type") == "error", "ts")).withColumn("store", F.col("user_id") % 4)
+    out = sjobs.error_windows(err, "ts", "store", size_ms=24 * HOUR_MS).withColumnRenamed("n", "n_errors")
+    return sio.run_to_table(out.select("window_start_ms", "window_end_ms", "store", "n_errors"), "late_errors", ends=(end,))
+
+
+@register("stream_late_jumps", "W-1 P-10 S-1 S-10 S-11 S-13 S-14 SRC-3", _ARRIVED_SQL + f""",
+c AS (SELECT user_id, event_id, ts, CAST(floor(value) AS BIGINT) % 10 AS click_count FROM arrived
+      WHERE epoch_us(ts) // {_BUCKET_MS * 1000} * {_BUCKET_MS} + {_BUCKET_MS} > wm),
+l AS (SELECT *, lag(click_count, 1, 0) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS last_click_count FROM c)
+SELECT user_id, event_id, epoch_us(ts) // 1000 AS ts_ms, click_count, last_click_count
+FROM l WHERE click_count = 0 OR click_count - last_click_count > 5
+""")
+def stream_late_jumps(spark, sf_dir):
+    """``stream_previous_jump`` with rows that are held up: those whose waiting window has come out are dropped, the others
+    take their place in event order."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    st, end = _late_events(spark, sf_dir, "user_id", "value")
+    st = st.withColumn("click_count", F.floor("value").cast("long") % 10)
+    out = sjobs.click_jumps(st, "user_id", ["ts", "event_id"], "click_count", ["event_id", "ts"],
+                            last_name="last_click_count", event_time="ts", bucket_ms=_BUCKET_MS)
+    return sio.run_to_table(out, "late_jumps", ends=(end,)).select(
+        "user_id", "event_id", epoch_ms("ts").alias("ts_ms"), "click_count", "last_click_count")
+
+
+@register("stream_late_sessions", "S-1 S-6 S-10 S-14 AGG-3", _ARRIVED_SQL + """,
+t AS (SELECT epoch_us(ts) AS us FROM arrived WHERE (epoch_us(ts) // 600000000 + 1) * 600000 > wm),
+f AS (SELECT us, CASE WHEN us - lag(us) OVER (ORDER BY us) <= 600000000 THEN 0 ELSE 1 END AS s FROM t),
+g AS (SELECT us, sum(s) OVER (ORDER BY us ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM f)
+SELECT min(us) // 1000 AS session_start_ms, (max(us) + 600000000) // 1000 AS session_end_ms, count(*) AS clicks
+FROM g GROUP BY sid
+""")
+def stream_late_sessions(spark, sf_dir):
+    """``stream_click_sessions`` with rows that are held up: those whose bucket of ten minutes has closed are dropped."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    st, end = _late_events(spark, sf_dir)
+    return sio.run_to_table(sjobs.click_sessions(st, "ts", 10 * 60 * 1000), "late_sessions", ends=(end,))
+
+
+# ------------------------------------------------ sinks, sources and reports of streams
+@register("stream_split_outputs", "SNK-3 P-6 SRC-3", f"""
+SELECT CASE WHEN event_type = 'error' THEN 'side' ELSE 'main' END AS output, {_SPLIT_COLS} FROM events
+""")
+def stream_split_outputs(spark, sf_dir):
+    """The main and the side output of one stream as two tables, each row in one of them once."""
+    from eventide.streaming import io as sio
+    ev = events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "value").withColumn("ts_ms", epoch_ms("ts"))
+    st, _ = _as_stream(ev, "ts", delay_ms=None)
+    side, root = F.col("event_type") == "error", scratch_path(spark, "split-outputs")
+    sio.fan_out_tables(st, "split_outputs", root, {"side": lambda b: b.filter(side), "main": lambda b: b.filter(null_safe_not(side))}).awaitTermination()
+    both = [sio.read_fan_out(spark, root, out, ev.schema).withColumn("output", F.lit(out)) for out in ("side", "main")]
+    return both[0].unionByName(both[1]).select("output", "event_id", "ts_ms", "user_id", "event_type", "value")
+
+
+@register("stream_quiet_report", "S-8 S-2 S-12 AGG-9", _DELIVERY_CTE + "SELECT status, count(*) AS n FROM s GROUP BY status")
+def stream_quiet_report(spark, sf_dir):
+    """Deliveries by status, reported once no input has come for a second (processing time), by salted keys; the
+    reports of a key are added up."""
+    from eventide.streaming import io as sio
+    from eventide.streaming import jobs as sjobs
+    rows = _classified(spark, sf_dir).select((F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(16))).alias("salt"), "status", "l_shipdate")
+    st, _ = _as_stream(rows, "l_shipdate", delay_ms=None)
+    out = sio.drain_when_quiet(sjobs.quiet_report(st.select("salt", "status"), "salt", "status", gap_ms=1000), "quiet_report")
+    return out.groupBy("status").agg(F.sum("n").alias("n"))
+
+
+def _comment_files(spark, sf_dir):
+    """The events as the comment job's sorted headerless CSV; its folder."""
+    ev = events(spark, sf_dir, "event_id", "ts", "user_id", "event_type", "props")
+    raw, dst = scratch_path(spark, "comments-raw"), scratch_path(spark, "comments-sorted")
+    ev.select(F.col("event_id").cast("string").alias("commentId"), (epoch_ms("ts") - F.lit(T0_MS)).alias("time"),
+              F.col("user_id").cast("string").alias("user"), F.col("event_type").alias("topic"),
+              F.get_json_object("props", "$.k").alias("acronym")).write.option("header", True).csv(raw)
+    files.sort_comments_file(spark, raw, dst)
+    return dst
+
+
+@register("stream_comment_windows", "SRC-4 P-5 S-1 S-4 S-14 AGG-11 F-5", """
+SELECT event_type AS topic, json_extract_string(props, '$.k') AS acronym, epoch_us(ts) // 3600000000 * 3600000 AS window_start_ms, count(*) AS n
+FROM events GROUP BY ALL
+""")
+def stream_comment_windows(spark, sf_dir):
+    """The comment file read as a stream of headerless CSV: comments so far per topic, acronym and hour. The
+    part files come in any order, so there is no watermark."""
+    from eventide.streaming import io as sio
+    use_utc(spark)
+    comments = files.read_comments(spark, _comment_files(spark, sf_dir), streaming=True)
+    timed = sio.event_time(comments.withColumn("at", rebase_ms("time")), "at", None)
+    counts = timed.groupBy("topic", F.col("acronim").alias("acronym"), windows.window_column("at", HOUR_MS).alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return sio.run_to_table(counts.select("topic", "acronym", F.unix_millis("w.start").alias("window_start_ms"), "n"),
+                            "comment_windows", output_mode="complete")
+
+
+@register("comments_order", "K-3 SNK-2 R-2 SRC-4 SRC-5", """
+SELECT CAST(event_id AS VARCHAR) AS comment_id, epoch_us(ts) // 1000 AS time_ms,
+       row_number() OVER (ORDER BY epoch_us(ts) // 1000, CAST(event_id AS VARCHAR)) AS place
+FROM events
+""")
+def comments_order(spark, sf_dir):
+    """The place of every line in the sorted comment file."""
+    lines = files.read_places(spark, _comment_files(spark, sf_dir), files.COMMENT_SCHEMA)
+    return lines.select(F.col("commentId").alias("comment_id"), epoch_ms(rebase_ms("time")).alias("time_ms"), "place")
+
+
+@register("weighted_split_document", "R-1 SRC-6 VAL-4", """
+WITH e AS (SELECT event_id, ((event_id * 7919) % 10000) / CAST(10000.0 AS DOUBLE) AS p,
+                  ((event_id * 104729) % 10000) / CAST(10000.0 AS DOUBLE) AS q FROM events)
+SELECT event_id, CASE WHEN p <= 0.25 THEN 'HuaweiAppStore' WHEN p <= 0.5 THEN 'AppleAppStore'
+                      WHEN p <= 0.75 THEN 'GooglePlay' WHEN p <= 1.0 THEN 'RuStore' END AS store,
+       CASE WHEN q <= 0.5 THEN 'page_view' WHEN q <= 0.8 THEN 'install' WHEN q <= 0.95 THEN 'uninstall' ELSE 'error' END AS kind
+FROM e
+""")
+def weighted_split_document(spark, sf_dir):
+    """Stores and kinds drawn by the weights of a JSON document, loaded from the shared folder."""
+    path = scratch_path(spark, "weights")
+    files.write_weights(spark, path, {
+        "stores": [(n, 0.25) for n in ("HuaweiAppStore", "AppleAppStore", "GooglePlay", "RuStore")],
+        "appIds": [("a", 1.0)],
+        "eventTypes": [("page_view", 0.5), ("install", 0.3), ("uninstall", 0.15), ("error", 0.05)]}, 100)
+    loaded = files.read_weights(spark, path)
+    ev = events(spark, sf_dir, "event_id")
+    ev = ev.withColumns({"p": ((F.col("event_id") * 7919) % 10000) / F.lit(10000.0),
+                         "q": ((F.col("event_id") * 104729) % 10000) / F.lit(10000.0)})
+    drawn = weights.assign(weights.assign(ev, "p", loaded, "stores", "store"), "q", loaded, "eventTypes", "kind")
+    return drawn.select("event_id", "store", "kind")
 
 
 # ------------------------------------ operators whose other data cannot fail

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.operators.quality import require
+from eventide.operators.scan import prefix_sums
 
 # --- fixed values: comment CSV layout (column order of the input file) ------
 COMMENT_SCHEMA = "commentId STRING, time BIGINT, user STRING, topic STRING, acronim STRING"
@@ -51,6 +52,17 @@ def write_sorted_csv(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.orderBy(*by).write.mode("errorifexists").option("header", False).csv(path)
 
 
+def read_places(spark: SparkSession, path: str, schema: str, name: str = "place") -> DataFrame:
+    """The lines of a headerless CSV folder with their place in it (from 1): part files by number, lines in
+    the order of their file. For K-3: after ``write_sorted_csv`` the places are the global order. The files are read once;
+    lines are counted per range of them, not in one task."""
+    rows = (spark.read.schema(schema).option("mode", "FAILFAST").csv(path)
+            .withColumn("_part", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long"))
+            .withColumn("_block", F.col("_metadata.file_block_start"))
+            .withColumn("_line", F.monotonically_increasing_id()))
+    return prefix_sums(rows, [], ["_part", "_block", "_line"], {name: F.lit(1).cast("long")}).drop("_part", "_block", "_line")
+
+
 def sort_comments_file(spark: SparkSession, src: str, dst: str) -> None:
     """R-2: headered comment CSV -> rename by position -> sort by time
     (ties by id) -> headerless CSV."""
@@ -75,3 +87,14 @@ def read_weights(spark: SparkSession, path: str) -> DataFrame:
                        F.col("item.probability").alias("probability"))
     return require(flat, F.col("name").isNotNull() & F.col("probability").isNotNull(),
                    F.concat(F.lit("invalid weight entry in "), F.col("dimension")))
+
+
+def write_weights(spark: SparkSession, path: str, sections, time_freq_ms: int) -> None:
+    """The weight document as one JSON file: ``sections`` gives (name, probability) pairs per
+    dimension. A configuration, so one row."""
+    def items(pairs):
+        return F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("probability")) for n, p in pairs])
+
+    doc = spark.range(1).select(*[items(sections[dim]).alias(dim) for dim in WEIGHT_DIMENSIONS],
+                                F.lit(time_freq_ms).cast("long").alias("eventTimeFreqMillis"))
+    doc.coalesce(1).write.json(path)

@@ -16,12 +16,14 @@ from its checkpoint, so the watermark passes every open window and timer.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import LongType, NumericType, StructField, StructType
 
 from eventide.session import scratch_path, use_utc
 from eventide.sources.sinks import print_rows
@@ -29,6 +31,9 @@ from eventide.sources.sinks import print_rows
 #: Event time of the row that ends an input: later than any real row, and within the
 #: range of nanosecond timestamps, which pandas frames hold.
 FAR = "2200-01-01 00:00:00"
+_DONE = "epochs-done"
+#: A commit writes the changes of a state partition, not a snapshot of it.
+_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 class EndOfInput:
@@ -120,13 +125,21 @@ def start(df: DataFrame, name: str, sink: str = "parquet", path: str | None = No
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     parts = state_partitions or spark.sparkContext.defaultParallelism
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(parts))
-    try:
+    with _settings(spark, {"spark.sql.shuffle.partitions": str(parts), _CHANGELOG: "true"}):
         return writer.start()
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]):
+    """Settings that a query takes over when it starts; the session's own ones afterwards."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
     finally:
-        spark.conf.set(key, previous)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
@@ -160,6 +173,56 @@ def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
     return rows.filter(F.col("epoch") == rows.agg(F.max("epoch")).first()[0]).drop("epoch")
 
 
+def drain_when_quiet(df: DataFrame, name: str, trigger_ms: int = 500, timeout_s: float = 300) -> DataFrame:
+    """S-8: run a stream with processing-time timers until its input is drained and no state is left, that is, until
+    every timer has fired; its rows as a batch DataFrame."""
+    spark, out = df.sparkSession, scratch_path(df.sparkSession, f"stream-out-{name}")
+    query = start(df, name, "parquet", out, processing_time=f"{trigger_ms} milliseconds")
+    until = time.monotonic() + timeout_s
+    try:
+        # such a query runs a micro-batch at every trigger: one without rows found no more input
+        while not _is_quiet(query.lastProgress):
+            if not query.isActive or time.monotonic() > until:
+                raise query.exception() or TimeoutError(f"{name}: input or state is left after {timeout_s} s")
+            time.sleep(trigger_ms / 1000)
+    finally:
+        query.stop()
+    return spark.read.schema(df.schema).parquet(out)
+
+
+def _is_quiet(progress) -> bool:
+    return bool(progress) and not progress["numInputRows"] and not any(op["numRowsTotal"] for op in progress["stateOperators"])
+
+
+def fan_out_tables(df: DataFrame, name: str, root: str, outputs: Mapping[str, Callable[[DataFrame], DataFrame]],
+                   checkpoint: str | None = None) -> StreamingQuery:
+    """SNK-3, exactly once: several tables from one stream, one read of the source per micro-batch.
+
+    A micro-batch writes each output into a folder of its epoch, replacing what an earlier try left
+    there, and then marks the epoch as done; ``read_fan_out`` reads epochs that are done. If a writer
+    fails, the query started again with the same ``checkpoint`` and ``root`` repeats the epoch with the same rows, so
+    no row is lost, doubled, or seen in one output only. Runs until the input is drained."""
+    def each(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            for out, rows_of in outputs.items():
+                rows_of(batch).write.mode("overwrite").parquet(f"{root}/{out}/epoch={epoch}")
+            batch.sparkSession.range(1).write.mode("overwrite").parquet(f"{root}/{_DONE}/epoch={epoch}")
+        finally:
+            batch.unpersist()
+
+    return (df.writeStream.foreachBatch(each).queryName(name)
+            .option("checkpointLocation", checkpoint or scratch_path(df.sparkSession, f"stream-ckpt-{name}"))
+            .trigger(availableNow=True).start())
+
+
+def read_fan_out(spark: SparkSession, root: str, output: str, schema) -> DataFrame:
+    """The rows of one output of ``fan_out_tables``, with their ``epoch``."""
+    done = spark.read.schema("id long, epoch long").parquet(f"{root}/{_DONE}").select("epoch").distinct()
+    rows = spark.read.schema(StructType([*schema.fields, StructField("epoch", LongType())])).parquet(f"{root}/{output}")
+    return rows.join(done, "epoch", "left_semi")
+
+
 def print_stream(df: DataFrame, name: str, available_now: bool = False) -> StreamingQuery:
     """SNK-1 for a stream: print each row of each micro-batch, untruncated."""
     return fan_out_batches(df, name, lambda batch, _epoch: print_rows(batch), available_now=available_now)

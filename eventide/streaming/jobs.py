@@ -19,7 +19,7 @@ from eventide.operators import windows
 from eventide.operators.joins import BEFORE_ORDER, IN_TIME, LATE, UNMATCHED
 from eventide.session import python_workers_can_import
 from eventide.streaming.processors import (
-    PeriodChangeProcessor, PreviousValueProcessor, QuietReportProcessor, ThresholdBatchProcessor)
+    PeriodChangeProcessor, PreviousValueProcessor, QuietReportProcessor, SessionMergeProcessor, ThresholdBatchProcessor)
 
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -41,8 +41,20 @@ def _type_of(df: DataFrame, col: str) -> str:
     return df.schema[col].dataType.simpleString()
 
 
-def _columns(df: DataFrame, names: Sequence[str]) -> list[tuple[str, str]]:
-    return [(c, _type_of(df, c)) for c in dict.fromkeys(names)]
+def in_event_order(stream: DataFrame, keys: Sequence[str], time_col: str, columns: Sequence[str],
+                   bucket_ms: int = K.COMMENT_WINDOW_MS) -> DataFrame:
+    """S-13: the rows of a watermarked stream, held back until the watermark has passed them.
+
+    Rows wait in windows of ``bucket_ms`` per key, one state entry each (the built-in windowed
+    aggregate); a window that the watermark has passed comes out and leaves the state, so every
+    row is stored and read once. The windows that come out in a micro-batch are later than all before, so a
+    chained stateful stage that sorts the rows of each micro-batch sees them in event order. A row whose window has
+    come out is late and dropped (S-10); a row without a time is dropped too. The rows of a key in one window are one
+    state entry: choose ``bucket_ms`` so that it fits a task."""
+    fields = [c for c in dict.fromkeys(columns) if c not in keys]
+    held = stream.groupBy(*keys, windows.window_column(time_col, bucket_ms).alias("_bucket")).agg(
+        F.collect_list(F.struct(*fields)).alias("_rows"))
+    return held.select(*keys, F.inline("_rows"))
 
 
 def article_counts(stream: DataFrame, text: str = "text") -> DataFrame:
@@ -65,30 +77,35 @@ def language_concat(stream: DataFrame, key: str = "language", order: str = "ord"
 
 def click_jumps(stream: DataFrame, key: str, order: Sequence[str], value: str,
                 keep: Sequence[str], min_diff: int = K.MIN_CLICK_JUMP,
-                last_name: str = "last_value", event_time: str | None = None) -> DataFrame:
+                last_name: str = "last_value", event_time: str | None = None,
+                bucket_ms: int = K.COMMENT_WINDOW_MS, ttl_ms: int | None = None) -> DataFrame:
     """Q5 streaming: keyed value state (S-11) in arrival order; with
-    ``event_time`` (a watermarked column) in event order (S-13)."""
+    ``event_time`` (a watermarked column) in event order (S-13, see ``in_event_order``). ``ttl_ms``: a key
+    without rows for so long (processing time) leaves the state and starts anew."""
     fields = [key, *keep, value]
     schema = ", ".join(f"{c} {_type_of(stream, c)}" for c in fields) + f", {last_name} bigint"
     _prepare(stream)
-    proc = PreviousValueProcessor(key, order, value, keep, min_diff, last_name, event_time,
-                                  _columns(stream, [*order, *keep, value]))
-    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "EventTime" if event_time else "None")
+    if event_time:
+        stream = in_event_order(stream, [key], event_time, [*order, *keep, value], bucket_ms)
+    proc = PreviousValueProcessor(key, order, value, keep, min_diff, last_name, ttl_ms)
+    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "ProcessingTime" if ttl_ms else "None")
 
 
 def store_batches(stream: DataFrame, key: str, order: Sequence[str], kind: str, app: str,
                   install_threshold: int = K.INSTALL_THRESHOLD,
                   uninstall_threshold: int = K.UNINSTALL_THRESHOLD,
-                  top_n: int = K.TOP_APPS, event_time: str | None = None) -> DataFrame:
+                  top_n: int = K.TOP_APPS, event_time: str | None = None,
+                  bucket_ms: int = K.COMMENT_WINDOW_MS) -> DataFrame:
     """Q6 streaming: counters in value state, per-app counts in map state
     (S-11, S-12), in arrival order or with ``event_time`` in event order; the side
     output of errors is a filter before it."""
     schema = (f"{key} {_type_of(stream, key)}, batch_no bigint, kind string, rank bigint, "
               f"app string, n bigint")
     _prepare(stream)
-    proc = ThresholdBatchProcessor(key, order, kind, app, install_threshold, uninstall_threshold,
-                                   top_n, event_time=event_time, columns=_columns(stream, [*order, kind, app]))
-    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "EventTime" if event_time else "None")
+    if event_time:
+        stream = in_event_order(stream, [key], event_time, [*order, kind, app], bucket_ms)
+    proc = ThresholdBatchProcessor(key, order, kind, app, install_threshold, uninstall_threshold, top_n)
+    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "None")
 
 
 def error_windows(stream: DataFrame, time_col: str, key: str,
@@ -110,24 +127,30 @@ def acronym_periods(stream: DataFrame, topic: str, time_col: str, acronym: str,
     schema = (f"{topic} {_type_of(stream, topic)}, acronym string, acronyms_counter bigint, "
               "total_comments_counter bigint, label_time_of_day string, closed_at_ms bigint, "
               "period_time_of_day string")
-    return rows.groupBy(topic).transformWithState(PeriodChangeProcessor(topic, top_n), schema,
-                                                  "Append", "None")
+    return rows.groupBy(topic).transformWithStateInPandas(PeriodChangeProcessor(topic, top_n), schema,
+                                                          "Append", "None")
 
 
 def click_sessions(stream: DataFrame, time_col: str, gap_ms: int = K.SESSION_GAP_MS,
                    keys: Sequence[str] = ()) -> DataFrame:
-    """Q3 streaming (S-6): event-time sessions with ``session_window``.
-    Streaming needs a grouping key; without ``keys`` a constant one is
-    added, which puts all rows of a micro-batch into one task. Give keys
-    (e.g. user) to spread the work; the batch form (``global_sessions``)
-    has no such limit."""
-    by = list(keys)
-    if not by:
-        stream, by = stream.withColumn("_all", F.lit(0)), ["_all"]
-    grouped = stream.groupBy(*by, F.session_window(time_col, windows.duration(gap_ms)).alias("s")).agg(
-        F.count(F.lit(1)).alias("clicks"))
-    return grouped.select(*keys, F.unix_millis("s.start").alias("session_start_ms"),
-                          F.unix_millis("s.end").alias("session_end_ms"), "clicks")
+    """Q3 streaming (S-6): event-time sessions, with ``keys`` by ``session_window``, without over all
+    rows together in two chained stages. The first counts rows in buckets as wide as the gap (a windowed
+    aggregate, partial before the shuffle, dealt by bucket); rows of one bucket are in one session. The second
+    merges closed buckets, at most span / gap short rows, whatever the number of clicks."""
+    if keys:
+        grouped = stream.groupBy(*keys, F.session_window(time_col, windows.duration(gap_ms)).alias("s")).agg(
+            F.count(F.lit(1)).alias("clicks"))
+        return grouped.select(*keys, F.unix_millis("s.start").alias("session_start_ms"),
+                              F.unix_millis("s.end").alias("session_end_ms"), "clicks")
+    _prepare(stream)
+    us = F.unix_micros(time_col)
+    buckets = stream.groupBy(windows.window_column(time_col, gap_ms).alias("bucket")).agg(
+        F.min(us).alias("lo"), F.max(us).alias("hi"), F.count(F.lit(1)).alias("n"))
+    merged = buckets.withColumn("_all", F.lit(0)).groupBy("_all").transformWithStateInPandas(
+        SessionMergeProcessor("_all", gap_ms * 1000), "_all int, start_us bigint, last_us bigint, n bigint", "Append", "EventTime")
+    return merged.select(F.unix_millis(F.timestamp_micros("start_us")).alias("session_start_ms"),
+                         F.unix_millis(F.timestamp_micros(F.col("last_us") + F.lit(gap_ms * 1000))).alias("session_end_ms"),
+                         F.col("n").alias("clicks"))
 
 
 def busiest_window(stream: DataFrame, time_col: str, size_ms: int = K.SLIDING_SIZE_MS,
@@ -148,31 +171,46 @@ def busiest_window(stream: DataFrame, time_col: str, size_ms: int = K.SLIDING_SI
                        F.col("_b.click_count").alias("click_count"))
 
 
+def first_arrivals(stream: DataFrame, key: str) -> DataFrame:
+    """AGG-8 streaming: the first row to arrive per ``key``; repeats within the watermark's delay of
+    it are dropped (``dropDuplicatesWithinWatermark``), and the key leaves the state when the watermark has
+    passed that time. Of repeats within one micro-batch that differ, any one may be the first."""
+    return stream.dropDuplicatesWithinWatermark([key])
+
+
 def delivery_matches(orders: DataFrame, deliveries: DataFrame, order_key: str, order_ts: str,
                      order_ref: str, delivery_ts: str, after_days: int = 30, before_days: int = 1,
-                     late_after_s: int = K.LATE_AFTER_SECONDS) -> DataFrame:
-    """J-2 streaming: each delivery with the earliest order of its id (AGG-8), as
-    in batch, whichever side comes first and however often an order is repeated.
+                     late_after_s: int = K.LATE_AFTER_SECONDS, first: str = "earliest") -> DataFrame:
+    """J-2 streaming: each delivery with the first order of its id (AGG-8), whichever side comes first and
+    however often an order is repeated.
 
     A left outer stream-stream join keeps orders for ``after_days`` and waits
-    ``before_days`` for an order later than its delivery (``before_order``); of
-    several orders the earliest is kept by an aggregate per delivery, which comes out when the
-    watermark has passed the waiting time. A delivery without an order
+    ``before_days`` for an order later than its delivery (``before_order``). A delivery without an order
     within these bounds is ``unmatched``: a stream cannot tell an order that
     never existed from one outside the bounds. Equal rows are deliveries of their own.
-    Both inputs need ``withWatermark``."""
+    Both inputs need ``withWatermark``.
+
+    ``first="arrival"``, as in the reference: repeats of an order are dropped before the join
+    (``first_arrivals``), so the join state holds each once and a delivery comes out as soon as it
+    is matched. ``first="earliest"``, as in batch: all repeats are joined, and an aggregate per delivery keeps the earliest
+    when the watermark has passed the waiting time."""
+    if first not in ("earliest", "arrival"):
+        raise ValueError(first)
     span = lambda days: F.expr(f"INTERVAL {int(days)} DAYS")
     cond = ((F.col(order_ref) == F.col(order_key))
             & (F.col(order_ts) >= F.col(delivery_ts) - span(after_days))
             & (F.col(order_ts) <= F.col(delivery_ts) + span(before_days)))
-    marked = deliveries.withColumn("_delivery", F.expr("uuid()"))
-    joined = marked.join(orders.select(order_key, order_ts), cond, "leftOuter")
-    first = joined.groupBy(*marked.columns).agg(F.min(order_ts).alias(order_ts))
+    orders = orders.select(order_key, order_ts)
+    if first == "arrival":
+        matched = deliveries.join(first_arrivals(orders, order_key), cond, "leftOuter")
+    else:
+        marked = deliveries.withColumn("_delivery", F.expr("uuid()"))
+        matched = marked.join(orders, cond, "leftOuter").groupBy(*marked.columns).agg(F.min(order_ts).alias(order_ts))
     lateness = micros_between(order_ts, delivery_ts)
     status = (F.when(F.col(order_ts).isNull(), F.lit(UNMATCHED)).when(lateness < 0, F.lit(BEFORE_ORDER))
               .when(is_late(lateness, late_after_s), F.lit(LATE)).otherwise(F.lit(IN_TIME)))
-    return first.select(*deliveries.columns, F.col(order_ts), lateness.alias("lateness_us"),
-                        status.alias("status"))
+    return matched.select(*deliveries.columns, F.col(order_ts), lateness.alias("lateness_us"),
+                          status.alias("status"))
 
 
 def quiet_report(stream: DataFrame, key: str, status: str,

@@ -1,24 +1,19 @@
-"""Keyed state machines for Structured Streaming (``transformWithState``),
-used only where no built-in stateful operator fits (S-8, S-11, S-12, S-13).
+"""Keyed state machines for Structured Streaming (``transformWithStateInPandas``),
+used only where no built-in stateful operator fits (S-8, S-11, S-12).
 
 Rows of one key inside one micro-batch arrive in no guaranteed order, so
-each handler sorts them by the event order first. Across micro-batches the
-previous-value and threshold processors know two orders: arrival order (the
-reference's semantics), or, given an event-time column, event order: rows
-wait in list state (S-13) until the watermark has passed them, so the result does not
-depend on how the input was cut into files. State lives in the state store
-(RocksDB); each handler reads it once, folds its rows and writes it back
-once, instead of one state call per row. These two and the quiet report take
-pandas frames (Arrow batches) and work vectorized; the period processor takes
-rows, because its input is already aggregated (one row per window and
-acronym).
+each handler sorts them by the event order first. Across micro-batches the machines
+take rows in arrival order (the reference's semantics). For event order they are chained to
+``jobs.in_event_order``, which holds rows back in windows until the watermark has passed
+them (S-13); so no machine keeps rows. State lives in the state store (RocksDB): a
+handler reads a value once, folds its rows and writes it back once, and of a map it reads
+and writes only the entries that its rows touch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from eventide import constants as K
@@ -36,14 +31,21 @@ def _read_map(state) -> dict:
     return {k[0]: v[0] for k, v in state.iterator()} if state.exists() else {}
 
 
-def _write_map(state, values: dict) -> None:
-    state.clear()
-    for k, v in values.items():
-        state.updateValue((k,), (v,))
+def _add_to_map(state, counts: dict) -> None:
+    """Add ``counts`` to a map state, entry by entry; other entries are not read."""
+    for k, n in counts.items():
+        old = state.getValue((k,)) if state.containsKey((k,)) else None
+        state.updateValue((k,), ((old[0] if old else 0) + n,))
+
+
+def _order(entry):
+    """Count descending, then name ascending with NULL first."""
+    name, n = entry
+    return -n, name is not None, name or ""
 
 
 def _top(counts: dict, n: int) -> list[tuple[str, int]]:
-    return sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:n]
+    return sorted(counts.items(), key=_order)[:n]
 
 
 def _frame(rows, order: Sequence[str]):
@@ -57,100 +59,37 @@ def _frame(rows, order: Sequence[str]):
 
 
 class OrderedProcessor(StatefulProcessor):
-    """Feeds ``fold(key, frame)`` with the rows of a key in ``order``: per
-    micro-batch, or with ``event_time`` (the first order column, a timestamp) in event
-    order. ``columns`` are the rows' columns with their types."""
+    """Feeds ``fold(key, frame)`` with the rows of a key in a micro-batch, in ``order``."""
 
     order: list
-    event_time: str | None = None
-    columns: list = []
-
-    def open_buffer(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        if self.event_time:
-            self.buffer = handle.getListState("buffer", ", ".join(f"`{c}` {t}" for c, t in self.columns))
-            self.timer = handle.getValueState("timer", "ms LONG")
 
     def fold(self, key, pdf):
         raise NotImplementedError
 
-    def _millis(self, pdf):
-        return pdf[self.event_time].astype("datetime64[us]").astype("int64") // 1000
-
-    def _state_rows(self, pdf) -> list[tuple]:
-        """Rows as Python values of their declared types; pandas holds integers
-        beside NULLs as floats."""
-        import pandas as pd
-        whole = {"tinyint", "smallint", "int", "bigint"}
-        cols = [[None if pd.isna(v) else int(v) if kind in whole else _plain(v) for v in pdf[c]] for c, kind in self.columns]
-        return list(zip(*cols))
-
-    def _wait(self, pdf) -> None:
-        """Wake when the watermark passes the earliest waiting row."""
-        due = int(self._millis(pdf).min()) + 1
-        if self.timer.exists():
-            old = int(self.timer.get()[0])
-            if old <= due:
-                return
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer(due)
-        self.timer.update((due,))
-
     def handleInputRows(self, key, rows, timerValues):
         pdf = _frame(rows, self.order)
-        if pdf is None:
-            return
-        if not self.event_time:
+        if pdf is not None:
             yield self.fold(key, pdf)
-            return
-        pdf = pdf[pdf[self.event_time].notna()]
-        pdf = pdf[self._millis(pdf) >= timerValues.getCurrentWatermarkInMs()]   # S-10: late rows are dropped
-        if len(pdf):
-            self.buffer.appendList(self._state_rows(pdf))
-            self._wait(pdf)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        import pandas as pd
-        self.timer.clear()
-        names = [c for c, _ in self.columns]
-        pdf = pd.DataFrame(list(self.buffer.get()), columns=names).sort_values(self.order, kind="stable")
-        ready = (self._millis(pdf) < timerValues.getCurrentWatermarkInMs()).to_numpy()
-        left = pdf[~ready]
-        self.buffer.clear()
-        if len(left):
-            self.buffer.put(self._state_rows(left))
-            self._wait(left)
-        if ready.any():
-            yield self.fold(key, pdf[ready].reset_index(drop=True))
 
     def close(self) -> None:
         pass
 
 
-def _plain(v):
-    """A state value: a Python object instead of a pandas or numpy scalar."""
-    if hasattr(v, "to_pydatetime"):
-        return v.to_pydatetime()
-    return v.item() if hasattr(v, "item") else v
-
-
 class PreviousValueProcessor(OrderedProcessor):
     """W-1 + P-10 (``transformWithStateInPandas``): emit rows whose value is
     0 or rose by more than ``min_diff`` since the key's previous row (0 before the
     first; nothing rises from or to a NULL); the previous value moves on every
-    row. Vectorized: one sort, one shift, one mask. Output: key
+    row. With ``ttl_ms`` a key's value goes that long (processing time) after its last
+    row, and the key starts anew. Vectorized: one sort, one shift, one mask. Output: key
     column, ``keep`` columns, value, last."""
 
     def __init__(self, key: str, order: Sequence[str], value: str, keep: Sequence[str],
-                 min_diff: int = K.MIN_CLICK_JUMP, last_name: str = "last_value",
-                 event_time: str | None = None, columns: Sequence[tuple[str, str]] = ()):
+                 min_diff: int = K.MIN_CLICK_JUMP, last_name: str = "last_value", ttl_ms: int | None = None):
         self.key, self.order, self.value = key, list(order), value
-        self.keep, self.min_diff, self.last_name = list(keep), min_diff, last_name
-        self.event_time, self.columns = event_time, list(columns)
+        self.keep, self.min_diff, self.last_name, self.ttl_ms = list(keep), min_diff, last_name, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open_buffer(handle)
-        self.last = handle.getValueState("last", "last LONG")
+        self.last = handle.getValueState("last", "last LONG", self.ttl_ms)
 
     def fold(self, key, pdf):
         import pandas as pd
@@ -173,36 +112,32 @@ class ThresholdBatchProcessor(OrderedProcessor):
     uninstalls to ``uninstall_threshold``; emit the top apps of each side,
     then reset. The counts are cumulative sums and each
     closing row is found by ``searchsorted`` (work per *batch*, not per
-    row); per-app counts of a batch are one ``value_counts`` of its slice.
+    row); per-app counts of a batch are one ``value_counts`` of its slice. The
+    maps hold the open batch: they are read whole only when it closes, before that only
+    the apps of the new rows are touched.
     Output: key, batch_no, kind, rank, app, n."""
 
     def __init__(self, key: str, order: Sequence[str], kind: str, app: str,
                  install_threshold: int = K.INSTALL_THRESHOLD,
                  uninstall_threshold: int = K.UNINSTALL_THRESHOLD, top_n: int = K.TOP_APPS,
-                 install_value: str = K.EVENT_INSTALL, uninstall_value: str = K.EVENT_UNINSTALL,
-                 event_time: str | None = None, columns: Sequence[tuple[str, str]] = ()):
+                 install_value: str = K.EVENT_INSTALL, uninstall_value: str = K.EVENT_UNINSTALL):
         self.key, self.order, self.kind, self.app = key, list(order), kind, app
         self.ti, self.tu, self.top_n = install_threshold, uninstall_threshold, top_n
         self.iv, self.uv = install_value, uninstall_value
-        self.event_time, self.columns = event_time, list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open_buffer(handle)
         self.counters = handle.getValueState("counters", "installs LONG, uninstalls LONG, batch_no LONG")
         self.installs = handle.getMapState("installs", "app STRING", "n LONG")
         self.uninstalls = handle.getMapState("uninstalls", "app STRING", "n LONG")
 
     @staticmethod
-    def _add(counts: dict, apps) -> dict:
-        for a, n in apps.value_counts().items():
-            counts[a] = counts.get(a, 0) + int(n)
-        return counts
+    def _counts(apps) -> dict:
+        return {a: int(n) for a, n in apps.value_counts().items()}
 
     def fold(self, key, pdf):
         import numpy as np
         import pandas as pd
         ci0, cu0, batch = self.counters.get() if self.counters.exists() else (0, 0, 1)
-        inst, unin = _read_map(self.installs), _read_map(self.uninstalls)
         is_i = (pdf[self.kind] == self.iv).to_numpy()
         is_u = (pdf[self.kind] == self.uv).to_numpy()
         ci, cu = np.cumsum(is_i), np.cumsum(is_u)
@@ -215,26 +150,28 @@ class ThresholdBatchProcessor(OrderedProcessor):
             if end >= n:
                 break
             sl = slice(start, end + 1)
-            inst = self._add(inst, apps[sl][is_i[sl]])
-            unin = self._add(unin, apps[sl][is_u[sl]])
-            for kind, counts in (("install", inst), ("uninstall", unin)):
+            for kind, side, state in (("install", is_i, self.installs), ("uninstall", is_u, self.uninstalls)):
+                counts = self._counts(apps[sl][side[sl]])
+                if start == 0:      # the batch that was open before these rows
+                    for a, c in _read_map(state).items():
+                        counts[a] = counts.get(a, 0) + c
+                    state.clear()
                 for rank, (a, c) in enumerate(_top(counts, self.top_n), start=1):
                     out.append((key[0], batch, kind, rank, a, c))
-            base_i, base_u, start, batch, inst, unin = int(ci[end]), int(cu[end]), end + 1, batch + 1, {}, {}
+            base_i, base_u, start, batch = int(ci[end]), int(cu[end]), end + 1, batch + 1
         sl = slice(start, n)
-        inst = self._add(inst, apps[sl][is_i[sl]])
-        unin = self._add(unin, apps[sl][is_u[sl]])
+        _add_to_map(self.installs, self._counts(apps[sl][is_i[sl]]))
+        _add_to_map(self.uninstalls, self._counts(apps[sl][is_u[sl]]))
         self.counters.update((int(ci[-1]) - base_i, int(cu[-1]) - base_u, batch))
-        _write_map(self.installs, inst)
-        _write_map(self.uninstalls, unin)
         return pd.DataFrame(out, columns=[self.key, "batch_no", "kind", "rank", "app", "n"])
 
 
 class PeriodChangeProcessor(StatefulProcessor):
-    """W-3 .. W-5 + AGG-12 + K-2 over closed tumbling windows. Input rows are
-    (topic, window_start_ms, acronym, n, min_time_ms) from a windowed
+    """W-3 .. W-5 + AGG-12 + K-2 (``transformWithStateInPandas``) over closed tumbling windows.
+    Input rows are (topic, window_start_ms, acronym, n, min_time_ms) from a windowed
     aggregate; on a label change the finished period's top acronyms are
-    emitted with the new period's label and first time."""
+    emitted with the new period's label and first time. The map holds the open
+    period's counts; it is read whole only when the period ends."""
 
     def __init__(self, key: str = "topic", top_n: int = K.TOP_ACRONYMS):
         self.key, self.top_n = key, top_n
@@ -243,30 +180,86 @@ class PeriodChangeProcessor(StatefulProcessor):
         self.period = handle.getValueState("period", "label STRING, total LONG")
         self.counts = handle.getMapState("acronyms", "acronym STRING", "n LONG")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        windows: dict[int, list] = {}
-        for r in rows:
-            windows.setdefault(r["window_start_ms"], []).append(r)
+    def handleInputRows(self, key, rows, timerValues):
+        import pandas as pd
+        pdf = _frame(rows, ["window_start_ms"])
+        if pdf is None:
+            return
+        windows = pdf.groupby("window_start_ms", sort=True)["min_time_ms"].min()
+        labels = pd.Series([_label(int(t)) for t in windows], index=windows.index)
+        run = (labels != labels.shift()).cumsum()
         label, total = self.period.get() if self.period.exists() else (None, 0)
-        counts = _read_map(self.counts)
         out = []
-        for w in sorted(windows):
-            items = windows[w]
-            first = min(r["min_time_ms"] for r in items)
-            cur = _label(first)
-            if cur != label:
-                if label is not None:
-                    for a, n in _top(counts, self.top_n):
-                        out.append(Row(**{self.key: key[0]}, acronym=a, acronyms_counter=n,
-                                       total_comments_counter=total, label_time_of_day=cur,
-                                       closed_at_ms=first, period_time_of_day=label))
-                label, total, counts = cur, 0, {}
-            for r in items:
-                counts[r["acronym"]] = counts.get(r["acronym"], 0) + r["n"]
-                total += r["n"]
+        by_run = pdf.assign(_run=pdf["window_start_ms"].map(run)).groupby("_run", sort=True)
+        for nr, part in by_run:
+            first_window = windows.index[(run == nr).argmax()]
+            now, first = labels[first_window], int(windows[first_window])
+            counts = {None if pd.isna(a) else a: int(n) for a, n in part.groupby("acronym", dropna=False)["n"].sum().items()}
+            if label is not None and now != label:
+                for a, n in _top(_read_map(self.counts), self.top_n):
+                    out.append((key[0], a, n, total, now, first, label))
+                self.counts.clear()
+                total = 0
+            label, total = now, total + sum(counts.values())
+            _add_to_map(self.counts, counts)
         self.period.update((label, total))
-        _write_map(self.counts, counts)
-        return iter(out)
+        yield pd.DataFrame(out, columns=[self.key, "acronym", "acronyms_counter", "total_comments_counter",
+                                         "label_time_of_day", "closed_at_ms", "period_time_of_day"])
+
+    def close(self) -> None:
+        pass
+
+
+class SessionMergeProcessor(StatefulProcessor):
+    """S-6 over closed buckets as wide as the gap (``transformWithStateInPandas``): rows are
+    (key, bucket start, first and last time in us, count), in order over the micro-batches. Rows of one
+    bucket are in one session; a bucket goes on with the session if its first row is at most the gap after the session's last
+    one. The session comes out when the next one begins, or when the watermark has passed the bucket in which a
+    row could still go on with it. State: one open session per key. Output: key, start_us, last_us, n."""
+
+    def __init__(self, key: str, gap_us: int):
+        self.key, self.gap_us = key, gap_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "lo LONG, hi LONG, n LONG, timer LONG")
+
+    def _timer(self, hi: int) -> int:
+        """End of the bucket that holds ``hi + gap``, in ms."""
+        return -(-((hi + self.gap_us) // self.gap_us + 1) * self.gap_us // 1000)
+
+    def handleInputRows(self, key, rows, timerValues):
+        import pandas as pd
+        pdf = _frame(rows, ["lo"])
+        if pdf is None:
+            return
+        lo, hi, n = pdf["lo"], pdf["hi"], pdf["n"]
+        timer = None
+        if self.open.exists():
+            start, last, held, timer = self.open.get()
+            lo, hi, n = (pd.concat([pd.Series([v]), c], ignore_index=True) for v, c in ((start, lo), (last, hi), (held, n)))
+        new = (lo - hi.shift()) > self.gap_us
+        parts = pd.DataFrame({"lo": lo, "hi": hi, "n": n}).groupby(new.cumsum()).agg({"lo": "min", "hi": "max", "n": "sum"})
+        start, last, held = (int(v) for v in parts.iloc[-1])
+        due = self._timer(last)
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+        self.open.update((start, last, held, due))
+        yield self._frame(key, parts.iloc[:-1])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        import pandas as pd
+        if self.open.exists():
+            lo, hi, n, _ = self.open.get()
+            self.open.clear()
+            yield self._frame(key, pd.DataFrame({"lo": [lo], "hi": [hi], "n": [n]}))
+
+    def _frame(self, key, parts):
+        import pandas as pd
+        return pd.DataFrame({self.key: [key[0]] * len(parts), "start_us": parts["lo"].to_numpy(),
+                             "last_us": parts["hi"].to_numpy(), "n": parts["n"].to_numpy()})
 
     def close(self) -> None:
         pass

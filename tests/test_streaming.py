@@ -252,3 +252,149 @@ def test_print_stream_prints_every_row(spark, tmp_path, capsys):
     q = sio.print_stream(sio.read_parquet_stream(spark, path, schema, 1), "print_test", available_now=True)
     q.awaitTermination()
     assert sorted(capsys.readouterr().out.splitlines()) == sorted(f"k={k} n={n}" for k, n in data)
+
+
+def _drain(df, checkpoint, out):
+    """Run a stream until its input is drained; the progress of each micro-batch."""
+    q = sio.start(df, "drained", "parquet", out, checkpoint=checkpoint, available_now=True)
+    q.awaitTermination()
+    return q.recentProgress
+
+
+def test_waiting_rows_are_stored_and_read_once(spark, tmp_path):
+    """S-13: over many micro-batches a waiting window is written when rows come to it and removed once; the
+    work does not grow with the rows that wait elsewhere."""
+    from eventide.streaming.replay import replay
+    data = [(f"u{i % 5}", at(i * 1000), i, i % 11) for i in range(600)]
+    df = spark.createDataFrame(data, "user_id STRING, time TIMESTAMP, ord INT, click_count BIGINT")
+    st, _ = replay(df, "time", delay_ms=1000, stretch=60_000)
+    held = sjobs.in_event_order(st, ["user_id"], "time", ["time", "ord", "click_count"], bucket_ms=10_000)
+    progress = [p for p in _drain(held, str(tmp_path / "c"), str(tmp_path / "o")) if p["stateOperators"]]
+    ops = [p["stateOperators"][0] for p in progress]
+    windows_in = {(u, t.timestamp() // 10) for u, t, *_ in data}
+    assert len([p for p in progress if p["numInputRows"]]) == 10
+    assert sum(o["numRowsUpdated"] for o in ops) == len(windows_in)          # a file holds whole windows here
+    assert sum(o["numRowsRemoved"] for o in ops) == len(windows_in) - ops[-1]["numRowsTotal"]
+    assert max(o["numRowsTotal"] for o in ops) <= 2 * 5 * 6 and ops[-1]["numRowsTotal"] <= 10
+
+
+def test_watermark_that_moves_drops_exactly_the_late_rows(spark, tmp_path):
+    """S-1, S-10: files cut by time, some rows two files late; the result is that of the rows whose window the
+    watermark of the micro-batch before had not passed."""
+    from pyspark.sql import functions as F
+
+    from eventide.operators import windows
+    from eventide.streaming.replay import replay
+    late = lambda i: i % 7 == 3
+    data = [(i, at(i * 1000), "a" if i % 3 else "b") for i in range(400)]
+    df = spark.createDataFrame(data, "id INT, time TIMESTAMP, store STRING")
+    st, end = replay(df, "time", delay_ms=2000, stretch=50_000, held_up=(F.expr("id % 7 = 3"), 2))
+    out = sio.run_to_table(sjobs.error_windows(st, "time", "store", 20_000), "moving", ends=(end,))
+    slot = lambda r: r[1].timestamp() * 1000 // 50_000 + (2 if late(r[0]) else 0)
+    slots = sorted({slot(r) for r in data})
+    top = {s: max(int(r[1].timestamp() * 1000) for r in data if slot(r) == s) for s in slots}
+    kept = []
+    for r in data:
+        before = [top[s] for s in slots[:max(0, slots.index(slot(r)) - 1)]]
+        wm = max(before) - 2000 if before else 0
+        if (int(r[1].timestamp() * 1000) // 20_000 + 1) * 20_000 > wm:
+            kept.append(r)
+    want = windows.window_counts(spark.createDataFrame(kept, df.schema), "time", 20_000, keys=["store"])
+    cols = ("window_start_ms", "window_end_ms", "store", "n")
+    assert 0 < len(data) - len(kept) < sum(map(late, range(400))) and rows(out, *cols) == rows(want, *cols)
+
+
+def test_state_of_a_quiet_key_expires(spark, tmp_path):
+    """S-11: with a time to live, the previous value of a key without rows goes; the key starts anew."""
+    schema = "user_id STRING, time TIMESTAMP, ord INT, click_count BIGINT"
+    path, sch = _write(spark, tmp_path, "ttl", [("u", at(0), 0, 9)], schema)
+    st = sio.event_time(sio.read_parquet_stream(spark, path, sch, 1), "time", None)
+    out = sjobs.click_jumps(st, "user_id", ["time", "ord"], "click_count", ["ord"], ttl_ms=3000)
+    q = sio.start(out, "ttl_test", sink="memory", processing_time="300 milliseconds")
+
+    def wait_for(done):
+        until = time.time() + 40
+        while not done() and time.time() < until:
+            time.sleep(0.3)
+        return done()
+    try:
+        seen = lambda n: spark.table("ttl_test").count() == n
+        held = lambda: q.lastProgress["stateOperators"][0]["numRowsTotal"]
+        assert wait_for(lambda: seen(1)) and wait_for(lambda: held() == 0)      # the dead key's state goes
+        _write(spark, tmp_path, "ttl", [("u", at(1000), 1, 8)], schema)
+        assert wait_for(lambda: seen(2))
+        assert rows(spark.table("ttl_test"), "ord", "click_count", "last_value") == [(0, 9, 0), (1, 8, 0)]
+    finally:
+        q.stop()
+
+
+def test_fan_out_repeats_a_failed_epoch_without_doubling(spark, tmp_path):
+    """SNK-3: the second writer fails once; the restarted query writes the epoch anew."""
+    import pytest
+    data = [(i, "error" if i % 3 == 0 else "install") for i in range(30)]
+    path, schema = _write(spark, tmp_path, "twice", data, "id INT, kind STRING", files=3)
+    st = sio.read_parquet_stream(spark, path, schema, 1)
+    root, checkpoint, calls = str(tmp_path / "root"), str(tmp_path / "ckpt"), []
+
+    def rest(batch):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("writer lost")
+        return batch.filter("kind <> 'error'")
+
+    outputs = {"errors": lambda b: b.filter("kind = 'error'"), "rest": rest}
+    with pytest.raises(Exception, match="writer lost"):
+        sio.fan_out_tables(st, "twice1", root, outputs, checkpoint).awaitTermination()
+    half = sio.read_fan_out(spark, root, "errors", schema)
+    assert rows(half, "epoch", "id") == [(0, i) for i, k in data[:10] if k == "error"]     # epoch 1 is not done
+    sio.fan_out_tables(st, "twice2", root, outputs, checkpoint).awaitTermination()
+    for out, kinds in (("errors", ["error"]), ("rest", ["install"])):
+        assert rows(sio.read_fan_out(spark, root, out, schema), "id") == [(i,) for i, k in data if k in kinds]
+    assert len(calls) == 4
+
+
+def test_sessions_over_all_rows_merge_buckets(spark, tmp_path):
+    """S-6: rows at bucket borders, gaps of exactly and just over the gap, a hot instant; no stage but the bucket
+    count sees the rows."""
+    import random
+
+    from eventide.operators import sessions
+    rnd = random.Random(3)
+    ms, times = 0, []
+    for _ in range(250):
+        ms += rnd.choice([0, 1, 500, 2999, 3000, 3001, 9000])
+        times.append(ms)
+    data = [(i, at(t)) for i, t in enumerate(times)] + [(1000 + i, at(times[100])) for i in range(300)]
+    df = spark.createDataFrame(data, "id INT, time TIMESTAMP")
+    from eventide.streaming.replay import replay
+    st, end = replay(df, "time", delay_ms=1000, stretch=70_000)
+    out = sio.run_to_table(sjobs.click_sessions(st, "time", 3000), "merged", ends=(end,))
+    cols = ("session_start_ms", "session_end_ms", "clicks")
+    assert rows(out, *cols) == rows(sessions.global_sessions(df, "time", 3000, count_name="clicks"), *cols)
+
+
+def test_first_arrivals_and_bounded_join_state(spark, tmp_path):
+    """AGG-8 and J-2: repeated orders are joined once; orders and deliveries leave the state when the
+    bounds have passed, and whoever is without a partner within them is unmatched."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from eventide.streaming.replay import replay
+    day = 24 * 3_600_000
+    t = lambda d: dt.datetime(2023, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(days=d)
+    orders = spark.createDataFrame([(i, t(i)) for i in range(200)], "o INT, ot TIMESTAMP")
+    gaps = [0, 1, 3, 4, 30, 31, -1, -5, -6]
+    deliveries = spark.createDataFrame([(n, n % 200, t(n % 200 + gaps[n % len(gaps)])) for n in range(400)], "d INT, r INT, dt TIMESTAMP")
+    os_, end_o = replay(orders, "ot", delay_ms=4 * day, stretch=20 * day, copies=(F.lit(True), 2 * day))
+    ds_, end_d = replay(deliveries, "dt", delay_ms=1000, stretch=20 * day)
+    out = sjobs.delivery_matches(os_, ds_, "o", "ot", "r", "dt", after_days=30, before_days=5, first="arrival")
+    checkpoint, path = str(tmp_path / "c"), str(tmp_path / "o")
+    progress = _drain(out, checkpoint, path)
+    most = max(sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in progress)
+    end_o.write(), end_d.write()
+    _drain(out, checkpoint, path)
+    status = {0: "in_time", 1: "in_time", 3: "in_time", 4: "late", 30: "late", 31: "unmatched", -1: "before_order", -5: "before_order", -6: "unmatched"}
+    got = rows(spark.read.parquet(path).filter("d < 1000 AND dt < '2100-01-01'"), "d", "status")
+    assert got == [(n, status[gaps[n % len(gaps)]]) for n in range(400)]
+    assert most < 500       # of 400 orders that come, 200 keys to remember and 400 deliveries
