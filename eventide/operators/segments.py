@@ -6,24 +6,17 @@ brings its installs to ``install_threshold`` or its uninstalls to
 belong to the batch but count for neither side. Rows after the last closing
 row form the open batch, which is not reported (``keep_open`` keeps it).
 
-One plan for keys of any size; the data is shuffled a fixed number of
-times, whatever the number of batches:
-
-1. The chunked scan numbers the rows per key (``rn``) and counts installs
-   (``ci``) and uninstalls (``cu``) so far. From then on only integers that are
-   never NULL are looked at. A row that closes a batch at counts ``(ci, cu)`` is
-   followed by the earlier of the install number ``ci + T_i`` and the
-   uninstall number ``cu + T_u``.
-2. Up: whatever came before, the first batch to close in a chunk closes on
-   one of its first ``T_i`` installs or first ``T_u`` uninstalls. For each of
-   these *entries* a chunk gives the counts at the last batch it closes
-   (its exit). 64 chunks are one chunk of the next level, whose rows are
-   the entries below, until one chunk per key is left.
-3. Down: the top level is followed from the start of the key. It says
-   by which entry each chunk below is entered, and so on down to the rows that close
-   batches.
-4. A second scan counts, per row, the closing rows before it: that is the batch
-   number.
+One plan for keys of any size; the rows are shuffled once:
+
+1. They are dealt into even ranges by (key, order) and stored (``scan.deal``); a range is a chunk.
+2. Whatever came before a chunk, all that matters is how many installs and uninstalls the open batch holds by
+   then. The first batch to close in a chunk closes on one of its first ``T_i`` installs or ``T_u``
+   uninstalls; for each of them a chunk says how many batches it closes and what its open batch holds at its
+   end. This summary has ``T_i + T_u`` entries however many rows the chunk has.
+3. The summaries of a key are followed from chunk to chunk, one step each.
+4. Every chunk numbers its rows and batches from what its first key brings along. Ranges are
+   contiguous, so at most one key comes into a chunk and one goes on from it: the table of
+   them has at most two rows per range, the bound under which it is broadcast.
 """
 
 from __future__ import annotations
@@ -37,96 +30,154 @@ from eventide.constants import (
     EVENT_INSTALL, EVENT_UNINSTALL, INSTALL_THRESHOLD, TOP_APPS, UNINSTALL_THRESHOLD)
 from eventide.functions.predicates import indicator
 from eventide.functions.render import top_apps_line
-from eventide.operators.scan import CHUNK, deal, join_on, prefix_sums
+from eventide.operators.scan import CHUNK, deal, join_on
 from eventide.session import materialize, python_workers_can_import
 
-FANOUT = 64
-_NODE = "_at long, rn long, ci long, cu long, inst boolean, xi long, xu long"
+_SUMMARY = ("`{key}` {kind}, _at long, rows long, installs long, uninstalls long, at_i array<long>, at_u array<long>, "
+            "open_i array<long>, open_u array<long>, closes array<long>")
+_ENTRY = "`{key}` {kind}, _at long, _rn long, _i long, _u long, _b long, _goes_on boolean, _total long"
 
 
-def _successors(pdf, ti: int, tu: int):
-    """Index of the row that closes the batch after each row's exit, the
-    number of rows where there is none. Rows are sorted by ``rn``."""
+def _chain(inst, unin, ti: int, tu: int):
+    """Over the installs and uninstalls of one key in a chunk: their rows, and for each of them, if it closed a batch, how
+    many batches close from it on, and at which one the last does."""
     import numpy as np
-    inst, n = pdf["inst"].to_numpy(bool), len(pdf)
+    rows = np.flatnonzero(inst | unin)
+    side = inst[rows]
+    ci, cu, n = np.cumsum(side), np.cumsum(~side), len(rows)
+    pos_i, pos_u = np.flatnonzero(side), np.flatnonzero(~side)
 
-    def find(side, counts, wanted):
-        rows = np.flatnonzero(side)
-        have = counts[rows]
-        at = np.minimum(np.searchsorted(have, wanted), max(len(rows) - 1, 0))
-        return np.where(have[at] == wanted, rows[at], n) if len(rows) else np.full(n, n)
+    def nth(pos, wanted):
+        return np.where(wanted <= len(pos), np.append(pos, n)[np.minimum(wanted - 1, len(pos))], n)
 
-    return np.minimum(find(inst, pdf["ci"].to_numpy(), pdf["xi"].to_numpy() + ti),
-                      find(~inst, pdf["cu"].to_numpy(), pdf["xu"].to_numpy() + tu))
+    nxt = np.append(np.minimum(nth(pos_i, ci + ti), nth(pos_u, cu + tu)), n)
+    last, closes = np.append(np.where(nxt[:n] < n, nxt[:n], np.arange(n)), n), np.append(np.where(nxt[:n] < n, 2, 1), 0)
+    while True:                                     # pointer doubling
+        further = last[last]
+        if (further == last).all():
+            return rows, ci, cu, pos_i, pos_u, nxt, last, closes
+        last, closes = further, closes + closes[last] - 1
 
 
-def _exits(pdf, ti: int, tu: int):
-    """The entries of one chunk, with the counts at their exits."""
+def _segments(keys):
+    """Bounds of the runs of equal values of a sorted column (NULLs and NaNs are equal)."""
     import numpy as np
-    pdf = pdf.sort_values("rn", kind="stable").reset_index(drop=True)
-    nxt = _successors(pdf, ti, tu)
-    last = np.where(nxt < len(pdf), nxt, np.arange(len(pdf)))
-    while True:                      # pointer doubling within the chunk
-        further = last[last]
-        if (further == last).all():
-            break
-        last = further
-    inst = pdf["inst"].to_numpy(bool)
-    ci, cu = pdf["ci"].to_numpy(), pdf["cu"].to_numpy()
-    first_i = ci[inst].min() if inst.any() else 0
-    first_u = cu[~inst].min() if (~inst).any() else 0
-    entry = np.where(inst, ci < first_i + ti, cu < first_u + tu)
-    out = pdf[entry].copy()
-    out["xi"], out["xu"] = pdf["xi"].to_numpy()[last][entry], pdf["xu"].to_numpy()[last][entry]
-    return out
-
-
-def _closing(pdf, ti: int, tu: int):
-    """Rows of one chunk that close a batch, from its entry (NULL: from the
-    start of the key) on."""
+    import pyarrow.compute as pc
+    if not len(keys):
+        return []
+    codes = pc.dictionary_encode(keys, null_encoding="encode")
+    codes = (codes.combine_chunks() if hasattr(codes, "combine_chunks") else codes)
+    codes = (codes.chunk(0) if hasattr(codes, "chunk") else codes).indices.to_numpy(zero_copy_only=False)
+    cuts = np.concatenate([[0], np.flatnonzero(codes[1:] != codes[:-1]) + 1, [len(codes)]])
+    return list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+
+
+def _chunks(batches):
+    """The chunks of a task, each as one table: chunks fit a task, and a task may hold several."""
+    import pyarrow as pa
+    held = [b for b in batches if b.num_rows]
+    if held:
+        table = pa.Table.from_batches(held)
+        for a, b in _segments(table.column(CHUNK)):
+            yield table.slice(a, b - a)
+
+
+def _flags(table):
+    return [table.column(c).to_numpy() == 1 for c in ("is_install", "is_uninstall")]
+
+
+def _summaries(batches, key: str, ti: int, tu: int):
+    """Step 2: one row per key and chunk."""
+    import numpy as np
+    import pyarrow as pa
+    for table in _chunks(batches):
+        inst, unin = _flags(table)
+        out, firsts = [], []
+        for a, b in _segments(table.column(key)):
+            rows, ci, cu, pos_i, pos_u, _, last, closes = _chain(inst[a:b], unin[a:b], ti, tu)
+            entry = np.concatenate([pos_i[:ti], pos_u[:tu]])
+            end = last[entry]
+            n_i, n_u = int(inst[a:b].sum()), int(unin[a:b].sum())
+            out.append((b - a, n_i, n_u, rows[pos_i[:ti]], rows[pos_u[:tu]], n_i - ci[end], n_u - cu[end], closes[entry]))
+            firsts.append(a)
+        at = table.column(CHUNK)[0].as_py()
+        cols = list(zip(*out))
+        yield pa.RecordBatch.from_arrays(
+            [table.column(key).take(pa.array(firsts)).combine_chunks(), pa.array([at] * len(out), pa.int64())]
+            + [pa.array(c, pa.int64()) for c in cols[:3]] + [pa.array(c, pa.list_(pa.int64())) for c in cols[3:]],
+            names=[key, "_at", "rows", "installs", "uninstalls", "at_i", "at_u", "open_i", "open_u", "closes"])
+
+
+def _followed(batches, key: str, ti: int, tu: int):
+    """Step 3: summaries sorted by key and chunk; what the open batch holds when the key comes into each chunk.
+    Only chunks that the key comes into or goes on from are given."""
+    import pyarrow as pa
+    none, now, held, state = object(), None, [], None
+    now = none
+
+    def close():
+        keys, rows = held[0][0], [h[1:] for h in held]
+        if len(rows) > 1:
+            total = state[3]
+            made = [(*r, i + 1 < len(rows), total) for i, r in enumerate(rows)]
+            cols = list(zip(*made))
+            arrays = [pa.concat_arrays([keys] * len(made))] + [pa.array(c, pa.int64()) for c in cols[:5]] + [
+                pa.array(cols[5], pa.bool_()), pa.array(cols[6], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[key, "_at", "_rn", "_i", "_u", "_b", "_goes_on", "_total"])
+
+    for batch in batches:
+        names = ("_at", "rows", "installs", "uninstalls", "at_i", "at_u", "open_i", "open_u", "closes")
+        rows = list(zip(*[batch.column(c).to_pylist() for c in names]))
+        for place, (value, row) in enumerate(zip(batch.column(0).to_pylist(), rows)):
+            if value != now:
+                if held:
+                    yield from close()
+                now, held, state = value, [], (0, 0, 0, 0)
+            at, n, installs, uninstalls, at_i, at_u, open_i, open_u, closes = row
+            rn, i, u, b = state
+            held.append((batch.column(0).slice(place, 1), at, rn, i, u, b))
+            first_i = at_i[ti - i - 1] if ti - i <= len(at_i) else n
+            first_u = at_u[tu - u - 1] if tu - u <= len(at_u) else n
+            if min(first_i, first_u) == n:
+                state = (rn + n, i + installs, u + uninstalls, b)
+            else:
+                e = ti - i - 1 if first_i < first_u else len(at_i) + tu - u - 1
+                state = (rn + n, open_i[e], open_u[e], b + closes[e])
+    if held:
+        yield from close()
+
+
+def _numbered(batches, key: str, names: list[str], ti: int, tu: int):
+    """Step 4: the rows of a chunk, sorted, with ``rn``, ``is_boundary``, ``batch_no`` and ``closed``."""
     import numpy as np
-    pdf = pdf.sort_values("rn", kind="stable").reset_index(drop=True)
-    nxt, n = _successors(pdf, ti, tu), len(pdf)
-    entry = pdf["_entry"].iloc[0]
-    if entry < 0:
-        inst = pdf["inst"].to_numpy(bool)
-        starts = np.flatnonzero(np.where(inst, pdf["ci"].to_numpy() == ti, pdf["cu"].to_numpy() == tu))
-        at = int(starts[0]) if len(starts) else n
-    else:
-        at = int(np.searchsorted(pdf["rn"].to_numpy(), entry))
-    rows = []
-    while at < n:
-        rows.append(at)
-        at = int(nxt[at])
-    return pdf.iloc[rows].drop(columns="_entry")
-
-
-def _closing_rows(nodes: DataFrame, key: str, ranges: int, ti: int, tu: int) -> DataFrame:
-    """Steps 2 and 3: ``(key, rn)`` of every row that closes a batch."""
-    kind = nodes.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, {_NODE}"
-    python_workers_can_import(nodes.sparkSession)
-
-    def group(level: int) -> Column:
-        return F.floor(F.col("_at") / F.lit(FANOUT ** level)).cast("long")
-
-    levels = [nodes]
-    while FANOUT ** (len(levels) - 1) < ranges:
-        here = levels[-1].withColumn("_g", group(len(levels) - 1))
-        up = here.groupBy(key, "_g").applyInPandas(
-            lambda pdf: _exits(pdf.drop(columns="_g"), ti, tu), schema)
-        levels.append(materialize(up, "entries"))
-    closing = None
-    for level in range(len(levels) - 1, -1, -1):
-        here = levels[level]
-        if closing is None:
-            here = here.withColumn("_g", F.lit(0).cast("long")).withColumn("_entry", F.lit(-1).cast("long"))
-        else:
-            entry = closing.select(key, group(level).alias("_g"), F.col("rn").alias("_entry"))
-            here = join_on(here.withColumn("_g", group(level)), entry, [key, "_g"])
-        closing = here.groupBy(key, "_g").applyInPandas(
-            lambda pdf: _closing(pdf.drop(columns="_g"), ti, tu), schema)
-    return closing.select(key, "rn")
+    import pyarrow as pa
+    for table in _chunks(batches):
+        inst, unin = _flags(table)
+        rn, boundary, closed = np.arange(1, table.num_rows + 1), np.zeros(table.num_rows, np.int32), np.ones(table.num_rows, bool)
+        batch_no = np.empty(table.num_rows, np.int64)
+        entry = [table.column(c) for c in ("_rn", "_i", "_u", "_b", "_total")]
+        for a, b in _segments(table.column(key)):
+            rn0, i, u, b0, total = (0 if c[a].as_py() is None else c[a].as_py() for c in entry)
+            rows, ci, cu, pos_i, pos_u, nxt, _, _ = _chain(inst[a:b], unin[a:b], ti, tu)
+            at = min(pos_i[ti - i - 1] if ti - i <= len(pos_i) else len(rows), pos_u[tu - u - 1] if tu - u <= len(pos_u) else len(rows))
+            found = []
+            while at < len(rows):
+                found.append(at)
+                at = nxt[at]
+            boundary[a + rows[found]] = 1
+            batch_no[a:b] = 1 + b0 + np.cumsum(boundary[a:b]) - boundary[a:b]
+            rn[a:b] += rn0 - a
+            # a key that lies in several chunks has closed ``total`` batches, another one those found here
+            closed[a:b] = batch_no[a:b] <= (len(found) if entry[4][a].as_py() is None else total)
+        out = table.select(names)
+        for name, values in (("rn", rn), ("is_boundary", boundary), ("batch_no", batch_no), ("closed", closed)):
+            out = out.append_column(name, pa.array(values))
+        yield from out.to_batches()
+
+
+def _in_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    python_workers_can_import(df.sparkSession)
+    return df.mapInArrow(fn, schema)
 
 
 def assign_batches(df: DataFrame, key: str, order: Sequence[str], kind: str,
@@ -143,23 +194,19 @@ def assign_batches(df: DataFrame, key: str, order: Sequence[str], kind: str,
     base = df.withColumns({"is_install": indicator(kind, install_value),
                            "is_uninstall": indicator(kind, uninstall_value)})
     dealt = deal(base, [key], list(order), ranges)
-    scanned = materialize(prefix_sums(dealt, [key], order, {
-        "rn": F.lit(1).cast("long"),
-        "_ci": F.col("is_install").cast("long"),
-        "_cu": F.col("is_uninstall").cast("long")}), "batches")
-    nodes = scanned.filter((F.col("is_install") == 1) | (F.col("is_uninstall") == 1)).select(
-        key, F.col(CHUNK).cast("long").alias("_at"), "rn", F.col("_ci").alias("ci"), F.col("_cu").alias("cu"),
-        (F.col("is_install") == 1).alias("inst"), F.col("_ci").alias("xi"), F.col("_cu").alias("xu"))
-    bounds = materialize(_closing_rows(nodes, key, dealt.rdd.getNumPartitions(),
-                                       install_threshold, uninstall_threshold), "closing rows")
-    n_bounds = bounds.groupBy(key).agg(F.count(F.lit(1)).alias("_n_bounds"))
-    tagged = (join_on(scanned, bounds.withColumn("is_boundary", F.lit(1)), [key, "rn"], "left")
-              .withColumn("is_boundary", F.coalesce("is_boundary", F.lit(0))))
-    tagged = prefix_sums(tagged, [key], order, {"_before": F.col("is_boundary").cast("long")}, inclusive=False)
-    tagged = (join_on(tagged, n_bounds, [key], "left")
-              .withColumn("batch_no", F.col("_before") + F.lit(1))
-              .withColumn("closed", F.col("batch_no") <= F.coalesce("_n_bounds", F.lit(0))))
-    return tagged.drop("_ci", "_cu", "_before", "_n_bounds", CHUNK)
+    ti, tu, kind_of = install_threshold, uninstall_threshold, df.schema[key].dataType.simpleString()
+    by = [F.col(c).asc_nulls_first() for c in (CHUNK, key, *order)]
+    flags = dealt.select(CHUNK, key, *[c for c in order if c != key], "is_install", "is_uninstall").sortWithinPartitions(*by)
+    summaries = _in_arrow(flags.select(CHUNK, key, "is_install", "is_uninstall"),
+                          lambda batches: _summaries(batches, key, ti, tu), _SUMMARY.format(key=key, kind=kind_of))
+    entries = _in_arrow(summaries.repartition(key).sortWithinPartitions(F.col(key).asc_nulls_first(), "_at"),
+                        lambda batches: _followed(batches, key, ti, tu), _ENTRY.format(key=key, kind=kind_of))
+    entries = materialize(entries.withColumnRenamed("_at", CHUNK).withColumn(CHUNK, F.col(CHUNK).cast("int")), "entries")
+    names = base.columns
+    rows = join_on(dealt, F.broadcast(entries), [CHUNK, key], "left").sortWithinPartitions(*by)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
+    return _in_arrow(rows, lambda batches: _numbered(batches, key, names, ti, tu),
+                     f"{fields}, rn long, is_boundary int, batch_no long, closed boolean")
 
 
 def batch_summary(tagged: DataFrame, key: str, time_col: str, id_col: str,

@@ -22,9 +22,11 @@ TOLERANCE = 1e-9
 
 def weights_frame(spark: SparkSession, weights: dict = GENERATOR_WEIGHTS) -> DataFrame:
     """``(dimension, pos, name, probability)`` rows from a weight mapping."""
-    rows = [(dim, pos, name, float(p)) for dim, items in weights.items()
-            for pos, (name, p) in enumerate(items)]
-    return spark.createDataFrame(rows, "dimension string, pos int, name string, probability double")
+    rows = [F.struct(F.lit(dim).alias("dimension"), F.lit(pos).alias("pos"), F.lit(name).alias("name"), F.lit(float(p)).alias("probability"))
+            for dim, items in weights.items() for pos, (name, p) in enumerate(items)]
+    if not rows:
+        return spark.createDataFrame([], "dimension string, pos int, name string, probability double")
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def intervals(weights: DataFrame, dimension: str) -> DataFrame:
