@@ -238,25 +238,55 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     picked = share[0].unionByName(share[1])    # at most 2 * sample_docs rows of id and label
     texts = docs.select(F.col(id_col).alias("_id"), text_column(docs, text_col).alias("text")).join(F.broadcast(picked), "_id")
     # a label takes half of the bytes, and what the other one leaves
-    size, by_label = F.octet_length("text"), Window.partitionBy("toxic")
-    own, both = F.sum(size).over(by_label), F.sum(size).over(Window.partitionBy(F.lit(0)))
+    by_label = Window.partitionBy("toxic")
+    own, both = F.sum("size").over(by_label), F.sum("size").over(Window.partitionBy(F.lit(0)))
     room = sample_bytes - F.least(both - own, F.lit(sample_bytes // 2))
-    filled = texts.select("_id", "text", "toxic", room.alias("room"), *sample_places(sample_bytes, ["toxic"]))
-    rows = (filled.filter((F.col("upto") <= F.col("room")) | (F.col("place") == 1))
-            .orderBy(F.xxhash64(F.lit(4), "_id"), "_id").select("text", "toxic").toArrow())
-    toxic = np.array(rows.column("toxic").to_pylist(), bool)
-    if not len(toxic) or toxic.all() or not toxic.any():
+    filled = sizes(texts, "toxic").select("_id", "h", "toxic", room.alias("room"), *sample_places(sample_bytes, ["toxic"]))
+    fit_in = filled.filter((F.col("upto") <= F.col("room")) | (F.col("place") == 1))
+    return _trained(chosen(texts, fit_in).select("_id", "text", "toxic"))
+
+
+def sizes(texts: DataFrame, *keep: str) -> DataFrame:
+    """Hash and length instead of the text: a sample's order is found without moving texts."""
+    return texts.select("_id", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size"), *keep)
+
+
+def chosen(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose id and hash are in ``rows``, a bounded sample."""
+    keys = F.broadcast(rows.select("_id", "h").distinct())
+    return texts.withColumn("h", F.xxhash64("text")).join(keys, ["_id", "h"], "left_semi")
+
+
+def _trained(sample: DataFrame) -> Model:
+    """Train on the bounded sample ``(_id, text, toxic)`` in one task: its arrays never lie
+    in the driver, which gets the weights."""
+    def run(batches):
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            toxic += batch.column(1).to_pylist()
+        label = np.array(toxic, bool)
+        if not len(label) or label.all() or not label.any():
+            return
+        m = train(texts, label)
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (m.weights.tobytes(), m.trans.tobytes(), m.bias, m.curve.tobytes())],
+                                         names=["weights", "trans", "bias", "curve"])
+
+    rows = sample.repartition(1).sortWithinPartitions(F.xxhash64(F.lit(4), "_id"), "_id", F.xxhash64("text"))
+    made = map_arrow(rows.select("text", "toxic"), run, "weights binary, trans binary, bias double, curve binary").toArrow()
+    if not made.num_rows:
         return Model(np.zeros(1 << FEATURE_BITS, np.float32), np.zeros((2, 2)), -9.0, np.array([0.0, 0.0, -30.0]))
-    return train(rows.column("text").to_pylist(), toxic)
+    weights, trans, bias, curve = (made.column(c)[0].as_py() for c in ("weights", "trans", "bias", "curve"))
+    return Model(np.frombuffer(weights, np.float32), np.frombuffer(trans).reshape(2, 2), bias, np.frombuffer(curve))
 
 
 def sample_places(sample_bytes: int, labels: list[str], seed: int = 4, id_col: str = "_id") -> list[Column]:
-    """``place`` and bytes ``upto`` a row of a bounded sample in the order in which
+    """``place`` and bytes ``upto`` a row of a bounded sample (rows of ``sizes``) in the order in which
     the rows of a label fill it: in hash order those of at most 1/64 of the bytes, then
     the longer ones by length, so a text that does not fit keeps out no text that does."""
-    size = F.octet_length("text")
+    size = F.col("size")
     line = (Window.partitionBy(*labels, F.lit(0))
-            .orderBy(F.when(size <= sample_bytes // 64, 0).otherwise(size), F.xxhash64(F.lit(seed), id_col), id_col, F.xxhash64("text"))
+            .orderBy(F.when(size <= sample_bytes // 64, 0).otherwise(size), F.xxhash64(F.lit(seed), id_col), id_col, "h")
             .rowsBetween(Window.unboundedPreceding, 0))
     return [F.count(F.lit(1)).over(line).alias("place"), F.sum(size).over(line).alias("upto")]
 
@@ -268,16 +298,22 @@ def judged(m: Model, data: np.ndarray, off: np.ndarray):
     return 1 / (1 + np.exp(-np.clip(document_view(p, before) @ m.curve, -30, 30))), p, starts, ends, before
 
 
+def _shared(docs: DataFrame, m: Model):
+    """A broadcast of arrays only: executors need not know the class."""
+    return docs.sparkSession.sparkContext.broadcast((m.weights, m.trans, m.bias, m.curve))
+
+
 def clean(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs``, unchanged, whose text scores below ``least``."""
-    share = docs.sparkSession.sparkContext.broadcast(model)
+    share = _shared(docs, model)
     names = docs.columns
 
     def run(batches):
+        m = Model(*share.value)
         for batch in batches:
             col = batch.column(len(names))
             for a, b in slices(col):
-                value = judged(share.value, *utf8(col.slice(a, b - a)))[0]
+                value = judged(m, *utf8(col.slice(a, b - a)))[0]
                 part = batch.slice(a, b - a).filter(pa.array(value < least))
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(names))], names=names)
 
@@ -289,10 +325,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     whole text alone. ``spans`` are runs of words with a probability of at
     least ``likely``, as code point offsets ``start`` to ``end``. A null or empty
     text has no words and gets the curve's score for none."""
-    share = docs.sparkSession.sparkContext.broadcast(model)
+    share = _shared(docs, model)
 
     def run(batches):
-        m = share.value
+        m = Model(*share.value)
         for batch in batches:
             col = batch.column(1)
             for a, b in slices(col):
