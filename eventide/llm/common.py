@@ -41,6 +41,7 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     """``mapInArrow`` whose function travels by value, so that executors need
     no copy of this package."""
     _by_value()
+    _small_batches(df.sparkSession)
 
     def run(batches):
         try:
@@ -80,6 +81,19 @@ def _by_value() -> None:
     cloudpickle.register_pickle_by_value(eventide)
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker; each lies in both several times.
+BATCH_BYTES = 8 << 20
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by ``BATCH_BYTES``; a smaller bound of its own stays. By default they hold
+    10,000 rows or 64 MB, which with whole texts takes hundreds of MB of an executor."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def give_back() -> None:
     """Return freed memory to the system at the end of a task: a Python worker
     waits for its next task beside the other processes of its executor."""
