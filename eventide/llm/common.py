@@ -172,24 +172,46 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: An odd base of byte polynomials and its inverse modulo 2^64.
+ODD = 0x9E3779B97F4A7C15
+INVERSE = pow(ODD, -1, 1 << 64)
+
+
+def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers 0 to 4095 of ``base`` modulo 2^64, and those of its 4096th power up to
+    ``n`` / 4096: small enough for a worker to keep."""
+    def run(first: int, size: int) -> np.ndarray:
+        out = np.full(size, first & (1 << 64) - 1, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+    kept = per_process(("powers", base), lambda: [run(base, 4096), np.ones(1, np.uint64)])
+    if len(kept[1]) <= n >> 12:
+        kept[1] = run(pow(base, 4096, 1 << 64), 1 << (n >> 12).bit_length())
+    return kept[0], kept[1]
+
+
+def first_powers(base: int, n: int) -> np.ndarray:
+    """``base`` to the power of 0 to n - 1 modulo 2^64."""
+    low, high = _power_tables(base, n)
+    return np.multiply.outer(high[:(n >> 12) + 1], low).ravel()[:n]
+
+
+def powers_at(base: int, places: np.ndarray) -> np.ndarray:
+    """``base`` to the power of every place modulo 2^64."""
+    low, high = _power_tables(base, int(places.max(initial=0)))
+    return high[places >> 12] * low[places & 4095]
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit hash of every word: a polynomial of its bytes and length,
     from one running sum over all bytes (arithmetic modulo 2^64)."""
     if len(starts) == 0:
         return np.empty(0, np.uint64)
-    base = np.uint64(0x9E3779B97F4A7C15 | 1)
-    inverse = np.uint64(pow(int(base), -1, 1 << 64))
     n = len(data)
     table = per_process(("byte values", seed), lambda: mix64(np.arange(1, 257, dtype=np.uint64) + np.uint64(seed * 1000003)))
-    grow = per_process(("powers", int(base)), lambda: [np.ones(1, np.uint64), np.ones(1, np.uint64)])
-    if len(grow[0]) < n + 1:
-        size = 1 << int(n).bit_length()
-        up, down = np.full(size, base, np.uint64), np.full(size, inverse, np.uint64)
-        up[0] = down[0] = 1
-        grow[0], grow[1] = np.multiply.accumulate(up), np.multiply.accumulate(down)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(table[data] * grow[0][:n], out=total[1:])
-    value = (total[ends] - total[starts]) * grow[1][starts]
+    np.cumsum(table[data] * first_powers(ODD, n), out=total[1:])
+    value = (total[ends] - total[starts]) * powers_at(INVERSE, starts)
     return mix64(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 

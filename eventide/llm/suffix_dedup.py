@@ -30,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.common import (cogrouped_arrow, grouped_arrow, map_arrow, mix64, per_process, stored, table,
-                                 text_column, utf8)
+from eventide.llm.common import (INVERSE, ODD, cogrouped_arrow, first_powers, grouped_arrow, map_arrow, mix64, per_process,
+                                 powers_at, stored, table, text_column, utf8)
 from eventide.llm.weighted_minhash import slices
 
 LENGTH, GRAM = 100, 24
@@ -42,28 +42,16 @@ PIECE = 1 << 22
 CROWD = 20_000
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2^64."""
-    base = 0x9E3779B97F4A7C15
-    kept = per_process("byte powers", lambda: [np.ones(1, np.uint64), np.ones(1, np.uint64)])
-    if len(kept[0]) < n:
-        size = 1 << int(n).bit_length()
-        up, down = np.full(size, base, np.uint64), np.full(size, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        kept[0], kept[1] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return kept[0], kept[1]
-
-
 def running_sum(data: np.ndarray) -> np.ndarray:
     """Prefix sums from which any substring's hash follows."""
     value = per_process("byte weights", lambda: mix64(np.arange(1, 257, dtype=np.uint64)))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(value[data] * _powers(len(data) + 1)[0][:len(data)], out=total[1:])
+    np.cumsum(value[data] * first_powers(ODD, len(data)), out=total[1:])
     return total
 
 
 def span_hash(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix64((total[end] - total[start]) * _powers(len(total))[1][start] + (end - start).astype(np.uint64))
+    return mix64((total[end] - total[start]) * powers_at(INVERSE, start) + (end - start).astype(np.uint64))
 
 
 def _anchors(h: np.ndarray, windows: int, span: int) -> np.ndarray:
@@ -94,9 +82,8 @@ def stretches(data: np.ndarray, off: np.ndarray, length: int = LENGTH, gram: int
     if n < length:
         return none, none, none.astype(np.uint64), none.astype(np.uint64)
     total = running_sum(data)
-    down = _powers(n + 1)[1]
     h = total[gram:] - total[:-gram]
-    h *= down[:len(h)]
+    h *= first_powers(INVERSE, len(h))
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     at = _anchors(h, n - length + 1, length - gram + 1)
