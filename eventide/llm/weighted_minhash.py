@@ -287,7 +287,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     & (first_band == F.col("band")))
             .select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct())
     more = stored(verified(rest, texts, idf, similarity).filter("ok").select("a", "b"))
-    comp = components(more.unionByName(comp.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+    # a repeated id ties the classes of its texts
+    tied = live.select("id", "f1", "f2").join(classes.select("f1", "f2", "rep"), ["f1", "f2"])
+    tied = (tied.groupBy("id").agg(F.min("rep").alias("a"), F.collect_set("rep").alias("reps"))
+            .filter(F.size("reps") > 1).select("a", F.explode("reps").alias("b")))
+    comp = components(more.unionByName(comp.select(F.col("id").alias("a"), F.col("component").alias("b"))).unionByName(tied))
     per_class = classes.select("f1", "f2", "rep").join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left")
     per_class = per_class.select("f1", "f2", F.coalesce("component", "rep").alias("class"))
     out = live.select("id", "f1", "f2").join(per_class, ["f1", "f2"]).select("id", "class")
