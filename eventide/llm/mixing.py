@@ -138,9 +138,12 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
           block_words: int = BLOCK_WORDS, **how) -> DataFrame:
     """The mix itself, in the columns of ``docs``: of every document one whole copy per
     full round, and one row with the words of its chosen blocks, joined by single
-    spaces. Documents of which nothing is taken go."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    spaces. Documents of which nothing is taken go. Other columns, whatever their
+    names, come out as they are."""
+    names = docs.columns
     planned = plan(docs, id_col, text_col, source_col, block_words=block_words, row=F.monotonically_increasing_id(), **how)
+    # columns go by place in a struct, so none can clash with those of the plan
+    rows = docs.select(F.struct("*").alias("_doc"), F.monotonically_increasing_id().alias("_row"))
     planned = planned.filter("taken > 0").select("_row", F.col("size").alias("_size"), "_from", "_times", "_r", "_p", "_n")
     b = F.lit(block_words).cast("long")
     chosen = F.filter(F.sequence(F.floor(F.col("_from") / b), F.floor((F.col("_from") + F.col("_size") - 1) / b)),
@@ -148,13 +151,13 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
                       F.floor((j * F.col("_r") + F.col("_p")) / F.col("_n")))
     first = lambda j: F.greatest(F.lit(0), j * b - F.col("_from"))
     upto = lambda j: F.least(F.col("_size"), (j + 1) * b - F.col("_from"))
-    text = F.col(text_col).cast("string")
+    text = F.col("_doc").getField(text_col).cast("string")
     # the words are bound to a variable, so that they are cut once per text and not per block
     part = F.transform(F.array(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))), lambda words: F.array_join(
         F.transform(chosen, lambda j: F.array_join(F.slice(words, (first(j) + 1).cast("int"), (upto(j) - first(j)).cast("int")), " ")), " "))
     copies = F.concat(F.array_repeat(text, F.col("_times").cast("int")), F.filter(part, lambda t: F.length(t) > 0))
     mixed_rows = rows.join(planned, "_row").withColumn("_copies", copies).withColumn("_copy", F.explode("_copies"))
-    return mixed_rows.select(*[F.col("_copy").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return mixed_rows.select(*[F.col("_copy").alias(c) if c == text_col else F.col("_doc").getField(c).alias(c) for c in names])
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

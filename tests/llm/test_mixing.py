@@ -103,3 +103,26 @@ def test_empty_and_wordless_tables(spark):
     assert M.plan(spark.createDataFrame([], schema)).count() == 0
     rows = M.plan(spark.createDataFrame([(1, None, "a"), (2, " ", None), (2, " ", None)], schema)).collect()
     assert len(rows) == 3 and all(r["taken"] == 0 and r["target"] == 0 for r in rows)
+
+
+def test_columns_named_like_those_of_the_plan_come_out_as_they_are(spark):
+    names = ("_row", "_copy", "_copies", "_doc", "_size", "_from", "_times", "_r", "_p", "_n", "size")
+    docs = corpus(6)
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in names)
+    df = spark.createDataFrame([(i, t, s, *[f"{c} of {i}" for c in names]) for i, t, s, *_ in docs], schema)
+    out = M.mixed(df, block_words=7, shard_words=500)
+    plain = M.mixed(df.select("doc_id", "text", "source"), block_words=7, shard_words=500)
+    rows = out.collect()
+    assert out.columns == df.columns and rows and all(r[c] == f"{c} of {r['doc_id']}" for r in rows for c in names)
+    key = lambda r: (r["doc_id"], r["text"])
+    assert sorted(map(key, rows)) == sorted(map(key, plain.collect()))
+
+
+def test_a_very_long_text_is_mixed_whole(spark):
+    long = " ".join(f"v{k}" for k in range(150_000))
+    df = spark.createDataFrame([(1, long, "a"), (2, "x y z", "b"), (3, "p q", "a")], "doc_id long, text string, source string")
+    taken = {r["doc_id"]: r["taken"] for r in M.plan(df).collect()}
+    got = {}
+    for r in M.mixed(df).collect():
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + len(r["text"].split())
+    assert got == {i: n for i, n in taken.items() if n} and taken[1] > 150_000
