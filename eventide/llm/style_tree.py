@@ -31,6 +31,8 @@ from eventide.llm.common import map_arrow, table
 from eventide.llm.url_rules import url_host
 
 LOW, DECAY, LEAST_PAGES = 0.2, 0.9, 3
+#: Hosts with more than one of so many shares of all pages are dealt over several parts.
+HOT_SHARE = 1000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes plaintext".split())
@@ -246,6 +248,23 @@ def low_branches(counts: DataFrame, low: float, decay: float, least_pages: int)
     return own.filter(F.col("own") < low).select("host", "node")
 
 
+def dealt(rows: DataFrame, low_nodes: DataFrame) -> DataFrame:
+    """``rows`` with the list of their host, if it has one. At most ``HOT_SHARE`` hosts can hold more than
+    a ``HOT_SHARE``-th of all pages, so the table of hot hosts is broadcast and the copies
+    of their lists are at most twice as many."""
+    share = F.col("n") * HOT_SHARE / F.lit(max(rows.count(), 1))
+    hot = (rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter(share > 1)
+           .select(F.col("host").alias("_hot"), F.ceil(share).alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1).cast("long"))
+
+    def with_parts(df):
+        return df.join(F.broadcast(hot), F.col("host") == F.col("_hot"), "left")
+    rows = with_parts(rows).withColumn("_part", F.pmod(F.xxhash64("_id", "html"), parts)).drop("_hot", "_parts")
+    low_nodes = (with_parts(low_nodes).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+                 .select("host", "_part", "low"))
+    return rows.join(low_nodes, ["host", "_part"], "left")
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
               low: float = LOW, decay: float = DECAY, least_pages: int = LEAST_PAGES) -> DataFrame:
     """``(id, url, text, n_chars)`` for every page: the text of the branches that
@@ -256,14 +275,15 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     what these hold without chrome is looked at; blocks below ``low`` lose their text.
     A node seen on fewer than ``least_pages`` pages has importance 1. Equal rows
     are pages of their own; other columns are not read. Hosts meet their
-    branches in an equi-join, so a hot host's pages stay spread.
+    branches in an equi-join; a host with more than a ``HOT_SHARE``-th of all pages
+    is dealt over as many parts as it has such shares, each with a copy of its list.
     """
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"),
                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("host", url_host(F.col("_url")))
     low_nodes = (low_branches(branch_counts(rows), low, decay, least_pages)
                  .groupBy("host").agg(F.collect_list("node").alias("low")))
-    known = rows.join(low_nodes, "host", "left")
+    known = dealt(rows, low_nodes)
 
     def run(batches):
         for batch in batches:

@@ -88,3 +88,14 @@ def test_whole_table_holds_the_articles(spark, sf):
         blocks = re.sub(r"<[^>]*>", "\x00", re.sub(r"</?b>", "", body)).split("\x00")
         want = " ".join(x for x in (re.sub(r"\s+", " ", html.unescape(b)).strip() for b in blocks) if x)
         assert got[r["page_id"]] == want
+
+
+def test_a_hot_host_is_dealt_over_parts_with_its_whole_list(spark):
+    """One host holds nearly all pages: its rows carry many parts, and all get its list."""
+    pages = site(300) + [(1000 + i, u, h, w) for i, u, h, w in site(3, "b.example")]
+    rows = spark.createDataFrame([(i, u, h) for i, u, h, _ in pages], "_id long, _url string, html string").withColumn("host", S.url_host(S.F.col("_url")))
+    low = spark.createDataFrame([("a.example", [1, 2]), ("gone.example", [3])], "host string, low array<long>")
+    out = S.dealt(rows, low).collect()
+    assert len(out) == len(rows.collect()) and len({r["_part"] for r in out if r["host"] == "a.example"}) > 100
+    assert all((r["low"] == [1, 2]) if r["host"] == "a.example" else r["low"] is None for r in out)
+    assert {r["_id"] for r in out} == {p[0] for p in pages}
