@@ -21,6 +21,8 @@ from eventide.session import python_workers_can_import
 from eventide.streaming.processors import (
     PeriodChangeProcessor, PreviousValueProcessor, QuietReportProcessor, SessionMergeProcessor, ThresholdBatchProcessor)
 
+#: Parts that the keys of ``click_jumps`` are dealt over.
+KEY_PARTS = 128
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -78,17 +80,20 @@ def language_concat(stream: DataFrame, key: str = "language", order: str = "ord"
 def click_jumps(stream: DataFrame, key: str, order: Sequence[str], value: str,
                 keep: Sequence[str], min_diff: int = K.MIN_CLICK_JUMP,
                 last_name: str = "last_value", event_time: str | None = None,
-                bucket_ms: int = K.COMMENT_WINDOW_MS, ttl_ms: int | None = None) -> DataFrame:
+                bucket_ms: int = K.COMMENT_WINDOW_MS, ttl_ms: int | None = None, parts: int = KEY_PARTS) -> DataFrame:
     """Q5 streaming: keyed value state (S-11) in arrival order; with
     ``event_time`` (a watermarked column) in event order (S-13, see ``in_event_order``). ``ttl_ms``: a key
-    without rows for so long (processing time) leaves the state and starts anew."""
+    without rows for so long (processing time) leaves the state and starts anew. The keys are dealt over
+    ``parts`` by hash; one call of the processor takes a part's rows of a micro-batch, so choose more parts for larger
+    micro-batches. The number belongs to the state: a restarted query must keep it."""
     fields = [key, *keep, value]
     schema = ", ".join(f"{c} {_type_of(stream, c)}" for c in fields) + f", {last_name} bigint"
     _prepare(stream)
     if event_time:
         stream = in_event_order(stream, [key], event_time, [*order, *keep, value], bucket_ms)
-    proc = PreviousValueProcessor(key, order, value, keep, min_diff, last_name, ttl_ms)
-    return stream.groupBy(key).transformWithStateInPandas(proc, schema, "Append", "ProcessingTime" if ttl_ms else "None")
+    proc = PreviousValueProcessor(key, _type_of(stream, key), order, value, keep, min_diff, last_name, ttl_ms)
+    stream = stream.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts)))
+    return stream.groupBy("_part").transformWithStateInPandas(proc, schema, "Append", "ProcessingTime" if ttl_ms else "None")
 
 
 def store_batches(stream: DataFrame, key: str, order: Sequence[str], kind: str, app: str,

@@ -80,29 +80,40 @@ class PreviousValueProcessor(OrderedProcessor):
     0 or rose by more than ``min_diff`` since the key's previous row (0 before the
     first; nothing rises from or to a NULL); the previous value moves on every
     row. With ``ttl_ms`` a key's value goes that long (processing time) after its last
-    row, and the key starts anew. Vectorized: one sort, one shift, one mask. Output: key
-    column, ``keep`` columns, value, last."""
+    row, and the key starts anew.
 
-    def __init__(self, key: str, order: Sequence[str], value: str, keep: Sequence[str],
+    Rows come grouped by a part of the keys, not by key: a call costs milliseconds, so keys of few rows
+    share one. The state is a map from key to last value; the entries of the keys seen are read and
+    written once a micro-batch. Vectorized: one sort, one shift, one mask over all keys of a part.
+    Output: key column, ``keep`` columns, value, last."""
+
+    def __init__(self, key: str, key_type: str, order: Sequence[str], value: str, keep: Sequence[str],
                  min_diff: int = K.MIN_CLICK_JUMP, last_name: str = "last_value", ttl_ms: int | None = None):
-        self.key, self.order, self.value = key, list(order), value
+        self.key, self.key_type, self.order, self.value = key, key_type, list(order), value
         self.keep, self.min_diff, self.last_name, self.ttl_ms = list(keep), min_diff, last_name, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "last LONG", self.ttl_ms)
+        self.last = handle.getMapState("last", f"key {self.key_type}", "last LONG", self.ttl_ms)
 
-    def fold(self, key, pdf):
+    def fold(self, part, pdf):
+        import numpy as np
         import pandas as pd
+        codes, _ = pd.factorize(pdf[self.key], use_na_sentinel=False)
+        by_key = np.argsort(codes, kind="stable")       # the frame is in event order
+        pdf, codes = pdf.iloc[by_key].reset_index(drop=True), codes[by_key]
+        ends = np.flatnonzero(np.append(codes[1:] != codes[:-1], True))
+        starts = np.append(0, ends[:-1] + 1)
         vals = pdf[self.value].astype("Int64")
-        first = self.last.get()[0] if self.last.exists() else 0
-        lasts = pd.concat([pd.Series([first], dtype="Int64"), vals.iloc[:-1]], ignore_index=True)
+        keys = [None if pd.isna(k) else k for k in pdf[self.key].iloc[starts].tolist()]
+        before = [self.last.getValue((k,)) for k in keys]
+        lasts = vals.shift()
+        lasts.iloc[starts] = pd.array([0 if old is None else old[0] for old in before], "Int64")
         mask = ((vals == 0) | (vals - lasts > self.min_diff)).fillna(False).to_numpy(bool)
-        out = pdf.loc[mask, [c for c in self.keep]].copy()
-        out.insert(0, self.key, key[0])
+        for k, end in zip(keys, vals.iloc[ends]):
+            self.last.updateValue((k,), (None if pd.isna(end) else int(end),))
+        out = pdf.loc[mask, [self.key, *self.keep]].copy()
         out[self.value] = vals[mask].to_numpy()
         out[self.last_name] = lasts[mask].to_numpy()
-        end = vals.iloc[-1]
-        self.last.update((None if pd.isna(end) else int(end),))
         return out.reset_index(drop=True)
 
 

@@ -398,3 +398,23 @@ def test_first_arrivals_and_bounded_join_state(spark, tmp_path):
     got = rows(spark.read.parquet(path).filter("d < 1000 AND dt < '2100-01-01'"), "d", "status")
     assert got == [(n, status[gaps[n % len(gaps)]]) for n in range(400)]
     assert most < 500       # of 400 orders that come, 200 keys to remember and 400 deliveries
+
+
+def test_click_jumps_keep_keys_of_one_part_apart(spark, tmp_path):
+    """Many keys in few parts, a null key and null values, over several micro-batches: like the batch operator."""
+    import random
+    rng = random.Random(4)
+    data = [(rng.choice(["a", "b", "c", None]), at(60_000 * i), i, rng.choice([None, 0, 1, 5, 9])) for i in range(120)]
+    path, sch = _write(spark, tmp_path, "parts", data, "user_id STRING, time TIMESTAMP, ord INT, click_count BIGINT", files=4)
+    out = {}
+    for parts in (1, 2, 128):
+        st = sio.event_time(sio.read_parquet_stream(spark, path, sch, 1), "time", None)
+        got = sio.run_to_table(sjobs.click_jumps(st, "user_id", ["time", "ord"], "click_count", ["ord"], parts=parts), f"parts{parts}")
+        out[parts] = rows(got, "ord", "user_id", "click_count", "last_value")
+    last, want = {}, []
+    for user, _t, i, n in data:
+        old = last.get(user, 0)
+        if n is not None and (n == 0 or old is not None and n - old > 5):
+            want.append((i, user, n, old))
+        last[user] = n
+    assert out[1] == out[2] == out[128] == sorted(want) and len(want) > 20
