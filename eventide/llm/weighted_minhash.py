@@ -112,8 +112,9 @@ def weights_of(keys: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndar
 
 
 def draws(seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """2^16 seeded draws of r ~ Gamma(2, 1), ln c with c ~ Gamma(2, 1), and
-    beta ~ U(0, 1); a shingle's hash and the sample number pick one."""
+    """2^16 seeded draws each of r ~ Gamma(2, 1), ln c with c ~ Gamma(2, 1), and
+    beta ~ U(0, 1). A hash of shingle and sample number picks one of each by bits of its own,
+    so 2^48 different triples are drawn from."""
     g = np.random.default_rng(seed)
     return (g.gamma(2, 1, 1 << 16).astype(np.float32) + np.float32(1e-6),
             np.log(g.gamma(2, 1, 1 << 16) + 1e-12).astype(np.float32), g.random(1 << 16, np.float32))
@@ -127,12 +128,13 @@ def samples(keys: np.ndarray, weight: np.ndarray, starts: np.ndarray, count: int
     hashes, log_w = keys & _MASK, np.log(weight)
     number = np.arange(len(keys), dtype=np.uint64)
     out = np.empty((count, len(starts)), np.uint64)
-    base = mix64(hashes + np.uint64(seed))
+    base, low = hashes + np.uint64(seed) << np.uint64(20), np.uint64(0xFFFF)
     for k in range(count):
-        pick = (base * np.uint64(2 * k + 3) >> np.uint64(48)).astype(np.int64)
-        r = r_of[pick]
-        t = np.floor(log_w / r + beta_of[pick])
-        ln_a = c_of[pick] - r * (t - beta_of[pick] + 1)
+        pick = mix64(base + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        r = r_of[(pick >> np.uint64(48)).astype(np.int64)]
+        beta = beta_of[(pick >> np.uint64(32) & low).astype(np.int64)]
+        t = np.floor(log_w / r + beta)
+        ln_a = c_of[(pick >> np.uint64(16) & low).astype(np.int64)] - r * (t - beta + 1)
         bits = ln_a.view(np.uint32)
         order = np.where(bits >> 31, ~bits, bits | np.uint32(0x80000000)).astype(np.uint64)
         won = (np.minimum.reduceat(order << np.uint64(32) | number, starts) & np.uint64(0xFFFFFFFF)).astype(np.int64)
