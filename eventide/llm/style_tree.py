@@ -9,6 +9,12 @@ when each shows another. The own text of a node of low importance is removed fro
 each page; a branch goes when all of its nodes do, and nothing important goes with
 the branch above it.
 
+Elements that repeat under one parent (the paragraphs of an article) share a path, so
+they are aligned by what they show: a block shown on c of the m pages that have the
+path is a node of its own, beside which each other page shows something else. Its
+importance is 1 - c ln c / (m ln m), so a notice among the paragraphs goes when
+nearly every page has it, wherever it stands.
+
 Entropy says nothing about a host with one page, and little about chrome
 whose text turns with every page. Tags and attribute words that name chrome
 (``nav``, ``footer``, ``class="ad"``, ...) therefore start as presentation of
@@ -146,11 +152,12 @@ def key(path: str) -> int:
 
 def flow(root: Node):
     """What a page shows outside chrome, in page order, as ``(owner, held, item)``:
-    ``owner`` is the path of the block that holds the item, as elements within a
-    line belong to their block's text; ``held`` tells that it lies in a holder;
-    ``item`` is a text, an element that starts, or None where a block ends."""
-    todo = [(p, "", "", False) for p in reversed(root.parts)]
-    yield "", False, ""
+    ``owner`` is the block that holds the item, its path and a number of its own, as
+    elements within a line belong to their block's text; ``held`` tells that it lies in a
+    holder; ``item`` is a text, an element that starts, or None where a block ends."""
+    top, count = ("", 0), 0
+    todo = [(p, "", top, False) for p in reversed(root.parts)]
+    yield top, False, ""
     while todo:
         item, above, owner, held = todo.pop()
         yield owner, held, item
@@ -162,11 +169,31 @@ def flow(root: Node):
         if not item.chrome:
             held = held or item.holder
             if not inline or item.holder:
-                owner = path
+                count += 1
+                owner = (path, count)
                 yield owner, held, ""
             todo += [(p, path, owner, held) for p in reversed(item.parts)]
 
 
+def faces(items) -> dict[tuple[str, int], str]:
+    """What each block of a page's ``flow`` shows: its child elements and own text in order."""
+    shown: dict[tuple[str, int], list] = {}
+    for owner, _held, item in items:
+        face = shown.setdefault(owner, [])
+        if isinstance(item, str):
+            text = SPACES.sub(" ", item).strip()
+            if text:
+                face.append("\x01" + text)
+        elif item is not None:
+            face.append("\x00" + item.mark)
+    return {owner: "".join(face) for owner, face in shown.items()}
+
+
+def block_key(node: int, seen: int) -> int:
+    """The key of a path's blocks that show ``seen``; negative, unlike a path's key."""
+    return -(node ^ seen >> 1) - 1
+
+
 def has_holder(root: Node) -> bool:
     return any(n.holder and not n.chrome for n, _ in nodes(root))
 
@@ -175,7 +202,13 @@ def text_of(root: Node, low: frozenset | set) -> str:
     """Texts of the blocks that stay, white space within a block made one
     space, blocks joined by one space. A block in ``low`` loses its own text
     only: blocks below it stay or go by themselves."""
-    blocks, line, stays = [], [], {}
+    blocks, line, items = [], [], list(flow(root))
+    gone = set()
+    if low:
+        for owner, face in faces(items).items():
+            node = key(owner[0])
+            if node in low or block_key(node, key(face)) in low:
+                gone.add(owner)
 
     def close():
         if line:
@@ -185,13 +218,10 @@ def text_of(root: Node, low: frozenset | set) -> str:
             line.clear()
 
     everywhere = not has_holder(root)
-    for owner, held, item in flow(root):
+    for owner, held, item in items:
         if isinstance(item, str):
-            if item and (held or everywhere):
-                if owner not in stays:
-                    stays[owner] = not low or key(owner) not in low
-                if stays[owner]:
-                    line.append(entities.unescape(item))
+            if item and (held or everywhere) and owner not in gone:
+                line.append(entities.unescape(item))
         elif item is None or item.tag not in INLINE:
             close()
     close()
@@ -199,53 +229,65 @@ def text_of(root: Node, low: frozenset | set) -> str:
 
 
 def branch_counts(pages: DataFrame) -> DataFrame:
-    """``(host, node, held, seen, page)`` for every block a page shows: ``node`` is
+    """``(host, node, one, held, seen, page)`` for every block a page shows: ``node`` is
     the hash of its path, ``held`` 1 inside a holder, ``seen`` the hash of its child
     elements and its own text. Chrome, whose importance is fixed, is not looked
-    into. A page counts once per path: repeated elements add to one hash, and
-    pages of a host that show the same text count as one, so copies don't pass for chrome."""
+    into. A page counts once per path (``one`` 0), where repeated elements add to one hash; a
+    path with several blocks that show anything also has a row for each of them that shows text (``one`` 1).
+    Pages of a host that show the same text count as one, so copies don't pass for chrome."""
     def run(batches):
         for batch in batches:
-            host, node, inside, seen, whole = [], [], [], [], []
+            host, node, one, inside, seen, whole = [], [], [], [], [], []
             for h, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 root = parse(page)
-                shown: dict[str, list] = {}
+                items = list(flow(root))
                 held_at: dict[str, bool] = {}
-                for owner, held, item in flow(root):
-                    faces = shown.setdefault(owner, [])
-                    held_at[owner] = held_at.get(owner, False) or held
-                    if isinstance(item, str):
-                        text = SPACES.sub(" ", item).strip()
-                        if text:
-                            faces.append("\x01" + text)
-                    elif item is not None:
-                        faces.append("\x00" + item.mark)
+                for owner, held, _item in items:
+                    held_at[owner[0]] = held_at.get(owner[0], False) or held
+                by_path: dict[str, list] = {path: [] for path in held_at}
+                for owner, face in faces(items).items():
+                    if face:
+                        by_path[owner[0]].append(face)
                 everywhere = not has_holder(root)
-                shown = {path: "".join(faces) for path, faces in shown.items()}
-                same = key("\x02".join(f"{path}\x03{face}" for path, face in shown.items() if everywhere or held_at[path]))
-                host += [h] * len(shown)
-                node += [key(path) for path in shown]
-                inside += [int(held_at[path]) for path in shown]
-                seen += [key(face) for face in shown.values()]
-                whole += [same] * len(shown)
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(node, pa.int64()), pa.array(inside, pa.int64()),
-                                              pa.array(seen, pa.int64()), pa.array(whole, pa.int64())],
-                                             names=["host", "node", "held", "seen", "page"])
-    rows = map_arrow(pages.select("host", "html"), run, "host string, node long, held long, seen long, page long")
+                same = key("\x02".join(f"{path}\x03{''.join(f)}" for path, f in by_path.items() if everywhere or held_at[path]))
+                for path, f in by_path.items():
+                    rows = [(0, key("".join(f)))]
+                    if len(f) > 1:
+                        rows += [(1, key(x)) for x in dict.fromkeys(f) if "\x01" in x]
+                    host += [h] * len(rows)
+                    node += [key(path)] * len(rows)
+                    one += [r[0] for r in rows]
+                    inside += [int(held_at[path])] * len(rows)
+                    seen += [r[1] for r in rows]
+                    whole += [same] * len(rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(host, pa.string()), pa.array(node, pa.int64()), pa.array(one, pa.int64()), pa.array(inside, pa.int64()),
+                 pa.array(seen, pa.int64()), pa.array(whole, pa.int64())], names=["host", "node", "one", "held", "seen", "page"])
+    rows = map_arrow(pages.select("host", "html"), run, "host string, node long, one long, held long, seen long, page long")
     return rows.distinct()
 
 
 def low_branches(counts: DataFrame, low: float, decay: float, least_pages: int) -> DataFrame:
-    """``(host, node)`` of blocks whose own importance is below ``low``. A holder
+    """``(host, node)`` of blocks whose own importance is below ``low``: of all blocks of a path, under
+    its hash, and of those of its blocks that show the same, under ``block_key``. A holder
     counts as one more page that shows something else, so its blocks need more
     pages to be taken for chrome. Only a block's own text goes by this, never what
     is below it, so a text's depth costs nothing and ``decay`` decides nothing."""
-    per_face = counts.groupBy("host", "node", "seen").agg(F.count(F.lit(1)).alias("c"), F.max("held").alias("held"))
+    per_face = (counts.groupBy("host", "node", "seen")
+                .agg(F.sum(1 - F.col("one")).alias("c"), F.count(F.lit(1)).alias("all"), F.max("one").alias("one"),
+                     F.max("held").alias("held")))
     own = (per_face.groupBy("host", "node")
-           .agg(F.sum("c").alias("n"), (F.sum("c") + F.max("held")).alias("m"), F.sum(F.col("c") * F.ln("c")).alias("s"))
+           .agg(F.sum("c").alias("n"), (F.sum("c") + F.max("held")).alias("m"),
+                F.sum(F.when(F.col("c") > 0, F.col("c") * F.ln("c"))).alias("s"))
            .withColumn("own", F.when(F.col("n") < least_pages, F.lit(1.0))
                        .otherwise((F.ln("m") - F.col("s") / F.col("m")) / F.ln("m"))))
-    return own.filter(F.col("own") < low).select("host", "node")
+    own = own.select("host", "node", "m", "own")
+    # blocks shown on few pages can't be of low importance, so few rows meet their path's number of pages
+    often = per_face.filter((F.col("one") == 1) & (F.col("all") >= least_pages)).select("host", "node", "seen", "all")
+    alike = (often.join(own.filter(F.col("own") >= low), ["host", "node"])
+             .filter(1 - F.col("all") * F.ln("all") / (F.col("m") * F.ln("m")) < low)
+             .select("host", (-F.col("node").bitwiseXOR(F.shiftright("seen", 1)) - 1).alias("node")))
+    return own.filter(F.col("own") < low).select("host", "node").unionByName(alike)
 
 
 def dealt(rows: DataFrame, low_nodes: DataFrame) -> DataFrame:
@@ -272,7 +314,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     A null html is the empty page, whose text is empty; pages without a host
     (null url) form one site. Where a page has an ``article`` or ``main``, only
-    what these hold without chrome is looked at; blocks below ``low`` lose their text.
+    what these hold without chrome is looked at; blocks below ``low`` lose their text, be it as a path
+    or as one of the blocks that repeat under it.
     A node seen on fewer than ``least_pages`` pages has importance 1. Equal rows
     are pages of their own; other columns are not read. Hosts meet their
     branches in an equi-join; a host with more than a ``HOT_SHARE``-th of all pages

@@ -77,6 +77,34 @@ def test_texts_stay_on_hosts_of_any_size(spark, n):
     assert kept(spark, [page.format(i) for i in range(n)]) == {i: f"unique {i} more leaf {i}" for i in range(n)}
 
 
+@pytest.mark.parametrize("n", [3, 100, 3000])
+def test_repeated_paragraph_among_others_goes(spark, n):
+    """An unmarked notice between paragraphs, at another place on each page; unique ones stay, and on a host of
+    three pages all of it, as three pages tell too little."""
+    def page(i, with_notice=True):
+        ps = [f"Part {i}.{k} of the story" for k in range(2 + i % 3)]
+        if with_notice:
+            ps.insert(i % len(ps), "Share this <b>story</b> with friends")
+        return f"<body><article><h1>Title {i}</h1>" + "".join(f"<p>{x}</p>" for x in ps) + "</article></body>"
+    want = {i: " ".join([f"Title {i}"] + re.findall("<p>(.*?)</p>", page(i, n < 7).replace("<b>", "").replace("</b>", ""))) for i in range(n)}
+    assert kept(spark, [page(i) for i in range(n)]) == want
+
+
+def test_paragraphs_that_half_of_the_pages_share_stay(spark):
+    """Near copies under several addresses are no chrome; a page whose only paragraph is the notice loses it."""
+    shared = "".join(f"<p>Common paragraph {k}</p>" for k in range(3))
+    pages = [f"<article>{shared if i % 2 else ''}<p>Own {i}</p><p>More {i}</p><p>Notice</p></article>" for i in range(40)]
+    got = kept(spark, pages + ["<article><p>Notice</p></article>"])
+    common = "Common paragraph 0 Common paragraph 1 Common paragraph 2 "
+    assert got == {i: f"{common if i % 2 else ''}Own {i} More {i}" for i in range(40)} | {40: ""}
+
+
+def test_block_key_is_the_one_of_the_list(spark):
+    df = spark.createDataFrame([(5, 9), (S.key("/a/p"), S.key("x")), (0, 0)], "node long, seen long")
+    got = df.select("node", "seen", (-S.F.col("node").bitwiseXOR(S.F.shiftright("seen", 1)) - 1).alias("k")).collect()
+    assert all(r["k"] == S.block_key(r["node"], r["seen"]) < 0 for r in got)
+
+
 def test_empty_table(spark):
     assert S.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
