@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.common import map_arrow, table
+from eventide.llm.common import map_arrow, stored, table
 from eventide.llm.url_rules import url_host
 
 LOW, DECAY, LEAST_PAGES = 0.2, 0.9, 3
@@ -276,15 +276,18 @@ def low_branches(counts: DataFrame, low: float, decay: float, least_pages: int)
     per_face = (counts.groupBy("host", "node", "seen")
                 .agg(F.sum(1 - F.col("one")).alias("c"), F.count(F.lit(1)).alias("all"), F.max("one").alias("one"),
                      F.max("held").alias("held")))
-    own = (per_face.groupBy("host", "node")
-           .agg(F.sum("c").alias("n"), (F.sum("c") + F.max("held")).alias("m"),
-                F.sum(F.when(F.col("c") > 0, F.col("c") * F.ln("c"))).alias("s"))
+    # faces on few pages can't be of low importance as blocks of their own, so a path's are summed up; what is left is
+    # read twice and short
+    often = F.when((F.col("one") == 1) & (F.col("all") >= least_pages), F.col("seen"))
+    sums = stored(per_face.groupBy("host", "node", often.alias("seen"))
+                  .agg(F.sum("c").alias("c"), F.sum(F.when(F.col("c") > 0, F.col("c") * F.ln("c"))).alias("s"), F.max("all").alias("all"),
+                       F.max("held").alias("held")))
+    own = (sums.groupBy("host", "node")
+           .agg(F.sum("c").alias("n"), (F.sum("c") + F.max("held")).alias("m"), F.sum("s").alias("s"))
            .withColumn("own", F.when(F.col("n") < least_pages, F.lit(1.0))
                        .otherwise((F.ln("m") - F.col("s") / F.col("m")) / F.ln("m"))))
     own = own.select("host", "node", "m", "own")
-    # blocks shown on few pages can't be of low importance, so few rows meet their path's number of pages
-    often = per_face.filter((F.col("one") == 1) & (F.col("all") >= least_pages)).select("host", "node", "seen", "all")
-    alike = (often.join(own.filter(F.col("own") >= low), ["host", "node"])
+    alike = (sums.filter("seen is not null").join(own.filter(F.col("own") >= low), ["host", "node"])
              .filter(1 - F.col("all") * F.ln("all") / (F.col("m") * F.ln("m")) < low)
              .select("host", (-F.col("node").bitwiseXOR(F.shiftright("seen", 1)) - 1).alias("node")))
     return own.filter(F.col("own") < low).select("host", "node").unionByName(alike)
