@@ -1,17 +1,18 @@
 """Scoring texts with a small causal self-attention language model.
 
 Words (lower-cased, without white space) are spelled by subword ids; an end
-id closes a text. One attention layer, trained in numpy on a bounded sample,
-reads a window of ids and predicts the class of the next one. Windows overlap: each
-takes its first ids as context only, so every id is scored once, in batches with
-a causal mask. Some classes hold the ids that begin a word, the others those that
+id closes a text. One attention layer reads a window of ids and predicts the class
+of the next one. Windows overlap: each takes its first ids as context only, so every id
+is scored once, in batches with a causal mask. The layer starts from a bounded sample and then
+learns from every window of all training texts (see :func:`learned`); the classes come from
+the neighbour counts of all of them. Some classes hold the ids that begin a word, the others those that
 go on with one. At a word's beginning the model gives the class; within the class
 the word follows from corpus counts, discounted by ``DISCOUNT`` each, and
 the mass so freed goes to the spelling: class by class through the layer, ids within a class
 by corpus counts, and the word's end as the mass of all beginnings. The result
 is a probability of the text as a sequence of words.
 
-Corpus counts are over all training documents: tasks count their
+Corpus counts are over all training documents, too: tasks count their
 words first, Spark adds them up. The words above a count that at most 2^18 words
 reach travel with the tasks (a fixed bound); the others, which are rare and thus have no
 hot key, meet their counts in an equi-join.
@@ -23,10 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.common import map_arrow, table, text_column, utf8, word_bounds, word_hashes
+from eventide.llm.common import grouped_arrow, map_arrow, table, text_column, utf8, word_bounds, word_hashes, written
 from eventide.llm.packing import encoder, vocabulary
 from eventide.llm.toxic_spans import chosen, sample_places, sizes
 from eventide.llm.weighted_minhash import slices
@@ -37,6 +39,8 @@ WINDOW, STRIDE, WIDTH, UNITS = 24, 20, 16, 4096
 #: Classes: the end alone, word beginnings, and from ``BEGIN`` on what goes on.
 BEGIN, CLASSES, DISCOUNT = 48, 96, 0.75
 SAMPLE_DOCS, SAMPLE_BYTES, STEPS, BATCH = 3000, 6 << 20, 900, 128
+#: Rounds of the pass over all texts, its first rate, and the units of a block of weights.
+ROUNDS, RATE, BLOCK = 4, 0.003, 64
 HOT_WORDS = 1 << 18
 END = 50256
 
@@ -145,44 +149,138 @@ def forward(par: dict, z: np.ndarray):
 
 
 def gradients(par: dict, z: np.ndarray, target: np.ndarray, scored: np.ndarray):
-    logp, (x, q, k, v, a, o, h, p) = forward(par, z)
-    n = max(1, int(scored.sum()))
-    loss = -np.take_along_axis(logp, target[:, :, None], 2)[:, :, 0][scored].sum() / n
-    dy = p
-    np.put_along_axis(dy, target[:, :, None], np.take_along_axis(dy, target[:, :, None], 2) - 1, 2)
-    dy = dy * (scored[:, :, None] / np.float32(n))
-    flat = lambda t: t.reshape(-1, t.shape[-1])
-    g = {"C": flat(h).T @ flat(dy), "b": flat(dy).sum(axis=0)}
-    dh = dy @ par["C"].T
-    g["O"] = flat(o).T @ flat(dh)
-    do = dh @ par["O"].T
-    dv, da = a.transpose(0, 2, 1) @ do, do @ v.transpose(0, 2, 1)
-    ds = a * (da - (a * da).sum(axis=2, keepdims=True))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    g["Q"], g["K"], g["V"] = flat(x).T @ flat(dq), flat(x).T @ flat(dk), flat(x).T @ flat(dv)
-    dx = dh + dq @ par["Q"].T + dk @ par["K"].T + dv @ par["V"].T
-    g["P"] = dx.sum(axis=0)
-    e = np.zeros_like(par["E"])
-    np.add.at(e, z.ravel(), flat(dx))
-    g["E"] = e
+    """Mean loss at the ``scored`` places of windows ``z`` and its gradients. Of the
+    same value as :func:`forward`'s; exponents are bounded as in :func:`place_scores`."""
+    n, w = z.shape
+    d = par["Q"].shape[0]
+    x = (par["E"][z] + par["P"]).reshape(n * w, d)
+    q, k, v = ((x @ par[m]).reshape(n, w, d) for m in "QKV")
+    a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
+    a += par["mask"]
+    np.minimum(a, 60, out=a)
+    np.exp(a, out=a)
+    a /= a.sum(axis=2, keepdims=True) + a.dtype.type(1e-30)
+    at = np.flatnonzero(scored.ravel())
+    o = (a @ v).reshape(n * w, d)[at]
+    h = x[at] + o @ par["O"]
+    y = h @ par["C"]
+    y += par["b"]
+    np.clip(y, -60, 60, out=y)
+    place, count = (np.arange(len(at)), target.ravel()[at]), max(1, len(at))
+    value = y[place]
+    np.exp(y, out=y)
+    total = y @ np.ones((y.shape[1], 1), y.dtype)
+    loss = (np.log(total).sum() - value.sum()) / count
+    y /= total * total.dtype.type(count)
+    y[place] -= y.dtype.type(1 / count)
+    g = {"C": h.T @ y, "b": np.ones(len(at), y.dtype) @ y}
+    dh = y @ par["C"].T
+    g["O"] = o.T @ dh
+    do = np.zeros((n * w, d), dh.dtype)
+    do[at] = dh @ par["O"].T
+    do = do.reshape(n, w, d)
+    dv, ds = a.transpose(0, 2, 1) @ do, do @ np.ascontiguousarray(v.transpose(0, 2, 1))
+    ds *= a
+    ds -= a * ds.sum(axis=2, keepdims=True)
+    dq, dk, dv = (t.reshape(n * w, d) for t in (ds @ k, ds.transpose(0, 2, 1) @ q, dv))
+    g["Q"], g["K"], g["V"] = x.T @ dq, x.T @ dk, x.T @ dv
+    dx = dq @ par["Q"].T + dk @ par["K"].T + dv @ par["V"].T
+    dx[at] += dh
+    g["P"] = dx.reshape(n, w, d).sum(axis=0)
+    flat = z.ravel()
+    g["E"] = np.stack([np.bincount(flat, dx[:, j], len(par["E"])) for j in range(d)], axis=1).astype(dx.dtype)
     return loss, g
 
 
-def classes_of(ids: np.ndarray, counts: np.ndarray, opens: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unit and class of every id. Units are the most frequent ids, the last one stands
-    for the rest. Classes gather units with like neighbours (k-means on the
-    leading directions of their neighbour counts), ids that open a word apart
-    from others; rare ids share the last class of either sort."""
+class Adam:
+    """Adam steps on the weights of a layer, in place."""
+
+    def __init__(self, par: dict):
+        self.names, self.t = [k for k in par if k != "mask"], 0
+        self.m, self.v = ({k: np.zeros_like(par[k]) for k in self.names} for _ in range(2))
+
+    def step(self, par: dict, g: dict, rate: float) -> None:
+        self.t += 1
+        for k in self.names:
+            m, v = self.m[k], self.v[k]
+            m *= 0.9
+            m += 0.1 * g[k]
+            v *= 0.99
+            v += 0.01 * g[k] * g[k]
+            move = np.sqrt(v / (1 - 0.99 ** self.t))
+            move += 1e-7
+            np.divide(m, move, out=move)
+            move *= rate / (1 - 0.9 ** self.t)
+            par[k] -= move
+
+
+def units_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent ids, and the unit of every id: its place among them, the last one
+    for the rest."""
     order = np.argsort(-counts, kind="stable")[:UNITS - 1]
     order = order[counts[order] > 0]
     unit = np.full(len(counts), len(order), np.int32)
     unit[order] = np.arange(len(order))
-    u = unit[ids]
+    return order, unit
+
+
+def text_ids(training: DataFrame) -> DataFrame:
+    """The subword ids of all texts as :func:`spelled` lays them out, stored once: a row per
+    slice of texts with its round, its ids (16 bits each) and the number of ids of each text."""
+    vocab = vocabulary()
+
+    def run(batches):
+        enc = encoder(vocab)
+        part, k = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            col = batch.column(0)
+            for a, b in slices(col):
+                ids, n, _, _ = spelled(col.slice(a, b - a), enc)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([(part + k) % ROUNDS], pa.int32()), pa.array([ids.astype(np.uint16).tobytes()], pa.binary()),
+                     pa.array([n.astype(np.int64).tobytes()], pa.binary())], names=["round", "ids", "n"])
+                k += 1
+
+    return written(map_arrow(training.select(text_column(training).alias("text")), run, "round int, ids binary, n binary"), "ids")
+
+
+def _laid_out(batch: pa.RecordBatch, unit: np.ndarray):
+    """Ids, units and lengths of the slices in columns ``ids`` and ``n``."""
+    for ids, n in zip(batch.column(0), batch.column(1)):
+        ids = np.frombuffer(ids.as_buffer(), np.uint16)
+        yield ids, unit[ids], np.frombuffer(n.as_buffer(), np.int64)
+
+
+def neighbours(ids: DataFrame, order: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """How often each unit follows (left half) and precedes (right half) each of the most
+    frequent ones, over all texts. Tasks add up theirs first."""
     m, near = len(order) + 1, min(512, len(order) + 1)
-    beside = np.zeros((m, 2 * near))
-    left, right = u[:-1], u[1:]
-    np.add.at(beside, (right[left < near], left[left < near]), 1)
-    np.add.at(beside, (left[right < near], near + right[right < near]), 1)
+
+    def run(batches):
+        sums = np.zeros(m * 2 * near, np.int64)
+        for batch in batches:
+            for _, u, n in _laid_out(batch, unit):
+                inside = np.ones(len(u) - 1, bool)
+                inside[np.cumsum(n)[:-1] - 1] = False    # texts are not neighbours
+                left, right = u[:-1][inside].astype(np.int64), u[1:][inside].astype(np.int64)
+                at = left < near
+                np.add.at(sums, right[at] * (2 * near) + left[at], 1)
+                at = right < near
+                np.add.at(sums, left[at] * (2 * near) + near + right[at], 1)
+        i = np.flatnonzero(sums)
+        for a in range(0, len(i), 1 << 18):
+            yield pa.RecordBatch.from_arrays([pa.array(i[a:a + (1 << 18)].astype(np.int32)), pa.array(sums[i[a:a + (1 << 18)]])], names=["i", "c"])
+
+    rows = map_arrow(ids.select("ids", "n"), run, "i int, c long").groupBy("i").agg(F.sum("c").alias("c")).toArrow()
+    beside = np.zeros(m * 2 * near)
+    beside[rows.column("i").to_numpy()] = rows.column("c").to_numpy()
+    return beside.reshape(m, 2 * near)
+
+
+def classes_of(beside: np.ndarray, order: np.ndarray, opens: np.ndarray, seed: int) -> np.ndarray:
+    """Class of every id. Classes gather units with like neighbours (k-means on the
+    leading directions of their neighbour counts), ids that open a word apart
+    from others; rare ids share the last class of either sort."""
     row, col = beside.sum(axis=1, keepdims=True) + 1, beside.sum(axis=0, keepdims=True) + 1
     pmi = np.log1p(beside * row.sum() / (row * col))
     gram = (pmi * row).T @ pmi
@@ -202,19 +300,20 @@ def classes_of(ids: np.ndarray, counts: np.ndarray, opens: np.ndarray, seed: int
                 centre[:, d] = np.where(total > 0, np.bincount(to, w * x[:, d], k) / np.maximum(total, 1e-9), centre[:, d])
         klass[order[at]] = base + to
     klass[END] = 0
-    return unit, klass
+    return klass
 
 
-def train(texts: list[str], counts: np.ndarray, kinds: np.ndarray, enc, seed: int = 1, steps: int = STEPS) -> Model:
-    """Fit the layer with Adam on windows of the sample's texts. ``counts`` are the
-    subword ids' corpus counts over all words, ``kinds`` over different words:
+def train(texts: list[str], counts: np.ndarray, kinds: np.ndarray, enc, seed: int, beside: np.ndarray, steps: int = STEPS) -> Model:
+    """Where the layer's learning starts: steps on windows of a sample's texts. ``beside`` are the
+    neighbour counts of the whole corpus, ``counts`` the subword ids' corpus counts over all words, ``kinds`` over different words:
     spelling is for words that are rare or new, which are made like other rare
     words."""
     rng = np.random.default_rng(seed)
     ids, n, _, _ = spelled(pa.array(texts, pa.large_string()), enc)
     opens = np.zeros(len(counts), bool)
     opens[:END] = [enc.decode_single_token_bytes(i)[:1] == b" " for i in range(END)]
-    unit, klass = classes_of(ids, counts, opens, seed)
+    order, unit = units_of(counts)
+    klass = classes_of(beside, order, opens, seed)
     smooth = kinds + 0.05
     inside = np.log(smooth / np.bincount(klass, smooth, CLASSES)[klass]).astype(np.float32)
     r = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
@@ -226,23 +325,78 @@ def train(texts: list[str], counts: np.ndarray, kinds: np.ndarray, enc, seed: in
     mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
     par["mask"] = mask
     z, end, skip = windows(n)
-    place = z[:, None] + np.arange(WINDOW)
-    live = (place < end[:, None] - 1) & (np.arange(WINDOW) >= skip[:, None])
-    inputs = np.minimum(place, end[:, None] - 1)
-    targets = np.minimum(place + 1, end[:, None] - 1)
-    names = [k for k in par if k != "mask"]
-    m, v = {k: 0.0 for k in names}, {k: 0.0 for k in names}
+    units, goals, adam = unit[ids], klass[ids], Adam(par)
     for t in range(1, steps + 1):
         at = rng.integers(0, len(z), BATCH)
-        _, g = gradients(par, unit[ids[inputs[at]]], klass[ids[targets[at]]], live[at])
-        rate = 0.01 * min(1, t / 50) * (1 - 0.9 * t / steps)
-        for k in names:
-            m[k] = 0.9 * m[k] + 0.1 * g[k]
-            v[k] = 0.99 * v[k] + 0.01 * g[k] * g[k]
-            par[k] = (par[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.99 ** t)) + 1e-7)).astype(np.float32)
+        adam.step(par, gradients(par, *batch_of(units, goals, z[at], end[at], skip[at]))[1],
+                  0.01 * min(1, t / 50) * (1 - 0.9 * t / steps))
     return Model(unit, klass, inside, par, np.zeros(CLASSES), np.zeros(CLASSES))
 
 
+def batch_of(units: np.ndarray, goals: np.ndarray, z: np.ndarray, end: np.ndarray, skip: np.ndarray):
+    """Units, classes of the next ids and scored places of windows."""
+    place, last = z[:, None] + np.arange(WINDOW), end[:, None] - 1
+    live = (place < last) & (np.arange(WINDOW) >= skip[:, None])
+    return units[np.minimum(place, last)], goals[np.minimum(place + 1, last)], live
+
+
+def learned(model: Model, ids: DataFrame, seed: int = 1) -> dict:
+    """The layer's weights after one pass over every window of all texts, in ``ROUNDS`` rounds. In a round each
+    task goes on from the same weights over its texts of the round; the tasks' weights are then
+    averaged, block by block: a unit's embedding by how often the tasks met it, the others by the number of ids."""
+    sc, par = ids.sparkSession.sparkContext, model.par
+    others = [k for k in par if k not in ("E", "mask")]
+    ends = np.cumsum([par[k].size for k in others])
+    for r in range(ROUNDS):
+        share = sc.broadcast((par, model.unit, model.klass))
+
+        def run(batches, r=r, share=share):
+            kept, unit, klass = share.value
+            par, adam, part = {k: v.copy() for k, v in kept.items()}, Adam(kept), TaskContext.get().partitionId()
+            rng, met, total = np.random.default_rng([seed, r, part]), np.zeros(len(kept["E"])), 0
+            for batch in batches:
+                for ids, units, n in _laid_out(batch, unit):
+                    goals, (z, end, skip) = klass[ids], windows(n)
+                    met += np.bincount(units, minlength=len(met))
+                    total += len(ids)
+                    mixed = rng.permutation(len(z))
+                    for a in range(0, len(z), BATCH):
+                        at = mixed[a:a + BATCH]
+                        adam.step(par, gradients(par, *batch_of(units, goals, z[at], end[at], skip[at]))[1],
+                                  RATE * (1 - r / ROUNDS) * min(1, (adam.t + 1) / 50))
+            if not total:
+                return
+            rows = [(-1, np.array([total], float), np.concatenate([par[k].ravel() for k in others]))]
+            rows += [(a, met[a:a + BLOCK], par["E"][a:a + BLOCK]) for a in range(0, len(met), BLOCK)]
+            block, weight, value = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block, pa.int32()), pa.array([part] * len(rows), pa.int32()), pa.array([w.tobytes() for w in weight], pa.binary()),
+                 pa.array([v.astype(np.float32).tobytes() for v in value], pa.binary())], names=["block", "part", "weight", "value"])
+
+        def averaged(key, group):
+            weight, value = 0.0, 0.0
+            for row in group.sort_by("part").to_pylist():     # one order of adding: reruns agree
+                w = np.frombuffer(row["weight"])
+                weight = weight + w
+                value = value + w[:, None] * np.frombuffer(row["value"], np.float32).reshape(len(w), -1).astype(float)
+            mean = (value / np.maximum(weight, 1)[:, None]).astype(np.float32)
+            return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "weight": pa.array([weight.tobytes()], pa.binary()),
+                             "value": pa.array([mean.tobytes()], pa.binary())})
+
+        sums = map_arrow(ids.filter(F.col("round") == r).select("ids", "n"), run, "block int, part int, weight binary, value binary")
+        par = {k: v.copy() for k, v in par.items()}
+        for row in grouped_arrow(sums, ["block"], averaged, "block int, weight binary, value binary").toArrow().to_pylist():
+            a, value = row["block"], np.frombuffer(row["value"], np.float32)
+            if a < 0:
+                for k, part in zip(others, np.split(value, ends[:-1])):
+                    par[k] = part.reshape(par[k].shape).copy()
+            else:
+                met = np.frombuffer(row["weight"]) > 0
+                par["E"][a:a + len(met)][met] = value.reshape(len(met), -1)[met]
+        share.unpersist()
+    return par
+
+
 def spelled(texts: pa.Array, enc):
     """Ids of all texts laid end to end, each text's ids between two end ids; the number
     of ids of each text; the word hashes with a 0 for each end; and the
@@ -340,8 +494,8 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(training: DataFrame, seed: int = 1):
     """The model and the corpus counts: ``(model, vocabulary table (h, c),
-    hot hashes, hot counts, N, V, texts)``. Counts are over all rows of ``training(id, text)``;
-    the layer is trained on a bounded sample of them."""
+    hot hashes, hot counts, N, V, texts)``. Counts, classes and the layer are over all rows of
+    ``training(id, text)``; a bounded sample is only where the layer starts."""
     spark = training.sparkSession
     place = scratch_path(spark, "words")
     word_counts(training).write.parquet(place)
@@ -374,7 +528,9 @@ def fit(training: DataFrame, seed: int = 1):
               .select(F.when(F.octet_length("text") > SAMPLE_BYTES, F.substring("text", 1, SAMPLE_BYTES // 4))
                       .otherwise(F.col("text")).alias("text")).toArrow())
     sample = [t for t in sample.column(0).to_pylist() if t] or [""]
-    model = train(sample, counts, kinds, enc, seed)
+    ids = text_ids(training)
+    model = train(sample, counts, kinds, enc, seed, neighbours(ids, *units_of(counts)))
+    model.par = learned(model, ids, seed)
     model.mass[:] = np.bincount(model.klass, first_c, CLASSES)
     model.kinds[:] = np.bincount(model.klass, first_v, CLASSES)
     return model, words.filter(~is_hot).select("h", "c"), hot_h[order], hot_c[order], tokens, distinct, texts

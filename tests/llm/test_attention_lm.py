@@ -193,3 +193,43 @@ def test_windows_without_a_place_to_score(spark):
     model = A.fit(df)[0]
     z, live = np.zeros((2, A.WINDOW), int), np.zeros((2, A.WINDOW), bool)
     assert [len(x) for x in A.place_scores(model.par, z, live, np.empty(0, int))] == [0, 0]
+
+
+def test_the_layer_learns_from_every_training_text(spark, monkeypatch):
+    """However few texts the layer starts from: classes and weights come from all of them, and reruns agree."""
+    starts, before = [], {}
+    monkeypatch.setattr(A, "SAMPLE_DOCS", 1)
+    monkeypatch.setattr(A, "train", lambda texts, *rest, real=A.train: (starts.append(texts), real(texts, *rest, steps=1))[1])
+    monkeypatch.setattr(A, "learned", lambda model, *rest, real=A.learned: (
+        before.update({k: v.copy() for k, v in model.par.items()}), real(model, *rest))[1])
+    texts = [" ".join(f"{w}{i}" for w in ("stone", "river", "cloud") for _ in range(9)) for i in range(40)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3, "id")
+    known = [t for t in texts if t]
+    par = [A.fit(df)[0].par for _ in range(2)]
+    model = A.fit(df)[0]
+    assert [len(t) for t in starts] == [1, 1, 1]
+    ids, n, _, _ = A.spelled(pa.array(known), encoder(vocabulary()))
+    units = np.unique(model.unit[ids])
+    assert len(units) > 20 and (model.par["E"][units] != before["E"][units]).any(axis=1).all()
+    assert all((model.par[k] != before[k]).any() for k in "PQKVOCb")
+    assert all(np.array_equal(p[k], model.par[k]) for p in par for k in p)
+
+
+def test_neighbours_by_counting(spark, monkeypatch):
+    monkeypatch.setattr(A, "UNITS", 6)
+    texts = ["a b a c d e f g", "b b b", "", "g f e d c a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(2)
+    counts = np.zeros(A.END + 1)
+    laid = []
+    for t in texts:
+        ids = A.spelled(pa.array([t]), encoder(vocabulary()))[0]
+        np.add.at(counts, ids[1:], 1)
+        laid.append(ids)
+    order, unit = A.units_of(counts)
+    m = len(order) + 1
+    want = np.zeros((m, 2 * m))
+    for ids in laid:
+        for a, b in zip(unit[ids[:-1]], unit[ids[1:]]):
+            want[b, a] += 1
+            want[a, m + b] += 1
+    assert m == 6 and np.array_equal(A.neighbours(A.text_ids(df), order, unit), want)
