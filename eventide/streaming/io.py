@@ -8,9 +8,10 @@ over. Event time must be ``TIMESTAMP`` (not ``TIMESTAMP_NTZ``) for
 ``withWatermark``; ``event_time`` casts it (UTC session).
 
 A finite input leaves windows open that no later row closes. ``EndOfInput``
-closes them (S-14): once the input is drained, a single row far in the
-future is added to a folder that the source reads too, and the query goes on
-from its checkpoint, so the watermark passes every open window and timer.
+closes them (S-14): behind the input's files, a single row far in the
+future is added to a folder that the source reads too, so the watermark
+passes every open window and timer. The source reads files in order of their times of
+writing, so that row comes last, in the same run: a query started again would load all its state anew.
 """
 
 from __future__ import annotations
@@ -146,7 +147,7 @@ def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
                  ends: tuple[EndOfInput, ...] = ()) -> DataFrame:
     """Drain all available input (``availableNow``) into a parquet folder in
     the shared checkpoint folder and return it as a batch DataFrame. With
-    ``ends`` the inputs are then ended, which brings out what is still open (S-14).
+    ``ends`` the inputs, whose files must all be there, are ended, which brings out what is still open (S-14).
     In ``complete`` mode the result is that of the last micro-batch."""
     spark = df.sparkSession
     out, checkpoint = scratch_path(spark, f"stream-out-{name}"), scratch_path(spark, f"stream-ckpt-{name}")
@@ -162,11 +163,9 @@ def run_to_table(df: DataFrame, name: str, output_mode: str = "append",
         if query.exception() is not None:
             raise query.exception()
 
-    drain()
     for end in ends:
         end.write()
-    if ends:
-        drain()
+    drain()
     if output_mode == "append":
         return spark.read.schema(df.schema).parquet(out)
     rows = spark.read.schema(df.schema.add("epoch", "long")).parquet(out)

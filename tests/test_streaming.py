@@ -418,3 +418,19 @@ def test_click_jumps_keep_keys_of_one_part_apart(spark, tmp_path):
             want.append((i, user, n, old))
         last[user] = n
     assert out[1] == out[2] == out[128] == sorted(want) and len(want) > 20
+
+
+def test_an_input_is_ended_in_the_same_run(spark, tmp_path, monkeypatch):
+    """The row that ends an input comes behind its files, so one run brings out every window, none twice,
+    and no state is loaded anew; the files before it are still read one by one."""
+    begun = []
+    monkeypatch.setattr(sio, "start", lambda *a, real=sio.start, **k: (begun.append(real(*a, **k)), begun[-1])[1])
+    data = [("s1", at(k * 10_000)) for k in range(12)]
+    path, sch = _write(spark, tmp_path, "ended", data, "store STRING, event_time TIMESTAMP", files=4)
+    end = sio.EndOfInput(spark, sch, "event_time")
+    st = sio.event_time(sio.read_parquet_stream(spark, path, sch, 1, end), "event_time", 1000)
+    out = sio.run_to_table(sjobs.error_windows(st, "event_time", "store", 20_000), "ended", ends=(end,))
+    assert [r.n for r in out.collect()] == [2] * 6
+    assert len(begun) == 1
+    read = [p["numInputRows"] for p in begun[0].recentProgress if p["numInputRows"]]
+    assert read == [3, 3, 3, 3, 1]
