@@ -15,6 +15,8 @@ def spark():
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         # test_plans.py counts executions: none may have been dropped by then
+         .config("spark.sql.ui.retainedExecutions", "100000")
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
          .getOrCreate())
