@@ -12,7 +12,8 @@ the mass so freed goes to the spelling: class by class through the layer, ids wi
 by corpus counts, and the word's end as the mass of all beginnings. The result
 is a probability of the text as a sequence of words.
 
-Corpus counts are over all training documents, too: tasks count their
+Each text is spelled once and stored as codes into its slice's different words; counting,
+learning and scoring go on from there. Corpus counts are over all training documents, too: tasks count their
 words first, Spark adds them up. The words above a count that at most 2^18 words
 reach travel with the tasks (a fixed bound); the others, which are rare and thus have no
 hot key, meet their counts in an equi-join.
@@ -24,11 +25,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.common import grouped_arrow, map_arrow, table, text_column, utf8, word_bounds, word_hashes, written
+from eventide.llm.common import (
+    grouped_arrow, joined_hashes, map_arrow, part_sums, per_process, table, text_column, utf8, word_bounds, word_hashes, written,
+)
 from eventide.llm.packing import encoder, vocabulary
 from eventide.llm.toxic_spans import chosen, sample_places, sizes
 from eventide.llm.weighted_minhash import slices
@@ -42,6 +46,8 @@ SAMPLE_DOCS, SAMPLE_BYTES, STEPS, BATCH = 3000, 6 << 20, 900, 128
 #: Rounds of the pass over all texts, its first rate, and the units of a block of weights.
 ROUNDS, RATE, BLOCK = 4, 0.003, 64
 HOT_WORDS = 1 << 18
+#: Different words whose spelling a worker remembers, and the most ids of one.
+REMEMBERED, SHORT = 1 << 18, 16
 END = 50256
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -89,14 +95,62 @@ def spell(words: pa.Array, enc) -> tuple[np.ndarray, np.ndarray]:
     are encoded in one go: only a word's first id begins with a space."""
     if not len(words):
         return np.empty(0, np.int32), np.zeros(1, np.int64)
-    ids = np.array(enc.encode_ordinary(" " + " ".join(words.to_pylist())), np.int32)
-    opens = np.array([enc.decode_single_token_bytes(i)[:1] == b" " for i in np.unique(ids).tolist()])
-    first = np.flatnonzero(opens[np.searchsorted(np.unique(ids), ids)])
-    return ids, np.append(first, len(ids))
+    text = pa.compute.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_py()
+    ids = np.array(enc.encode_ordinary(" " + text), np.int32)
+    return ids, np.append(np.flatnonzero(openings(enc)[ids]), len(ids))
+
+
+def openings(enc) -> np.ndarray:
+    """Whether an id begins with a space."""
+    def build():
+        opens = np.zeros(END + 1, bool)
+        opens[:END] = [enc.decode_single_token_bytes(i)[:1] == b" " for i in range(END)]
+        return opens
+    return per_process(("openings", enc), build)
+
+
+def id_sums(enc) -> tuple[np.ndarray, np.ndarray]:
+    """What each id adds to the hash of a word (:func:`joined_hashes`), with which words are hashed as in :func:`lower_words`."""
+    return part_sums([enc.decode_single_token_bytes(i).removeprefix(b" ") for i in range(END)], 9)
+
+
+def spellings(own: np.ndarray, words, enc) -> tuple[np.ndarray, np.ndarray]:
+    """The number of ids of each of the different words with hashes ``own``, and their ids laid end to end. Words
+    that the worker does not remember are spelled; ``words`` gives those at given places."""
+    kept = per_process(("spellings", enc), lambda: [np.empty(0, np.int64), np.zeros(1, np.int64), np.empty(0, np.int32)])
+    known, known_at, known_ids = kept
+    at = np.searchsorted(known, own)
+    hit = np.zeros(len(own), bool)
+    inside = at < len(known)
+    hit[inside] = known[at[inside]] == own[inside]
+    miss = np.flatnonzero(~hit)
+    ids, new_at = spell(words(miss), enc)
+    size, begin = np.empty(len(own), np.int64), np.empty(len(own), np.int64)
+    size[hit], begin[hit] = np.diff(known_at)[at[hit]], known_at[at[hit]]
+    size[miss], begin[miss] = np.diff(new_at), len(known_ids) + new_at[:-1]
+    ids = np.concatenate([known_ids, ids])
+    if len(known) < REMEMBERED:
+        more = miss[size[miss] <= SHORT][:REMEMBERED - len(known)]
+        h = np.concatenate([known, own[more]])
+        order = np.argsort(h)
+        n, first = (np.concatenate(x)[order] for x in ((np.diff(known_at), size[more]), (known_at[:-1], begin[more])))
+        kept[:] = h[order], np.concatenate([[0], np.cumsum(n)]), ids[ragged(first, n)]
+    return size, ids[ragged(begin, size)]
+
+
+def worded(texts: pa.Array, enc):
+    """The number of words of each text, the words as places among the different ones of all these texts, and of
+    those the hashes, numbers of subword ids, and the ids laid end to end."""
+    low, starts, ends, before, h = lower_words(texts)
+    own, first, codes = np.unique(h, return_index=True, return_inverse=True)
+    size, ids = spellings(own, lambda at: strings(low, starts[first[at]], ends[first[at]]), enc)
+    return np.diff(before), codes, own, size, ids
+
 
+def word_counts(ids: DataFrame) -> DataFrame:
+    """``(word, h, c)`` of all words of stored texts (:func:`text_ids`), a word as its subword ids of 16 bits; tasks count theirs first."""
+    sums = id_sums(encoder(vocabulary()))
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """``(word, h, c)`` of all words of all texts; tasks count theirs first."""
     def run(batches):
         held, rows = [], 0
 
@@ -105,12 +159,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return t.select(["word", "h", "c_sum"]).rename_columns(["word", "h", "c"])
 
         for batch in batches:
-            col = batch.column(0)
-            for a, b in slices(col):
-                low, starts, ends, _, h = lower_words(col.slice(a, b - a))
-                _, first, counts = np.unique(h, return_index=True, return_counts=True)
-                held.append(pa.table({"word": strings(low, starts[first], ends[first]), "h": h[first], "c": counts}))
-                rows += len(first)
+            for _, codes, size, sub in _stored_texts(batch):
+                h = joined_hashes(*sums, sub, size).view(np.int64)
+                off = np.concatenate([[0], 2 * np.cumsum(size)]).astype(np.int32)
+                word = pa.Array.from_buffers(pa.binary(), len(h), [None, pa.py_buffer(off), pa.py_buffer(sub.astype(np.uint16).tobytes())])
+                held.append(pa.table({"word": word, "h": h, "c": np.bincount(codes, minlength=len(h))}))
+                rows += len(h)
                 if rows > 2_000_000:
                     held = [merged()]
                     rows = held[0].num_rows
@@ -120,7 +174,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
         if held:
             yield from merged().combine_chunks().to_batches()
 
-    return map_arrow(docs.select("text"), run, "word string, h long, c long").groupBy("word", "h").agg(F.sum("c").alias("c"))
+    return (map_arrow(ids.select(*STORED), run, "word binary, h long, c long")
+            .groupBy("word", "h").agg(F.sum("c").alias("c")))
 
 
 def windows(lengths: np.ndarray):
@@ -148,70 +203,136 @@ def forward(par: dict, z: np.ndarray):
     return y - np.log(total), (x, q, k, v, a, o, h, e / total)
 
 
-def gradients(par: dict, z: np.ndarray, target: np.ndarray, scored: np.ndarray):
-    """Mean loss at the ``scored`` places of windows ``z`` and its gradients. Of the
-    same value as :func:`forward`'s; exponents are bounded as in :func:`place_scores`."""
+class Room:
+    """The large arrays of a step on up to ``n`` windows, kept from step to step: fresh ones of this size would go
+    back to the system every time, which then has to clear them again."""
+
+    def __init__(self, par: dict, n: int):
+        (w, d), c, kind = par["P"].shape, par["C"].shape[1], par["Q"].dtype
+        new = lambda *s: np.empty(s, kind)
+        blocks = -(-n * w // ROWS)
+        self.x, self.o, self.more, self.dh = (new(n, w, d) for _ in range(4))
+        self.a, self.ds, self.total = new(n, w, w), new(n, w, w), new(n, w, 1)
+        self.xt, self.ut, self.t = new(n, d, w), np.ones((n, d + 1, w), kind), new(n, w, d + 1)
+        self.pu, self.back = new(n, w, 2 * d), new(n, w, 2 * d)
+        self.h, self.hs, self.y = np.ones((blocks, ROWS, d + 1), kind), new(blocks, ROWS, d + 1), new(blocks, ROWS, c)
+        self.k, self.rows = new(blocks, ROWS, d), np.zeros(blocks * ROWS, np.int64)
+        self.ones = np.ones((max(n, w, c), 1), kind)
+        self.cells, self.at = np.arange(par["E"].size).reshape(par["E"].shape), np.empty((n * w, d), np.int64)
+        self.E = np.zeros(par["E"].shape, kind)
+
+
+def attended(par: dict, z: np.ndarray, room: Room):
+    """The layer up to its hidden values, of which it returns the windows' ``(batch, WINDOW, WIDTH)``. Queries meet keys as
+    ``x (Q K') x'`` and values go out as ``x (V O)``: two products for four. Exponents are bounded;
+    ``room.a / room.total`` are the weights of attention."""
     n, w = z.shape
     d = par["Q"].shape[0]
-    x = (par["E"][z] + par["P"]).reshape(n * w, d)
-    q, k, v = ((x @ par[m]).reshape(n, w, d) for m in "QKV")
-    a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
+    both = np.concatenate([par["Q"] @ par["K"].T, par["V"] @ par["O"]], axis=1)
+    x = np.take(par["E"], z, axis=0, out=room.x[:n], mode="clip")
+    x += par["P"]
+    pu = np.matmul(x.reshape(n * w, d), both, out=room.pu[:n].reshape(n * w, 2 * d)).reshape(n, w, 2 * d)
+    np.copyto(room.xt[:n], x.transpose(0, 2, 1))
+    a = np.matmul(pu[:, :, :d], room.xt[:n], out=room.a[:n])
     a += par["mask"]
-    np.minimum(a, 60, out=a)
+    np.clip(a, -1e30, 60, out=a)
     np.exp(a, out=a)
-    a /= a.sum(axis=2, keepdims=True) + a.dtype.type(1e-30)
-    at = np.flatnonzero(scored.ravel())
-    o = (a @ v).reshape(n * w, d)[at]
-    h = x[at] + o @ par["O"]
-    y = h @ par["C"]
-    y += par["b"]
+    total = np.matmul(a, room.ones[:w], out=room.total[:n])
+    total += a.dtype.type(1e-30)
+    o = np.matmul(a, pu[:, :, d:], out=room.o[:n])
+    o /= total
+    return np.add(x, o, out=room.more[:n]), both
+
+
+def exponents(par: dict, hidden: np.ndarray, at: np.ndarray, klass: np.ndarray, room: Room):
+    """At places ``at`` of the windows, in whole blocks of rows (a product of another shape may round another way): the
+    classes' exponents and their sums, the cells and the exponent's logarithm of classes ``klass``."""
+    blocks, d = -(-len(at) // ROWS), hidden.shape[2]
+    rows = room.rows[:blocks * ROWS]
+    rows[:len(at)], rows[len(at):] = at, 0
+    room.h[:blocks, :, :d] = hidden.reshape(-1, d).take(rows, axis=0).reshape(blocks, ROWS, d)
+    y = np.matmul(room.h[:blocks], np.concatenate([par["C"], par["b"][None]]), out=room.y[:blocks])
     np.clip(y, -60, 60, out=y)
-    place, count = (np.arange(len(at)), target.ravel()[at]), max(1, len(at))
-    value = y[place]
+    cells = np.arange(0, len(at) * y.shape[2], y.shape[2]) + klass
+    value = y.reshape(-1).take(cells)
     np.exp(y, out=y)
-    total = y @ np.ones((y.shape[1], 1), y.dtype)
-    loss = (np.log(total).sum() - value.sum()) / count
-    y /= total * total.dtype.type(count)
-    y[place] -= y.dtype.type(1 / count)
-    g = {"C": h.T @ y, "b": np.ones(len(at), y.dtype) @ y}
-    dh = y @ par["C"].T
-    g["O"] = o.T @ dh
-    do = np.zeros((n * w, d), dh.dtype)
-    do[at] = dh @ par["O"].T
-    do = do.reshape(n, w, d)
-    dv, ds = a.transpose(0, 2, 1) @ do, do @ np.ascontiguousarray(v.transpose(0, 2, 1))
+    return y, cells, value
+
+
+def gradients(par: dict, z: np.ndarray, target: np.ndarray, scored: np.ndarray, room: Room | None = None):
+    """Mean loss at the ``scored`` places of windows ``z`` and its gradients, which hold until ``room`` is used again. Of the
+    same value as :func:`forward`'s; exponents are bounded as in :func:`place_scores`."""
+    n, w = z.shape
+    d = par["Q"].shape[0]
+    room = room or Room(par, n)
+    hidden, both = attended(par, z, room)
+    at = np.flatnonzero(scored)
+    y, cells, value = exponents(par, hidden, at, target.ravel()[at], room)
+    blocks, count = len(y), max(1, len(at))
+    total = y.reshape(blocks * ROWS, y.shape[2]) @ room.ones[:y.shape[2]]
+    loss = (np.log(total[:len(at)]).sum() - value.sum()) / count
+    y.reshape(-1)[cells] -= total[:len(at), 0]
+    scale = 1 / (total * total.dtype.type(count))
+    scale[len(at):] = 0
+    scale = scale.reshape(blocks, ROWS, 1)
+    h = np.multiply(room.h[:blocks], scale, out=room.hs[:blocks])
+    of_c = (h.transpose(0, 2, 1) @ y).sum(axis=0)
+    g = {"C": of_c[:d], "b": of_c[d]}
+    k = np.matmul(y, np.ascontiguousarray(par["C"].T), out=room.k[:blocks])
+    k *= scale
+    x, o, a, p, u = room.x[:n], room.o[:n], room.a[:n], room.pu[:n, :, :d], room.pu[:n, :, d:]
+    dh = room.dh[:n]
+    dh.fill(0)
+    dh.reshape(n * w, d)[at] = k.reshape(blocks * ROWS, d)[:len(at)]
+    # through the weights of attention: the last column takes off each row's mean
+    t, ut, ds, back = room.t[:n], room.ut[:n], room.ds[:n], room.back[:n]
+    np.divide(dh, room.total[:n], out=t[:, :, :d])
+    np.matmul(np.multiply(t[:, :, :d], o, out=hidden), -room.ones[:d], out=t[:, :, d:])
+    np.copyto(ut[:, :d], u.transpose(0, 2, 1))
+    np.matmul(t, ut, out=ds)
     ds *= a
-    ds -= a * ds.sum(axis=2, keepdims=True)
-    dq, dk, dv = (t.reshape(n * w, d) for t in (ds @ k, ds.transpose(0, 2, 1) @ q, dv))
-    g["Q"], g["K"], g["V"] = x.T @ dq, x.T @ dk, x.T @ dv
-    dx = dq @ par["Q"].T + dk @ par["K"].T + dv @ par["V"].T
-    dx[at] += dh
-    g["P"] = dx.reshape(n, w, d).sum(axis=0)
-    flat = z.ravel()
-    g["E"] = np.stack([np.bincount(flat, dx[:, j], len(par["E"])) for j in range(d)], axis=1).astype(dx.dtype)
+    np.matmul(ds, x, out=back[:, :, :d])
+    np.matmul(a.transpose(0, 2, 1), t[:, :, :d], out=back[:, :, d:])
+    of_both = (x.transpose(0, 2, 1) @ back).sum(axis=0)
+    of_p, of_u = of_both[:, :d], of_both[:, d:]
+    g["Q"], g["K"], g["V"], g["O"] = of_p @ par["K"], of_p.T @ par["Q"], of_u @ par["O"].T, par["V"].T @ of_u
+    dx = np.matmul(back.reshape(n * w, 2 * d), np.ascontiguousarray(both.T), out=hidden.reshape(n * w, d))
+    dx += dh.reshape(n * w, d)
+    dx += np.matmul(ds.transpose(0, 2, 1), p, out=o).reshape(n * w, d)
+    g["P"] = (room.ones[:n, 0] @ dx.reshape(n, w * d)).reshape(w, d)
+    g["E"] = room.E
+    g["E"].fill(0)
+    cells = np.take(room.cells, z.ravel(), axis=0, out=room.at[:n * w], mode="clip")
+    np.add.at(g["E"].reshape(-1), cells.reshape(-1), dx.reshape(-1))
     return loss, g
 
 
 class Adam:
-    """Adam steps on the weights of a layer, in place."""
+    """Adam steps on the weights of a layer, in place: they become parts of one array."""
 
     def __init__(self, par: dict):
         self.names, self.t = [k for k in par if k != "mask"], 0
-        self.m, self.v = ({k: np.zeros_like(par[k]) for k in self.names} for _ in range(2))
+        self.flat = np.concatenate([par[k].ravel() for k in self.names])
+        for k, x in zip(self.names, np.split(self.flat, np.cumsum([par[k].size for k in self.names])[:-1])):
+            par[k] = x.reshape(par[k].shape)
+        self.m, self.v, self.g, self.move = (np.zeros_like(self.flat) for _ in range(4))
 
-    def step(self, par: dict, g: dict, rate: float) -> None:
+    def step(self, g: dict, rate: float) -> None:
         self.t += 1
-        for k in self.names:
-            m, v = self.m[k], self.v[k]
-            m *= 0.9
-            m += 0.1 * g[k]
-            v *= 0.99
-            v += 0.01 * g[k] * g[k]
-            move = np.sqrt(v / (1 - 0.99 ** self.t))
-            move += 1e-7
-            np.divide(m, move, out=move)
-            move *= rate / (1 - 0.9 ** self.t)
-            par[k] -= move
+        m, v, move = self.m, self.v, self.move
+        all_g = np.concatenate([g[k].ravel() for k in self.names], out=self.g)
+        m *= 0.9
+        m += np.multiply(all_g, 0.1, out=move)
+        v *= 0.99
+        np.multiply(all_g, 0.01, out=move)
+        move *= all_g
+        v += move
+        np.multiply(v, 1 / (1 - 0.99 ** self.t), out=move)
+        np.sqrt(move, out=move)
+        move += 1e-7
+        np.divide(m, move, out=move)
+        move *= rate / (1 - 0.9 ** self.t)
+        self.flat -= move
 
 
 def units_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,31 +345,62 @@ def units_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, unit
 
 
-def text_ids(training: DataFrame) -> DataFrame:
-    """The subword ids of all texts as :func:`spelled` lays them out, stored once: a row per
-    slice of texts with its round, its ids (16 bits each) and the number of ids of each text."""
+#: A slice of texts as :func:`worded` gives it; hashes follow from the ids.
+STORED = ("words", "codes", "size", "ids")
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers below 2^32 in 16 bits each if that holds them; one byte more says that it does not."""
+    return x.astype(np.uint16).tobytes() if x.max(initial=0) < 1 << 16 else x.astype(np.uint32).tobytes() + b"\0"
+
+
+def _unpacked(x: pa.Scalar) -> np.ndarray:
+    data = x.as_buffer()
+    return np.frombuffer(data, np.uint32, data.size // 4) if data.size % 2 else np.frombuffer(data, np.uint16)
+
+
+def text_ids(docs: DataFrame, id_col: str = "id", text_col: str = "text", learns: Column | None = None) -> DataFrame:
+    """All texts, spelled and stored once: a row per slice of texts with its round (-1 unless the texts are for learning, as
+    all are by default), the keys of the texts, and their words (``STORED``)."""
     vocab = vocabulary()
+    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         enc = encoder(vocab)
         part, k = TaskContext.get().partitionId(), 0
         for batch in batches:
-            col = batch.column(0)
-            for a, b in slices(col):
-                ids, n, _, _ = spelled(col.slice(a, b - a), enc)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([(part + k) % ROUNDS], pa.int32()), pa.array([ids.astype(np.uint16).tobytes()], pa.binary()),
-                     pa.array([n.astype(np.int64).tobytes()], pa.binary())], names=["round", "ids", "n"])
-                k += 1
+            for learn in (True, False):
+                some = batch.filter(batch.column(2) if learn else pa.compute.invert(batch.column(2)))
+                col = some.column(1)
+                for a, b in slices(col):
+                    words, codes, _, size, ids = worded(col.slice(a, b - a), enc)
+                    keys = pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), some.column(0).slice(a, b - a))
+                    data = [words.astype(np.int64).tobytes(), _packed(codes), _packed(size), ids.astype(np.uint16).tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array([(part + k) % ROUNDS if learn else -1], pa.int32()), keys]
+                                                     + [pa.array([x], pa.binary()) for x in data],
+                                                     names=["round", "keys", *STORED])
+                    k += learn
+
+    learns = F.lit(True) if learns is None else F.coalesce(learns, F.lit(False))
+    numbered = docs.select(F.struct(F.monotonically_increasing_id().alias("r"), F.col(id_col).alias("id")).alias("row"),
+                           text_column(docs, text_col).alias("text"), learns.alias("learns"))
+    return written(map_arrow(numbered, run, f"round int, keys array<struct<r:long,id:{kind}>>, words binary, codes binary, "
+                                            "size binary, ids binary"), "ids")
+
 
-    return written(map_arrow(training.select(text_column(training).alias("text")), run, "round int, ids binary, n binary"), "ids")
+def _stored_texts(batch: pa.RecordBatch):
+    """What is stored of each slice: numbers of words, the words' places among the different ones, and of those the
+    numbers of ids and the ids."""
+    for words, codes, size, ids in zip(*(batch.column(c) for c in STORED)):
+        words, ids = np.frombuffer(words.as_buffer(), np.int64), np.frombuffer(ids.as_buffer(), np.uint16)
+        yield words, _unpacked(codes), _unpacked(size).astype(np.int64), ids
 
 
 def _laid_out(batch: pa.RecordBatch, unit: np.ndarray):
-    """Ids, units and lengths of the slices in columns ``ids`` and ``n``."""
-    for ids, n in zip(batch.column(0), batch.column(1)):
-        ids = np.frombuffer(ids.as_buffer(), np.uint16)
-        yield ids, unit[ids], np.frombuffer(n.as_buffer(), np.int64)
+    """Ids, units and numbers of ids of the texts of each slice."""
+    for words, codes, size, sub in _stored_texts(batch):
+        ids, n, _, _, _ = laid(words, codes, size, sub)
+        yield ids, unit[ids], n
 
 
 def neighbours(ids: DataFrame, order: np.ndarray, unit: np.ndarray) -> np.ndarray:
@@ -271,7 +423,7 @@ def neighbours(ids: DataFrame, order: np.ndarray, unit: np.ndarray) -> np.ndarra
         for a in range(0, len(i), 1 << 18):
             yield pa.RecordBatch.from_arrays([pa.array(i[a:a + (1 << 18)].astype(np.int32)), pa.array(sums[i[a:a + (1 << 18)]])], names=["i", "c"])
 
-    rows = map_arrow(ids.select("ids", "n"), run, "i int, c long").groupBy("i").agg(F.sum("c").alias("c")).toArrow()
+    rows = map_arrow(ids.select(*STORED), run, "i int, c long").groupBy("i").agg(F.sum("c").alias("c")).toArrow()
     beside = np.zeros(m * 2 * near)
     beside[rows.column("i").to_numpy()] = rows.column("c").to_numpy()
     return beside.reshape(m, 2 * near)
@@ -310,10 +462,8 @@ def train(texts: list[str], counts: np.ndarray, kinds: np.ndarray, enc, seed: in
     words."""
     rng = np.random.default_rng(seed)
     ids, n, _, _ = spelled(pa.array(texts, pa.large_string()), enc)
-    opens = np.zeros(len(counts), bool)
-    opens[:END] = [enc.decode_single_token_bytes(i)[:1] == b" " for i in range(END)]
     order, unit = units_of(counts)
-    klass = classes_of(beside, order, opens, seed)
+    klass = classes_of(beside, order, openings(enc), seed)
     smooth = kinds + 0.05
     inside = np.log(smooth / np.bincount(klass, smooth, CLASSES)[klass]).astype(np.float32)
     r = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
@@ -325,10 +475,10 @@ def train(texts: list[str], counts: np.ndarray, kinds: np.ndarray, enc, seed: in
     mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
     par["mask"] = mask
     z, end, skip = windows(n)
-    units, goals, adam = unit[ids], klass[ids], Adam(par)
+    units, goals, adam, room = unit[ids], klass[ids], Adam(par), Room(par, BATCH)
     for t in range(1, steps + 1):
         at = rng.integers(0, len(z), BATCH)
-        adam.step(par, gradients(par, *batch_of(units, goals, z[at], end[at], skip[at]))[1],
+        adam.step(gradients(par, *batch_of(units, goals, z[at], end[at], skip[at]), room)[1],
                   0.01 * min(1, t / 50) * (1 - 0.9 * t / steps))
     return Model(unit, klass, inside, par, np.zeros(CLASSES), np.zeros(CLASSES))
 
@@ -352,7 +502,8 @@ def learned(model: Model, ids: DataFrame, seed: int = 1) -> dict:
 
         def run(batches, r=r, share=share):
             kept, unit, klass = share.value
-            par, adam, part = {k: v.copy() for k, v in kept.items()}, Adam(kept), TaskContext.get().partitionId()
+            par, part = dict(kept), TaskContext.get().partitionId()
+            adam, room = Adam(par), Room(par, BATCH)
             rng, met, total = np.random.default_rng([seed, r, part]), np.zeros(len(kept["E"])), 0
             for batch in batches:
                 for ids, units, n in _laid_out(batch, unit):
@@ -362,7 +513,7 @@ def learned(model: Model, ids: DataFrame, seed: int = 1) -> dict:
                     mixed = rng.permutation(len(z))
                     for a in range(0, len(z), BATCH):
                         at = mixed[a:a + BATCH]
-                        adam.step(par, gradients(par, *batch_of(units, goals, z[at], end[at], skip[at]))[1],
+                        adam.step(gradients(par, *batch_of(units, goals, z[at], end[at], skip[at]), room)[1],
                                   RATE * (1 - r / ROUNDS) * min(1, (adam.t + 1) / 50))
             if not total:
                 return
@@ -383,7 +534,7 @@ def learned(model: Model, ids: DataFrame, seed: int = 1) -> dict:
             return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "weight": pa.array([weight.tobytes()], pa.binary()),
                              "value": pa.array([mean.tobytes()], pa.binary())})
 
-        sums = map_arrow(ids.filter(F.col("round") == r).select("ids", "n"), run, "block int, part int, weight binary, value binary")
+        sums = map_arrow(ids.filter(F.col("round") == r).select(*STORED), run, "block int, part int, weight binary, value binary")
         par = {k: v.copy() for k, v in par.items()}
         for row in grouped_arrow(sums, ["block"], averaged, "block int, weight binary, value binary").toArrow().to_pylist():
             a, value = row["block"], np.frombuffer(row["value"], np.float32)
@@ -397,60 +548,47 @@ def learned(model: Model, ids: DataFrame, seed: int = 1) -> dict:
     return par
 
 
-def spelled(texts: pa.Array, enc):
-    """Ids of all texts laid end to end, each text's ids between two end ids; the number
-    of ids of each text; the word hashes with a 0 for each end; and the
-    number of ids of each word (the end's is 1)."""
-    low, starts, ends, before, h = lower_words(texts)
-    _, first, back = np.unique(h, return_index=True, return_inverse=True)
-    ids, at = spell(strings(low, starts[first], ends[first]), enc)
+def laid(words: np.ndarray, codes: np.ndarray, size: np.ndarray, ids: np.ndarray):
+    """Ids of all texts laid end to end, each text's ids between two end ids; the number of ids of each text; the words
+    and ends before each text; the code of each word, -1 for each end; and the number of ids of each (the end's is 1)."""
+    texts_n = len(words)
+    before = np.concatenate([[0], np.cumsum(words)])
     # the words of a text, then its end; a leading end id opens each text
-    texts_n = len(before) - 1
-    order = np.full(len(h) + texts_n, -1, np.int64)
-    slot = np.arange(len(h)) + np.repeat(np.arange(texts_n), np.diff(before))
-    order[slot] = back
-    size = np.append(np.diff(at), 1)[order]
-    begin = np.append(at[:-1], len(ids))[order]
-    body = np.append(ids, np.int32(END))[ragged(begin, size)]
+    order = np.full(len(codes) + texts_n, -1, np.int64)
+    order[np.arange(len(codes)) + np.repeat(np.arange(texts_n), words)] = codes
+    begin = np.append(np.cumsum(size) - size, len(ids))[order]
+    size = np.append(size, 1)[order]
+    body = np.append(ids.astype(np.int32), np.int32(END))[ragged(begin, size)]
     words_before = before + np.arange(texts_n + 1)
     ids_before = np.concatenate([[0], np.cumsum(size)])[words_before]
     n = np.diff(ids_before) + 1
     out = np.full(len(body) + texts_n, END, np.int32)
     out[np.arange(len(body)) + np.repeat(np.arange(1, texts_n + 1), np.diff(ids_before))] = body
-    hashes = np.zeros(len(order), np.int64)
-    hashes[slot] = h
-    return out, n, (hashes, words_before, order < 0), size
+    return out, n, words_before, order, size
+
+
+def spelled(texts: pa.Array, enc):
+    """Ids of all texts laid end to end, each text's ids between two end ids; the number
+    of ids of each text; the word hashes with a 0 for each end; and the
+    number of ids of each word (the end's is 1)."""
+    words, codes, own, size, ids = worded(texts, enc)
+    out, n, words_before, order, size = laid(words, codes, size, ids)
+    return out, n, (np.append(own, 0)[order], words_before, order < 0), size
 
 
-def place_scores(par: dict, z: np.ndarray, live: np.ndarray, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def place_scores(par: dict, z: np.ndarray, live: np.ndarray, klass: np.ndarray, room: Room | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Same model as :func:`forward`, for scoring: at the ``live`` places of
     windows ``z``, ln of the probability of class ``klass`` and of a word's beginning."""
-    n, w = z.shape
-    d = par["Q"].shape[0]
-    x = (par["E"][z] + par["P"]).reshape(n * w, d)
-    q, k, v = ((x @ par[m]).reshape(n, w, d) for m in "QKV")
-    a = q @ k.transpose(0, 2, 1)
-    a += par["mask"]
-    np.minimum(a, 60, out=a)
-    np.exp(a, out=a)
-    o = (a @ v) / (a.sum(axis=2, keepdims=True) + np.float32(1e-30))
-    at = np.flatnonzero(live.ravel())
-    # whole blocks of rows: a product of another shape may round another way
-    rows = np.append(at, np.zeros(-len(at) % ROWS, at.dtype))
-    h = x[rows].reshape(-1, ROWS, d) + o.reshape(n * w, d)[rows].reshape(-1, ROWS, d) @ par["O"]
-    y = h @ par["C"]
-    y += par["b"]
-    np.clip(y, -60, 60, out=y)
-    value = y.reshape(len(rows), y.shape[2])[np.arange(len(at)), klass]
-    np.exp(y, out=y)
+    room = room or Room(par, len(z))
+    y, _, value = exponents(par, attended(par, z, room)[0], np.flatnonzero(live), klass, room)
     # all classes, and those that begin a word
     pick = np.ones((y.shape[2], 2), np.float32)
     pick[BEGIN:, 1] = 0
-    total, begin = (y @ pick).reshape(len(rows), 2)[:len(at)].T
+    total, begin = (y @ pick).reshape(-1, 2)[:len(klass)].T
     return value - np.log(total), np.log(begin / total + np.float32(1e-30))
 
 
-def word_scores(model: Model, ids: np.ndarray, n: np.ndarray, size: np.ndarray, is_end: np.ndarray, batch: int = 128):
+def word_scores(model: Model, ids: np.ndarray, n: np.ndarray, size: np.ndarray, is_end: np.ndarray, room: Room, batch: int = BATCH):
     """For every word of texts that :func:`spelled` laid out: its class, ln of
     the class's probability at a word's beginning, and ln of its
     spelling's probability given the class."""
@@ -467,7 +605,7 @@ def word_scores(model: Model, ids: np.ndarray, n: np.ndarray, size: np.ndarray,
         if len(units) < batch:      # a whole batch: how texts are dealt does not change their scores
             more = batch - len(units)
             units, live = (np.concatenate([x, np.zeros((more, WINDOW), x.dtype)]) for x in (units, live))
-        of_class[to], of_begin[to] = place_scores(model.par, units, live, klass[to])
+        of_class[to], of_begin[to] = place_scores(model.par, units, live, klass[to], room)
     opening = np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else np.empty(0, np.int64)
     ids, of_class, of_begin = (np.delete(x, opening) for x in (ids, of_class, of_begin))
     first = np.cumsum(size) - size
@@ -479,27 +617,29 @@ def word_scores(model: Model, ids: np.ndarray, n: np.ndarray, size: np.ndarray,
     return model.klass[ids[first]], (of_class[first] - of_begin[first]).astype(np.float64), spelling
 
 
-def logs(model: Model, k: np.ndarray, begin: np.ndarray, spelling: np.ndarray, c: np.ndarray, is_end: np.ndarray) -> np.ndarray:
-    """ln of every word's probability given corpus counts ``c``."""
-    mass = np.maximum(model.mass[k], 1e-9)
-    free = np.minimum(1.0, np.where(model.mass[k] > 0, DISCOUNT * model.kinds[k] / mass, 1.0))
+def logs(model: Model, first: np.ndarray, c: np.ndarray, order: np.ndarray, begin: np.ndarray, spelling: np.ndarray) -> np.ndarray:
+    """ln of the probability of every word and end, in ``order`` given as places among the different words (-1: an end),
+    which begin with ids ``first`` and have corpus counts ``c``."""
+    mass = np.maximum(model.mass, 1e-9)
+    free = np.minimum(1.0, np.where(model.mass > 0, DISCOUNT * model.kinds / mass, 1.0))
+    k = model.klass[first]
     with np.errstate(divide="ignore"):
-        value = np.logaddexp(np.log(np.maximum(c - DISCOUNT, 0) / mass), np.log(free) + spelling)
-    return begin + np.where(is_end, 0.0, value)
+        own, free = np.log(np.maximum(c - DISCOUNT, 0) / mass[k]), np.log(free)[k]
+    own, free = (np.append(x, 0.0)[order] for x in (own, free))
+    return begin + np.where(order < 0, 0.0, np.logaddexp(own, free + spelling))
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_FOLD, F.lit(False))
 
 
-def fit(training: DataFrame, seed: int = 1):
+def fit(training: DataFrame, seed: int = 1, ids: DataFrame | None = None):
     """The model and the corpus counts: ``(model, vocabulary table (h, c),
     hot hashes, hot counts, N, V, texts)``. Counts, classes and the layer are over all rows of
-    ``training(id, text)``; a bounded sample is only where the layer starts."""
-    spark = training.sparkSession
-    place = scratch_path(spark, "words")
-    word_counts(training).write.parquet(place)
-    words = spark.read.schema("word string, h long, c long").parquet(place)
+    ``training(id, text)``; a bounded sample is only where the layer starts. ``ids`` are the stored texts, if there are
+    (:func:`text_ids`), those that are not for learning beside them."""
+    ids = text_ids(training) if ids is None else ids.filter("round >= 0")
+    words = written(word_counts(ids), "words")
     texts = training.count()
     total = words.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, distinct = (total["n"] or 0) + texts, total["v"] + (texts > 0)
@@ -512,7 +652,7 @@ def fit(training: DataFrame, seed: int = 1):
             break
         room, least = room - n, s
     is_hot = F.floor(F.log2("c") * 16) >= F.lit(least if least is not None else 1 << 20)
-    hot = words.filter(is_hot).toArrow()
+    hot = words.filter(is_hot).select("h", "c").toArrow()
     enc = encoder(vocabulary())
     hot_h, hot_c = hot.column("h").to_numpy(), hot.column("c").to_numpy()
     counts, kinds, first_c, first_v = _subword_sums(words)
@@ -528,7 +668,6 @@ def fit(training: DataFrame, seed: int = 1):
               .select(F.when(F.octet_length("text") > SAMPLE_BYTES, F.substring("text", 1, SAMPLE_BYTES // 4))
                       .otherwise(F.col("text")).alias("text")).toArrow())
     sample = [t for t in sample.column(0).to_pylist() if t] or [""]
-    ids = text_ids(training)
     model = train(sample, counts, kinds, enc, seed, neighbours(ids, *units_of(counts)))
     model.par = learned(model, ids, seed)
     model.mass[:] = np.bincount(model.klass, first_c, CLASSES)
@@ -539,16 +678,13 @@ def fit(training: DataFrame, seed: int = 1):
 def _subword_sums(words: DataFrame) -> np.ndarray:
     """For every subword id, over the whole vocabulary: its occurrences in all tokens
     and in different words, and the tokens and different words that begin with it."""
-    vocab = vocabulary()
-
     def run(batches):
-        enc = encoder(vocab)
         sums = np.zeros((4, END + 1))
         for batch in batches:
-            ids, at = spell(batch.column(0), enc)
-            c = batch.column(1).to_numpy()
-            first = ids[at[:-1]]
-            for row, (i, w) in zip(sums, ((ids, np.repeat(c, np.diff(at))), (ids, None), (first, c), (first, None))):
+            data, off = utf8(batch.column(0))
+            ids, c = np.frombuffer(data.tobytes(), np.uint16), batch.column(1).to_numpy()
+            first = ids[off[:-1] // 2]
+            for row, (i, w) in zip(sums, ((ids, np.repeat(c, np.diff(off) // 2)), (ids, None), (first, c), (first, None))):
                 row += np.bincount(i, w, END + 1)
         i = np.flatnonzero(sums[1])
         yield pa.RecordBatch.from_arrays([pa.array(i)] + [pa.array(x[i]) for x in sums], names=["i", "c", "v", "fc", "fv"])
@@ -560,57 +696,59 @@ def _subword_sums(words: DataFrame) -> np.ndarray:
     return sums
 
 
-def own_counts(h: np.ndarray, is_end: np.ndarray, hot_h: np.ndarray, hot_c: np.ndarray, n_texts: int) -> np.ndarray:
+def own_counts(h: np.ndarray, hot_h: np.ndarray, hot_c: np.ndarray) -> np.ndarray:
     """Corpus counts of frequent words, 0 for others."""
     if not len(hot_h):
-        return np.where(is_end, n_texts, 0)
+        return np.zeros(len(h), np.int64)
     at = np.minimum(np.searchsorted(hot_h, h), len(hot_h) - 1)
-    return np.where(is_end, n_texts, np.where(hot_h[at] == h, hot_c[at], 0))
+    return np.where(hot_h[at] == h, hot_c[at], 0)
 
 
-def score(docs: DataFrame, fitted, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, fitted, id_col: str = "doc_id", text_col: str = "text", ids: DataFrame | None = None) -> DataFrame:
     """``(id, n_tokens, n_known, train_tokens, base_score, score)`` of every whole
     text. A null or empty text is its end token alone. Equal rows are scored
-    each; other columns are not read."""
+    each; other columns are not read. ``ids`` are the stored texts, if there are (:func:`text_ids`)."""
     model, rare, hot_h, hot_c, tokens, distinct, n_texts = fitted
     spark = docs.sparkSession
-    vocab = vocabulary()
+    ids = text_ids(docs, id_col, text_col) if ids is None else ids
     # arrays only: executors need not know the class
-    share = spark.sparkContext.broadcast((tuple(getattr(model, f) for f in FIELDS), hot_h, hot_c, vocab))
+    share = spark.sparkContext.broadcast((tuple(getattr(model, f) for f in FIELDS), hot_h, hot_c, id_sums(encoder(vocabulary()))))
     floor = float(np.log10(1.0 / (tokens + distinct + 1)))
 
     def run(batches):
-        fields, hot_h, hot_c, vocab = share.value
+        fields, hot_h, hot_c, id_parts = share.value
         model = Model(*fields)
-        enc = encoder(vocab)
+        room = Room(model.par, BATCH)
         for batch in batches:
-            col = batch.column(1)
-            for a, b in slices(col):
-                ids, n, (h, before, is_end), size = spelled(col.slice(a, b - a), enc)
-                k, begin, spelling = word_scores(model, ids, n, size, is_end)
-                c = own_counts(h, is_end, hot_h, hot_c, n_texts)
-                value = logs(model, k, begin, spelling, c, is_end) / np.log(10)
+            for keys, (words, codes, size, sub) in zip(batch.column("keys"), _stored_texts(batch)):
+                h = joined_hashes(*id_parts, sub, size).view(np.int64)
+                spelt, n, before, order, sizes = laid(words, codes, size, sub)
+                is_end = order < 0
+                k, begin, spelling = word_scores(model, spelt, n, sizes, is_end, room)
+                c = own_counts(h, hot_h, hot_c)
+                value = logs(model, sub[np.cumsum(size) - size], c, order, begin, spelling) / np.log(10)
+                c = np.append(c, n_texts)
+                base = (np.log10(c + 1.0) + floor)[order]
+                c, h = c[order], np.append(h, 0)[order]
                 sums = lambda x: np.add.reduceat(x, before[:-1])
                 lone = (c == 0) & ~is_end
-                doc = np.repeat(np.arange(b - a), np.diff(before))
+                texts = len(words)
+                doc = np.repeat(np.arange(texts), np.diff(before))
                 # one head row per text, then one row per rare word of it
-                head = np.arange(b - a)
-                rows = np.concatenate([head, doc[lone]])
-                key = np.concatenate([np.zeros(b - a, np.int64), h[lone]])
+                rows = np.concatenate([np.arange(texts), doc[lone]])
+                key = np.concatenate([np.zeros(texts, np.int64), h[lone]])
                 zeros = np.zeros(int(lone.sum()))
-                out = [batch.column(0).slice(a, b - a).take(pa.array(rows)), pa.array(key), pa.array(np.arange(len(rows)) < b - a),
+                out = [keys.values.take(pa.array(rows)), pa.array(key), pa.array(np.arange(len(rows)) < texts),
                        pa.array(np.concatenate([np.diff(before), zeros]).astype(np.int64)),
                        pa.array(np.concatenate([sums((c > 0).astype(np.int64)), zeros]).astype(np.int64)),
-                       pa.array(np.concatenate([sums(np.where(lone, 0.0, np.log10(c + 1.0) + floor)), zeros])),
+                       pa.array(np.concatenate([sums(np.where(lone, 0.0, base)), zeros])),
                        pa.array(np.concatenate([sums(np.where(lone, 0.0, value)), value[lone]])),
-                       pa.array(np.concatenate([np.zeros(b - a), begin[lone] / np.log(10)])),
-                       pa.array(np.concatenate([np.ones(b - a), np.maximum(model.mass[k[lone]], 1e-9)]))]
+                       pa.array(np.concatenate([np.zeros(texts), begin[lone] / np.log(10)])),
+                       pa.array(np.concatenate([np.ones(texts), np.maximum(model.mass[k[lone]], 1e-9)]))]
                 yield pa.RecordBatch.from_arrays(out, names=["row", "h", "head", "n_tokens", "n_known", "base", "score", "begin", "mass"])
 
-    numbered = docs.select(F.struct(F.monotonically_increasing_id().alias("r"), F.col(id_col).alias("id")).alias("row"),
-                           text_column(docs, text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    parts = map_arrow(numbered, run, f"row struct<r:long,id:{kind}>, h long, head boolean, n_tokens long, n_known long, base double, score double, begin double, mass double")
+    parts = map_arrow(ids.select("keys", *STORED), run, f"row struct<r:long,id:{kind}>, h long, head boolean, n_tokens long, n_known long, base double, score double, begin double, mass double")
     # heads spread by row: they look up nothing
     parts = parts.withColumn("h", F.when(F.col("head"), F.col("row.r")).otherwise(F.col("h")))
     lone = ~F.col("head")
@@ -630,6 +768,7 @@ def score(docs: DataFrame, fitted, id_col: str = "doc_id", text_col: str = "text
 def op4_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     training = docs.filter(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), text_column(docs).alias("text"))
-    scored = score(docs, fit(training))
+    ids = text_ids(docs, "doc_id", learns=~held_out(F.col("doc_id")))
+    scored = score(docs, fit(training, ids=ids), ids=ids)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")

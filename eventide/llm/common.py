@@ -207,12 +207,36 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     from one running sum over all bytes (arithmetic modulo 2^64)."""
     if len(starts) == 0:
         return np.empty(0, np.uint64)
+    return _finished(_byte_sums(data, starts, ends, seed), ends - starts)
+
+
+def _byte_sums(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     n = len(data)
     table = per_process(("byte values", seed), lambda: mix64(np.arange(1, 257, dtype=np.uint64) + np.uint64(seed * 1000003)))
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(table[data] * first_powers(ODD, n), out=total[1:])
-    value = (total[ends] - total[starts]) * powers_at(INVERSE, starts)
-    return mix64(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return (total[ends] - total[starts]) * powers_at(INVERSE, starts)
+
+
+def _finished(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return mix64(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def part_sums(parts: Sequence[bytes], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """What each part of a word adds to its hash, and the parts' lengths: see :func:`joined_hashes`."""
+    off = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+    return _byte_sums(np.frombuffer(b"".join(parts), np.uint8), off[:-1], off[1:], seed), np.diff(off)
+
+
+def joined_hashes(sums: np.ndarray, lengths: np.ndarray, parts: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The hash that :func:`word_hashes` gives of every word that ``size`` (at least 1) parts each make up, laid end to end
+    as places in ``sums`` and ``lengths`` of :func:`part_sums`."""
+    if len(size) == 0:
+        return np.empty(0, np.uint64)
+    n, first = lengths[parts], np.cumsum(size) - size
+    before = np.cumsum(n) - n
+    value = sums[parts] * powers_at(ODD, before - np.repeat(before[first], size))
+    return _finished(np.add.reduceat(value, first), np.add.reduceat(n, first))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

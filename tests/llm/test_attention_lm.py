@@ -233,3 +233,103 @@ def test_neighbours_by_counting(spark, monkeypatch):
             want[b, a] += 1
             want[a, m + b] += 1
     assert m == 6 and np.array_equal(A.neighbours(A.text_ids(df), order, unit), want)
+
+
+def layer(rng, n_units, kind=np.float32):
+    d, c, w = A.WIDTH, A.CLASSES, A.WINDOW
+    par = {k: rng.normal(0, 0.4, s).astype(kind) for k, s in dict(E=(n_units, d), P=(w, d), Q=(d, d), K=(d, d), V=(d, d), O=(d, d), C=(d, c), b=(c,)).items()}
+    par["mask"] = np.triu(np.full((w, w), -1e9, kind), 1)
+    return par
+
+
+def test_a_step_reuses_its_arrays():
+    """No array of a whole batch is made anew, and what the last step left there does not matter."""
+    import tracemalloc
+    rng = np.random.default_rng(2)
+    par = layer(rng, 300)
+    room = A.Room(par, A.BATCH)
+
+    def batch(n):
+        shape = n, A.WINDOW
+        return rng.integers(0, 300, shape), rng.integers(0, A.CLASSES, shape), rng.random(shape) < 0.8
+
+    A.gradients(par, *batch(A.BATCH), room)
+    whole = batch(A.BATCH)
+    tracemalloc.start()
+    A.gradients(par, *whole, room)
+    A.place_scores(par, whole[0], whole[2], whole[1][whole[2]], room)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < A.BATCH * A.WINDOW * A.CLASSES * 4
+    for n in (1, 5, A.BATCH):
+        part = batch(n)
+        loss, grad = A.gradients(par, *part, room)
+        alone, want = A.gradients(par, *part)
+        assert loss == alone and all(np.array_equal(grad[k], want[k]) for k in want)
+        z, scored = part[0], part[2]
+        value, begin = A.place_scores(par, z, scored, part[1][scored], room)
+        ln = A.forward(par, z)[0][scored]
+        assert np.allclose(value, ln[np.arange(len(ln)), part[1][scored]], atol=1e-4)
+        assert np.allclose(begin, np.log(np.exp(ln[:, :A.BEGIN]).sum(axis=1)), atol=1e-4)
+
+
+def test_adam_steps():
+    rng = np.random.default_rng(3)
+    par = {"a": rng.normal(size=(3, 2)), "mask": np.zeros(2), "b": rng.normal(size=4)}
+    want = {k: v.copy() for k, v in par.items()}
+    m, v = ({k: 0.0 for k in "ab"} for _ in range(2))
+    adam = A.Adam(par)
+    for t in range(1, 6):
+        g = {k: rng.normal(size=par[k].shape) for k in "ab"}
+        adam.step(g, 0.1 / t)
+        for k in "ab":
+            m[k], v[k] = 0.9 * m[k] + 0.1 * g[k], 0.99 * v[k] + 0.01 * g[k] ** 2
+            want[k] = want[k] - 0.1 / t * m[k] / (1 - 0.9 ** t) / (np.sqrt(v[k] / (1 - 0.99 ** t)) + 1e-7)
+    assert all(np.allclose(par[k], want[k]) for k in par)
+
+
+def test_stored_texts_are_the_texts(spark):
+    """Whatever is spelled once and stored comes back: no words, more than 2^16 different ones, one of many ids."""
+    enc = encoder(vocabulary())
+    texts = ["", None, "Hello the WORLD", " ".join(f"{i:x}" for i in range(70000)), "é x 中文-ok! \n" + "kq0z" * 70000, " \t", "x"]
+    df = spark.createDataFrame([(i, t, i != 4) for i, t in enumerate(texts)], "doc_id long, text string, learns boolean").coalesce(1)
+    stored = A.text_ids(df, "doc_id", learns=df.learns)
+    seen = {}
+    for row in stored.toArrow().to_batches():
+        for k, keys, (words, codes, size, sub) in zip(row.column("round").to_pylist(), row.column("keys").to_pylist(), A._stored_texts(row)):
+            ids, n, before, order, sizes = A.laid(words, codes, size, sub)
+            h = A.joined_hashes(*A.id_sums(enc), sub, size).view(np.int64)
+            at = 0
+            for i, key in enumerate(keys):
+                part = slice(before[i], before[i + 1])
+                seen[key["id"]] = k >= 0, ids[at:at + n[i]].tolist(), np.append(h, 0)[order[part]].tolist(), sizes[part].tolist()
+                at += n[i]
+    assert set(seen) == set(range(len(texts)))
+    for i, t in enumerate(texts):
+        ids, _, (h, _, _), size = A.spelled(pa.array([t or ""]), enc)
+        assert seen[i] == (i != 4, ids.tolist(), h.tolist(), size.tolist())
+
+
+def test_texts_stored_once_serve_learning_and_scoring(spark, scored):
+    """From one stored spelling of all texts, held-out ones included, the counts and base scores of the plain way."""
+    docs, df, _fitted, rows = scored
+    learns = ~A.held_out(df.doc_id)
+    ids = A.text_ids(df, "doc_id", learns=learns)
+    fitted = A.fit(df.filter(learns).select(df.doc_id.alias("id"), A.text_column(df).alias("text")), ids=ids)
+    got = {r["doc_id"]: r for r in A.score(df, fitted, ids=ids).collect()}
+    assert set(got) == set(rows)
+    for i, r in rows.items():
+        assert all(got[i][c] == r[c] for c in ("n_tokens", "n_known", "train_tokens")), i
+        assert got[i]["base_score"] == pytest.approx(r["base_score"], rel=1e-12)
+    held = [i for i, _ in docs if zlib.crc32(str(i).encode()) % 7 == 2]
+    assert sum(got[i]["score"] for i in held) > sum(got[i]["base_score"] for i in held)
+
+
+def test_remembered_spellings_change_nothing(monkeypatch):
+    enc = encoder(vocabulary())
+    texts = [pa.array([" ".join(f"Word{i}x{i * k}" for i in range(50 * k))]) for k in range(1, 5)]
+    first = [A.spelled(t, enc) for t in texts]
+    monkeypatch.setattr(A, "spellings", lambda own, words, enc: (np.diff((made := A.spell(words(np.arange(len(own))), enc))[1]), made[0]))
+    for t, (ids, n, (h, _, _), size) in zip(texts, first):
+        plain = A.spelled(t, enc)
+        assert np.array_equal(ids, plain[0]) and np.array_equal(n, plain[1]) and np.array_equal(h, plain[2][0]) and np.array_equal(size, plain[3])
