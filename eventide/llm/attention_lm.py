@@ -119,7 +119,8 @@ def spellings(own: np.ndarray, words, enc) -> tuple[np.ndarray, np.ndarray]:
     that the worker does not remember are spelled; ``words`` gives those at given places."""
     kept = per_process(("spellings", enc), lambda: [np.empty(0, np.int64), np.zeros(1, np.int64), np.empty(0, np.int32)])
     known, known_at, known_ids = kept
-    at = np.searchsorted(known, own)
+    at, up = np.empty(len(own), np.int64), np.argsort(own)
+    at[up] = np.searchsorted(known, own[up])
     hit = np.zeros(len(own), bool)
     inside = at < len(known)
     hit[inside] = known[at[inside]] == own[inside]
@@ -142,7 +143,9 @@ def worded(texts: pa.Array, enc):
     """The number of words of each text, the words as places among the different ones of all these texts, and of
     those the hashes, numbers of subword ids, and the ids laid end to end."""
     low, starts, ends, before, h = lower_words(texts)
-    own, first, codes = np.unique(h, return_index=True, return_inverse=True)
+    kinds = pa.array(h).dictionary_encode()     # by first appearance
+    codes, own = kinds.indices.to_numpy(), kinds.dictionary.to_numpy()
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
     size, ids = spellings(own, lambda at: strings(low, starts[first[at]], ends[first[at]]), enc)
     return np.diff(before), codes, own, size, ids
 
