@@ -40,6 +40,7 @@ TOP_TERMS = 50
 COLLAPSE_BYTES = 16 << 20      # texts that one task holds while it looks for copies
 PENDING = 300_000              # (source, term) sums that a task holds before it hands them on
 PAIR_CELLS = 1 << 20           # pair differences that are computed at once
+GROUP_BYTES = 4 << 20          # (language, source) groups that are broadcast; more are joined by sorting
 
 #: Letters of ASCII in lower case and all bytes of other characters; the rest separates terms.
 _TERM_BYTES = bytes(i + 32 if 65 <= i <= 90 else i if 97 <= i <= 122 or i >= 128 else 32 for i in range(256))
@@ -223,21 +224,24 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
     terms is compared by its smoothing alone. Null lang and source count as empty names. Repeated
     rows count each. Other columns of ``docs`` are not read. Empty input gives no rows. A task holds at most
     ``COLLAPSE_BYTES`` of texts and ``PENDING`` sums; the list of sources of one term is read whole, as
-    the result has a row for each pair of sources of a language anyway.
+    the result has a row for each pair of sources of a language anyway. Terms are never broadcast: Spark sizes
+    the rows of their lists by the file, many times too low, so the joins are set by the groups' measured size.
     """
     kept = written(postings(docs).filter(F.col("docs") >= min_docs).select("lang", "term", F.col("n").alias("all"), "held"), "audit-terms")
     used = kept.select("lang", "term", "all", F.inline("held"))
     names = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
     size = used.groupBy("lang", "source").agg(F.sum("n").alias("size"))
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("V"), F.sum("all").alias("lang_size"))
-    groups = (names.join(size, ["lang", "source"], "left").join(langs, "lang", "left")
+    groups = (names.join(size.hint("merge"), ["lang", "source"], "left").join(langs, "lang", "left")
               .select("lang", "source", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("size", "V", "lang_size")]))
     groups = groups.withColumn("id", F.row_number().over(Window.partitionBy("lang").orderBy("source")).cast("long"))
     # V = 0: no term is kept in the language and every distance is 0
     some = F.col("V") > 0
     groups = stored(groups.withColumn("b", F.when(some, _share(F.lit(0).cast("long"), F.col("size"), F.col("V"))).otherwise(F.lit(0).cast("long"))))
 
-    shares = used.join(groups.select("lang", "source", "id", "b", "size", "V", "lang_size"), ["lang", "source"])
+    few = groups.agg(F.sum(F.octet_length("lang") + F.octet_length("source") + F.lit(64)).alias("bytes")).first()["bytes"] or 0
+    shares = used.join(groups.select("lang", "source", "id", "b", "size", "V", "lang_size")
+                       .hint("broadcast" if few <= GROUP_BYTES else "merge"), ["lang", "source"])
     shares = shares.withColumn("p", _share(F.col("n"), F.col("size"), F.col("V")))
     above = (shares.withColumn("value", F.col("p") - _share(F.col("all"), F.col("lang_size"), F.col("V")))
              .filter("value > 0").select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value"))

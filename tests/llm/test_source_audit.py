@@ -73,6 +73,29 @@ def test_other_columns_and_no_rows(spark):
     assert source_audit.audit(df.limit(0), 2, 5).collect() == []
 
 
+def under_broadcasts(df):
+    """The plan's lines below each broadcast, joined."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    out = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            out.append("\n".join(lines[i + 1:end]))
+    return out
+
+
+@pytest.mark.parametrize("group_bytes", [4 << 20, 0])
+def test_terms_are_not_broadcast(spark, monkeypatch, group_bytes):
+    """A term's list of sources is many rows, which Spark sizes as one."""
+    monkeypatch.setattr(source_audit, "GROUP_BYTES", group_bytes, raising=False)
+    rows = corpus(6)
+    df = source_audit.audit(spark.createDataFrame(rows, SCHEMA).repartition(3), 2, 5)
+    sent = under_broadcasts(df)
+    assert bool(sent) == bool(group_bytes) and not any("inline(" in plan for plan in sent)
+    assert found(df) == brute(rows, 2, 5)
+
+
 def test_shares_of_large_counts_are_exact(spark):
     from pyspark.sql import functions as F
     cases = [(0, 0, 1), (9 * 10**14, 9 * 10**15, 10**5), (123456789012, 999999999999, 777), (7, 3 * 10**14 + 1, 12345)]
