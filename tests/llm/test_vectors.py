@@ -117,3 +117,55 @@ def test_nearest_with_few_candidates(spark):
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in sorted(rows, key=lambda r: r["rank"])] == [(0, 1, 2), (0, 2, 1)]
     alone = R.nearest(table(spark, [[1.0, 0.0]], [1])).collect()
     assert alone == []
+
+
+def under_broadcasts(df):
+    """The executed plan's lines below each broadcast, joined."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    out = []
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            out.append("\n".join(lines[i + 1:end]))
+    return out
+
+
+def test_queries_of_all_slabs_are_not_broadcast(spark):
+    """The queries take 4 KB, and 150 times that once each slab has them: Spark sizes them as before."""
+    vectors = clustered(1500, 16, 7, 0.8)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        df = R.nearest(table(spark, vectors, [0] * len(vectors)), slab_rows=10)
+        assert len(df.collect()) == 150
+        assert not any("explode(" in plan for plan in under_broadcasts(df))
+    finally:
+        spark.conf.set(key, old)
+
+
+def brute_nearest(rows, step, k=5):
+    found = []
+    for q, v in rows:
+        if q is not None and q % step == 0 and good(v):
+            near = sorted((-round(cos(v, w), 9), i) for i, w in rows if i is not None and i != q and good(w) and len(w) == len(v))
+            found += [(q, i, -s) for s, i in near[:k]]
+    return sorted(found)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_nearest_among_copies_in_small_blocks(spark, monkeypatch, kind):
+    """Many copies of some vectors, ids that occur three times, two dimension counts, a null id; all
+    queries meet all slabs in blocks of a few rows, and bounds so wide that every cosine is computed."""
+    for name, value in (("QUERY_ROWS", 3), ("CODE_ROWS", 8), ("PAIR_CELLS", 32), ("SLABS", 3)):
+        monkeypatch.setattr(R, name, value, raising=False)
+    g = np.random.default_rng(9)
+    base = [np.float32(v).tolist() for v in clustered(60, 6, 3, 0.5) + clustered(20, 9, 4, 0.5)]
+    vectors = base + [base[0]] * 40 + [base[7]] * 25 + [base[65]] * 15 + odd_rows(6)
+    ids = g.permutation(len(vectors)).tolist()
+    rows = [*zip(ids, vectors)] + [(4, base[0])] * 2 + [(5, base[0])] * 2 + [(None, base[0])]
+    rows = [(i, v) for i, v in rows if i is None or i % 4 or sum(i == x for x, _ in rows) == 1]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(4)
+    got = sorted((r["query_id"], r["vec_id"], round(r["score"], 9)) for r in R.nearest(df, query_step=4, width=50.0, slab_rows=5).collect())
+    assert got == brute_nearest(rows, 4)
