@@ -219,22 +219,27 @@ class Room:
         self.xt, self.ut, self.t = new(n, d, w), np.ones((n, d + 1, w), kind), new(n, w, d + 1)
         self.pu, self.back = new(n, w, 2 * d), new(n, w, 2 * d)
         self.h, self.hs, self.y = np.ones((blocks, ROWS, d + 1), kind), new(blocks, ROWS, d + 1), new(blocks, ROWS, c)
+        self.whole = new(n, w, c)
         self.k, self.rows = new(blocks, ROWS, d), np.zeros(blocks * ROWS, np.int64)
         self.ones = np.ones((max(n, w, c), 1), kind)
         self.cells, self.at = np.arange(par["E"].size).reshape(par["E"].shape), np.empty((n * w, d), np.int64)
         self.E = np.zeros(par["E"].shape, kind)
 
 
-def attended(par: dict, z: np.ndarray, room: Room):
+def attended(par: dict, z: np.ndarray, room: Room, apart: bool = False):
     """The layer up to its hidden values, of which it returns the windows' ``(batch, WINDOW, WIDTH)``. Queries meet keys as
     ``x (Q K') x'`` and values go out as ``x (V O)``: two products for four. Exponents are bounded;
-    ``room.a / room.total`` are the weights of attention."""
+    ``room.a / room.total`` are the weights of attention. ``apart``: a product for each window, as rows of a
+    larger one may round by their place."""
     n, w = z.shape
     d = par["Q"].shape[0]
     both = np.concatenate([par["Q"] @ par["K"].T, par["V"] @ par["O"]], axis=1)
     x = np.take(par["E"], z, axis=0, out=room.x[:n], mode="clip")
     x += par["P"]
-    pu = np.matmul(x.reshape(n * w, d), both, out=room.pu[:n].reshape(n * w, 2 * d)).reshape(n, w, 2 * d)
+    if apart:
+        pu = np.matmul(x, both, out=room.pu[:n])
+    else:
+        pu = np.matmul(x.reshape(n * w, d), both, out=room.pu[:n].reshape(n * w, 2 * d)).reshape(n, w, 2 * d)
     np.copyto(room.xt[:n], x.transpose(0, 2, 1))
     a = np.matmul(pu[:, :, :d], room.xt[:n], out=room.a[:n])
     a += par["mask"]
@@ -247,14 +252,22 @@ def attended(par: dict, z: np.ndarray, room: Room):
     return np.add(x, o, out=room.more[:n]), both
 
 
-def exponents(par: dict, hidden: np.ndarray, at: np.ndarray, klass: np.ndarray, room: Room):
+def exponents(par: dict, hidden: np.ndarray, at: np.ndarray, klass: np.ndarray, room: Room, apart: bool = False):
     """At places ``at`` of the windows, in whole blocks of rows (a product of another shape may round another way): the
-    classes' exponents and their sums, the cells and the exponent's logarithm of classes ``klass``."""
+    classes' exponents and their sums, the cells and the exponent's logarithm of classes ``klass``. ``apart``: products of
+    whole windows, of which the places are taken."""
     blocks, d = -(-len(at) // ROWS), hidden.shape[2]
     rows = room.rows[:blocks * ROWS]
     rows[:len(at)], rows[len(at):] = at, 0
-    room.h[:blocks, :, :d] = hidden.reshape(-1, d).take(rows, axis=0).reshape(blocks, ROWS, d)
-    y = np.matmul(room.h[:blocks], np.concatenate([par["C"], par["b"][None]]), out=room.y[:blocks])
+    if apart:
+        n, w, c = *hidden.shape[:2], len(par["b"])
+        whole = np.matmul(hidden, par["C"], out=room.whole[:n])
+        y = room.y[:blocks]
+        np.take(whole.reshape(n * w, c), rows, axis=0, out=y.reshape(blocks * ROWS, c), mode="clip")
+        y += par["b"]
+    else:
+        room.h[:blocks, :, :d] = hidden.reshape(-1, d).take(rows, axis=0).reshape(blocks, ROWS, d)
+        y = np.matmul(room.h[:blocks], np.concatenate([par["C"], par["b"][None]]), out=room.y[:blocks])
     np.clip(y, -60, 60, out=y)
     cells = np.arange(0, len(at) * y.shape[2], y.shape[2]) + klass
     value = y.reshape(-1).take(cells)
@@ -583,7 +596,8 @@ def place_scores(par: dict, z: np.ndarray, live: np.ndarray, klass: np.ndarray,
     """Same model as :func:`forward`, for scoring: at the ``live`` places of
     windows ``z``, ln of the probability of class ``klass`` and of a word's beginning."""
     room = room or Room(par, len(z))
-    y, _, value = exponents(par, attended(par, z, room)[0], np.flatnonzero(live), klass, room)
+    # a window's products by itself: how texts are dealt does not change their scores
+    y, _, value = exponents(par, attended(par, z, room, True)[0], np.flatnonzero(live), klass, room, True)
     # all classes, and those that begin a word
     pick = np.ones((y.shape[2], 2), np.float32)
     pick[BEGIN:, 1] = 0
